@@ -21,8 +21,13 @@ from .costs import with_unit_costs
 from .market import market_of
 from .prices import open_conditions, prices
 
-ORDER = F.col("vbeln").alias("order_number")
-LINE = F.col("posnr").alias("order_line")
+
+def _order() -> Column:
+    return F.col("vbeln").alias("order_number")
+
+
+def _line() -> Column:
+    return F.col("posnr").alias("order_line")
 
 
 def delivery_progress(delivery_items: DataFrame, delivery_headers: DataFrame) -> DataFrame:
@@ -49,7 +54,7 @@ def delivery_progress(delivery_items: DataFrame, delivery_headers: DataFrame) ->
 def open_quantity(items: DataFrame, progress: DataFrame) -> DataFrame:
     """Order lines that are not fully delivered, with what is still open."""
     ordered = items.select(
-        ORDER, LINE, F.col("kwmeng").alias("ord_qty_orig"),
+        _order(), _line(), F.col("kwmeng").alias("ord_qty_orig"),
         F.col("lgort").alias("order_delivery_warehouse"), "abgru")
     return (
         ordered.join(progress, ["order_number", "order_line"], "left")
@@ -69,7 +74,7 @@ def blocking_type(delivery: str = "lifsk", billing: str = "faksk", credit: str =
 def blocking(headers: DataFrame) -> DataFrame:
     """Whether an order is blocked, and what blocks it."""
     blocked = non_blank("lifsk") | F.col("cmgst").isin(fixed.CREDIT_BLOCKS)
-    return headers.select(ORDER, F.coalesce(blocked, F.lit(False)).alias("blocked"),
+    return headers.select(_order(), F.coalesce(blocked, F.lit(False)).alias("blocked"),
                           blocking_type().alias("blocking_type"))
 
 
@@ -79,7 +84,7 @@ def valid_orders(headers: DataFrame, order_types: DataFrame) -> DataFrame:
     counting = order_types.select("auart").unionByName(extra)
     return (
         exclude_values(headers, "auart", fixed.EXCLUDED_ORDER_TYPES)
-        .join(counting, ["auart"], "leftsemi").select(ORDER)
+        .join(counting, ["auart"], "leftsemi").select(_order())
     )
 
 
@@ -91,7 +96,7 @@ def order_types(types: DataFrame) -> DataFrame:
 def confirmed_by_schedule(requirements: DataFrame) -> DataFrame:
     """Confirmed quantity per schedule line and warehouse, from positive rows only."""
     positive = requirements.where("vmeng > 0").select(
-        ORDER, LINE, F.col("etenr").alias("schedule_line"),
+        _order(), _line(), F.col("etenr").alias("schedule_line"),
         F.col("lgort").alias("allocation_warehouse"), F.col("vmeng").alias("qty_confirmed"))
     return sum_by(positive, ["order_number", "order_line", "schedule_line",
                              "allocation_warehouse"], ["qty_confirmed"])
@@ -157,7 +162,7 @@ def order_status(t: OrderTables) -> DataFrame:
         ))),
     )
     dates = t.schedule.select(
-        ORDER, LINE, F.col("etenr").alias("schedule_line"), F.col("edatu").alias("confirmed_date"),
+        _order(), _line(), F.col("etenr").alias("schedule_line"), F.col("edatu").alias("confirmed_date"),
         F.col("ezeit").alias("confirmed_time"), F.col("tddat").alias("planned_dispatch_date"),
     ).distinct()
     confirmed = (
@@ -208,7 +213,7 @@ def enrich_headers(headers: DataFrame, texts: Texts, calendar: DataFrame, as_of:
     )
     b_grade = F.col("auart") == fixed.B_GRADE_TYPE
     return looked_up.select(
-        ORDER,
+        _order(),
         F.lit(2).alias("data_type"),
         F.col("auart").alias("order_type_code"),
         "order_type_descr", "time_id", F.col("time_id").alias("document_date"),
@@ -247,7 +252,7 @@ def enrich_items(items: DataFrame, areas: DataFrame, routes: DataFrame) -> DataF
         items.transform(checked_lookup, areas, "zzlarea", "area_descr")
         .transform(checked_lookup, routes, "route", "routing_descr")
         .select(
-            ORDER, LINE, F.col("matnr").alias("product_code"), F.col("zzlarea").alias("area_code"),
+            _order(), _line(), F.col("matnr").alias("product_code"), F.col("zzlarea").alias("area_code"),
             "area_descr", F.col("lgort").alias("order_delivery_warehouse"),
             F.col("werks").alias("plant"), F.col("vstel").alias("shipping_point"),
             F.col("route").alias("routing"), "routing_descr", "pstyv",
@@ -372,7 +377,7 @@ def order_fact(
     The key names the line and its status; confirmed rows add what makes them
     one row per schedule line.
     """
-    first = first_date(schedule.select(ORDER, LINE, "edatu"), ["order_number", "order_line"],
+    first = first_date(schedule.select(_order(), _line(), "edatu"), ["order_number", "order_line"],
                        "edatu", "first_req_del_date")
     consignment = F.col("order_type_code").isin(fixed.CONSIGNMENT_TYPES)
     base = (
