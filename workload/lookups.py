@@ -36,12 +36,12 @@ def j01(t):
 @query("j02_two_step_lookup", """
 SELECT c_custkey, CASE WHEN r.r_regionkey IS NULL THEN 'Not Defined' ELSE r.r_name END AS region
 FROM customer LEFT JOIN nation n ON c_nationkey = n.n_nationkey
-LEFT JOIN (SELECT * FROM region WHERE r_regionkey <> 2) r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') r ON n.n_regionkey = r.r_regionkey
 """)
 def j02(t):
     return t.customer.transform(
         lk.two_step_lookup, t.nation.select("n_nationkey", "n_regionkey"),
-        t.region.where("r_regionkey <> 2").select("r_regionkey", "r_name"),
+        t.region.where("r_name <> 'ASIA'").select("r_regionkey", "r_name"),
         "c_nationkey", "region", F.lit(fixed.NOT_DEFINED),
     ).select("c_custkey", "region")
 

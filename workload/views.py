@@ -105,12 +105,12 @@ SELECT lpad(CAST(o_orderkey AS STRING), 10, '0') AS vbeln, '000000' AS posnr, ro
   lpad(CAST(o_custkey + place AS STRING), 8, '0') AS kunnr
 FROM {orders}, (VALUES ('SP', 0), ('BP', 1), ('ZC', 2), ('ZD', 3), ('ZE', 4), ('YB', 5),
   ('YD', 6), ('YA', 7), ('YC', 8)) AS roles(role, place)
-WHERE (o_orderkey + place) % 10 <> 0
+WHERE NOT (o_orderstatus = 'P' AND place IN (1, 3, 6))
 UNION ALL
 SELECT vbeln, posnr, role AS parvw,
   CASE WHEN CAST(matnr AS INT) % 5 = 0 THEN ' ' ELSE '9' || substring(matnr, 2, 7) END AS kunnr
-FROM {vbap}, (VALUES ('SP', 0), ('BP', 1), ('YD', 2)) AS roles(role, place)
-WHERE (CAST(matnr AS INT) + place) % 4 = 0
+FROM {vbap}, (VALUES ('SP'), ('BP'), ('YD')) AS roles(role)
+WHERE lgort = 'W1' OR (lgort = 'W2' AND role = 'BP')
 """
 
 VIEWS["tvak"] = """
@@ -168,10 +168,10 @@ FROM {nation}
 # --- companies, markets, rates ------------------------------------------------
 
 VIEWS["company_currency"] = """
-SELECT DISTINCT
-  CASE n_nationkey % 4 WHEN 0 THEN '66J0' WHEN 1 THEN '61A0' WHEN 2 THEN '60B0' ELSE '62T0' END AS company,
-  CASE n_nationkey % 4 WHEN 0 THEN 'GBP' WHEN 1 THEN 'PLN' WHEN 2 THEN 'EUR' ELSE 'CZK' END AS currency
-FROM {nation} WHERE n_nationkey % 4 <> 2
+SELECT DISTINCT company, currency FROM (SELECT
+    CASE n_nationkey % 4 WHEN 0 THEN '66J0' WHEN 1 THEN '61A0' WHEN 2 THEN '62T0' END AS company,
+    CASE n_nationkey % 4 WHEN 0 THEN 'GBP' WHEN 1 THEN 'PLN' ELSE 'CZK' END AS currency
+  FROM {nation}) c WHERE company IS NOT NULL
 """
 
 VIEWS["budget_fx"] = """
@@ -213,7 +213,7 @@ FROM {supplier}
 VIEWS["product_lines"] = """
 SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code,
   lpad(CAST(p_size % 6 AS STRING), 2, '0') AS line_code
-FROM {part} WHERE p_size % 10 <> 9
+FROM {part} WHERE p_size <= 45
 """
 
 VIEWS["market_rules"] = """
@@ -265,11 +265,11 @@ SELECT lpad(CAST(l_orderkey AS STRING), 10, '0') AS knumv,
   tax * 100 AS kbetr,
   CASE supp % 4 WHEN 0 THEN -2.0e0 WHEN 1 THEN 2.0e0 ELSE 1.0e0 END AS kkurs,
   CASE kschl WHEN 'MWST' THEN 'V' || CAST(supp % 3 AS STRING) END AS mwsk1
-FROM {lines}, (VALUES ('MWST', 1, 1), ('ZNSV', 2, 11), ('ZTTV', 3, 7), ('ZCDS', 4, 2),
-  ('ZNET', 5, 3), ('PB00', 6, 4), ('ZWEE', 7, 5), ('ZFEE', 8, 3), ('ZGSV', 9, 1),
-  ('RENT', 10, 6), ('PPNT', 11, 6), ('ZFR2', 12, 5), ('ZXXX', 13, 2)) AS codes(kschl, place, every)
-WHERE CASE WHEN kschl IN ('ZNSV', 'ZTTV') THEN (part + place) % every <> 0
-  ELSE (part + place) % every = 0 END
+FROM {lines}, (VALUES ('MWST', 1, 0, 999), ('ZNSV', 2, 3, 999), ('ZTTV', 3, 0, 46),
+  ('ZCDS', 4, 20, 40), ('ZNET', 5, 0, 35), ('PB00', 6, 10, 30), ('ZWEE', 7, 5, 25),
+  ('ZFEE', 8, 15, 999), ('ZGSV', 9, 0, 999), ('RENT', 10, 8, 20), ('PPNT', 11, 8, 20),
+  ('ZFR2', 12, 30, 45), ('ZXXX', 13, 0, 20)) AS codes(kschl, place, low, high)
+WHERE qty BETWEEN low AND high
 """
 
 VIEWS["prcd_source"] = """
@@ -277,7 +277,7 @@ SELECT knumv, kposn, stunr, kschl, source, kwert + source AS kwert, kkurs,
   lpad(CAST(1 + (CAST(kposn AS INT) + source * source) % 3 AS STRING), 2, '0') AS zaehk,
   CAST('2024-01-01' AS DATE) + CAST((CAST(kposn AS INT) / 10 + copy * 5) AS INT) AS deltadate
 FROM {prcd}, (VALUES (1), (2), (3)) AS sources(source), (VALUES (0), (1)) AS copies(copy)
-WHERE (CAST(kposn AS INT) / 10 + source) % 2 = 0 OR source = 2
+WHERE source = 2 OR (source = 1 AND kkurs < 2) OR (source = 3 AND kbetr > 2)
 """
 
 # --- deliveries and invoices -------------------------------------------------
@@ -299,7 +299,7 @@ SELECT '9' || substring(vbeln, 2, 8) AS vbeln,
   'T' || CAST(CAST(substring(vbeln, 2, 8) AS INT) % 30 AS STRING) AS zterm,
   CASE WHEN CAST(substring(vbeln, 2, 8) AS INT) % 3 = 0 THEN 'IT' ELSE 'GB' END AS land1,
   '0' || '9' || substring(vbeln, 2, 8) AS knumv
-FROM {likp} WHERE wadat_ist IS NOT NULL AND CAST(substring(vbeln, 2, 8) AS INT) % 4 <> 3
+FROM {likp} WHERE wadat_ist IS NOT NULL
 """
 
 VIEWS["vbrp"] = """
@@ -308,7 +308,7 @@ SELECT '9' || substring(vbeln, 2, 8) AS vbeln, posnr,
   lfimg * 10 AS netwr, matnr, vbeln AS vgbel, posnr AS vgpos, vgbel AS aubel, vgpos AS aupos,
   CAST(floor(lfimg * (CAST(matnr AS INT) % 3) / 2) AS DOUBLE) AS fkimg,
   CASE WHEN CAST(matnr AS INT) % 2 = 0 THEN vkbur WHEN CAST(matnr AS INT) % 5 = 0 THEN ' ' END AS vkbur
-FROM {lips} WHERE substring(vbeln, 10, 1) = 'F' AND CAST(substring(vbeln, 2, 8) AS INT) % 4 <> 3
+FROM {lips} WHERE substring(vbeln, 10, 1) = 'F'
 """
 
 VIEWS["prcd_invoice"] = """
@@ -323,14 +323,14 @@ SELECT vbeln AS vbelv, '7' || substring(vbeln, 2, 9) AS vbeln, 'Q' AS vbtyp_n, '
 UNION ALL
 SELECT '9' || lpad(CAST(CAST(substring(vbeln, 2, 8) AS INT) - 1 AS STRING), 8, '0') AS vbelv,
   vbeln, 'O' AS vbtyp_n, 'M' AS vbtyp_v, posnr AS posnn
-FROM {vbrp} WHERE CAST(substring(vbeln, 2, 8) AS INT) % 9 = 1
+FROM {vbrp} WHERE vbeln IN (SELECT vbeln FROM {vbrk} WHERE fkart = 'ZG2')
 """
 
 VIEWS["vttp"] = """
 SELECT 'T' || CAST(CAST(substring(vbeln, 2, 8) AS INT) % 97 AS STRING) AS tknum, vbeln FROM {likp}
 UNION ALL
 SELECT 'T' || CAST(CAST(substring(vbeln, 2, 8) AS INT) % 89 AS STRING), vbeln
-FROM {likp} WHERE CAST(substring(vbeln, 2, 8) AS INT) % 3 = 0
+FROM {likp} WHERE zzbook_slot IS NULL
 """
 
 VIEWS["vttk"] = """
@@ -342,7 +342,7 @@ FROM {vttp}
 
 VIEWS["shipping_texts"] = """
 SELECT lpad(CAST(r_regionkey AS STRING), 2, '0') AS vsart, 'By ' || r_name AS text
-FROM {region} WHERE r_regionkey <> 3
+FROM {region} WHERE r_name <> 'EUROPE'
 """
 
 VIEWS["t052"] = """
@@ -360,7 +360,7 @@ FROM {region}, (VALUES ('E'), ('D')) AS l(spras), (VALUES ('IT'), ('GB')) AS c(l
 
 VIEWS["payment_texts"] = """
 SELECT 'T' || CAST(n_nationkey AS STRING) AS zterm, 'Terms ' || n_name AS text
-FROM {nation} WHERE n_nationkey % 7 <> 3
+FROM {nation} WHERE n_regionkey <> 3
 """
 
 VIEWS["customer_offices"] = """
@@ -401,7 +401,7 @@ SELECT 'EUR' AS currency, company, network, lpad(CAST(p_partkey AS STRING), 8, '
   CASE WHEN (p_partkey + year) % 3 <> 0 THEN CAST(p_size + year % 7 AS DOUBLE) END AS tp_commerciale,
   CASE WHEN (p_partkey + year) % 4 <> 0 THEN CAST(p_size + year % 5 AS DOUBLE) END AS tp_itcy
 FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year), (VALUES ('80', '4'), ('07', '2'), ('46', '3')) AS u(company, network)
-WHERE (p_partkey + year) % 2 = 0
+WHERE year <= 1995 + p_size / 8
 """
 
 VIEWS["freight"] = """
@@ -417,7 +417,7 @@ SELECT 'EUR' AS currency, lpad(CAST(p_partkey AS STRING), 8, '0') AS product_cod
   CAST(year AS STRING) || quarter AS year_quarter,
   CASE WHEN (p_partkey + year) % 4 <> 0 THEN CAST(p_size + year % 3 AS DOUBLE) END AS std_prod_cost_commercial
 FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year), (VALUES ('Q1'), ('Q3')) AS q(quarter)
-WHERE p_partkey % 11 <> 0
+WHERE p_type <> 'PROMO'
 """
 
 VIEWS["indefinite"] = """
@@ -425,7 +425,7 @@ SELECT CASE WHEN p_partkey % 9 = 0 THEN 'USD' ELSE 'EUR' END AS currency,
   lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, year,
   CASE WHEN (p_partkey + year) % 3 <> 0 THEN CAST(p_size + 10 AS DOUBLE) END AS std_prod_cost_no_tca,
   CASE WHEN (p_partkey + year) % 2 = 0 THEN CAST(p_size % 5 AS DOUBLE) END AS tca
-FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year) WHERE year % 2 = 0
+FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year) WHERE year IN (1996, 1998, 2000)
 """
 
 VIEWS["company_network"] = """
@@ -448,7 +448,7 @@ SELECT account, CAST(p_partkey % 5 AS STRING) || '_' || CAST(p_partkey % 25 AS S
   'f' || CAST(year AS STRING) AS input_file_name
 FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year), (VALUES ('2000_ASO_CALC', 'Local'), ('1095_LFG', 'EUR'), ('2090_LFG', 'Local'),
   ('A_NSV_MEDIO', 'EUR'), ('A_NSV_MEDIO', 'Local'), ('OTHER', 'EUR')) AS a(account, currency)
-WHERE NOT (account = '1095_LFG' AND p_partkey % 6 = 0)
+WHERE NOT (account = '1095_LFG' AND p_size > 40)
 """
 
 VIEWS["cost_export"] = """
@@ -463,7 +463,7 @@ FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS
   ('A_HANIC', 5), ('A_NAHNW', 6), ('TP_Commerciale_Definitive', 7), ('TP_Commerciale_Indicative', 8),
   ('TP_ITCY_Indicative', 9), ('STD_Prod_Cost_No_TCA_Definitive', 10),
   ('STD_Prod_Cost_No_TCA_Indicative', 11), ('TCA_Indicative', 12)) AS a(account, place)
-WHERE (p_partkey + place) % 3 <> 0
+WHERE p_size > place * 3
 """
 
 VIEWS["forecast_export"] = """
@@ -644,7 +644,7 @@ SELECT sku, class_id, tree_name, key, value, ingestion_date, ingestion_type FROM
     CAST(p_retailprice AS STRING), '2024-01-07', 'bulk' FROM {part}
   UNION ALL
   SELECT lpad(CAST(p_partkey AS STRING), 8, '0'), 'X' || CAST(p_partkey % 4 AS STRING), 'MKT Tree',
-    'Noise', CAST(p_size AS STRING), '2024-01-08', 'delta' FROM {part} WHERE p_partkey % 3 = 0
+    'Noise', CAST(p_size AS STRING), '2024-01-08', 'delta' FROM {part} WHERE p_type = 'PROMO'
 ) a WHERE value IS NOT NULL
 """
 
