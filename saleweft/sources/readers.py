@@ -68,10 +68,11 @@ def read_csv(
     pattern: str | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Text columns from headed CSV; ``key=value`` folders become text columns.
+    """Text columns from headed CSV; ``key=value`` folders become columns.
 
-    Folder values such as ``month=03`` keep their zeros. A pattern limits the
-    files by name. A schema saves the look into the files for their header.
+    Spark reads folder values such as ``month=03`` as numbers; `padded_parts`
+    gives them their zeros back. A pattern limits the files by name. A schema
+    saves the look into the files for their header.
     """
     reader = (
         spark.read.option("header", True).option("sep", separator)

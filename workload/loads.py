@@ -1 +1,196 @@
-"""Placeholder."""
+"""I: incremental loads and the stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from saleweft.operators import incremental as inc
+from saleweft.plans.ingest import Run, ingest
+from saleweft.streaming.upsert import compact, merged, stream_upsert
+
+from .registry import query
+
+
+@query("i01_high_water_mark", """
+SELECT 'events' AS source, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS mark FROM events
+UNION ALL SELECT 'empty', '1970-01-01 00:00:00'
+""")
+def i01(t):
+    def mark(df, name):
+        return inc.high_water_mark(df, "ts").select(
+            F.lit(name).alias("source"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("mark"))
+
+    return mark(t.events, "events").unionByName(mark(t.events.where("event_id < 0"), "empty"))
+
+
+@query("i02_files_since", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'
+""")
+def i02(t):
+    """Loads land in one folder each; a mark before all of them picks all of them."""
+    path = t.scratch("landing")
+    orders = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    for status in ("F", "O"):
+        orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(
+            f"{path}/load={status}")
+    mark = inc.high_water_mark(t.spark.createDataFrame([], "ingestion_timestamp timestamp"))
+    folders = inc.files_since(inc.files_of(t.spark, path), "Delta", mark, levels=1)
+    names = [r[0] for r in folders.orderBy("folder").collect()]
+    return t.spark.read.parquet(*names)
+
+
+NEW = """new_rows AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS changed, l_returnflag AS flag, 2 AS load
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'),
+stored AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS changed, CAST(NULL AS STRING) AS flag, 1 AS load
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-06-01')"""
+UPSERT = f"""WITH {NEW}
+SELECT * EXCLUDE rn FROM (SELECT l_orderkey, l_linenumber, l_quantity, flag, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY changed DESC, load DESC, l_extendedprice DESC, l_quantity DESC) AS rn FROM (SELECT * FROM new_rows UNION ALL SELECT * FROM stored) u) x WHERE rn = 1"""
+
+KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def two_loads(t):
+    """Line items as two loads that overlap; only the newer one has the flag."""
+    rows = t.lineitem.select(*KEYS, "l_quantity", "l_extendedprice", "l_returnflag",
+                             F.col("l_shipdate").cast("date").alias("changed"))
+    new = rows.where("changed >= date'1999-01-01'").withColumnRenamed("l_returnflag", "flag")
+    stored = rows.where("changed < date'1999-06-01'").drop("l_returnflag")
+
+    def stamped(df, day):
+        return df.withColumn("ingestion_timestamp", F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp"))
+
+    return stamped(new, 2), stamped(stored, 1)
+
+
+TIES = ["changed", "ingestion_timestamp", "l_extendedprice", "l_quantity"]
+
+
+@query("i03_upsert", UPSERT, "l_quantity")
+def i03(t):
+    new, stored = two_loads(t)
+    return inc.upsert(new, stored, KEYS, TIES).select(*KEYS, "l_quantity", "flag")
+
+
+@query("i03_upsert_unique_store", UPSERT, "l_quantity")
+def i03_unique(t):
+    """The same result when the store already has one row per key: it is not shuffled whole."""
+    new, stored = two_loads(t)
+    unique = inc.dedup_ordered(stored, KEYS, inc.newest_first(TIES))
+    return inc.upsert(new, unique, KEYS, TIES, stored_is_unique=True).select(
+        *KEYS, "l_quantity", "flag")
+
+
+@query("i04_skip_if_empty", """
+SELECT 'dwa.lines' AS table_name, 'Delta' AS mode, count(*) AS count_loaded_rows, CAST(NULL AS STRING) AS message FROM orders
+UNION ALL SELECT 'dwa.lines', 'Delta', NULL, 'no data detected after last_insertion_timestamp: ingestion skipped'
+""")
+def i04(t):
+    """A first run loads; a second run finds nothing newer than the first, and says so."""
+    path = t.scratch("landing")
+    t.orders.select("o_orderkey", "o_totalprice").write.parquet(f"{path}/load=1")
+
+    def run(name, time):
+        return Run("dwa.lines", ["o_orderkey"], ["o_totalprice"], "Delta", name, time)
+
+    first = ingest(t.spark, path, run("run-1", "2999-01-01 00:00:00"))
+    second = ingest(t.spark, path, run("run-2", "2999-01-02 00:00:00"), first.table)
+    return first.audit.unionByName(second.audit).select(
+        F.col("redshift_output_table_name").alias("table_name"), "mode", "count_loaded_rows",
+        "message")
+
+
+@query("i04_ingest_run", """
+SELECT l_orderkey, max(l_quantity) AS top FROM lineitem GROUP BY l_orderkey
+""", "top")
+def i04_run(t):
+    """A whole run: land, check, merge with what is stored, and read the merged table."""
+    path = t.scratch("landing")
+    lines = t.lineitem.select("l_orderkey", "l_quantity")
+    lines.where("l_quantity > 25").write.parquet(f"{path}/load=1")
+    stored = lines.where("l_quantity <= 25").groupBy("l_orderkey").agg(
+        F.max("l_quantity").alias("l_quantity")).withColumn(
+        "ingestion_timestamp", F.lit("2020-01-01 00:00:00").cast("timestamp"))
+    run = Run("dwa.lines", ["l_orderkey"], ["l_quantity"], "Delta", "run-1", "2999-01-01 00:00:00")
+    return ingest(t.spark, path, run, stored).table.select(
+        "l_orderkey", F.col("l_quantity").alias("top"))
+
+
+@query("i05_stream_upsert", """
+SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) x WHERE rn = 1
+""", "value")
+def i05(t):
+    """All events fed as a file stream in two rounds, then folded into one batch."""
+    landing, target, folded, state = (
+        t.scratch(n) for n in ("events", "target", "folded", "checkpoint"))
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    events = t.events.drop("props")
+    for part in (events.where("event_type in ('view', 'click')"),
+                 events.where("event_type not in ('view', 'click')")):
+        part.write.mode("append").parquet(landing)
+        source = t.spark.readStream.schema(events.schema).parquet(landing)
+        stream_upsert(source, target, keys, order, state).awaitTermination()
+    compact(t.spark, target, folded, keys, order)
+    return merged(t.spark, folded, keys, order).select("user_id", "event_type", "event_id", "value")
+
+
+@query("i06_load_new_partitions", """
+SELECT l_orderkey, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month FROM lineitem
+WHERE (year(l_shipdate), month(l_shipdate)) NOT IN (SELECT DISTINCT (year(o_orderdate), month(o_orderdate)) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice > 300000)
+""")
+def i06(t):
+    def parted(df, date, *others):
+        return df.select(*others, F.year(date).alias("year"), F.month(date).alias("month"))
+
+    stored = parted(t.orders.where(
+        "o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_totalprice > 300000"), "o_orderdate")
+    return inc.load_new_partitions(parted(t.lineitem, "l_shipdate", "l_orderkey"), stored,
+                                   ["year", "month"])
+
+
+@query("i07_current_state", """
+WITH delta AS (SELECT l_partkey, CAST(max(l_shipdate) AS DATE) AS day FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey)
+SELECT 'delta' AS kind, l_partkey, CAST(day AS STRING) AS day FROM delta
+UNION ALL SELECT 'bulk', b.l_partkey, CAST(CAST(b.l_shipdate AS DATE) AS STRING) FROM lineitem b LEFT JOIN delta d USING (l_partkey)
+WHERE l_returnflag = 'N' AND (d.day IS NULL OR CAST(b.l_shipdate AS DATE) > d.day)
+""")
+def i07(t):
+    rows = t.lineitem.select("l_partkey", "l_returnflag", F.col("l_shipdate").cast("date").alias("day"))
+    current, kept = inc.current_state(rows.where("l_returnflag = 'R'"),
+                                      rows.where("l_returnflag = 'N'"), ["l_partkey"], "day")
+    first, second = [df.select(F.lit(k).alias("kind"), "l_partkey", F.col("day").cast("string").alias("day"))
+                     for k, df in (("delta", current), ("bulk", kept))]
+    return first.unionByName(second)
+
+
+@query("i08_backfill_ranges", """
+WITH starts AS (SELECT CAST(s AS DATE) AS range_start FROM (SELECT unnest(generate_series(DATE '1995-01-15', DATE '2001-12-20', INTERVAL 4 MONTH)) AS s) g
+  WHERE s < DATE '2001-12-20'),
+ranges AS (SELECT range_start, least(CAST(range_start + INTERVAL 4 MONTH AS DATE), DATE '2001-12-20') AS range_end FROM starts)
+SELECT CAST(range_start AS STRING) AS range_start, CAST(range_end AS STRING) AS range_end, count(o_orderkey) AS orders
+FROM ranges LEFT JOIN orders ON CAST(o_orderdate AS DATE) >= range_start AND CAST(o_orderdate AS DATE) < range_end GROUP BY 1, 2
+""")
+def i08(t):
+    """Ranges of four months, each with the orders it would load."""
+    from saleweft.operators.joins import interval_lookup
+
+    ranges = inc.backfill_ranges(t.spark, "1995-01-15", "2001-12-20", "month", 4)
+    closed = ranges.withColumn("last_day", F.date_sub("range_end", 1))
+    orders = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("ordered"))
+    counted = (
+        interval_lookup(orders, "ordered", closed, "range_start", "last_day", "range_end", "range_end")
+        .groupBy("range_end").agg(F.count("o_orderkey").alias("orders")))
+    return ranges.join(counted, ["range_end"], "left").select(
+        F.col("range_start").cast("string").alias("range_start"),
+        F.col("range_end").cast("string").alias("range_end"),
+        F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
+@query("i09_latest_extract", """
+SELECT account, product_code, years, ingestion_date, May FROM budget_export b
+WHERE ingestion_date = (SELECT max(ingestion_date) FROM budget_export x WHERE x.years = b.years)
+""", "May")
+def i09(t):
+    return inc.latest_extract(t.budget_export, ["years"]).select(
+        "account", "product_code", "years", "ingestion_date", "May")
