@@ -616,6 +616,94 @@ SELECT s.*, order_requested_delivery_date AS mrdd,
 FROM {legacy_sales} s
 """
 
+VIEWS["unit_currency"] = """
+SELECT DISTINCT lpad(CAST(n_regionkey AS STRING), 2, '0') AS company,
+  'C' || CAST(n_regionkey AS STRING) AS currency
+FROM {nation} WHERE n_name <> 'NATION_3'
+"""
+
+VIEWS["budget_prices"] = """
+SELECT DISTINCT n.sales_organization || '-@-' || n.sales_office || '-@-' || product_code || '-@-'
+    || CAST(year(document_date) AS STRING) || '-@-' || CAST(month(document_date) AS STRING) AS key,
+  CAST(l_partkey % 100 AS DOUBLE) AS nsv_local
+FROM {legacy_sales} s JOIN {company_network} n
+  ON lpad(CAST(s.company AS STRING), 2, '0') = n.company AND lpad(CAST(s.network AS STRING), 2, '0') = n.network
+WHERE std_sale_price IS NULL OR std_sale_price > 10
+"""
+
+# --- report rows -------------------------------------------------------------------
+
+VIEWS["report_lines"] = """
+SELECT l_orderkey, l_linenumber, lpad(CAST(l_partkey AS STRING), 8, '0') AS product_code,
+  'C' || CAST(o_custkey AS STRING) AS dest_id, 'C' || CAST(o_custkey % 50 AS STRING) AS inv_id,
+  lpad(CAST(l_suppkey % 5 AS STRING), 2, '0') AS company, lpad(CAST(l_suppkey % 25 AS STRING), 2, '0') AS network,
+  CASE l_suppkey % 6 WHEN 0 THEN '62T0' WHEN 1 THEN '66J0' ELSE '60B0' END AS sales_organization,
+  'H' || lpad(CAST(l_suppkey % 25 AS STRING), 3, '0') AS sales_office,
+  CASE l_partkey % 4 WHEN 0 THEN 'AC' ELSE 'FG' END AS division,
+  CASE l_partkey % 3 WHEN 0 THEN 'cas' ELSE 'sap' END AS source,
+  CASE l_partkey % 3 WHEN 0 THEN 0 ELSE 1 END AS flag_erp,
+  CASE l_orderkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 5 WHEN 2 THEN 7 ELSE 4 END AS doc_type_code,
+  CASE WHEN o_custkey % 3 = 0 THEN 'Z0' || CAST(o_custkey % 8 AS STRING) END AS return_reason,
+  CAST(o_orderkey_text AS STRING) AS order_number, order_date, ship_date,
+  order_date + CAST(l_linenumber * 20 AS INT) AS first_req_del_date, ship_date AS requested_delivery_date,
+  'S' || CAST(o_custkey % 4 AS STRING) AS super_group_code,
+  CASE WHEN o_custkey % 5 <> 0 THEN 'Super ' || CAST(o_custkey % 4 AS STRING) END AS super_group_descr,
+  'P' || CAST(o_custkey % 7 AS STRING) AS purchase_group_code,
+  CASE WHEN o_custkey % 6 <> 0 THEN 'Purchase ' || CAST(o_custkey % 7 AS STRING) END AS purchase_group_descr,
+  CASE l_partkey % 10 WHEN 0 THEN 0.0e0 ELSE l_quantity END AS qty,
+  CASE l_partkey % 10 WHEN 0 THEN 0.0e0 ELSE l_extendedprice END AS nsv_eur,
+  CASE l_partkey % 10 WHEN 0 THEN 0.0e0 ELSE l_extendedprice * 2 END AS gsv_eur,
+  CASE l_partkey % 20 WHEN 0 THEN 0.0e0 ELSE l_extendedprice - l_quantity END AS gm_tp_eur,
+  CASE l_partkey % 20 WHEN 0 THEN 0.0e0 ELSE l_extendedprice - l_quantity * 2 END AS gm_cp_eur
+FROM (SELECT *, l_orderkey AS o_orderkey_text FROM {sales_lines}) s
+"""
+
+VIEWS["report_orders"] = """
+SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
+  flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
+  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  CAST('1998-08-15' AS DATE) AS document_date, qty AS ord_qty, nsv_eur AS ord_nsv_eur, gsv_eur AS ord_gsv_eur,
+  gm_tp_eur AS ord_gm_tp_eur, gm_cp_eur AS ord_gm_cp_eur
+FROM {report_lines} WHERE ship_date >= CAST('1998-06-01' AS DATE)
+"""
+
+VIEWS["report_deliveries"] = """
+SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
+  flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
+  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  CAST('1998-08-15' AS DATE) AS document_date, qty AS del_qty, nsv_eur AS del_nsv_eur, gsv_eur AS del_gsv_eur,
+  gm_tp_eur AS del_gm_tp_eur, gm_cp_eur AS del_gm_cp_eur
+FROM {report_lines} WHERE ship_date BETWEEN CAST('1998-03-01' AS DATE) AND CAST('1998-09-30' AS DATE)
+"""
+
+VIEWS["report_invoices"] = """
+SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
+  flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
+  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  ship_date AS time_id, qty AS inv_qty, nsv_eur AS inv_nsv_eur, gsv_eur AS inv_gsv_eur,
+  gm_tp_eur AS inv_gm_tp_eur, gm_cp_eur AS inv_gm_cp_eur
+FROM {report_lines}
+"""
+
+VIEWS["report_budget"] = """
+SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, lpad(CAST(p_size % 5 AS STRING), 2, '0') AS company,
+  lpad(CAST(p_size % 25 AS STRING), 2, '0') AS network, CASE p_size % 6 WHEN 0 THEN '62T0' ELSE '60B0' END AS sales_organization,
+  'H' || CAST(p_size % 25 AS STRING) AS sales_office, 1998 AS year, month,
+  CAST(p_size * month AS DOUBLE) AS qty_sold, p_retailprice AS nsv_eur, p_retailprice * 2 AS nsv_local,
+  p_retailprice * p_size AS budget_nsv_eur, p_retailprice * p_size * 2 AS budget_nsv_local
+FROM {part}, (VALUES (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12)) AS m(month)
+"""
+
+VIEWS["network_markets"] = """
+SELECT company, network, 'M' || network AS market_budget, 'Market ' || network AS market_budget_descr
+FROM {company_network} WHERE network <> '07'
+"""
+
+VIEWS["customer_codes"] = """
+SELECT 'C' || CAST(c_custkey AS STRING) AS customer, CAST(c_custkey * 10 AS STRING) AS code
+FROM {customer} WHERE c_mktsegment <> 'BUILDING'
+"""
+
 # --- products as attributes -----------------------------------------------------
 
 VIEWS["attributes"] = """
