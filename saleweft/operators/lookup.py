@@ -13,18 +13,22 @@ from .columns import quoted
 _KEY, _HIT = "__lookup_key", "__lookup_hit"
 
 
+def _kept_or_raise(keys: list[str], kept: Column, what: str) -> Column:
+    """The first row of a key, or an error when there is a second one."""
+    described = F.concat(F.lit(f"{what}: key occurs more than once: "),
+                         F.to_json(F.struct(*[quoted(k) for k in keys])))
+    return F.when(F.count(F.lit(1)) > 1, F.raise_error(described)).otherwise(F.first(kept))
+
+
 def unique_values(mapping: DataFrame, keys: list[str], values: list[str], what: str) -> DataFrame:
     """One row per key with its values; a repeated key fails the job when it runs.
 
     The check is part of the aggregate that prepares the map, so it costs no
     extra pass and no action while the plan is put together.
     """
-    described = F.concat(F.lit(f"{what}: key occurs more than once: "),
-                         F.to_json(F.struct(*[quoted(k) for k in keys])))
-    kept = F.first(F.struct(*[quoted(v) for v in values])).alias("__kept")
-    grouped = mapping.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"), kept)
-    guarded = F.when(F.col("__n") > 1, F.raise_error(described)).otherwise(F.col("__kept"))
-    return grouped.select(*[quoted(k) for k in keys], guarded.alias("__kept"))
+    kept = F.struct(*[quoted(v) for v in values])
+    return mapping.groupBy(*[quoted(k) for k in keys]).agg(
+        _kept_or_raise(keys, kept, what).alias("__kept"))
 
 
 def checked_lookup(
@@ -45,15 +49,14 @@ def checked_lookup(
     large one is shuffled by key and hot keys are split by adaptive execution.
     """
     key, value = mapping.columns
-    hits = (
-        unique_values(mapping.where(quoted(key).isNotNull()), [key], [value], name)
-        .select(quoted(key).alias(_KEY), F.col("__kept").alias(_HIT))
-    )
-    joined = df.join(hits, as_column(source) == F.col(_KEY), "left")
-    found = F.col(_HIT)[value]
+    kept = F.struct(quoted(value).alias("v"))
+    hits = mapping.groupBy(quoted(key).alias(_KEY)).agg(
+        _kept_or_raise([key], kept, name).alias(_HIT))
+    found = F.col(_HIT)["v"]
     if default is not None:
         found = F.when(F.col(_HIT).isNull(), default).otherwise(found)
-    return joined.withColumn(dest, found).drop(_KEY, _HIT)
+    return df.join(hits, as_column(source) == F.col(_KEY), "left").withColumn(
+        dest, found).drop(_KEY, _HIT)
 
 
 def constant_lookup(mapping: DataFrame, key_value: Column, default: Column | None = None) -> Column:
@@ -71,13 +74,17 @@ def literal_lookup(
     source: Column | str, pairs: Mapping[str, object], default: Column | None = None
 ) -> Column:
     """The same for a short fixed table: a map literal, no join at all."""
-    entries = [F.lit(x) for pair in pairs.items() for x in pair]
-    table = F.create_map(*entries)
-    key = as_column(source)
-    found = F.element_at(table, key)
+    table = F.expr("map(" + ", ".join(_sql_literal(x) for p in pairs.items() for x in p) + ")")
+    found = F.element_at(table, as_column(source))
     return found if default is None else F.coalesce(found, default)
 
 
+def _sql_literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def two_step_lookup(
     df: DataFrame,
     first: DataFrame,

@@ -17,7 +17,7 @@ from ..operators.joins import with_partners
 from ..operators.lookup import (
     checked_lookup, constant_lookup, inverse_rates, literal_lookup, two_step_lookup)
 from . import measures as m
-from .costs import with_unit_costs
+from .costs import span_around, with_unit_costs
 from .market import market_of
 from .prices import open_conditions, prices
 
@@ -302,6 +302,8 @@ class FactTables:
     company_currency: DataFrame
     yearly_rates: DataFrame
     costs: Mapping[str, DataFrame] = field(default_factory=dict)
+    customers: CustomerMaps | None = None
+    block_events: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -348,6 +350,15 @@ def with_customers(df: DataFrame, maps: CustomerMaps) -> DataFrame:
     return out.drop("__inv", "__dest")
 
 
+def with_context(df: DataFrame, t: FactTables) -> DataFrame:
+    """Customer texts and the last block and unblock, where their tables are given."""
+    if t.customers is not None:
+        df = with_customers(df, t.customers)
+    if t.block_events is not None:
+        df = df.join(t.block_events, ["order_number"], "left")
+    return df
+
+
 def order_measures(df: DataFrame, as_of: str) -> DataFrame:
     """All measures of the order fact."""
     return (
@@ -375,7 +386,8 @@ def order_fact(
     """The order fact: one row per order line and status.
 
     The key names the line and its status; confirmed rows add what makes them
-    one row per schedule line.
+    one row per schedule line. Status rows are distinct and every table joined to
+    them has one row per key, so the wide rows need no distinct of their own.
     """
     first = first_date(schedule.select(_order(), _line(), "edatu"), ["order_number", "order_line"],
                        "edatu", "first_req_del_date")
@@ -399,8 +411,8 @@ def order_fact(
         .join(prices(t.conditions, open_conditions("ord")), ["price_key"], "left")
     )
     return (
-        with_unit_costs(base, t.costs)
+        with_unit_costs(base, t.costs, span_around(as_of))
         .transform(order_measures, as_of)
+        .transform(with_context, t)
         .withColumn("key_fact", make_key("###", F.lit("ORDER"), *FACT_GRAIN))
-        .distinct()
     )

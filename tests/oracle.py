@@ -23,6 +23,7 @@ def session(cpus: str = "8", shuffles: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", shuffles)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", "/tmp/saleweft-warehouse")
         .getOrCreate()

@@ -282,7 +282,8 @@ def b12(t):
         F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("product_code"),
         F.when(unit == 0, "80").when(unit == 1, "07").when(unit == 2, "46").alias("company"),
         F.when(unit == 0, "4").when(unit == 1, "2").when(unit == 2, "3").alias("network"))
-    return costs.with_unit_costs(sold, cost_tables(t)).select("l_orderkey", "l_linenumber", *COST_COLUMNS)
+    span = costs.span_of(t.lineitem, "l_shipdate")
+    return costs.with_unit_costs(sold, cost_tables(t), span).select("l_orderkey", "l_linenumber", *COST_COLUMNS)
 
 
 @query("b13_market_hierarchy", """
@@ -358,13 +359,51 @@ SELECT {', '.join(GRAIN)}, CAST(first_req_del_date AS STRING) AS first_req_del_d
   CASE WHEN requested_delivery_date < DATE '1998-08-01' THEN ord_nsv_eur ELSE 0 END AS ord_bo_nsv_eur,
   CASE WHEN order_status = 'Blocked' THEN ord_qty ELSE 0 END AS blk_qty, CASE WHEN order_status = 'In Picking' THEN ord_nsv_lc ELSE 0 END AS pck_nsv_lc,
   ord_gm_tp_eur AS pot_gm_tp_eur FROM gm
-""", " ".join(f"{x}:7" for x in ["exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur"]))
+""", " ".join(f"{x}:4" for x in ["exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur"]))
 def b14(t):
     return text_dates(order_fact(t), "first_req_del_date").select(
         *GRAIN, "first_req_del_date", "company", "network", "currency_code", "product_code",
         "exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur")
 
 
+CUSTOMER_SQL = """lines_of AS (SELECT o.*, 'D' AS dummy FROM (SELECT vbeln, kunnr AS inv_id FROM vbpa WHERE parvw = 'BP' AND posnr = '000000') o),
+keyed AS (SELECT l.vbeln, l.inv_id, vkorg, coalesce(w.kunnr, '') AS salesman_code, l.inv_id || '|' || vkorg || '|10|FG' AS k FROM lines_of l JOIN vbak h ON l.vbeln = h.vbeln
+  LEFT JOIN (SELECT vbeln, kunnr FROM vbpa WHERE parvw = 'YD' AND posnr = '000000') w ON l.vbeln = w.vbeln)"""
+
+
+@query("b14_customer_context", f"""
+WITH {CUSTOMER_SQL}
+SELECT vbeln AS order_number, o.vkbur AS customer_type_code, coalesce(t3.text, 'Not Defined') || '-' || coalesce(t5.text, 'Not Defined') AS customer_type_descr,
+  g.text AS sales_group, c.c_name AS salesman_name FROM keyed LEFT JOIN customer_offices o ON k = o.key_knvv
+LEFT JOIN (SELECT DISTINCT vkbur, 'Type ' || vkbur AS text FROM customer_offices WHERE vkbur < 'K500') t5 ON o.vkbur = t5.vkbur
+LEFT JOIN (SELECT DISTINCT vkbur, 'Level ' || vkbur AS text FROM customer_offices WHERE vkbur > 'K100') t3 ON o.vkbur = t3.vkbur
+LEFT JOIN (SELECT DISTINCT vkbur, 'Group ' || vkbur AS text FROM customer_offices) g ON o.vkbur = g.vkbur
+LEFT JOIN (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS code, c_name FROM customer) c ON salesman_code = c.code
+""")
+def b14_customers(t):
+    """Customer types, sales group and partner names by lookups through customer maps."""
+    offices = t.customer_offices
+
+    def named(prefix, condition="true"):
+        return offices.where(condition).select("vkbur", F.concat(F.lit(prefix), "vkbur").alias("text")).distinct()
+
+    maps = orders.CustomerMaps(
+        sales_group=offices, sales_group_text=named("Group "), type_code=offices, type_level3=offices,
+        type_text=named("Type ", "vkbur < 'K500'"), type_level3_text=named("Level ", "vkbur > 'K100'"),
+        names=t.customer.select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"), "c_name"))
+    head = t.vbpa.where(F.col("posnr") == fixed.HEADER_ITEM)
+    bill = head.where("parvw = 'BP'").select(F.col("vbeln").alias("order_number"), F.col("kunnr").alias("inv_id"))
+    sales = head.where("parvw = 'YD'").select(F.col("vbeln").alias("order_number"), F.col("kunnr").alias("salesman_code"))
+    rows = (
+        bill.join(t.vbak.select(F.col("vbeln").alias("order_number"), F.col("vkorg").alias("sales_organization")), ["order_number"], "inner")
+        .join(sales, ["order_number"], "left")
+        .withColumns({"dest_id": F.col("inv_id"), "distr_channel": F.lit("10"), "division": F.lit("FG")}))
+    others = [c for c in orders.NAMED_PARTNERS if c != "salesman_code"]
+    rows = add_missing_columns(rows, others, F.lit(None).cast("string"))
+    return orders.with_customers(rows, maps).select(
+        "order_number", "customer_type_code", "customer_type_descr", "sales_group", "salesman_name")
+
+
 # --- deliveries -------------------------------------------------------------------------
 
 OPEN_DELIVERY = """open_del AS (SELECT i.*, lfimg - coalesce(billed, 0) AS del_qty_fabs, (lfimg - coalesce(billed, 0)) / lfimg AS pct_del_qty FROM lips i
@@ -399,13 +438,13 @@ priced AS (SELECT b.*, r.company, r.network, {_rate}, price.* EXCLUDE (price_key
   LEFT JOIN price ON price_key = CASE WHEN order_type_code NOT IN ('ZKA', 'ZKB') THEN knumv || '|' || order_line END),
 {cost_sql('priced', 'document_date')}, {DEL_SQL}
 SELECT 'DELIVERY###' || despatching_note || '###' || posnr AS key_fact, order_number, order_line, company, network, currency_code, {', '.join(DELIVERY_MEASURES)} FROM gm
-""", " ".join(f"{x}:7" for x in DELIVERY_MEASURES))
+""", " ".join(f"{x}:4" for x in DELIVERY_MEASURES))
 def b15_fact(t):
     types = orders.order_types(t.tvak)
     heads = headers(t).join(types.select(F.col("auart").alias("order_type_code")), ["order_type_code"], "leftsemi")
     base = deliveries.delivery_base(deliveries.open_deliveries(t.likp, t.lips, t.vbrp), t.likp,
                                     heads, t.vbap, t.vbep, AS_OF)
-    return deliveries.delivery_fact(base, fact_tables(t, t.prcd)).select(
+    return deliveries.delivery_fact(base, fact_tables(t, t.prcd), AS_OF).select(
         "key_fact", "order_number", "order_line", "company", "network", "currency_code",
         *DELIVERY_MEASURES)
 
@@ -494,9 +533,10 @@ priced AS (SELECT b.*, r.company, r.network, {_inv_rate}, price.* EXCLUDE (price
   FROM base b {MARKET_JOIN} {_inv_rates} LEFT JOIN price ON price_key = knumv || '|' || posnr),
 {cost_sql('priced', 'document_date')}, {ms.INV_SQL.replace('inv_base', 'costed')}
 SELECT DISTINCT concat_ws('###', 'INVOICE', document_code, posnr, ref_invoice) AS key_fact, CAST(ref_invoice_date AS STRING) AS ref_invoice_date, company, network, currency_code, {', '.join(INVOICE_MEASURES)} FROM gm
-""", " ".join(f"{x}:7" for x in INVOICE_MEASURES))
+""", " ".join(f"{x}:4" for x in INVOICE_MEASURES))
 def b16_fact(t):
-    fact = invoices.invoice_fact(invoice_base(t), t.vbfa, fact_tables(t, t.prcd_invoice))
+    span = costs.span_of(t.vbrk, "fkdat")
+    fact = invoices.invoice_fact(invoice_base(t), t.vbfa, fact_tables(t, t.prcd_invoice), span)
     return text_dates(fact, "ref_invoice_date").select(
         "key_fact", "ref_invoice_date", "company", "network", "currency_code", *INVOICE_MEASURES)
 
@@ -529,7 +569,7 @@ def legacy_facts(t):
 @query("b17_legacy_facts", f"""
 WITH {LEGACY_ROWS} SELECT {ms.K}, {', '.join(LEGACY_KEYS)}, CAST(time_id AS STRING) AS time_id, CAST(mrdd AS STRING) AS mrdd, {', '.join(LEGACY_MEASURES)},
   coalesce(inv_nsv_eur, 0) + coalesce(del_nsv_eur, 0) + coalesce(ord_nsv_eur, 0) AS pot_nsv_eur FROM b
-""", " ".join(f"{x}:5" for x in [*LEGACY_MEASURES, "pot_nsv_eur"]))
+""", " ".join(f"{x}:4" for x in [*LEGACY_MEASURES, "pot_nsv_eur"]))
 def b17(t):
     return text_dates(legacy_facts(t), "time_id", "mrdd").select(
         *ms.KEY, *LEGACY_KEYS, "time_id", "mrdd", *LEGACY_MEASURES, "pot_nsv_eur")
@@ -619,11 +659,11 @@ _SEGMENTS = ", ".join(f"('{s}')" for s in fixed.UNKNOWN_SEGMENTS)
 
 
 @query("b19_budget_products", f"""
-WITH lines AS (SELECT DISTINCT CASE p_brand WHEN 'Brand#1' THEN 'TV' WHEN 'Brand#2' THEN 'Cooking' WHEN 'Brand#3' THEN 'Freezer' END AS division, p_brand AS line_code FROM part)
+WITH division_lines AS (SELECT DISTINCT CASE p_brand WHEN 'Brand#1' THEN 'TV' WHEN 'Brand#2' THEN 'Cooking' WHEN 'Brand#3' THEN 'Freezer' END AS division, p_brand AS line_code FROM part)
 SELECT 'BUDGET_' || code AS product_id, segment AS product_segment, name AS division, l.line_code,
   CASE WHEN l.line_code IS NULL THEN 'NOT DEFINED' ELSE (SELECT min(line_descr) FROM products p WHERE p.line_code = l.line_code) END AS line_descr,
   CASE WHEN l.line_code IS NULL THEN 'NOT DEFINED' ELSE (SELECT CASE WHEN count(*) = count(fob) THEN min(fob) END FROM products p WHERE p.line_code = l.line_code) END AS fob
-FROM (VALUES {_DIVISIONS}) AS d(code, name), (VALUES {_SEGMENTS}) AS s(segment) LEFT JOIN lines l ON l.division = name
+FROM (VALUES {_DIVISIONS}) AS d(code, name), (VALUES {_SEGMENTS}) AS s(segment) LEFT JOIN division_lines l ON l.division = name
 """)
 def b19_budget(t):
     brand = F.col("p_brand")
@@ -999,10 +1039,10 @@ def b30(t):
 
 
 @query("flagship_margin_by_nation", """
-WITH lines AS (SELECT l_orderkey, sum(l_quantity) AS ordered, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS delivered,
+WITH order_lines AS (SELECT l_orderkey, sum(l_quantity) AS ordered, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS delivered,
     sum(l_extendedprice * (1 - l_discount)) AS net, sum(p_retailprice * l_quantity * 0.5e0) AS cost FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)
 SELECT coalesce(n_name, 'Not Defined') AS nation, count(*) AS open_orders, sum(ordered - delivered) AS open_qty, sum(net) AS nsv, sum(CASE WHEN net <> 0 THEN net - cost ELSE 0 END) AS margin
-FROM lines JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE ordered - delivered > 0 GROUP BY 1
+FROM order_lines JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE ordered - delivered > 0 GROUP BY 1
 """, "open_qty:2 nsv:2 margin:2")
 def flagship(t):
     """Open orders and their margin by nation: the smallest cut through the order plans."""

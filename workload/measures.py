@@ -47,7 +47,7 @@ def m01(t):
 
 @query("m02_order_values", f"""
 SELECT {K}, {ord_value('nsv')} AS ord_nsv_lc, {ord_value('gsv')} AS ord_gsv_lc FROM ord_base
-""", "ord_nsv_lc:7 ord_gsv_lc:7")
+""", "ord_nsv_lc:4 ord_gsv_lc:4")
 def m02(t):
     return m.order_values(t.ord_base).select(*KEY, "ord_nsv_lc", "ord_gsv_lc")
 
@@ -57,7 +57,7 @@ SELECT {K}, list_price_tot * pct_ord_qty / nullif(ord_qty, 0) AS list_price,
   forced_price_tot * pct_ord_qty / nullif(ord_qty, 0) AS forced_price,
   coalesce(forced_price_tot * pct_ord_qty / nullif(ord_qty, 0), 0) + coalesce(list_price_tot * pct_ord_qty / nullif(ord_qty, 0), 0) AS net_price,
   removable_charges_tot * pct_ord_qty AS removable_charges FROM (SELECT *, {ORD_QTY} AS ord_qty FROM ord_base) b
-""", "list_price:7 forced_price:7 net_price:7 removable_charges:7")
+""", "list_price:4 forced_price:4 net_price:4 removable_charges:4")
 def m03(t):
     return m.order_prices(m.order_quantities(t.ord_base)).select(
         *KEY, "list_price", "forced_price", "net_price", "removable_charges")
@@ -97,14 +97,14 @@ def order_chain(t):
 
 @query("m06_euro_values", f"""
 WITH {ORD_SQL} SELECT {K}, ord_nsv_eur, ord_gsv_eur, ord_cp_eur, ord_tp_eur FROM eur
-""", "ord_nsv_eur:7 ord_gsv_eur:7 ord_cp_eur:7 ord_tp_eur:7")
+""", "ord_nsv_eur:4 ord_gsv_eur:4 ord_cp_eur:4 ord_tp_eur:4")
 def m06(t):
     return order_chain(t).select(*KEY, "ord_nsv_eur", "ord_gsv_eur", "ord_cp_eur", "ord_tp_eur")
 
 
 @query("m07_margins", f"""
 WITH {ORD_SQL} SELECT {K}, ord_gm_tp_eur, ord_gm_cp_eur, ord_gm_tp_lc, ord_gm_cp_lc FROM gm
-""", "ord_gm_tp_eur:7 ord_gm_cp_eur:7 ord_gm_tp_lc:7 ord_gm_cp_lc:7")
+""", "ord_gm_tp_eur:4 ord_gm_cp_eur:4 ord_gm_tp_lc:4 ord_gm_cp_lc:4")
 def m07(t):
     return order_chain(t).select(*KEY, "ord_gm_tp_eur", "ord_gm_cp_eur", "ord_gm_tp_lc", "ord_gm_cp_lc")
 
@@ -124,7 +124,7 @@ def m08(t):
 WITH {ORD_SQL} SELECT {K}, """ + ", ".join(
     f"CASE WHEN order_status = '{s}' THEN ord_{x} ELSE 0 END AS {p}_{x}"
     for p, s in m.STATUS_PREFIXES.items() for x in ("qty", "nsv_eur")) + " FROM gm",
-    " ".join(f"{p}_{x}:7" for p in m.STATUS_PREFIXES for x in ("qty", "nsv_eur")))
+    " ".join(f"{p}_{x}:4" for p in m.STATUS_PREFIXES for x in ("qty", "nsv_eur")))
 def m09(t):
     names = [f"{p}_{x}" for p in m.STATUS_PREFIXES for x in ("qty", "nsv_eur")]
     return order_chain(t).transform(m.status_copies).select(*KEY, *names)
@@ -132,7 +132,7 @@ def m09(t):
 
 @query("m10_potential_copies", f"""
 WITH {ORD_SQL} SELECT {K}, ord_qty AS pot_qty, ord_nsv_eur AS pot_nsv_eur, ord_gm_tp_lc AS pot_gm_tp_lc FROM gm
-""", "pot_qty pot_nsv_eur:7 pot_gm_tp_lc:7")
+""", "pot_qty pot_nsv_eur:4 pot_gm_tp_lc:4")
 def m10(t):
     return order_chain(t).transform(m.potential_copies, "ord").select(
         *KEY, "pot_qty", "pot_nsv_eur", "pot_gm_tp_lc")
@@ -153,7 +153,7 @@ def m11(t):
 @query("m12_delivery_values", f"""
 SELECT {K}, (del_nsv_lc_tot + {disc('del_ic_discount')}) / nullif(ord_qty_orig, 0) * del_qty AS del_nsv_lc,
   (del_gsv_lc_tot + {disc('del_ic_discount')}) / nullif(ord_qty_orig, 0) * del_qty AS del_gsv_lc FROM (SELECT *, {DEL_QTY} AS del_qty FROM del_base) b
-""", "del_nsv_lc:7 del_gsv_lc:7")
+""", "del_nsv_lc:4 del_gsv_lc:4")
 def m12(t):
     return m.delivery_values(m.delivery_quantities(t.del_base)).select(*KEY, "del_nsv_lc", "del_gsv_lc")
 
@@ -325,7 +325,7 @@ LEGACY_SQL = (
 
 
 def legacy_query(name, measures, transform):
-    digits = " ".join(f"{c}:5" for c in measures)
+    digits = " ".join(f"{c}:4" for c in measures)
 
     @query(name, f"SELECT {K}, {select(measures)} FROM legacy_base", digits)
     def run(t):
@@ -351,7 +351,7 @@ def legacy_chain(t):
 
 
 @query("m25_legacy_margins", f"WITH {LEGACY_SQL} SELECT {K}, {', '.join(MARGIN)} FROM b",
-       " ".join(f"{c}:5" for c in MARGIN))
+       " ".join(f"{c}:4" for c in MARGIN))
 def m25(t):
     return legacy_chain(t).select(*KEY, *MARGIN)
 
@@ -373,7 +373,7 @@ TOTALS = {
 
 
 @query("m27_legacy_totals", f"WITH {LEGACY_SQL} SELECT {K}, {select(TOTALS)} FROM b",
-       " ".join(f"{c}:5" for c in TOTALS))
+       " ".join(f"{c}:4" for c in TOTALS))
 def m27(t):
     return legacy_chain(t).transform(lg.totals_and_months, AS_OF).select(*KEY, *TOTALS)
 
@@ -393,14 +393,14 @@ COPIES = {f"{n}_{x}": f"CASE WHEN {cond} THEN ord_{x} ELSE 0 END"
 WITH {LEGACY_SQL} SELECT {K}, {select(COPIES)}, CASE WHEN order_blocking_code <= 18 THEN 'Not Blocked'
   WHEN order_blocking_code BETWEEN 50 AND 57 THEN 'Commercial Block' WHEN order_blocking_code BETWEEN 58 AND 67 THEN 'Credit Blocked'
   WHEN order_blocking_code > 67 THEN 'Price Missing' END AS blocking_type FROM b
-""", " ".join(f"{c}:5" for c in COPIES))
+""", " ".join(f"{c}:4" for c in COPIES))
 def m28(t):
     return legacy_chain(t).transform(lg.block_copies).select(*KEY, *COPIES, "blocking_type")
 
 
 @query("m29_legacy_local", f"""
 WITH {LEGACY_SQL} SELECT {K}, {', '.join(f'{n}_eur * {FX} AS {n}_lc' for n in lg.LOCAL)} FROM b
-""", " ".join(f"{n}_lc:5" for n in lg.LOCAL))
+""", " ".join(f"{n}_lc:4" for n in lg.LOCAL))
 def m29(t):
     return legacy_chain(t).transform(lg.local_values).select(*KEY, *[f"{n}_lc" for n in lg.LOCAL])
 
@@ -422,6 +422,6 @@ VARIANCE["inv_bdg_tp_lc"] = "CASE WHEN comm_cost_of_sales = 0 THEN 0 ELSE (coale
 
 @query("m30_price_variance", f"""
 WITH {LEGACY_SQL}, c AS (SELECT *, inv_nsv_eur * {FX} AS inv_nsv_lc FROM b) SELECT {K}, {select(VARIANCE)} FROM c
-""", " ".join(f"{c}:5" for c in VARIANCE))
+""", " ".join(f"{c}:4" for c in VARIANCE))
 def m30(t):
     return legacy_chain(t).transform(lg.local_values).transform(lg.price_variance).select(*KEY, *VARIANCE)

@@ -18,13 +18,25 @@ BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations"]
 
 
+# Doubles are rounded on both sides before they are compared. The two engines
+# break exact ties differently, so both first move values off a tie.
+NUDGE = 1.000000000001
+
+
+_FRAMES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class Tables:
-    """The given tables, and source tables derived from them by a view's SQL."""
+    """The given tables, and source tables derived from them by a view's SQL.
+
+    Frames are plans, not data; they are kept per session so that the files of a
+    table are listed once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder
-        self._frames: dict[str, DataFrame] = {}
+        self._frames = _FRAMES.setdefault((spark.sparkContext.applicationId, folder), {})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -96,7 +108,7 @@ def oracle_text(sql: str, rounds: dict[str, int]) -> str:
         head, sql = _split_with(sql)
         ctes.append(head)
     if rounds:
-        parts = ", ".join(f"round({c}, {d}) + 0.0e0 AS {c}" for c, d in rounds.items())
+        parts = ", ".join(f"round({c} * {NUDGE!r}, {d}) + 0.0e0 AS {c}" for c, d in rounds.items())
         sql = f"SELECT * REPLACE ({parts}) FROM (\n{sql}\n) AS answer"
     return ("WITH " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
 
@@ -126,15 +138,15 @@ class Registered:
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
         out = self.build(Tables(spark, folder))
         for column, digits in self.rounds.items():
-            out = out.withColumn(column, F.round(F.col(column).cast("double"), digits)
-                                 + F.lit(0.0))
+            value = F.col(column).cast("double") * NUDGE
+            out = out.withColumn(column, F.round(value, digits) + F.lit(0.0))
         return out
 
 
 REGISTRY: dict[str, Registered] = {}
 
 
-def query(name: str, sql: str | None = None, rounds: str = "", digits: int = 6):
+def query(name: str, sql: str | None = None, rounds: str = "", digits: int = 4):
     """Register a query; ``rounds`` lists double columns as ``a b:4``."""
     parsed = {}
     for item in rounds.split():
