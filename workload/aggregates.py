@@ -45,14 +45,11 @@ def a03(t):
 
 
 @query("a04_latest_by_counter", """
-SELECT knumv, kposn, stunr, kschl, zaehk, source, kwert FROM prcd_source p
-WHERE zaehk = (SELECT max(zaehk) FROM prcd_source x WHERE x.knumv = p.knumv AND x.kposn = p.kposn
-  AND x.stunr = p.stunr AND x.kschl = p.kschl)
-""", "kwert")
+SELECT vbeln, posnr, etenr, ezeit, bmeng FROM vbep e WHERE etenr = (SELECT max(etenr) FROM vbep x WHERE x.vbeln = e.vbeln AND x.posnr = e.posnr)
+""", "bmeng")
 def a04(t):
-    keys = ["knumv", "kposn", "stunr", "kschl"]
-    return t.prcd_source.transform(a.latest_by_counter, keys, "zaehk").select(
-        *keys, "zaehk", "source", "kwert")
+    return t.vbep.transform(a.latest_by_counter, ["vbeln", "posnr"], "etenr").select(
+        "vbeln", "posnr", "etenr", "ezeit", "bmeng")
 
 
 @query("a05_global_bounds", """
@@ -195,15 +192,19 @@ def a14(t):
 
 
 MONTH_CELLS = " UNION ALL ".join(
-    f"SELECT account, organization, product_code, years, currency, {i + 1} AS month, {m} AS budget FROM budget_export"
+    f"SELECT account, currency, years, {i + 1} AS month, {m} AS budget FROM budget_export"
     for i, m in enumerate(fixed.MONTHS))
 
 
-@query("a15_unpivot_months", MONTH_CELLS, "budget")
+@query("a15_unpivot_months", f"""
+SELECT account, currency, years, month, sum(budget) AS budget, count(budget) AS known, count(*) AS cells FROM ({MONTH_CELLS}) c GROUP BY ALL
+""", "budget:2")
 def a15(t):
-    return a.unpivot_months(
-        t.budget_export, ["account", "organization", "product_code", "years", "currency"],
-        "budget")
+    cells = a.unpivot_months(
+        t.budget_export, ["account", "organization", "product_code", "years", "currency"], "budget")
+    return cells.groupBy("account", "currency", "years", "month").agg(
+        F.sum("budget").alias("budget"), F.count("budget").alias("known"),
+        F.count(F.lit(1)).alias("cells"))
 
 
 @query("a16_month_offset_sums", """

@@ -95,19 +95,16 @@ def s05(t):
 
 
 @query("s06_read_file_glob", """
-SELECT CAST(o_orderkey AS STRING) AS o_orderkey, o_orderpriority FROM orders
-WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)
+SELECT CAST(event_id AS STRING) AS event_id, event_type FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
 """)
 def s06(t):
-    """Two kinds of files in a day folder; only one kind of the newest day is read."""
-    path = t.scratch("glob")
-    days = dated(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate"), "o_orderdate").drop("o_orderdate")
+    """Two kinds of files in each day folder; only one kind of the newest day is read."""
+    path = forecast_files(t, "glob")
     keys = ["year", "month", "day"]
-    days.hint("rebalance", *keys).write.partitionBy(*keys).csv(path, header=True, sep=";")
-    days.select(F.lit("x").alias("other"), *keys).distinct().write.mode("append").partitionBy(*keys).option(
+    notes = dated(t.events.select("ts"), "ts").select(F.lit("x").alias("other"), *keys).distinct()
+    notes.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).option(
         "extension", "txt").csv(path, header=True, sep=";")
-    return r.read_newest_partition(t.spark, path, ";", "part-*.csv").select(
-        "o_orderkey", "o_orderpriority")
+    return r.read_newest_partition(t.spark, path, ";", "part-*.csv").select("event_id", "event_type")
 
 
 @query("s07_read_list", "SELECT DISTINCT p_brand AS \"Key\" FROM part")

@@ -277,7 +277,8 @@ SELECT knumv, kposn, stunr, kschl, source, kwert + source AS kwert, kkurs,
   lpad(CAST(1 + (CAST(kposn AS INT) + source * source) % 3 AS STRING), 2, '0') AS zaehk,
   CAST('2024-01-01' AS DATE) + CAST((CAST(kposn AS INT) / 10 + copy * 5) AS INT) AS deltadate
 FROM {prcd}, (VALUES (1), (2), (3)) AS sources(source), (VALUES (0), (1)) AS copies(copy)
-WHERE source = 2 OR (source = 1 AND kkurs < 2) OR (source = 3 AND kbetr > 2)
+WHERE (source = 2 OR (source = 1 AND kkurs < 2) OR (source = 3 AND kbetr > 2))
+  AND (copy = 0 OR (source = 2 AND kschl IN ('ZNSV', 'ZTTV')))
 """
 
 # --- deliveries and invoices -------------------------------------------------
@@ -446,7 +447,7 @@ SELECT account, CAST(p_partkey % 5 AS STRING) || '_' || CAST(p_partkey % 25 AS S
   p_size + 11.0e0 AS Dec,
   CASE WHEN (p_partkey + year) % 4 = 0 THEN CAST(year AS STRING) || '0301' ELSE CAST(year AS STRING) || '0601' END AS ingestion_date,
   'f' || CAST(year AS STRING) AS input_file_name
-FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year), (VALUES ('2000_ASO_CALC', 'Local'), ('1095_LFG', 'EUR'), ('2090_LFG', 'Local'),
+FROM {part}, (VALUES (1997), (1998), (1999)) AS y(year), (VALUES ('2000_ASO_CALC', 'Local'), ('1095_LFG', 'EUR'), ('2090_LFG', 'Local'),
   ('A_NSV_MEDIO', 'EUR'), ('A_NSV_MEDIO', 'Local'), ('OTHER', 'EUR')) AS a(account, currency)
 WHERE NOT (account = '1095_LFG' AND p_size > 40)
 """
@@ -478,7 +479,7 @@ SELECT pl_destination AS account, currency, 'SKU_' || lpad(CAST(p_partkey AS STR
   p_size + 11.0e0 AS Dec,
   CAST(year AS STRING) || CASE WHEN p_partkey % 2 = 0 THEN '0315' ELSE '0615' END AS ingestion_date,
   'f' || CAST(year AS STRING) AS input_file_name
-FROM {part}, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) AS y(year), (VALUES ('2090_CALC', 'Local'), ('Dest_1095', 'EUR'), ('Dest_2000', 'Local'),
+FROM {part}, (VALUES (1997), (1998), (1999)) AS y(year), (VALUES ('2090_CALC', 'Local'), ('Dest_1095', 'EUR'), ('Dest_2000', 'Local'),
   ('NSV', 'Local')) AS a(pl_destination, currency)
 """
 
