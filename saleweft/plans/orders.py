@@ -78,14 +78,16 @@ def blocking(headers: DataFrame) -> DataFrame:
                           blocking_type().alias("blocking_type"))
 
 
-def valid_orders(headers: DataFrame, order_types: DataFrame) -> DataFrame:
-    """Orders whose type counts: listed in ``order_types``, or the extra type."""
+def _counting_headers(headers: DataFrame, types: DataFrame) -> DataFrame:
     extra = headers.sparkSession.createDataFrame([(fixed.EXTRA_ORDER_TYPE,)], "auart string")
-    counting = order_types.select("auart").unionByName(extra)
-    return (
-        exclude_values(headers, "auart", fixed.EXCLUDED_ORDER_TYPES)
-        .join(counting, ["auart"], "leftsemi").select(_order())
-    )
+    counting = types.select("auart").unionByName(extra)
+    return exclude_values(headers, "auart", fixed.EXCLUDED_ORDER_TYPES).join(
+        counting, ["auart"], "leftsemi")
+
+
+def valid_orders(headers: DataFrame, types: DataFrame) -> DataFrame:
+    """Orders whose type counts: listed in ``types``, or the extra type."""
+    return _counting_headers(headers, types).select(_order())
 
 
 def order_types(types: DataFrame) -> DataFrame:
@@ -120,11 +122,15 @@ class OrderTables:
 
 
 def open_lines(t: OrderTables) -> DataFrame:
-    """Open lines of valid orders that are not rejected, with their progress."""
+    """Open lines of valid orders that are not rejected, with progress and block.
+
+    One join to the headers both checks the order and brings its block.
+    """
     progress = delivery_progress(t.delivery_items, t.delivery_headers)
     kept = t.items.where(is_blank("abgru"))
+    counting = _counting_headers(t.headers, order_types(t.types))
     return open_quantity(kept, progress).drop("abgru").join(
-        valid_orders(t.headers, order_types(t.types)), ["order_number"], "leftsemi")
+        blocking(counting).select("order_number", "blocked"), ["order_number"], "inner")
 
 
 def order_status(t: OrderTables) -> DataFrame:
@@ -134,50 +140,45 @@ def order_status(t: OrderTables) -> DataFrame:
     * others: what is "In Picking", what is "Confirmed SAP" per schedule line,
       and the rest as "Not Deliverables".
 
-    Three of the four are read off the same row; only the confirmed rows, which
-    have their own grain, are a second branch.
+    All four are read off one frame: lines joined to their schedule lines. The
+    statuses of the line itself are given on its first schedule line only, so the
+    open lines are computed once and not once per status. Items, headers and
+    confirmed rows have one row per key, so the result needs no distinct.
     """
     by_schedule = confirmed_by_schedule(t.requirements)
-    lines = (
-        open_lines(t)
-        .join(confirmed_by_line(by_schedule), ["order_number", "order_line"], "left")
-        .join(blocking(t.headers).select("order_number", "blocked"), ["order_number"], "left")
-        .withColumn("blocked", F.coalesce("blocked", F.lit(False)))
-    )
+    line = ["order_number", "order_line"]
+    place = F.struct("schedule_line", "allocation_warehouse")
+    by_line = by_schedule.groupBy(*line).agg(
+        F.sum("qty_confirmed").alias("__line_confirmed"), F.min(place).alias("__first"))
+    rows = open_lines(t).join(by_line, line, "left").join(by_schedule, line, "left")
+    leads = F.col("__first").isNull() | (place == F.col("__first"))
     blocked, free = F.col("blocked"), ~F.col("blocked")
     rest = (F.col("ord_qty") - F.coalesce("picking_qty", F.lit(0.0))
-            - F.coalesce("qty_confirmed", F.lit(0.0)))
-
-    def status(label: str, amount: Column, slot: Column) -> Column:
-        return F.struct(F.lit(label).alias("order_status"), amount.alias("ord_qty_fabs"),
-                        slot.alias("booking_slot_delivery"))
-
-    slot, none = F.col("booking_slot_delivery"), F.lit(None).cast("date")
-    of_line = lines.select(
-        "order_number", "order_line", "ord_qty_orig",
-        F.inline(F.array_compact(F.array(
-            F.when(blocked, status("Blocked", F.col("ord_qty"), none)),
-            F.when(free, status("In Picking", F.col("picking_qty"), slot)),
-            F.when(free, status("Not Deliverables", rest, none)),
-        ))),
-    )
+            - F.coalesce("__line_confirmed", F.lit(0.0)))
+    no_day, no_code = F.lit(None).cast("date"), F.lit(None).cast("string")
+
+    def status(label: str, amount: Column, slot=no_day, schedule=no_code, warehouse=no_code):
+        return F.struct(
+            F.lit(label).alias("order_status"), amount.alias("ord_qty_fabs"),
+            slot.alias("booking_slot_delivery"), schedule.alias("schedule_line"),
+            warehouse.alias("allocation_warehouse"))
+
+    statuses = F.array_compact(F.array(
+        F.when(blocked & leads, status("Blocked", F.col("ord_qty"))),
+        F.when(free & leads, status("In Picking", F.col("picking_qty"),
+                                    F.col("booking_slot_delivery"))),
+        F.when(free & leads, status("Not Deliverables", rest)),
+        F.when(free, status("Confirmed SAP", F.col("qty_confirmed"), no_day,
+                            F.col("schedule_line"), F.col("allocation_warehouse"))),
+    ))
     dates = t.schedule.select(
-        _order(), _line(), F.col("etenr").alias("schedule_line"), F.col("edatu").alias("confirmed_date"),
-        F.col("ezeit").alias("confirmed_time"), F.col("tddat").alias("planned_dispatch_date"),
-    ).distinct()
-    confirmed = (
-        by_schedule.join(
-            lines.where(free).select("order_number", "order_line", "ord_qty_orig"),
-            ["order_number", "order_line"], "inner")
-        .join(dates, ["order_number", "order_line", "schedule_line"], "left")
-        .withColumnRenamed("qty_confirmed", "ord_qty_fabs")
-        .withColumn("order_status", F.lit("Confirmed SAP"))
-    )
+        _order(), _line(), F.col("etenr").alias("schedule_line"),
+        F.col("edatu").alias("confirmed_date"), F.col("ezeit").alias("confirmed_time"),
+        F.col("tddat").alias("planned_dispatch_date")).distinct()
     return (
-        of_line.unionByName(confirmed, allowMissingColumns=True)
-        .where("ord_qty_fabs > 0")
+        rows.select(*line, "ord_qty_orig", F.inline(statuses)).where("ord_qty_fabs > 0")
+        .join(dates, [*line, "schedule_line"], "left")
         .withColumn("pct_ord_qty", F.try_divide("ord_qty_fabs", "ord_qty_orig"))
-        .distinct()
     )
 
 

@@ -442,8 +442,8 @@ SELECT 'DELIVERY###' || despatching_note || '###' || posnr AS key_fact, order_nu
 def b15_fact(t):
     types = orders.order_types(t.tvak)
     heads = headers(t).join(types.select(F.col("auart").alias("order_type_code")), ["order_type_code"], "leftsemi")
-    base = deliveries.delivery_base(deliveries.open_deliveries(t.likp, t.lips, t.vbrp), t.likp,
-                                    heads, t.vbap, t.vbep, AS_OF)
+    open_items = deliveries.open_deliveries(t.likp, t.lips, t.vbrp)
+    base = deliveries.delivery_base(open_items, heads, t.vbap, t.vbep, AS_OF)
     return deliveries.delivery_fact(base, fact_tables(t, t.prcd), AS_OF).select(
         "key_fact", "order_number", "order_line", "company", "network", "currency_code",
         *DELIVERY_MEASURES)
@@ -493,7 +493,7 @@ def invoice_base(t):
         F.col("augru").alias("order_reason"), F.col("submi").alias("collective_number"),
         F.col("vbtyp").alias("category"))
     goods = t.vbap.select(F.col("vbeln").alias("order_number"), F.col("posnr").alias("order_line"), "pstyv")
-    return invoices.invoice_base(lines, heads, goods, t.vbpa, t.customer_offices)
+    return invoices.invoice_base(lines, heads, goods, t.vbpa, t.customer_offices, t.vbfa)
 
 
 @query("b16_invoice_base", f"""
@@ -536,7 +536,7 @@ SELECT DISTINCT concat_ws('###', 'INVOICE', document_code, posnr, ref_invoice) A
 """, " ".join(f"{x}:4" for x in INVOICE_MEASURES))
 def b16_fact(t):
     span = costs.span_of(t.vbrk, "fkdat")
-    fact = invoices.invoice_fact(invoice_base(t), t.vbfa, fact_tables(t, t.prcd_invoice), span)
+    fact = invoices.invoice_fact(invoice_base(t), fact_tables(t, t.prcd_invoice), span)
     return text_dates(fact, "ref_invoice_date").select(
         "key_fact", "ref_invoice_date", "company", "network", "currency_code", *INVOICE_MEASURES)
 
