@@ -10,7 +10,7 @@ from ..functions.nulls import as_column
 from ..functions.rates import inverse_rate
 from .columns import quoted
 
-_KEY, _HIT = "__lookup_key", "__lookup_hit"
+_KEY, _VALUE, _HIT = "__lookup_key", "__lookup_value", "__lookup_hit"
 
 
 def _kept_or_raise(keys: list[str], kept: Column, what: str) -> Column:
@@ -49,14 +49,14 @@ def checked_lookup(
     large one is shuffled by key and hot keys are split by adaptive execution.
     """
     key, value = mapping.columns
-    kept = F.struct(quoted(value).alias("v"))
     hits = mapping.groupBy(quoted(key).alias(_KEY)).agg(
-        _kept_or_raise([key], kept, name).alias(_HIT))
-    found = F.col(_HIT)["v"]
+        _kept_or_raise([key], quoted(value), name).alias(_VALUE),
+        F.count(F.lit(1)).alias(_HIT))
+    found = F.col(_VALUE)
     if default is not None:
         found = F.when(F.col(_HIT).isNull(), default).otherwise(found)
     return df.join(hits, as_column(source) == F.col(_KEY), "left").withColumn(
-        dest, found).drop(_KEY, _HIT)
+        dest, found).drop(_KEY, _VALUE, _HIT)
 
 
 def constant_lookup(mapping: DataFrame, key_value: Column, default: Column | None = None) -> Column:

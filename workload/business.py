@@ -12,6 +12,7 @@ from saleweft.operators.sets import tagged_union, union_all
 from saleweft.plans import analysis, blocks, calendar, costs, deliveries, dimensions, forecast
 from saleweft.plans import invoices, legacy, market, master, orders, portfolio, prices
 from saleweft.plans import reassembly, segments
+from saleweft.session import settle
 from saleweft.sources import readers, writers
 
 from . import measures as ms
@@ -493,7 +494,8 @@ def invoice_base(t):
         F.col("augru").alias("order_reason"), F.col("submi").alias("collective_number"),
         F.col("vbtyp").alias("category"))
     goods = t.vbap.select(F.col("vbeln").alias("order_number"), F.col("posnr").alias("order_line"), "pstyv")
-    return invoices.invoice_base(lines, heads, goods, t.vbpa, t.customer_offices, t.vbfa)
+    rows = settle(invoices.invoice_rows(lines, heads, goods), "invoice-rows")
+    return invoices.invoice_base(rows, t.vbpa, t.customer_offices, t.vbfa)
 
 
 @query("b16_invoice_base", f"""
