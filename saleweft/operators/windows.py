@@ -63,13 +63,17 @@ def fill_forward(
 def fill_both_ways(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Fill forward; what is still null takes the first known value after it."""
+    """Fill forward; what is still null takes the first known value after it.
+
+    Only a leading gap is still null then, so that value is the first known one
+    of the whole key: one sort and two linear passes.
+    """
     base = Window.partitionBy(*keys).orderBy(order)
     before = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = base.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(before),
-                      F.first(c, ignorenulls=True).over(after))
+                      F.first(c, ignorenulls=True).over(whole))
         for c in columns
     })
 
