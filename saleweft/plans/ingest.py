@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import incremental as inc
 from ..operators import quality as q
 from ..operators.columns import stamp_lineage
+from ..operators.ordering import distinct_sorted
 from ..operators.windows import dedup_ordered
 from ..session import settle
 from ..sources.readers import read_parquet
@@ -40,11 +41,16 @@ class Run:
 
 @dataclass(frozen=True)
 class Loaded:
-    """Results of a run; only the audit row when there was nothing to load."""
+    """Results of a run; only the audit row when there was nothing to load.
+
+    ``files`` lists every file read. It can be long, so it is a frame of its own
+    and the audit row names the folders only.
+    """
 
     audit: DataFrame
     table: DataFrame | None = None
     errors: DataFrame | None = None
+    files: DataFrame | None = None
 
 
 def new_folders(
@@ -85,7 +91,7 @@ def check(batch: DataFrame, run: Run) -> tuple[DataFrame, DataFrame | None, list
 
 
 def merge(batch: DataFrame, stored: DataFrame | None, run: Run) -> DataFrame:
-    """The table after the run."""
+    """The table after the run. The stored table has one row per key, as every run leaves it."""
     if run.mode == "Delta" and stored is not None:
         return inc.upsert(batch, stored, run.keys, run.order, stored_is_unique=True)
     return dedup_ordered(batch, run.keys, inc.newest_first([*run.order, inc.INGESTED]))
@@ -118,14 +124,10 @@ def ingest(
     fixed, errors, steps = check(batch, run)
     errors = None if errors is None else settle(errors, "errors")
     table = settle(merge(fixed, stored, run), "table")
-    loaded = batch.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_join(F.array_sort(F.collect_set("input_file_name")), " ; ").alias("paths"),
-    ).first()
     audit = audit_row(
-        spark, run, last_insertion_timestamp=mark, count_loaded_rows=loaded["n"],
+        spark, run, last_insertion_timestamp=mark, count_loaded_rows=batch.count(),
         errors_count=0 if errors is None else errors.count(),
         count_before_update=stored.count() if stored is not None and run.mode == "Delta" else None,
         count_after_update=table.count(), cleaning_steps=" ; ".join(steps),
-        loaded_paths=loaded["paths"])
-    return Loaded(audit, table, errors)
+        loaded_paths=" ; ".join(folders))
+    return Loaded(audit, table, errors, distinct_sorted(batch, "input_file_name"))

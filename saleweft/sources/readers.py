@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.columns import drop_unnamed_columns
+from ..operators.incremental import files_of
 from ..operators.ordering import newest_row
 
 PARTS = ("year", "month", "day")
@@ -113,11 +114,14 @@ def read_newest_partition(
 ) -> DataFrame:
     """The files of the newest day only.
 
-    The newest day is one row. Filtering on the partition columns lets Spark
-    skip the folders of all other days.
+    The newest day is taken from the paths of the files, none of which is opened
+    for it. Filtering on the partition columns then skips all other folders.
     """
+    files = files_of(spark, path, pattern or "*.csv")
+    parts = files.select(*[
+        F.regexp_extract("path", f"/{p}=([0-9]+)/", 1).cast("int").alias(p) for p in PARTS])
+    newest = newest_row(parts, PARTS).first()
     source = read_csv(spark, path, separator=separator, pattern=pattern)
-    newest = newest_row(source.select(*PARTS).distinct(), PARTS).first()
     if newest is None:
         return source
     for part in PARTS:

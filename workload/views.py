@@ -439,7 +439,7 @@ FROM {nation}
 
 VIEWS["budget_export"] = """
 SELECT account, CAST(p_partkey % 5 AS STRING) || '_' || CAST(p_partkey % 25 AS STRING) AS organization,
-  'Export_QTY_NSV_CAS' AS client, currency, lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code,
+  'Export_QTY' AS client, currency, lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code,
   'FY' || substring(CAST(year AS STRING), 3, 2) AS years,
   CAST(p_size AS DOUBLE) AS Jan, p_size + 1.0e0 AS Feb, p_size + 2.0e0 AS Mar, p_size + 3.0e0 AS Apr,
   p_size + 4.0e0 AS May, p_size + 5.0e0 AS Jun, p_size + 6.0e0 AS Jul, p_size + 7.0e0 AS Aug,
