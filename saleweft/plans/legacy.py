@@ -355,9 +355,18 @@ FACTS: Mapping[str, tuple[int, list[str]]] = {
 }
 
 
-def legacy_fact(facts: DataFrame, name: str, schema: str | None = None) -> DataFrame:
-    """One of the facts with its key; with a schema, in the shape of the ERP fact."""
+def legacy_fact(
+    facts: DataFrame, name: str, schema: str | None = None,
+    sides: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """One of the facts with its key and the dimension sides of its customers.
+
+    ``sides`` maps a key column, such as ``inv_id``, to a dimension with one row
+    per key. With a schema the result has the shape of the ERP fact.
+    """
     data_type, parts = FACTS[name]
     rows = facts.where(F.col("data_type") == data_type).withColumn(
         "key_fact", make_key("###", F.lit(name), *parts))
+    for key, side in (sides or {}).items():
+        rows = rows.join(side, [key], "left")
     return rows if schema is None else conform_to(rows, schema)

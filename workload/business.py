@@ -543,6 +543,23 @@ def b16_fact(t):
         "key_fact", "ref_invoice_date", "company", "network", "currency_code", *INVOICE_MEASURES)
 
 
+@query("b16_delivery_context", f"""
+WITH {INVOICE_LINES}, picks AS (SELECT vbelv AS despatching_note, string_agg(DISTINCT vbeln, ',' ORDER BY vbeln) AS picking_number FROM vbfa WHERE vbtyp_n = 'Q' GROUP BY 1),
+kinds AS (SELECT i.vbeln AS despatching_note, k.vsart || ' - ' || coalesce(s.text, 'Not Defined') AS kind FROM vttp i LEFT JOIN vttk k USING (tknum) LEFT JOIN shipping_texts s USING (vsart)),
+ships AS (SELECT despatching_note, coalesce(string_agg(DISTINCT kind, ' ; ' ORDER BY kind), '') AS shipping_type FROM kinds GROUP BY 1)
+SELECT document_code, l.posnr, CAST(h.wadat_ist AS STRING) AS despatching_date, h.route AS routing, CAST(h.zzdate_slot AS STRING) AS booking_slot, shipping_type, picking_number
+FROM inv_lines l LEFT JOIN (SELECT * FROM likp WHERE wadat_ist IS NOT NULL) h ON l.despatching_note = h.vbeln LEFT JOIN ships USING (despatching_note) LEFT JOIN picks USING (despatching_note)
+""")
+def b16_delivery(t):
+    """Invoice lines with what is known of their delivery."""
+    lines = invoices.invoice_lines(t.vbrk, t.vbrp, t.payment_texts)
+    shipping = deliveries.shipment_types(t.vttp, t.vttk, t.shipping_texts)
+    rows = deliveries.with_delivery(lines, t.likp, shipping, deliveries.picking_numbers(t.vbfa))
+    return text_dates(rows, "despatching_date", "booking_slot").select(
+        "document_code", "posnr", "despatching_date", "routing", "booking_slot", "shipping_type",
+        "picking_number")
+
+
 # --- the legacy system --------------------------------------------------------------------
 
 LEGACY_ROWS = f"""{CALENDAR_SQL},
@@ -577,6 +594,21 @@ def b17(t):
         *ms.KEY, *LEGACY_KEYS, "time_id", "mrdd", *LEGACY_MEASURES, "pot_nsv_eur")
 
 
+@query("b17_legacy_order_fact", """
+SELECT 'ORDER###' || order_number || '###' || order_line AS key_fact, c.code AS customer_code, d.c_name AS dest_name, quantity AS ord_qty_fabs, CAST(NULL AS STRING) AS distr_channel,
+  CAST(doc_type_code AS BIGINT) AS doc_type_code FROM legacy_sales s LEFT JOIN customer_codes c ON inv_customer = c.customer
+LEFT JOIN (SELECT 'C' || CAST(c_custkey AS STRING) AS k, c_name FROM customer) d ON s.customer = d.k WHERE data_type = 2
+""", "ord_qty_fabs")
+def b17_orders(t):
+    """Legacy orders with both customer sides, in the shape of a given schema."""
+    named = t.legacy_sales.withColumnsRenamed({"inv_customer": "inv_id", "customer": "dest_id", "quantity": "ord_qty_fabs"})
+    sides = {"inv_id": t.customer_codes.select(F.col("customer").alias("inv_id"), F.col("code").alias("customer_code")),
+             "dest_id": t.customer.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("dest_id"),
+                                          F.col("c_name").alias("dest_name"))}
+    return legacy.legacy_fact(
+        named, "ORDER", "key_fact string, customer_code string, dest_name string, ord_qty_fabs double, distr_channel string, doc_type_code bigint", sides)
+
+
 # --- dimensions, segments, analysis -----------------------------------------------------
 
 
