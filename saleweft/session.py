@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_root: str | None = None
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the adaptive and skew settings on a running session."""
@@ -30,18 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    A cluster must name one that all executors reach. Only a local session, as
-    in tests, falls back to a temporary folder.
+    Where that is unset, a folder in the warehouse, which all executors of a
+    cluster share as well. Never a temporary folder of one machine.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="saleweft-")
-    return _local_root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -24,7 +24,7 @@ def test_equals_oracle(spark, db, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(load_all()) <= set(entry.oracle_sql())
 
 
 def test_entry_returns_rows(spark):
