@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .neardup import near_duplicate_groups
 from .substring import cut_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +58,10 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Words covered by a 13-word window that an earlier document has are removed."""
     cut = cut_repeats(table(spark, folder, "documents"), window=13)
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose 4-word fingerprints differ in 4 bits or fewer, over links."""
+    groups = near_duplicate_groups(table(spark, folder, "documents"), shingle=4, radius=4)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
