@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from saleweft.session import settle
 
-__all__ = ["settle", "bucket_count", "distributed_rank", "held_out", "sorted_bytes", "sorted_values",
-           "plane_bytes", "plane_values", "list_rows"]
+from .words import raw_texts, text_chunks
+
+__all__ = ["add_score", "bucket_count", "distributed_rank", "held_out", "labelled_sample", "list_rows",
+           "plane_bytes", "plane_values", "settle", "sorted_bytes", "sorted_values"]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,3 +82,34 @@ def sorted_values(data: bytes, kind: type) -> np.ndarray:
 def list_rows(struct: pa.StructArray) -> pa.ListArray:
     """All rows of a struct column as one list value."""
     return pa.ListArray.from_arrays(pa.array([0, len(struct)], pa.int32()), struct)
+
+
+def add_score(docs: DataFrame, text_col: str, out: str, scorer: Callable[[list[bytes | None]], np.ndarray]) -> DataFrame:
+    """``docs`` and a double column that ``scorer`` computes from chunks of whole texts."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = raw_texts(batch.column(batch.schema.get_field_index(text_col)))
+            scores = [scorer(texts[part]) for part in text_chunks(texts)]
+            column = pa.array(np.concatenate(scores) if scores else [], pa.float64())
+            yield pa.record_batch([*batch.columns, column], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> tuple[list[bytes], np.ndarray]:
+    """At most ``most`` labelled texts for fitting, drawn by a hash of the id.
+
+    Rows kept out of training, null labels, null ids and null texts are left out; an id
+    with several labels counts as 1 if one of them is. The drawn ids are few, so they
+    are broadcast and the documents are not shuffled.
+    """
+    drawn = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+             .groupBy(id_col).agg(F.max(label).cast("int").alias("__label"))
+             .orderBy(F.xxhash64(F.lit(11), id_col), id_col).limit(most))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where("__text is not null")
+    rows = (texts.join(F.broadcast(drawn), F.col("__id") == F.col(id_col))
+            .select("__id", "__text", "__label").toArrow().sort_by("__id"))
+    return raw_texts(rows.column("__text").combine_chunks()), rows.column("__label").to_numpy()

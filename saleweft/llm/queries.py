@@ -10,8 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import held_out
 from .neardup import near_duplicate_groups
 from .substring import cut_repeats
+from .toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +67,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 4-word fingerprints differ in 4 bits or fewer, over links."""
     groups = near_duplicate_groups(table(spark, folder, "documents"), shingle=4, radius=4)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity by compression distance."""
+    docs = table(spark, folder, "documents")
+    model = fit_toxicity(docs, table(spark, folder, "labels"))
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
