@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import held_out
 from .neardup import near_duplicate_groups
+from .packing import pack_documents
+from .quality import fit_quality, score_quality
 from .substring import cut_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -77,3 +79,26 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_toxicity(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality by pairwise ranking."""
+    docs = table(spark, folder, "documents")
+    model = fit_quality(docs, table(spark, folder, "labels"))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' token pieces in sequences of at most 4096."""
+    docs = table(spark, folder, "documents")
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=4096)
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
