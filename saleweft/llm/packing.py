@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import distributed_rank, settle
 
@@ -222,6 +222,8 @@ def pack(pieces: DataFrame, capacity: int = 4096, unit: int = 16) -> DataFrame:
             taken[size] += each * times
         sequences += times
 
+    columns = pieces.columns
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -229,20 +231,20 @@ def pack(pieces: DataFrame, capacity: int = 4096, unit: int = 16) -> DataFrame:
                 k = bisect_right(first_rank[size], rank) - 1
                 base, each = meaning[size][k]
                 out.append(base + (rank - first_rank[size][k]) // each)
-            names = pieces.columns + ["sequence_id"]
-            yield pa.record_batch([*[batch.column(c) for c in pieces.columns], pa.array(out, pa.int64())], names=names)
+            yield pa.record_batch([*[batch.column(c) for c in columns], pa.array(out, pa.int64())],
+                                  names=[*columns, "sequence_id"])
 
     rows = sum(histogram.values())
     order = F.struct(F.xxhash64(F.lit(4), "doc_id", "start").alias("u"), "doc_id", "start", "ids_crc32")
     ranked = distributed_rank(classed, ["__class"], order, "__rank", rows)
-    placed = ranked.mapInArrow(place, pieces.schema.add("sequence_id", "long"))
+    placed = ranked.mapInArrow(place, T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType())]))
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start").rowsBetween(
         Window.unboundedPreceding, -1)
     packed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     n_full = full.count()
     order = F.struct(F.xxhash64(F.lit(4), "doc_id", "start").alias("u"), "doc_id", "start", "ids_crc32")
     whole = distributed_rank(full.withColumn("__all", F.lit(0)), ["__all"], order, "__rank", n_full)
-    whole = whole.select(*pieces.columns, (F.col("__rank") + sequences).alias("sequence_id"),
+    whole = whole.select(*columns, (F.col("__rank") + sequences).alias("sequence_id"),
                          F.lit(0).cast("long").alias("offset"))
     return packed.union(whole)
 
