@@ -14,7 +14,7 @@ from saleweft.session import settle
 from .words import raw_texts, text_chunks
 
 __all__ = ["add_score", "bucket_count", "distributed_rank", "held_out", "labelled_sample", "list_rows",
-           "plane_bytes", "plane_values", "settle", "sorted_bytes", "sorted_values"]
+           "plane_bytes", "plane_values", "settle", "spread_key", "sorted_bytes", "sorted_values"]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -22,6 +22,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def spread_key(seed: int, *columns: str) -> Column:
+    """An evenly spread value from 0 to 2**63."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
+
+
 def bucket_count(rows: int, each: int) -> int:
     """Buckets of about ``each`` rows."""
     return max(1, -(-rows // each))
@@ -34,12 +39,12 @@ def distributed_rank(df: DataFrame, group: list[str], order: Column, out: str, r
     The key's value range is cut into as many slices as the rows need, so a hot
     group is spread over all tasks: a row's rank is its place in its slice plus
     the rows of earlier slices, which come from a small count table. ``order`` is
-    a struct whose first field ``u`` is the spread key; later fields break ties.
-    Adds ``out`` and ``out`` + ``_of``, the group's row count.
+    a struct whose first field ``u`` is the spread key, from 0 to 2**63; later fields break
+    ties. Adds ``out`` and ``out`` + ``_of``, the group's row count.
     """
     slices = bucket_count(rows, each)
     bound = 2 ** 32
-    top = F.shiftrightunsigned(F.col("__order.u"), 32)
+    top = F.shiftright(F.col("__order.u"), 31)
     df = df.withColumn("__order", order).withColumn(
         "__slice", F.floor(top * F.lit(slices) / F.lit(bound)).cast("int"))
     keys = [*group, "__slice"]

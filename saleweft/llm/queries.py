@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import held_out
+from .common import held_out, settle
+from .fingerprints import likeness, near_fingerprints, simhash64, with_next
 from .neardup import near_duplicate_groups
 from .packing import pack_documents
 from .quality import fit_quality, score_quality
+from .sharding import interleave
 from .substring import cut_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -68,7 +70,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 4-word fingerprints differ in 4 bits or fewer, over links."""
     groups = near_duplicate_groups(table(spark, folder, "documents"), shingle=4, radius=4)
-    return groups.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+    return groups.select("doc_id", _hex("f0").alias("fingerprint"), "component_id")
 
 
 @query("op1_toxicity")
@@ -102,3 +104,43 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+@query("op2_sharding")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards of nearly equal row counts and the same mixture."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    return interleave(docs, 8, carry=["size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_fingerprints")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and their edits; matches of every hundredth document."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn(
+        "tie", F.xxhash64("text")).withColumn("mark", simhash64(F.col("text")))
+    third = F.floor(F.col("n_chars") / 3).cast("int")
+    kept = F.left("text", (F.col("n_chars") - third).cast("int"))
+    edited = with_next(docs, ["doc_id", "tie"], ["text", "mark"]).withColumn(
+        "edited", F.concat(kept, F.left("next.text", third)))
+    marked = settle(edited.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "mark",
+        simhash64(F.col("edited")).alias("edited_mark"), F.col("next.mark").alias("next_mark")), "fingerprints")
+    counts = marked.groupBy(F.col("mark").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"))
+    asked = marked.where("doc_id % 100 = 0").select(F.col("mark").alias("fingerprint"))
+    found = near_fingerprints(asked, counts, radius=3).join(counts, F.col("found") == F.col("fingerprint"))
+    near = settle(found.groupBy(F.col("query").alias("asked")).agg(F.sum("n").alias("n_near")), "near-counts")
+    hit = (F.col("doc_id") % 100 == 0) & (F.col("mark") == F.col("asked"))
+    return marked.join(near, hit, "left").select(
+        "doc_id", "n_chars", "edited_sha256", _hex("mark").alias("fingerprint"),
+        _hex("edited_mark").alias("edited_fingerprint"),
+        likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
+        likeness(F.col("mark"), F.col("next_mark")).alias("near_next"), "n_near")
+
+
+def _hex(name: str) -> Column:
+    return F.lpad(F.lower(F.hex(name)), 16, "0")
