@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import held_out, settle
 from .fingerprints import likeness, near_fingerprints, simhash64, with_next
+from .licenses import scan_licences
 from .neardup import near_duplicate_groups
 from .packing import pack_documents
 from .quality import fit_quality, score_quality
@@ -144,3 +145,19 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 
 def _hex(name: str) -> Column:
     return F.lpad(F.lower(F.hex(name)), 16, "0")
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    def labels(*columns: str) -> Column:
+        named = F.concat(*[F.transform(c, lambda m: m["label"]) for c in columns])
+        return F.array_join(F.sort_array(F.array_distinct(named)), ",")
+
+    places = F.transform("phrases", lambda m: m["first"])
+    found = scan_licences(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        labels("phrases").alias("base_labels"), labels("phrases", "notices").alias("labels"),
+        F.coalesce(F.array_max(F.transform(F.concat("phrases", "notices"), lambda m: m["share"])), F.lit(0.0)).alias("score"))
