@@ -61,17 +61,14 @@ def distributed_rank(df: DataFrame, group: list[str], order: Column, out: str, r
         "__order", "__slice", "__here", "__before", *[f"__k{i}" for i in range(len(keys))])
 
 
-_COMPRESS, _EXPAND = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-
-
 def plane_bytes(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes: all lowest bytes, then the next, and so on."""
     width = values.dtype.itemsize
-    return _COMPRESS.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes())
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
 
 
 def plane_values(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(_EXPAND.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 

@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from saleweft.session import scratch_path
+
 from .common import held_out, settle
+from .decontam import find_leaks
 from .fingerprints import likeness, near_fingerprints, simhash64, with_next
 from .licenses import scan_licences
 from .neardup import near_duplicate_groups
@@ -19,6 +22,7 @@ from .quality import fit_quality, score_quality
 from .sharding import interleave
 from .substring import cut_repeats
 from .toxicity import fit_toxicity, score_toxicity
+from .warc import page_id_of, read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,3 +165,49 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
         labels("phrases").alias("base_labels"), labels("phrases", "notices").alias("labels"),
         F.coalesce(F.array_max(F.transform(F.concat("phrases", "notices"), lambda m: m["share"])), F.lit(0.0)).alias("score"))
+
+
+@query("op8_warc", """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS kept FROM sized)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND kept <> page_id THEN kept END AS refers_to
+FROM marked
+""")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written to archives and read back."""
+    path = scratch_path(spark, "archive")
+    write_archive(table(spark, folder, "pages"), path, date="2024-01-01T00:00:00Z")
+    read = settle(read_archive(spark, path).select(
+        page_id_of(F.col("record_id")).alias("page_id"), "record_type",
+        page_id_of(F.col("refers_to")).alias("refers_to"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "declared_digest", "problem"), "captures")
+    # a revisit's payload is that of the capture it refers to, checked against its own digest
+    origin = read.where("record_type = 'response'").select(
+        F.col("page_id").alias("origin_id"), F.col("payload_bytes").alias("origin_bytes"),
+        F.col("payload_digest").alias("origin_digest")).distinct()
+    same = (F.col("refers_to") == F.col("origin_id")) & (F.col("declared_digest") == F.col("origin_digest"))
+    joined = read.join(origin, same, "left")
+    revisit = F.col("record_type") == "revisit"
+    return joined.select(
+        "page_id", F.when(revisit, F.col("origin_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("origin_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that cover most of a benchmark item, with each item they cover."""
+    pairs = find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return pairs.select("doc_id", "item_id", "coverage", F.size("tiles").cast("long").alias("n_tiles"),
+                        F.array_max(F.transform("tiles", lambda t: t["words"])).cast("long").alias("longest_tile"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    from corpus_pipeline import run
+
+    return run(spark, folder)

@@ -39,12 +39,13 @@ _EARLIER = "batch long, bucket int, earlier binary, ids binary"
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = 13) -> DataFrame:
+                window: int = 13, keep_spacing: bool = False) -> DataFrame:
     """Remove words covered by a window that a document with a smaller id also has.
 
     Returns one row per input row: ``row`` (struct of all other columns), ``n_words``,
     ``n_removed``, ``removed`` (word runs first..last) and ``kept`` (kept words joined
-    by one space). Windows are judged on the input. Null and empty texts have no
+    by one space; with ``keep_spacing`` the text as it was without the removed words and the
+    white space after them). Windows are judged on the input. Null and empty texts have no
     words. Rows with equal ids do not repeat each other; a null id counts as larger
     than any id, so its row can lose words but takes none from others. Extra columns
     stay in ``row`` whatever their names. An empty table gives an empty table.
@@ -81,7 +82,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for body in _bodies(batches):
-            yield _cut(body, anchor, window, bits)
+            yield _cut(body, anchor, window, bits, keep_spacing)
 
     return marked.join(earlier, "batch", "left").select(
         "batch", "sizes", "body", "ids", "shared", "earlier", "rows").mapInArrow(cut, out)
@@ -256,8 +257,8 @@ def _find_earlier(table: pa.Table) -> pa.Table:
                                          [pa.int64(), pa.int32(), pa.binary(), pa.binary()])])
 
 
-def _cut(body: _Body, anchor: int, window: int, bits: int) -> pa.RecordBatch:
-    words, data = body.words, body.words.data
+def _cut(body: _Body, anchor: int, window: int, bits: int, keep_spacing: bool) -> pa.RecordBatch:
+    words = body.words
     starts, whole, _, which = body.candidates(anchor, window, bits)
     first, edges = body.own_first(starts, which, len(whole)), _edges(whole, bits)
     for reply in body.row["earlier"] or []:
@@ -273,18 +274,7 @@ def _cut(body: _Body, anchor: int, window: int, bits: int) -> pa.RecordBatch:
     n_docs = len(words.count)
     removed = np.bincount(words.text[gone], minlength=n_docs)
 
-    step = np.zeros(len(data) + 1, np.int8)
-    step[words.start[~gone]] += 1
-    step[words.end[~gone] + 1] -= 1
-    chosen = np.cumsum(step[:-1], dtype=np.int8) > 0
-    text = data[chosen]
-    keep_end = np.cumsum(words.end[~gone] - words.start[~gone] + 1) - 1
-    text = text.copy()
-    text[keep_end] = 0x20
-    sizes = np.bincount(words.text[~gone], words.end[~gone] - words.start[~gone] + 1, n_docs).astype(np.int64)
-    stop = np.cumsum(sizes)
-    body_bytes = text.tobytes()
-    kept = [body_bytes[a:b - 1] if b > a else b"" for a, b in zip((stop - sizes).tolist(), stop.tolist())]
+    kept = _spaced(body, gone) if keep_spacing else _single_spaced(words, gone)
 
     edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
     run_first, run_stop = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
@@ -302,6 +292,39 @@ def _cut(body: _Body, anchor: int, window: int, bits: int) -> pa.RecordBatch:
         names=["row", "n_words", "n_removed", "removed", "kept"])
 
 
+def _single_spaced(words: Words, gone: np.ndarray) -> list[bytes]:
+    """Each text's remaining words joined by one space."""
+    start, end, n = words.start[~gone], words.end[~gone], len(words.count)
+    step = np.zeros(len(words.data) + 1, np.int8)
+    step[start] += 1
+    step[end + 1] -= 1
+    text = words.data[np.cumsum(step[:-1], dtype=np.int8) > 0]
+    text[np.cumsum(end - start + 1) - 1] = 0x20
+    sizes = np.bincount(words.text[~gone], end - start + 1, n).astype(np.int64)
+    return _split(text, sizes)
+
+
+def _spaced(body: _Body, gone: np.ndarray) -> list[bytes]:
+    """Each text without the removed words and the white space after them."""
+    words = body.words
+    sizes = np.asarray(body.row["sizes"], np.int64) + 1
+    stop = np.cumsum(sizes)
+    after = np.append(words.start[1:], len(words.data))
+    after = np.minimum(after, stop[words.text] - 1) if len(words.text) else after[:0]
+    step = np.zeros(len(words.data) + 1, np.int8)
+    np.add.at(step, words.start[gone], 1)
+    np.add.at(step, after[gone], -1)
+    out = np.cumsum(step[:-1], dtype=np.int8) > 0
+    removed = np.bincount(words.text[gone], (after - words.start)[gone], len(sizes)).astype(np.int64)
+    return _split(words.data[~out], sizes - removed)
+
+
+def _split(data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Texts of the given sizes, each without its last byte, the separator."""
+    raw, stop = data.tobytes(), np.cumsum(sizes)
+    return [raw[a:b - 1] if b > a else b"" for a, b in zip((stop - sizes).tolist(), stop.tolist())]
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[]] * len(names)
     return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
