@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import distributed_rank, settle, spread_key
+from .words import find_words, joined, raw_texts, text_chunks, word_hashes
 
 END_ID = 2
-_MEMO_WORDS = 800_000
+_MEMO_WORDS = 600_000
+CHUNK_BYTES = 8 << 20
 
 _TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -48,7 +50,7 @@ class WordIds(dict):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pieces = regex.compile(self.PIECES)
@@ -69,17 +71,22 @@ class WordIds(dict):
     def encode_one(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, parts: list[str]) -> None:
-        if len(self) + len(self.piece_ids) > _MEMO_WORDS:
+    def learn(self, parts: list[str], every: list[str]) -> None:
+        if len(self) > _MEMO_WORDS:
             self.clear()
             self.piece_ids.clear()
-            self[""] = b""
+            parts = every
         cut = {}
         for part in parts:
-            if part and max(part) > self.LAST_PLAIN:
+            low = part.lower()
+            if not low.isascii() and max(part) > self.LAST_PLAIN:
                 self[part] = self.encode_one(part)
+            elif low.isalpha():
+                cut[part] = [low]
+            elif low[:-1].isalpha() and not low[-1].isalnum() and not low[-1].isspace():
+                cut[part] = [low[:-1], low[-1]]
             else:
-                cut[part] = self.pieces.findall(part.lower())
+                cut[part] = self.pieces.findall(low)
         new = sorted(p for p in set().union(*cut.values()) if p not in self.piece_ids)
         if new:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
@@ -92,13 +99,26 @@ class WordIds(dict):
         for part, pieces in cut.items():
             self[part] = b"".join([self.piece_ids[p] for p in pieces])
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 100):
-            parts = [(t or "").replace("\n", " ").split(" ") for t in texts[at:at + 100]]
-            seen = set().union(*parts)
-            while new := [p for p in seen if p not in self]:  # again if the memory was emptied
-                self.learn(new)
-            yield from (b"".join(map(self.__getitem__, p)) for p in parts)
+    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        """Ids of each text. Per chunk, each distinct word is looked up once."""
+        for part in text_chunks(texts, CHUNK_BYTES):
+            data, at = joined(texts[part])
+            words = find_words(data, at)
+            _, first, which = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+            raw = data.tobytes()
+            distinct = [raw[i:j].decode() for i, j in zip(words.start[first].tolist(), words.end[first].tolist())]
+            found = list(map(self.get, distinct))
+            if None in found:
+                self.learn([w for w, f in zip(distinct, found) if f is None], distinct)
+                found = list(map(self.get, distinct))
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            ids = np.frombuffer(b"".join(found), "<u4")
+            place, count = (np.cumsum(size) - size)[which], size[which]
+            stop = np.cumsum(count)
+            ids = ids[np.repeat(place - stop + count, count) + np.arange(int(count.sum()))].tobytes()
+            total = np.bincount(words.text, count, len(words.count)).astype(np.int64) * 4
+            end = np.cumsum(total)
+            yield from (ids[i:j] for i, j in zip((end - total).tolist(), end.tolist()))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, id_col: str = "doc_id",
@@ -115,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, id_col:
         known = WordIds.of(tokenizer)
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), known.encode(raw_texts(batch.column(1)))):
                 ids += end
                 total = len(ids) // 4
                 rows += [(doc_id, at // 4, min(step, len(ids) - at) // 4, zlib.crc32(ids[at:at + step]), total)
@@ -269,7 +289,7 @@ def sequence_tokens(docs: DataFrame, packed: DataFrame, tokenizer: str, id_col:
         known = WordIds.of(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            texts = known.encode(batch.column("text").to_pylist())
+            texts = known.encode(raw_texts(batch.column("text")))
             ids = [np.frombuffer(t + end, "<u4")[s:s + n].astype(np.int32)
                    for t, s, n in zip(texts, *(batch.column(c).to_pylist() for c in ("start", "length")))]
             yield pa.record_batch([batch.column("sequence_id"), batch.column("offset"),
