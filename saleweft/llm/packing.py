@@ -26,8 +26,8 @@ from .common import distributed_rank, settle, spread_key
 from .words import find_words, joined, raw_texts, text_chunks, word_hashes
 
 END_ID = 2
-_MEMO_WORDS = 600_000
-CHUNK_BYTES = 8 << 20
+_MEMO_WORDS = 400_000
+CHUNK_BYTES = 6 << 20
 
 _TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
