@@ -23,14 +23,14 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from .common import add_score, labelled_sample
-from .words import find_words, joined, lanes, lower_ascii, text_chunks, word_hashes
+from .words import Words, find_words, joined, lanes, lower_ascii, text_chunks, word_hashes
 
 SAMPLE_ROWS = 8000
 WINDOW_WORDS, WINDOW_STEP = 4, 3
 DICTIONARY_BYTES = 8192
 LEVEL = 19
 _GRAM = np.uint64((1 << 40) - 1)
-_SAMPLE_WORDS = 16
+_SAMPLE_WORDS, _SAMPLES = 16, 10  # training samples of an ordinary document, spread over its whole text
 
 
 @dataclass
@@ -138,36 +138,50 @@ def fit_logistic(figures: np.ndarray, label: np.ndarray, ridge: float = 1.0) ->
     return weights
 
 
-def _word_groups(texts: list[bytes]) -> tuple[dict[int, int], dict[int, bytes], int]:
-    """How many groups of like texts use each word; the words; the number of groups."""
-    seen, spelled, groups, pairs = {}, {}, set(), set()
+def _word_groups(texts: list[bytes]) -> tuple[dict[int, int], int]:
+    """How many groups of like texts use each word, and the number of groups."""
+    pairs = []
     for part in text_chunks(texts):
         data, at = joined(texts[part])
         words = find_words(lower_ascii(data), at)
         hashes = word_hashes(words)
         least = np.full(len(words.count), np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(least, words.text, hashes * np.uint64(0xD6E8FEB86659FD93))
-        groups.update(least[words.count > 0].tolist())
-        rows = np.unique(np.stack([hashes, least[words.text]], axis=1), axis=0)
-        pairs.update(map(tuple, rows.tolist()))
-        _, first = np.unique(hashes, return_index=True)
-        raw = words.data.tobytes()
-        spelled.update((int(hashes[i]), raw[words.start[i]:words.end[i]]) for i in first.tolist())
-    for word, _ in pairs:
-        seen[word] = seen.get(word, 0) + 1
-    return seen, spelled, len(groups)
+        pairs.append(np.unique(np.stack([hashes, least[words.text]], axis=1), axis=0))
+    every = np.unique(np.concatenate(pairs), axis=0)
+    seen, count = np.unique(every[:, 0], return_counts=True)
+    return dict(zip(seen.tolist(), count.tolist())), len(np.unique(every[:, 1]))
+
+
+def _spelled(texts: list[bytes], wanted: set[int]) -> set[bytes]:
+    """The words of some hashes."""
+    out, hashes = set(), np.array(sorted(wanted), np.uint64)
+    for part in text_chunks(texts):
+        data, at = joined(texts[part])
+        words = find_words(lower_ascii(data), at)
+        for i in np.flatnonzero(np.isin(word_hashes(words), hashes)).tolist():
+            out.add(words_at(words, i))
+    return out
+
+
+def words_at(words: Words, i: int) -> bytes:
+    return words.data[words.start[i]:words.end[i]].tobytes()
 
 
 def _marking_words(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
     """Words of at least one in twenty toxic groups, ten deviations above their ordinary share."""
-    seen, spelled, n = _word_groups(toxic)
-    usual, _, m = _word_groups(ordinary)
+    seen, n = _word_groups(toxic)
+    usual, m = _word_groups(ordinary)
     out = set()
     for word, count in seen.items():
         share = (usual.get(word, 0) + 1) / (m + 2)
         if count >= max(3, n / 20) and (count - n * share) > 10 * np.sqrt(n * share * (1 - share)):
-            out.add(spelled[word])
-    return out
+            out.add(word)
+    return _spelled(toxic, out)
+
+
+def _split(text: bytes) -> list[bytes]:
+    return lower_ascii(np.frombuffer(text, np.uint8)).tobytes().split()
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -189,20 +203,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if not toxic or not ordinary:
         return None
     marking = _marking_words(toxic, ordinary)
-    lowered = [lower_ascii(np.frombuffer(t, np.uint8)).tobytes().split() for t in ordinary]
-    usual = [b" ".join(w[k:k + _SAMPLE_WORDS]) + b" " for w in lowered
-             for k in range(0, min(len(w), 160), _SAMPLE_WORDS)]
-    marked = [[w for w in lower_ascii(np.frombuffer(t, np.uint8)).tobytes().split() if w in marking] for t in toxic]
+    usual = [b" ".join(w[k:k + _SAMPLE_WORDS]) + b" " for w in map(_split, ordinary)
+             for k in range(0, len(w), max(_SAMPLE_WORDS, len(w) // _SAMPLES))]
+    marked = [m for m in ([w for w in _split(t) if w in marking] for t in toxic) if m]
     model = ToxicityModel(_trained(usual, DICTIONARY_BYTES),
-                          _trained([b" " + b" ".join(m) + b" " for m in marked if m], DICTIONARY_BYTES // 2), 3, np.zeros(3))
-    meter, best = _Meter(model.ordinary, model.toxic), -1.0
+                          _trained([b" " + b" ".join(m) + b" " for m in marked], DICTIONARY_BYTES // 2), 3, np.zeros(3))
+    meter, best = _Meter(model.ordinary, model.toxic), -np.inf
     measured = [(meter.saved(texts[p]), p.stop - p.start) for p in text_chunks(texts)]
     for threshold in range(1, 11):
         figures = np.concatenate([_figures(saved, owner, n, threshold) for (saved, owner), n in measured])
         weights = fit_logistic(figures, marks)
         p = np.clip(_logistic(figures @ weights), 1e-9, 1 - 1e-9)
         likelihood = float(np.mean(np.where(marks == 1, np.log(p), np.log(1 - p))))
-        if best == -1.0 or likelihood > best:
+        if likelihood > best:
             best, model.threshold, model.weights = likelihood, threshold, weights
     return model
 
