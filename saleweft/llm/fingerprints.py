@@ -20,7 +20,8 @@ from .common import bucket_count
 
 _LANE, _LANES = 16, 4
 _LANE_MASK = sum(1 << (_LANE * k) for k in range(_LANES))
-_RUN = (1 << _LANE) - 1
+_LANE_VALUE = (1 << _LANE) - 1
+_RUN = (1 << (_LANE - 1)) - 1  # the uppermost lane ends at the sign
 _ORDER_ROWS, _ORDER_BUCKETS = 20_000, 2_000
 
 
@@ -66,7 +67,7 @@ def _signs(hashes: Column) -> Column:
         def count(b: Column) -> Column:
             lane = F.floor(b / _LANE).cast("int") * _LANE
             return F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + _shifted(
-                F.get(c, b % _LANE), lane).bitwiseAND(F.lit(_RUN).cast("long")))
+                F.get(c, b % _LANE), lane).bitwiseAND(F.lit(_LANE_VALUE).cast("long")))
 
         return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda f, b: f.bitwiseOR(
             F.when(count(b) * 2 > F.size(hashes), _bit(b)).otherwise(F.lit(0).cast("long"))))

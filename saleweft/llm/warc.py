@@ -214,8 +214,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(None, p) if p else decode_block(b.as_py())
-                     for b, p in zip(batch.column("block"), batch.column("problem").to_pylist())]
+            found = [(None, p) if p else (b"", None) if kind == "revisit" else decode_block(b.as_py())
+                     for b, p, kind in zip(*(batch.column("block"), *(batch.column(c).to_pylist() for c in ("problem", "record_type"))))]
             yield pa.record_batch([*[batch.column(c) for c in named], pa.array([f[0] for f in found], pa.binary()),
                                    pa.array([f[1] for f in found], pa.string())], names=[*named, "payload", "problem"])
 

@@ -122,7 +122,7 @@ def test_groups_of_nothing(nothing):
 
 def crowded(rng, n):
     centre = [rng.getrandbits(64) for _ in range(6)]
-    marks = {i: rng.choice(centre) ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) for i in range(n)}
+    marks = {i: rng.choice(centre) ^ sum(1 << b for b in {rng.randrange(64) for _ in range(rng.randint(0, 4))}) for i in range(n)}
     return marks
 
 
