@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saleweft.llm.common import settle
+from saleweft.llm.common import settle, small_batches
 from saleweft.llm.decontam import without_leaks
 from saleweft.llm.neardup import near_duplicate_groups, similarity_radius
 from saleweft.llm.packing import pack_documents
@@ -27,6 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Labels teach the model; they decide nothing else. Null and empty texts stay.
     """
+    small_batches(spark)
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = score_toxicity(docs, model, out="__toxicity")
     return scored.where("__toxicity < 0.5").select(*docs.columns)
@@ -37,6 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that repeat an id stay or go together; rows without an id stay.
     """
+    small_batches(spark)
     groups = near_duplicate_groups(
         docs, shingle=SHINGLE_WORDS, width=FINGERPRINT_WORDS, similarity=SIMILARITY,
         radius=similarity_radius(SIMILARITY, 64 * FINGERPRINT_WORDS))
@@ -49,6 +51,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A null text becomes an empty one; a document that is all repeats stays, empty.
     """
+    small_batches(spark)
     cut = cut_repeats(docs, window=13, keep_spacing=True)
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)}
     return cut.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
@@ -56,6 +59,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
+    small_batches(spark)
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -63,6 +67,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token pieces of all remaining documents, each in its sequence."""
     import public_tokenizers
 
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096)
 
 

@@ -7,14 +7,23 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from saleweft.session import settle
 
 from .words import raw_texts, text_chunks
 
 __all__ = ["add_score", "bucket_count", "distributed_rank", "held_out", "labelled_sample", "list_rows",
-           "plane_bytes", "plane_values", "settle", "spread_key", "sorted_bytes", "sorted_values"]
+           "plane_bytes", "plane_values", "settle", "small_batches", "spread_key", "sorted_bytes", "sorted_values"]
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound what Python workers and the JVM hold of a table of long texts at a time."""
+    for key, value in (("maxRecordsPerBatch", "1000"), ("maxBytesPerBatch", str(4 << 20))):
+        name = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
+    return spark
 
 
 def held_out(doc_id: Column) -> Column:

@@ -26,8 +26,8 @@ from .common import distributed_rank, settle, spread_key
 from .words import find_words, joined, raw_texts, text_chunks, word_hashes
 
 END_ID = 2
-_MEMO_WORDS = 400_000
-CHUNK_BYTES = 6 << 20
+_MEMO_WORDS = 250_000
+CHUNK_BYTES = 4 << 20
 
 _TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -56,7 +56,6 @@ class WordIds(dict):
         self.pieces = regex.compile(self.PIECES)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(self.END_MARK)]] = True
-        self.piece_ids: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -74,7 +73,6 @@ class WordIds(dict):
     def learn(self, parts: list[str], every: list[str]) -> None:
         if len(self) > _MEMO_WORDS:
             self.clear()
-            self.piece_ids.clear()
             parts = every
         cut = {}
         for part in parts:
@@ -87,17 +85,17 @@ class WordIds(dict):
                 cut[part] = [low[:-1], low[-1]]
             else:
                 cut[part] = self.pieces.findall(low)
-        new = sorted(p for p in set().union(*cut.values()) if p not in self.piece_ids)
+        new, piece_ids = sorted(set().union(*cut.values())), {}
         if new:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(new):
                 data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
-                self.piece_ids.update((p, data[i:j]) for p, i, j in zip(new, at, at[1:]))
+                piece_ids.update((p, data[i:j]) for p, i, j in zip(new, at, at[1:]))
             else:
-                self.piece_ids.update((p, self.encode_one(p)) for p in new)
+                piece_ids.update((p, self.encode_one(p)) for p in new)
         for part, pieces in cut.items():
-            self[part] = b"".join([self.piece_ids[p] for p in pieces])
+            self[part] = b"".join([piece_ids[p] for p in pieces])
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """Ids of each text. Per chunk, each distinct word is looked up once."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from saleweft.session import scratch_path
 
-from .common import held_out, settle
+from .common import held_out, settle, small_batches
 from .decontam import find_leaks
 from .fingerprints import likeness, near_fingerprints, simhash64, with_next
 from .licenses import scan_licences
@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 OP5_SQL = r"""

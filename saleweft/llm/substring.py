@@ -28,7 +28,7 @@ from .common import (
 from .words import (
     Words, find_words, gram_hashes, gram_starts, joined, raw_texts, text_chunks, word_hashes)
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 BUCKET_WORDS = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 

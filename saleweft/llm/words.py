@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 
 SPACE_SEPARATED = np.ones(256, bool)
 SPACE_SEPARATED[[0x20, *range(0x09, 0x0E)]] = False
@@ -61,7 +61,8 @@ def text_chunks(texts: list[bytes | None], most: int = CHUNK_BYTES) -> Iterator[
 
 
 def raw_texts(column: pa.Array) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column."""
+    """The UTF-8 bytes of a string column. Memory that earlier batches left is given back."""
+    pa.default_memory_pool().release_unused()
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
 
