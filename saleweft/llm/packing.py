@@ -26,7 +26,7 @@ from .common import distributed_rank, settle, spread_key
 from .words import find_words, joined, raw_texts, text_chunks, word_hashes
 
 END_ID = 2
-_MEMO_WORDS = 250_000
+_MEMO_WORDS = 400_000
 CHUNK_BYTES = 4 << 20
 
 _TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -38,8 +38,8 @@ class WordIds(dict):
     The vocabulary drops white space and never merges across it, so parts can be encoded
     apart. New parts are cut into the tokenizer's own pre-tokens, which are encoded
     together in one call and told apart by their word-end tokens. Parts beyond the Latin
-    blocks, where lower-casing or composing could differ, are encoded one by one. The
-    memory is emptied at a fixed size.
+    blocks, where lower-casing or composing could differ, are encoded one by one. At a
+    fixed size the memory forgets all words but those of the chunk at hand.
     """
 
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -72,8 +72,9 @@ class WordIds(dict):
 
     def learn(self, parts: list[str], every: list[str]) -> None:
         if len(self) > _MEMO_WORDS:
+            kept = {w: self[w] for w in every if w in self}
             self.clear()
-            parts = every
+            self.update(kept)
         cut = {}
         for part in parts:
             low = part.lower()
