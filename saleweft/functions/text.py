@@ -25,12 +25,15 @@ def strict_key(separator: str, *parts: Column | str) -> Column:
 
 
 def clean_code(value: Column | str, width: int | None = None) -> Column:
-    """Letters and digits only, empty to null, brought to a width with zeros in front.
-
-    As with any ``lpad``, a longer code is cut to the width.
-    """
+    """Letters and digits only, empty to null, brought to a width with zeros in front."""
     code = F.nullif(F.regexp_replace(as_column(value), "[^a-zA-Z0-9]", ""), F.lit(""))
-    return code if width is None else F.lpad(code, width, "0")
+    return code if width is None else zero_padded(code, width)
+
+
+def zero_padded(value: Column | str, width: int) -> Column:
+    """Zeros in front up to a width. A longer text stays whole, unlike with ``lpad``."""
+    text = as_column(value).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def strip_prefix(value: Column | str, prefix: str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fixed
 from ..functions.nulls import as_column, coalesce_blank
 from .columns import quoted
-from .lookup import unique_values
+from .lookup import spread_join, unique_values
 
 
 def salted_join(
@@ -110,7 +110,7 @@ def interval_lookup(
     days = unique_values(days_of_intervals(intervals, start, end, value), ["day"], [value],
                          "overlapping intervals")
     hits = days.select(F.col("day").alias("__day"), F.col("__kept")[value].alias(dest))
-    return df.join(hits, F.col(date) == F.col("__day"), "left").drop("__day")
+    return spread_join(df, hits, {"__day": F.col(date)}).drop("__day")
 
 
 def drop_superseded(
@@ -119,8 +119,8 @@ def drop_superseded(
     """Drop bulk rows dated up to the last delta of their key."""
     names = [f"__key_{i}" for i in range(len(keys))]
     last = delta.groupBy(*keys).agg(F.max(date).alias("__last")).toDF(*names, "__last")
-    match = reduce(and_, [F.col(k) == F.col(n) for k, n in zip(keys, names)])
-    return bulk.join(last, match & (F.col(date) <= F.col("__last")), "leftanti")
+    return spread_join(bulk, last, {n: F.col(k) for k, n in zip(keys, names)}, "leftanti",
+                       extra=F.col(date) <= F.col("__last"))
 
 
 def date_spine(df: DataFrame, dimension: str, start: Column, end: Column, name: str) -> DataFrame:
@@ -163,21 +163,22 @@ def with_partners(
     way to the document.
     """
     by_item = role_partners(partners, roles, "parvw", "kunnr", ["vbeln", "posnr"]).select(
-        F.col("vbeln").alias(document), F.col("posnr").alias(item),
+        F.col("vbeln").alias("__item_document"), F.col("posnr").alias("__item"),
         *[F.col(r).alias(f"__item_{r}") for r in roles])
     by_document = role_partners(
         partners.where(F.col("posnr") == fixed.HEADER_ITEM), roles, "parvw", "kunnr", ["vbeln"],
-    ).select(F.col("vbeln").alias(document), *[F.col(r).alias(f"__doc_{r}") for r in roles])
+    ).select(F.col("vbeln").alias("__document"), *[F.col(r).alias(f"__doc_{r}") for r in roles])
     picked = {
         target: (coalesce_blank if blank else F.coalesce)(
             F.col(f"__item_{r}"), F.col(f"__doc_{r}"))
         for target, (r, blank) in targets.items() if r in roles
     }
     return (
-        df.join(by_item, [document, item], "left")
-        .join(by_document, [document], "left")
+        df.transform(spread_join, by_item, {"__item_document": F.col(document), "__item": F.col(item)})
+        .transform(spread_join, by_document, {"__document": F.col(document)})
         .withColumns(picked)
-        .drop(*[f"__{level}_{r}" for level in ("item", "doc") for r in roles])
+        .drop("__item_document", "__item", "__document",
+              *[f"__{level}_{r}" for level in ("item", "doc") for r in roles])
     )
 
 
@@ -200,7 +201,7 @@ def cancelled_lookup(
     """
     cancelled = df.groupBy(F.col(document).alias("__cancelled")).agg(
         F.max(kind).alias("doc_type_code_cancelled"))
-    joined = df.join(cancelled, F.col(reference) == F.col("__cancelled"), "left")
+    joined = spread_join(df, cancelled, {"__cancelled": F.col(reference)}, blank=True)
     known = F.col("__cancelled").isNotNull()
     return (
         joined.where((F.coalesce(F.col(reference), F.lit("")) == "") | known)

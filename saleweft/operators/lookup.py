@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import as_column
 from ..functions.rates import inverse_rate
@@ -31,6 +33,37 @@ def unique_values(mapping: DataFrame, keys: list[str], values: list[str], what:
         _kept_or_raise(keys, kept, what).alias("__kept"))
 
 
+def spread_join(
+    df: DataFrame,
+    side: DataFrame,
+    pairs: Mapping[str, Column],
+    how: str = "left",
+    extra: Column | None = None,
+    blank: bool = False,
+) -> DataFrame:
+    """Join a side prepared by key (column of ``side``: key of ``df``) without a hot task.
+
+    Rows whose key is null, and with ``blank`` also empty, match nothing; they get a
+    number from their first columns as a second key and so are dealt out evenly. The
+    second key is 0 for all others and for the side. As the side was aggregated by the
+    first key alone, both inputs are shuffled for the join itself, which lets adaptive
+    execution split the partitions of a hot key. A side measured as small is broadcast.
+    """
+    missing = [key.isNull() | (key.cast("string") == "") if blank else key.isNull() for key in pairs.values()]
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)][:3]
+    number = F.lit(1) + F.pmod(F.xxhash64(*[quoted(c) for c in plain]), F.lit(1_000_000))
+    spread = F.when(reduce(or_, missing), number).otherwise(F.lit(0).cast("long"))
+    # always 0, but not a constant, which would be folded out of the keys
+    zero = F.pmod(F.xxhash64(*[quoted(c) for c in pairs]), F.lit(1).cast("long"))
+    match = F.col("__spread") == F.col("__zero")
+    for name, key in pairs.items():
+        match = match & (key == quoted(name))
+    if extra is not None:
+        match = match & extra
+    return df.withColumn("__spread", spread).join(
+        side.withColumn("__zero", zero), match, how).drop("__spread", "__zero")
+
+
 def checked_lookup(
     df: DataFrame,
     mapping: DataFrame,
@@ -45,8 +78,10 @@ def checked_lookup(
     * a null source key never matches, so it takes the default;
     * a key that repeats in the map fails the job.
 
-    The join is left to Spark: a small map is broadcast by its measured size, a
-    large one is shuffled by key and hot keys are split by adaptive execution.
+    A small map is broadcast by its measured size; with a large one null keys are
+    spread and hot keys split, see `spread_join`. A repeated key is found only where
+    the looked-up column is read: Spark drops a join that nothing reads. Use
+    `assert_unique` on the map for a check that always runs.
     """
     key, value = mapping.columns
     hits = mapping.groupBy(quoted(key).alias(_KEY)).agg(
@@ -55,7 +90,7 @@ def checked_lookup(
     found = F.col(_VALUE)
     if default is not None:
         found = F.when(F.col(_HIT).isNull(), default).otherwise(found)
-    return df.join(hits, as_column(source) == F.col(_KEY), "left").withColumn(
+    return spread_join(df, hits, {_KEY: as_column(source)}).withColumn(
         dest, found).drop(_KEY, _VALUE, _HIT)
 
 

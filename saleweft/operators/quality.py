@@ -137,7 +137,7 @@ def error_table(
     if not found:
         return None
     return reduce(DataFrame.unionByName, found).withColumns({
-        "redshift_output_table_name": F.lit(table),
+        "output_table_name": F.lit(table),
         "ingestion_timestamp": F.lit(run_time).cast("timestamp"),
         "ingestion_id": F.lit(run_id),
     })

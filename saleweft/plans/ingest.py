@@ -18,7 +18,7 @@ from ..sources.readers import read_parquet
 
 SKIPPED = "no data detected after last_insertion_timestamp: ingestion skipped"
 AUDIT = (
-    "redshift_output_table_name string, ingestion_id string, mode string, "
+    "output_table_name string, ingestion_id string, mode string, "
     "incremental_field string, begin_datetime string, p_key string, message string, "
     "last_insertion_timestamp timestamp, count_loaded_rows bigint, errors_count bigint, "
     "count_before_update bigint, count_after_update bigint, cleaning_steps string, "
@@ -100,7 +100,7 @@ def merge(batch: DataFrame, stored: DataFrame | None, run: Run) -> DataFrame:
 def audit_row(spark: SparkSession, run: Run, **metrics: object) -> DataFrame:
     """One row of the load log; what was not measured is null."""
     values = {
-        "redshift_output_table_name": run.table, "ingestion_id": run.run_id, "mode": run.mode,
+        "output_table_name": run.table, "ingestion_id": run.run_id, "mode": run.mode,
         "incremental_field": " ; ".join(run.order), "begin_datetime": run.run_time,
         "p_key": ", ".join(run.keys), **metrics,
     }

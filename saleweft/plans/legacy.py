@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fixed
 from ..functions.dates import day, month_after, month_start
 from ..functions.nulls import coalesce_zero, sum_null_safe, zero_if_null
-from ..functions.text import make_key
+from ..functions.text import make_key, zero_padded
 from ..operators.columns import conform_to
 from ..operators.filters import exclude_values
 from ..operators.lookup import checked_lookup, constant_lookup
@@ -334,7 +334,7 @@ def legacy_facts(
 
     ``networks`` gives one sales organisation and office per company and network.
     """
-    codes = {c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("company", "network")}
+    codes = {c: zero_padded(c, 2) for c in ("company", "network")}
     return (
         sales.withColumns(codes)
         .join(networks, ["company", "network"], "left")

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.text import zero_padded
 from ..operators.columns import drop_unnamed_columns
 from ..operators.incremental import files_of
 from ..operators.ordering import newest_row
@@ -68,12 +69,14 @@ def read_csv(
     recursive: bool = False,
     pattern: str | None = None,
     schema: T.StructType | str | None = None,
+    base_path: str | None = None,
 ) -> DataFrame:
     """Text columns from headed CSV; ``key=value`` folders become columns.
 
     Spark reads folder values such as ``month=03`` as numbers; `padded_parts`
     gives them their zeros back. A pattern limits the files by name. A schema
-    saves the look into the files for their header.
+    saves the look into the files for their header. Below ``base_path`` folders become
+    columns even if only one of them is read.
     """
     reader = (
         spark.read.option("header", True).option("sep", separator)
@@ -83,6 +86,8 @@ def read_csv(
         reader = reader.option("pathGlobFilter", pattern)
     if schema is not None:
         reader = reader.schema(schema)
+    if base_path is not None:
+        reader = reader.option("basePath", base_path)
     return reader.csv(path)
 
 
@@ -100,7 +105,7 @@ def read_list(spark: SparkSession, path: str, name: str = "Key") -> DataFrame:
 def padded_parts(df: DataFrame) -> DataFrame:
     """Year, month and day of a partitioned source as padded text."""
     return df.withColumns({
-        p: F.lpad(F.col(p).cast("string"), 4 if p == "year" else 2, "0") for p in PARTS
+        p: zero_padded(p, 4 if p == "year" else 2) for p in PARTS
     })
 
 
@@ -114,19 +119,16 @@ def read_newest_partition(
 ) -> DataFrame:
     """The files of the newest day only.
 
-    The newest day is taken from the paths of the files, none of which is opened
-    for it. Filtering on the partition columns then skips all other folders.
+    The newest day is taken from the paths of the files, none of which is opened for
+    it. Then its folder alone is read, so the columns are those of its own files.
     """
     files = files_of(spark, path, pattern or "*.csv")
-    parts = files.select(*[
+    parts = files.select(F.regexp_extract("path", "^(.*)/", 1).alias("folder"), *[
         F.regexp_extract("path", f"/{p}=([0-9]+)/", 1).cast("int").alias(p) for p in PARTS])
     newest = newest_row(parts, PARTS).first()
-    source = read_csv(spark, path, separator=separator, pattern=pattern)
     if newest is None:
-        return source
-    for part in PARTS:
-        source = source.where(F.col(part) == F.lit(newest[part]))
-    return source
+        return read_csv(spark, path, separator=separator, pattern=pattern)
+    return read_csv(spark, newest["folder"], separator=separator, pattern=pattern, base_path=path)
 
 
 class NotReady(RuntimeError):

@@ -89,8 +89,16 @@ def read_fact_family(spark: SparkSession, path: str) -> DataFrame:
 def publish_union_view(
     spark: SparkSession, name: str, tables: Mapping[str, str], source: str = "source"
 ) -> DataFrame:
-    """A persistent view over the tables of several systems, rows tagged by system."""
-    selects = [f"select *, '{tag}' as {source} from {table}" for tag, table in tables.items()]
+    """A persistent view over the tables of several systems, rows tagged by system.
+
+    Columns are matched by name; one that a table lacks is null there.
+    """
+    types = {c: kind for table in tables.values() for c, kind in spark.table(table).dtypes}
+    selects = []
+    for tag, table in tables.items():
+        own = set(spark.table(table).columns)
+        listed = [f"`{c}`" if c in own else f"cast(null as {kind}) as `{c}`" for c, kind in types.items()]
+        selects.append(f"select {', '.join(listed)}, '{tag}' as {source} from {table}")
     spark.sql(f"create or replace view {name} as " + " union all ".join(selects))
     return spark.table(name)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from saleweft.functions.text import clean_code
 from saleweft.operators import joins as j
 from saleweft.operators import lookup as lk
 
@@ -150,3 +151,67 @@ def test_reassemble_takes_each_rows_own_side(frame, rows):
     legacy = frame("key_fact string, text string", ("1", "old"))
     out = j.reassemble(fact, {"sap": erp, "cas": legacy})
     assert rows(out, "source", "text", "only") == [("cas", "old", None), ("sap", "erp", "x")]
+
+
+def final_plan(spark, df):
+    """The plan that ran, with broadcasts off and small limits for skew."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        query = df._jdf.queryExecution()
+        query.toRdd().count()
+        return query.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Nine of ten rows on one key, half of the others without a key."""
+    path = str(tmp_path_factory.mktemp("hot") / "rows")
+    spark.range(200_000).selectExpr(
+        "id", "case when id % 10 > 0 then 7 when id % 20 = 0 then null else id end as key",
+        "cast(id % 10 as string) as text", "date'2024-01-01' as day").repartition(4).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_hot_lookup_key_is_split(spark, hot):
+    mapping = hot.where("key is not null").select("key", F.lit("v").alias("v")).distinct()
+    out = lk.checked_lookup(hot, mapping, "key", "found")
+    assert "skew=true" in final_plan(spark, out.select(F.max("found"), F.count("id")))
+
+
+def test_hot_keys_of_the_other_joins_are_split(spark, hot):
+    delta = hot.where("key is not null").select("key", F.lit("2023-01-01").cast("date").alias("day"))
+    kept = j.drop_superseded(hot, delta, ["key"], "day").agg(F.count("id"))
+    assert "skew=true" in final_plan(spark, kept)
+    documents = hot.select(F.col("id").alias("document_code"), F.col("key").cast("string").alias("cancelled_invoice"),
+                           F.lit(4).alias("doc_type_code_orig"), "text")
+    documents = documents.withColumn("document_code", F.col("document_code").cast("string"))
+    out = j.cancelled_lookup(documents).agg(F.count("doc_type_code"), F.max("text"))
+    assert "skew=true" in final_plan(spark, out)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    rows = spark.range(10_000).selectExpr("id", "cast(null as long) as key", "'' as blank")
+    mapping = spark.range(5).select(F.col("id").alias("key"), F.lit("v").alias("v"))
+    hits = mapping.groupBy("key").agg(F.first("v").alias("v")).withColumnRenamed("key", "k")
+    final = lk.spread_join(rows, hits, {"k": F.col("key")}).where("v is null")
+    assert final.count() == 10_000
+    spread = rows.withColumn("n", F.lit(1) + F.pmod(F.xxhash64("id", "key", "blank"), F.lit(1_000_000)))
+    assert spread.select("n").distinct().count() > 9_000
+    blank = lk.spread_join(rows, hits.withColumn("k", F.lit("")), {"k": F.col("blank")}, blank=True)
+    assert blank.where("v is not null").count() == 0
+
+
+def test_longer_codes_stay_whole(frame, rows):
+    codes = frame("v string", ("123",), ("1",), ("",), (None,), ("0-7",))
+    assert rows(codes.select(clean_code("v", 2))) == sorted([("123",), ("01",), (None,), (None,), ("07",)], key=repr)

@@ -67,11 +67,13 @@ def a06(t):
 
 
 @query("a07_dedup_by_key", """
-SELECT l_orderkey, l_linenumber, min(l_shipdate) IS NOT NULL AS found FROM lineitem GROUP BY 1, 2
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS STRING) AS shipped, l_partkey FROM (SELECT *,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey) AS rn FROM lineitem) x WHERE rn = 1
 """)
 def a07(t):
-    return w.dedup_ordered(t.lineitem, ["l_orderkey", "l_linenumber"]).select(
-        "l_orderkey", "l_linenumber", F.col("l_shipdate").isNotNull().alias("found"))
+    order = [F.col("l_shipdate").desc(), F.col("l_partkey"), F.col("l_suppkey")]
+    return w.dedup_ordered(t.lineitem, ["l_orderkey", "l_linenumber"], order).select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").cast("string").alias("shipped"), "l_partkey")
 
 
 @query("a08_collect_text", """
@@ -84,14 +86,14 @@ def a08(t):
 
 
 @query("a09_version_dates", """
-WITH d AS (SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS STRING) AS day, event_type FROM events WHERE event_type IN ('error', 'click')),
+WITH d AS (SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS STRING) AS day, event_type FROM events),
 n AS (SELECT user_id, count(DISTINCT day) AS cnt,
   string_agg('{"day":"' || day || '","event_type":"' || event_type || '"}', ',' ORDER BY day, event_type) AS items
   FROM d GROUP BY user_id)
 SELECT user_id, cnt, '[' || items || ']' AS dates FROM n
 """)
 def a09(t):
-    rows = t.events.where(F.col("event_type").isin("error", "click")).select(
+    rows = t.events.select(
         "user_id", F.col("ts").cast("date").cast("string").alias("day"), "event_type")
     return a.version_dates(rows, "user_id", "day", "event_type")
 

@@ -169,15 +169,14 @@ def p16(t):
 
 
 @query("p17_future_months", f"""
-SELECT material_sku, years, month, forecast FROM ({" UNION ALL ".join(
-    f"SELECT material_sku, years, ingestion_date, {i + 1} AS month, {m} AS forecast FROM forecast_export WHERE account = 'NSV'"
+SELECT account, material_sku, years, month, forecast FROM ({" UNION ALL ".join(
+    f"SELECT account, material_sku, years, ingestion_date, {i + 1} AS month, {m} AS forecast FROM forecast_export"
     for i, m in enumerate(fixed.MONTHS))}) x WHERE month > CAST(substring(ingestion_date, 5, 2) AS INT)
 """, "forecast")
 def p17(t):
     from saleweft.operators.aggregate import unpivot_months
 
-    rows = unpivot_months(t.forecast_export.where("account = 'NSV'"),
-                          ["material_sku", "years", "ingestion_date"], "forecast")
+    rows = unpivot_months(t.forecast_export, ["account", "material_sku", "years", "ingestion_date"], "forecast")
     return f.future_months(rows, "month", "ingestion_date").drop("ingestion_date")
 
 
@@ -254,13 +253,13 @@ def x01(t):
 
 
 @query("x02_chained_dedup", """
-SELECT objectid, changenr, fname FROM (SELECT *, row_number() OVER (PARTITION BY objectid ORDER BY changenr DESC) AS rn
-  FROM cdpos WHERE tabname = 'VBAK') x WHERE rn = 1
+SELECT tabname, objectid, changenr FROM (SELECT *, row_number() OVER (PARTITION BY tabname, objectid ORDER BY changenr DESC) AS rn
+  FROM cdpos) x WHERE rn = 1
 """)
 def x02(t):
-    return t.cdpos.where("tabname = 'VBAK'").transform(
-        w.dedup_ordered, ["objectid"], [F.col("changenr").desc()],
-    ).select("objectid", "changenr", "fname")
+    return t.cdpos.transform(
+        w.dedup_ordered, ["tabname", "objectid"], [F.col("changenr").desc()],
+    ).select("tabname", "objectid", "changenr")
 
 
 @query("x03_assert_unique", "SELECT o_orderkey, o_orderstatus FROM orders")
@@ -324,7 +323,7 @@ def x08(t):
 @query("x10_model_files", """
 SELECT CAST(p_partkey AS STRING) AS "SKU", p_brand AS "MKT Tree", 'Model' AS source_type, '2024-01-09' AS ingestion_date,
   CASE WHEN p_size > 45 THEN '2024-01-02' ELSE '2024-01-01' END AS modified FROM part
-UNION ALL SELECT CAST(p_partkey AS STRING), p_type, 'EPREL Tree', '2024-01-09', NULL FROM part WHERE p_type = 'PROMO'
+UNION ALL SELECT CAST(p_partkey AS STRING), p_type, 'EPREL Tree', '2024-01-09', NULL FROM part
 """)
 def x10(t):
     """Overview and class files, written as the delivery has them and read back."""
@@ -335,7 +334,7 @@ def x10(t):
             F.col("p_size") > 45, F.array(F.lit("2024-01-02"), F.lit("2024-01-01")))
             .otherwise(F.array(F.lit("2024-01-01")))).alias("Date Last Modify [last_mod_date]"))
     overview.write.csv(f"{files}/overview", header=True, sep="||")
-    classes = t.part.where("p_type = 'PROMO'").select(
+    classes = t.part.select(
         F.col("p_partkey").alias("SKU"), F.col("p_type").alias("ClassID"), "p_size")
     classes.write.csv(f"{files}/class", header=True, sep="||")
     first = overview_rows(read_csv(t.spark, f"{files}/overview", "||"), "Model", "2024-01-09")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from saleweft.operators import incremental as inc
@@ -24,16 +26,19 @@ def i01(t):
 
 
 @query("i02_files_since", """
-SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'
 """)
 def i02(t):
-    """Loads land in one folder each; a mark before all of them picks all of them."""
+    """Loads land in one folder each; the first one lies before the mark and is left out."""
     path = t.scratch("landing")
     orders = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(
             f"{path}/load={status}")
-    mark = inc.high_water_mark(t.spark.createDataFrame([], "ingestion_timestamp timestamp"))
+        if status == "F":
+            landed = inc.files_of(t.spark, path).select(F.max("modificationTime").alias("ingestion_timestamp"))
+            mark = inc.high_water_mark(landed)
+            time.sleep(0.01)  # the next files are younger by a millisecond at least
     folders = inc.files_since(inc.files_of(t.spark, path), "Delta", mark, levels=1)
     names = [r[0] for r in folders.orderBy("folder").collect()]
     return t.spark.read.parquet(*names)
@@ -82,8 +87,8 @@ def i03_unique(t):
 
 
 @query("i04_skip_if_empty", """
-SELECT 'dwa.lines' AS table_name, 'Delta' AS mode, count(*) AS count_loaded_rows, CAST(NULL AS STRING) AS message FROM orders
-UNION ALL SELECT 'dwa.lines', 'Delta', NULL, 'no data detected after last_insertion_timestamp: ingestion skipped'
+SELECT 'store.lines' AS table_name, 'Delta' AS mode, count(*) AS count_loaded_rows, CAST(NULL AS STRING) AS message FROM orders
+UNION ALL SELECT 'store.lines', 'Delta', NULL, 'no data detected after last_insertion_timestamp: ingestion skipped'
 """)
 def i04(t):
     """A first run loads; a second run finds nothing newer than the first, and says so."""
@@ -91,12 +96,12 @@ def i04(t):
     t.orders.select("o_orderkey", "o_totalprice").write.parquet(f"{path}/load=1")
 
     def run(name, time):
-        return Run("dwa.lines", ["o_orderkey"], ["o_totalprice"], "Delta", name, time)
+        return Run("store.lines", ["o_orderkey"], ["o_totalprice"], "Delta", name, time)
 
     first = ingest(t.spark, path, run("run-1", "2999-01-01 00:00:00"))
     second = ingest(t.spark, path, run("run-2", "2999-01-02 00:00:00"), first.table)
     return first.audit.unionByName(second.audit).select(
-        F.col("redshift_output_table_name").alias("table_name"), "mode", "count_loaded_rows",
+        F.col("output_table_name").alias("table_name"), "mode", "count_loaded_rows",
         "message")
 
 
@@ -111,7 +116,7 @@ def i04_run(t):
     stored = lines.where("l_quantity <= 25").groupBy("l_orderkey").agg(
         F.max("l_quantity").alias("l_quantity")).withColumn(
         "ingestion_timestamp", F.lit("2020-01-01 00:00:00").cast("timestamp"))
-    run = Run("dwa.lines", ["l_orderkey"], ["l_quantity"], "Delta", "run-1", "2999-01-01 00:00:00")
+    run = Run("store.lines", ["l_orderkey"], ["l_quantity"], "Delta", "run-1", "2999-01-01 00:00:00")
     return ingest(t.spark, path, run, stored).table.select(
         "l_orderkey", F.col("l_quantity").alias("top"))
 
@@ -153,12 +158,12 @@ def i06(t):
 WITH delta AS (SELECT l_partkey, CAST(max(l_shipdate) AS DATE) AS day FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey)
 SELECT 'delta' AS kind, l_partkey, CAST(day AS STRING) AS day FROM delta
 UNION ALL SELECT 'bulk', b.l_partkey, CAST(CAST(b.l_shipdate AS DATE) AS STRING) FROM lineitem b LEFT JOIN delta d USING (l_partkey)
-WHERE l_returnflag = 'N' AND (d.day IS NULL OR CAST(b.l_shipdate AS DATE) > d.day)
+WHERE l_returnflag <> 'R' AND (d.day IS NULL OR CAST(b.l_shipdate AS DATE) > d.day)
 """)
 def i07(t):
     rows = t.lineitem.select("l_partkey", "l_returnflag", F.col("l_shipdate").cast("date").alias("day"))
     current, kept = inc.current_state(rows.where("l_returnflag = 'R'"),
-                                      rows.where("l_returnflag = 'N'"), ["l_partkey"], "day")
+                                      rows.where("l_returnflag <> 'R'"), ["l_partkey"], "day")
     first, second = [df.select(F.lit(k).alias("kind"), "l_partkey", F.col("day").cast("string").alias("day"))
                      for k, df in (("delta", current), ("bulk", kept))]
     return first.unionByName(second)

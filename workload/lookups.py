@@ -218,12 +218,12 @@ def j14(t):
 @query("j15_drop_superseded", """
 SELECT b.l_orderkey, b.l_partkey, CAST(CAST(b.l_shipdate AS DATE) AS STRING) AS l_shipdate FROM lineitem b
 WHERE l_linestatus = 'O' AND NOT EXISTS (SELECT 1 FROM (SELECT l_partkey, max(l_shipdate) AS last
-  FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'R' GROUP BY l_partkey) d
+  FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_partkey) d
   WHERE d.l_partkey = b.l_partkey AND b.l_shipdate <= d.last)
 """)
 def j15(t):
     bulk = t.lineitem.where("l_linestatus = 'O'")
-    delta = t.lineitem.where("l_linestatus = 'F' and l_returnflag = 'R'")
+    delta = t.lineitem.where("l_linestatus = 'F'")
     return bulk.transform(j.drop_superseded, delta, ["l_partkey"], "l_shipdate").select(
         "l_orderkey", "l_partkey",
         F.col("l_shipdate").cast("date").cast("string").alias("l_shipdate"))
@@ -278,16 +278,16 @@ def j18(t):
     )
 
 
-PARTNERS_SQL = "".join(
-    f"LEFT JOIN (SELECT vbeln, posnr, kunnr FROM vbpa WHERE parvw = '{code}') i_{role} "
-    f"ON a.vbeln = i_{role}.vbeln AND a.posnr = i_{role}.posnr "
-    f"LEFT JOIN (SELECT vbeln, kunnr FROM vbpa WHERE parvw = '{code}' AND posnr = '000000') h_{role} "
-    f"ON a.vbeln = h_{role}.vbeln "
-    for role, code in fixed.PARTNER_ROLES.items())
+ROLE_CODES = {"dest_id": "SP", "inv_id": "BP", "purchase_group_code": "ZC", "main_group_code": "ZD",
+              "super_group_code": "ZE", "sale_zone_code": "YB", "salesman_code": "YD",
+              "sale_director_code": "YA", "rsm_code": "YC"}
+BLANK_FALLS_BACK = ["inv_id", "purchase_group_code", "main_group_code", "super_group_code", "salesman_code"]
+PER_ROLE = ", ".join(f"max(CASE WHEN parvw = '{code}' THEN kunnr END) AS {target}" for target, code in ROLE_CODES.items())
+PARTNERS_SQL = f"""LEFT JOIN (SELECT vbeln, posnr, {PER_ROLE} FROM vbpa GROUP BY 1, 2) i ON a.vbeln = i.vbeln AND a.posnr = i.posnr
+LEFT JOIN (SELECT vbeln, {PER_ROLE} FROM vbpa WHERE posnr = '000000' GROUP BY 1) h ON a.vbeln = h.vbeln"""
 PARTNER_COLUMNS = ", ".join(
-    (f"CASE WHEN i_{r}.kunnr IS NULL OR trim(i_{r}.kunnr) = '' THEN h_{r}.kunnr ELSE i_{r}.kunnr END"
-     if blank else f"coalesce(i_{r}.kunnr, h_{r}.kunnr)") + f" AS {target}"
-    for target, (r, blank) in fixed.PARTNER_TARGETS.items())
+    (f"CASE WHEN i.{t} IS NULL OR trim(i.{t}) = '' THEN h.{t} ELSE i.{t} END" if t in BLANK_FALLS_BACK
+     else f"coalesce(i.{t}, h.{t})") + f" AS {t}" for t in ROLE_CODES)
 
 
 @query("j19_partner_roles", f"""

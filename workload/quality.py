@@ -95,22 +95,22 @@ def q06(t):
 
 @query("q07_error_table", f"""
 SELECT 'c_custkey=''' || CAST(c_custkey AS STRING) || '''' AS pkey_value, c AS error_column, v AS error_value,
-  'customer.parquet' AS s3_input_file_name, 'dwa.customer' AS redshift_output_table_name, '2024-05-01' AS day, 'run-7' AS ingestion_id FROM {NULL_TEXTS} x
-UNION ALL SELECT 'l_orderkey=''' || CAST(l_orderkey AS STRING) || '''', NULL, NULL, 'customer.parquet', 'dwa.customer', '2024-05-01', 'run-7'
+  'customer.parquet' AS s3_input_file_name, 'store.customer' AS output_table_name, '2024-05-01' AS day, 'run-7' AS ingestion_id FROM {NULL_TEXTS} x
+UNION ALL SELECT 'l_orderkey=''' || CAST(l_orderkey AS STRING) || '''', NULL, NULL, 'customer.parquet', 'store.customer', '2024-05-01', 'run-7'
 FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) l WHERE n > 1
 """)
 def q07(t):
     lines = t.lineitem.select("l_orderkey", F.lit("customer.parquet").alias("input_file_name"))
     errors = [q.null_text_check(null_texts(t), ["c_custkey"]),
               q.duplicate_errors(lines, ["l_orderkey"]), None]
-    return q.error_table(errors, "dwa.customer", "2024-05-01 06:00:00", "run-7").select(
+    return q.error_table(errors, "store.customer", "2024-05-01 06:00:00", "run-7").select(
         "pkey_value", "error_column", "error_value", "s3_input_file_name",
-        "redshift_output_table_name",
+        "output_table_name",
         F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("day"), "ingestion_id")
 
 
 @query("q08_audit_row", """
-SELECT 'dwa.orders' AS redshift_output_table_name, 'run-1' AS ingestion_id, 'Full' AS mode, 'o_totalprice' AS incremental_field,
+SELECT 'store.orders' AS output_table_name, 'run-1' AS ingestion_id, 'Full' AS mode, 'o_totalprice' AS incremental_field,
   'o_orderkey' AS p_key, count(*) AS count_loaded_rows, CAST(0 AS BIGINT) AS errors_count, count(*) AS count_after_update,
   'duplicates_on_pkey ; fix_date_before_limit ; log_null_as_string' AS cleaning_steps FROM orders
 """)
@@ -119,9 +119,9 @@ def q08(t):
 
     path = t.scratch("landing")
     t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus").write.parquet(f"{path}/load=1")
-    run = Run("dwa.orders", ["o_orderkey"], ["o_totalprice"], "Full", "run-1", "2024-05-01 06:00:00")
+    run = Run("store.orders", ["o_orderkey"], ["o_totalprice"], "Full", "run-1", "2024-05-01 06:00:00")
     return ingest(t.spark, path, run).audit.select(
-        "redshift_output_table_name", "ingestion_id", "mode", "incremental_field", "p_key",
+        "output_table_name", "ingestion_id", "mode", "incremental_field", "p_key",
         "count_loaded_rows", "errors_count", "count_after_update", "cleaning_steps")
 
 

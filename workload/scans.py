@@ -83,15 +83,10 @@ SELECT CAST(p_partkey AS STRING) AS "SKU", p_name AS "Name", p_brand AS "Brand"
 def s05(t):
     """Lines that end in the separator, which adds a column without a name."""
     path = t.scratch("wide")
-    line = F.concat(F.concat_ws("||", F.col("p_partkey").cast("string"), "p_name", "p_brand"), F.lit("||"))
-    head = t.spark.createDataFrame([("SKU||Name||Brand||",)], "value string")
-    body = t.part.select(line.alias("value"))
-    head.coalesce(1).write.text(f"{path}/head")
-    body.write.text(f"{path}/body")
-    names = r.read_wide_csv(t.spark, f"{path}/head").columns
-    schema = ", ".join(f"`{n}` string" for n in [*names, "_c3"])
-    rows = t.spark.read.schema(schema).option("sep", "||").csv(f"{path}/body")
-    return rows.select(*names)
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("SKU"), F.col("p_name").alias("Name"),
+                         F.col("p_brand").alias("Brand"), F.lit(None).cast("string").alias(""))
+    rows.write.csv(path, header=True, sep="||")
+    return r.read_wide_csv(t.spark, path)
 
 
 @query("s06_read_file_glob", """
@@ -207,11 +202,12 @@ def s15(t):
 
 
 @query("s16_publish_union_view", """
-SELECT c_custkey AS key, c_name AS name, 'sap' AS source FROM customer UNION ALL SELECT s_suppkey, s_name, 'cas' FROM supplier
+SELECT c_custkey AS key, c_name AS name, CAST(NULL AS INT) AS s_nationkey, 'sap' AS source FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_nationkey, 'cas' FROM supplier
 """)
 def s16(t):
     erp = saved(t, t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")), "erp")
-    legacy = saved(t, t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), "legacy")
+    legacy = saved(t, t.supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"), "s_nationkey"), "legacy")
     return w.publish_union_view(t.spark, table_name("both"), {"sap": erp, "cas": legacy})
 
 

@@ -45,14 +45,14 @@ def u03(t):
 
 
 @query("u04_tagged_union", """
-SELECT o_orderkey, o_totalprice, 'sap' AS source FROM orders WHERE o_orderstatus = 'O'
+SELECT o_orderkey, o_totalprice, 'sap' AS source FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL SELECT o_orderkey, o_totalprice, 'cas' FROM orders WHERE o_orderstatus = 'F'
 """, "o_totalprice")
 def u04(t):
-    def part(status):
-        return t.orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice")
-
-    return s.tagged_union({fixed.ERP: part("O"), fixed.LEGACY: part("F")})
+    finished = F.col("o_orderstatus") == "F"
+    rows = t.orders.select("o_orderkey", "o_totalprice", finished.alias("finished"))
+    return s.tagged_union({fixed.ERP: rows.where("not finished").drop("finished"),
+                           fixed.LEGACY: rows.where("finished").drop("finished")})
 
 
 FINISHED = "(product_id LIKE '1-@-%' OR product_id LIKE '2-@-%')"
