@@ -173,3 +173,7 @@ FIRST_INTERVAL = "2000-01-01"
 SERIAL_DAY_ZERO = "1899-12-30"
 DEFAULT_LINE = "999"
 DEFAULT_CURRENCY = "EUR"
+
+# Fixed names of the error table's key and file columns.
+ERROR_KEY = "pkey_value"
+ERROR_FILE = "s3_input_file_name"

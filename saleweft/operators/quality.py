@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .. import fixed_values as fixed
 from ..fixed_values import ENDED_STATES, NO_DATE, OLDEST_DATE
 from ..functions.dates import day
 from ..functions.nulls import is_blank
@@ -44,47 +45,41 @@ def assert_not_blank(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def key_text(keys: Sequence[str]) -> Column:
-    """The key of a row as text: ``a='1' AND b='2'``; null when a part is null."""
-    parts = [F.concat(F.lit(f"{k}='"), quoted(k).cast("string"), F.lit("'")) for k in keys]
-    return reduce(lambda a, b: F.concat(a, F.lit(" AND "), b), parts)
+    """The key of a row as text: ``a=1, b=2``; null when a part is null."""
+    named = F.array(*[F.concat(F.lit(f"{k}="), quoted(k).cast("string")) for k in keys])
+    return F.when(~F.exists(named, lambda part: part.isNull()), F.array_join(named, ", "))
 
 
-def _error_rows(df: DataFrame, errors: Column, keys: Sequence[str], file: str) -> DataFrame:
-    """One row per problem found in a row; ``errors`` is an array of structs."""
-    return df.select(
-        key_text(keys).alias("pkey_value"), F.inline(errors),
-        quoted(file).alias("s3_input_file_name"),
-    )
+def _problem(message: Column, column: str | None = None) -> Column:
+    """One problem of a row; without a column it concerns the whole row."""
+    name, value = (F.lit(column), quoted(column)) if column else (F.lit(None), F.lit(None))
+    return F.struct(message.alias("error_message"), name.cast("string").alias("error_column"),
+                    value.cast("string").alias("error_value"))
+
+
+def _error_rows(df: DataFrame, problems: Column, keys: Sequence[str], file: str) -> DataFrame:
+    """One row per problem; the names are those of the error table."""
+    key, source = fixed.ERROR_KEY, fixed.ERROR_FILE
+    return df.select(key_text(keys).alias(key), F.inline(problems), quoted(file).alias(source))
 
 
 def duplicate_errors(
     df: DataFrame, keys: Sequence[str], file: str = "input_file_name"
 ) -> DataFrame:
-    """One error per row whose key occurs more than once in a full extraction."""
+    """One error per row whose key occurs more than once."""
+    times = F.concat(F.lit("key stands "), F.col("__count").cast("string"), F.lit(" times"))
     repeated = count_over_key(df, keys, "__count").where("__count > 1")
-    message = F.concat(F.lit("duplicated primary key on Full extraction!! there are "),
-                       F.col("__count").cast("string"), F.lit(" duplicates for this key..."))
-    return repeated.select(
-        key_text(keys).alias("pkey_value"),
-        message.alias("error_message"),
-        F.lit(None).cast("string").alias("error_column"),
-        F.lit(None).cast("string").alias("error_value"),
-        quoted(file).alias("s3_input_file_name"),
-    )
+    return _error_rows(repeated, F.array(_problem(times)), keys, file)
 
 
 def _columns_of(df: DataFrame, *kinds: type) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def _problems(checks: dict[str, tuple[Column, Column]]) -> Column:
-    """Array of the problems of one row from (condition, message) per column."""
+def _found(checks: dict[str, tuple[Column, str]]) -> Column:
+    """The problems of one row from (condition, message) per column."""
     return F.array_compact(F.array(*[
-        F.when(condition, F.struct(
-            message.alias("error_message"), F.lit(c).alias("error_column"),
-            quoted(c).cast("string").alias("error_value")))
-        for c, (condition, message) in checks.items()
-    ]))
+        F.when(condition, _problem(F.lit(message), c)) for c, (condition, message) in checks.items()]))
 
 
 def old_date_check(
@@ -100,17 +95,14 @@ def old_date_check(
     if not names:
         return df, None
     old = {c: quoted(c) < day(limit) for c in names}
-    checks = {
-        c: (bad, F.concat(F.lit(f"date/time column {c} too old: '"), quoted(c).cast("string"),
-                          F.lit(f"' -> setting '{replacement}'")))
-        for c, bad in old.items()
-    }
-    errors = _error_rows(df.where(any_of(list(old.values()))), _problems(checks), keys, file)
-    fixed = df.withColumns({
+    message = f"before {limit}, replaced by {replacement}"
+    found = _found({c: (bad, message) for c, bad in old.items()})
+    errors = _error_rows(df.where(any_of(list(old.values()))), found, keys, file)
+    replaced = df.withColumns({
         c: F.when(bad, day(replacement).cast(df.schema[c].dataType)).otherwise(quoted(c))
         for c, bad in old.items()
     })
-    return fixed, errors
+    return replaced, errors
 
 
 def null_text_check(
@@ -121,12 +113,8 @@ def null_text_check(
     if not names:
         return None
     bad = {c: F.lower(quoted(c)) == "null" for c in names}
-    checks = {
-        c: (hit, F.concat(F.lit(f"column {c} has value: '"), quoted(c),
-                          F.lit("' -> setting NULL")))
-        for c, hit in bad.items()
-    }
-    return _error_rows(df.where(any_of(list(bad.values()))), _problems(checks), keys, file)
+    found = _found({c: (hit, "reads null as a word") for c, hit in bad.items()})
+    return _error_rows(df.where(any_of(list(bad.values()))), found, keys, file)
 
 
 def error_table(

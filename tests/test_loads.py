@@ -131,7 +131,7 @@ def test_old_dates_with_nulls_and_the_limit_itself(frame, rows):
     assert rows(fixed.select("k", F.col("d").cast("string"))) == [
         (1, "1900-01-01"), (2, "1970-01-01"), (3, None), (4, "1900-01-01")]
     assert rows(errors, "pkey_value", "error_value") == [
-        ("k='1'", "1969-12-31"), ("k='4'", "0001-01-01")]
+        ("k=1", "1969-12-31"), ("k=4", "0001-01-01")]
     assert q.old_date_check(df.drop("d"), ["k"])[1] is None
 
 

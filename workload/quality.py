@@ -10,7 +10,7 @@ from saleweft.operators import quality as q
 from .registry import query
 
 LINE = ["l_orderkey", "l_linenumber"]
-KEY_SQL = "'l_orderkey=''' || CAST(l_orderkey AS STRING) || ''' AND l_linenumber=''' || CAST(l_linenumber AS STRING) || ''''"
+KEY_SQL = "'l_orderkey=' || CAST(l_orderkey AS STRING) || ', l_linenumber=' || CAST(l_linenumber AS STRING)"
 
 
 @query("q01_assert_unique", """
@@ -27,7 +27,7 @@ def q02(t):
 
 @query("q03_duplicate_errors", f"""
 SELECT {KEY_SQL} AS pkey_value,
-  'duplicated primary key on Full extraction!! there are ' || CAST(n AS STRING) || ' duplicates for this key...' AS error_message,
+  'key stands ' || CAST(n AS STRING) || ' times' AS error_message,
   CAST(NULL AS STRING) AS error_column, CAST(NULL AS STRING) AS error_value, 'lineitem.parquet' AS s3_input_file_name
 FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) x WHERE n > 1
 """)
@@ -48,7 +48,7 @@ def old_dates(t):
 
 
 @query("q04_old_date_check", f"""
-SELECT 'error' AS kind, {KEY_SQL} AS key, c AS name, v AS value, 'date/time column ' || c || ' too old: ''' || v || ''' -> setting ''1900-01-01''' AS message
+SELECT 'error' AS kind, {KEY_SQL} AS key, c AS name, v AS value, 'before 1970-01-01, replaced by 1900-01-01' AS message
 FROM (SELECT l_orderkey, l_linenumber, 'ship_day' AS c, '1960-02-03' AS v FROM lineitem WHERE l_tax = 0
   UNION ALL SELECT l_orderkey, l_linenumber, 'due', '0001-01-01' FROM lineitem WHERE l_discount = 0) e
 UNION ALL SELECT 'row', {KEY_SQL}, CASE WHEN l_tax = 0 THEN '1900-01-01' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END,
@@ -80,8 +80,8 @@ def null_texts(t):
 
 
 @query("q05_null_text_check", f"""
-SELECT 'c_custkey=''' || CAST(c_custkey AS STRING) || '''' AS pkey_value,
-  'column ' || c || ' has value: ''' || v || ''' -> setting NULL' AS error_message, c AS error_column, v AS error_value,
+SELECT 'c_custkey=' || CAST(c_custkey AS STRING) AS pkey_value,
+  'reads null as a word' AS error_message, c AS error_column, v AS error_value,
   'customer.parquet' AS s3_input_file_name FROM {NULL_TEXTS} x
 """)
 def q05(t):
@@ -94,9 +94,9 @@ def q06(t):
 
 
 @query("q07_error_table", f"""
-SELECT 'c_custkey=''' || CAST(c_custkey AS STRING) || '''' AS pkey_value, c AS error_column, v AS error_value,
+SELECT 'c_custkey=' || CAST(c_custkey AS STRING) AS pkey_value, c AS error_column, v AS error_value,
   'customer.parquet' AS s3_input_file_name, 'store.customer' AS output_table_name, '2024-05-01' AS day, 'run-7' AS ingestion_id FROM {NULL_TEXTS} x
-UNION ALL SELECT 'l_orderkey=''' || CAST(l_orderkey AS STRING) || '''', NULL, NULL, 'customer.parquet', 'store.customer', '2024-05-01', 'run-7'
+UNION ALL SELECT 'l_orderkey=' || CAST(l_orderkey AS STRING), NULL, NULL, 'customer.parquet', 'store.customer', '2024-05-01', 'run-7'
 FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) l WHERE n > 1
 """)
 def q07(t):
