@@ -117,9 +117,3 @@ def backfill_ranges(
         .where(F.col("range_start") < last)
         .select("range_start", F.least(following, last).alias("range_end"))
     )
-
-
-def rows_in_range(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
-    """Rows of one half-open range, as a filter the scan can use."""
-    return df.where((F.col(column) >= F.lit(start).cast("date"))
-                    & (F.col(column) < F.lit(end).cast("date")))

@@ -39,6 +39,12 @@ def typed_rows(
     )
 
 
+def in_month(df: DataFrame, date: str, as_of: str) -> DataFrame:
+    """Rows of the month of a day, by a range of dates that reaches the scan."""
+    first = F.trunc(day(as_of), "MM")
+    return df.where((F.col(date) >= first) & (F.col(date) < F.add_months(first, 1)))
+
+
 def report_columns(df: DataFrame, source: str, date: str) -> DataFrame:
     """Columns that all three facts share in the report."""
     erp = F.col("flag_erp") == 1

@@ -41,8 +41,11 @@ def split_fact(
 def joined_facts(
     facts: Mapping[str, DataFrame], sides: Mapping[str, DataFrame], date: str = "document_date"
 ) -> DataFrame:
-    """Facts of all systems stacked, with their dimension sides and the price key."""
+    """Facts of all systems stacked, with their dimension sides and the price key.
+
+    Facts and sides have one row per key, as `split_fact` gives them of a fact that has.
+    """
     stacked = tagged_union(facts)
     price_key = make_key("-@-", "sales_organization", "sales_office", "product_code",
                          F.year(date), F.month(date))
-    return reassemble(stacked, sides).withColumn("product_price_key", price_key).distinct()
+    return reassemble(stacked, sides).withColumn("product_price_key", price_key)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.columns import decimals_to_double, lower_columns, quoted
 from ..operators.lookup import literal_lookup
-from ..operators.sets import tagged_union
 
 
 def save_table(
@@ -103,25 +102,6 @@ def publish_union_view(
     return spark.table(name)
 
 
-def union_view(name: str, frames: Mapping[str, DataFrame], source: str = "source") -> DataFrame:
-    """The same for frames that are not tables: a view of this session."""
-    df = tagged_union(frames, source)
-    df.createOrReplaceTempView(name)
-    return df
-
-
-def attribute_table(
-    df: DataFrame, key: str, name: str, separator: str = "; "
-) -> DataFrame:
-    """One row per member of a list-valued attribute of a product."""
-    return (
-        df.where(F.col("std_key") == key)
-        .select(F.col("sku").alias("product_code"),
-                F.explode(F.split("value", separator)).alias(name))
-        .where(F.col(name).isNotNull())
-    )
-
-
 def write_attribute_tables(
     df: DataFrame, names: Mapping[str, str], path: str
 ) -> DataFrame:

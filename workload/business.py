@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleweft import fixed_values as fixed
-from saleweft.functions.nulls import is_blank
 from saleweft.operators.columns import add_missing_columns
 from saleweft.operators.lookup import checked_lookup
-from saleweft.operators.sets import tagged_union, union_all
+from saleweft.operators.sets import union_all
 from saleweft.plans import analysis, blocks, calendar, costs, deliveries, dimensions, forecast
 from saleweft.plans import invoices, legacy, market, master, orders, portfolio, prices
 from saleweft.plans import reassembly, segments
@@ -782,11 +781,11 @@ FROM u WHERE year = 1998 AND month = 8 GROUP BY {', '.join(keys)}, u.first_req_d
 def b21(t):
     types = t.products.select("product_code", "product_type_code")
     order_rows = portfolio.order_buckets(portfolio.report_columns(
-        portfolio.typed_rows(t.report_orders, types, "ord", 4), "ORD", "document_date"), AS_OF)
+        portfolio.typed_rows(portfolio.in_month(t.report_orders, "document_date", AS_OF), types, "ord", 4), "ORD", "document_date"), AS_OF)
     delivery_rows = portfolio.report_columns(
-        portfolio.typed_rows(t.report_deliveries, types, "del", 2), "DEL", "document_date")
+        portfolio.typed_rows(portfolio.in_month(t.report_deliveries, "document_date", AS_OF), types, "del", 2), "DEL", "document_date")
     invoice_rows = portfolio.report_columns(
-        portfolio.typed_rows(t.report_invoices, types, "inv", 2), "INV", "time_id")
+        portfolio.typed_rows(portfolio.in_month(t.report_invoices, "time_id", AS_OF), types, "inv", 2), "INV", "time_id")
     budget = portfolio.budget_rows(t.report_budget, t.network_markets, AS_OF)
     report = portfolio.portfolio(order_rows, budget, delivery_rows, invoice_rows, REPORT_KEYS, AS_OF)
     return text_dates(report, "first_req_del_date").select(
