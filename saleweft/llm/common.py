@@ -42,7 +42,7 @@ def bucket_count(rows: int, each: int) -> int:
 
 
 def distributed_rank(df: DataFrame, group: list[str], order: Column, out: str, rows: int,
-                     each: int = 20_000) -> DataFrame:
+                     each: int = 5_000) -> DataFrame:
     """Exact 0-based rank of each row in its group by an evenly spread 64-bit key.
 
     The key's value range is cut into as many slices as the rows need, so a hot
