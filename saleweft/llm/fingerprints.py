@@ -22,7 +22,7 @@ _LANE, _LANES = 16, 4
 _LANE_MASK = sum(1 << (_LANE * k) for k in range(_LANES))
 _LANE_VALUE = (1 << _LANE) - 1
 _RUN = (1 << (_LANE - 1)) - 1  # the uppermost lane ends at the sign
-_ORDER_ROWS, _ORDER_BUCKETS = 20_000, 2_000
+_ORDER_ROWS, _ORDER_BUCKETS = 5_000, 10_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -88,20 +88,30 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64.0
 
 
+def _marks_up_to(value: Column, marks: list[float]) -> Column:
+    """How many of the ascending marks are at most the value; a step of the root of their number."""
+    if not marks:
+        return F.lit(0)
+    step = max(1, round(len(marks) ** 0.5))
+    every = F.array(*[F.lit(m) for m in marks])
+    coarse = F.size(F.filter(F.array(*[F.lit(m) for m in marks[::step]]), lambda m: m <= value))
+    before = F.greatest(coarse - 1, F.lit(0)) * step
+    return before + F.size(F.filter(F.slice(every, before + 1, F.lit(step)), lambda m: m <= value))
+
+
 def with_next(docs: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
     """Each row with ``next``, a struct of ``columns`` of the row after it in descending order.
 
     After the last row comes the first. Nulls are last; rows equal in ``order`` are alike.
     Rows are dealt into ranges of the first order column, whose bounds are approximate
-    quantiles (a bounded number). A range's last row is followed by the head of the next
-    one, and there is one head per range.
+    quantiles (at most ``_ORDER_BUCKETS``). A range's last row is followed by the head of the
+    next one, and there is one head per range.
     """
     key = order[0]
     buckets = min(bucket_count(docs.count(), _ORDER_ROWS), _ORDER_BUCKETS)
     marks = sorted(set(docs.approxQuantile(key, [k / buckets for k in range(1, buckets)], 0.25 / buckets))) if buckets > 1 else []
-    bounds = F.array(*[F.lit(m) for m in marks]) if marks else F.array().cast("array<double>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda m: m <= F.col(key))), F.lit(0))
-    dealt = docs.withColumn("__bucket", F.when(F.col(key).isNull(), F.lit(0)).otherwise(bucket)).withColumn(
+    bucket = _marks_up_to(F.col(key), marks)
+    dealt = docs.withColumn("__bucket", F.coalesce(bucket, F.lit(0))).withColumn(
         "__order", F.struct(*order))
     down = Window.partitionBy("__bucket").orderBy(F.desc("__order"))
     heads = dealt.groupBy("__bucket").agg(F.max("__order").alias("__head"))
@@ -112,7 +122,8 @@ def with_next(docs: DataFrame, order: list[str], columns: list[str]) -> DataFram
         F.broadcast(after.select(F.col("__bucket").alias("__after"), "__head")), F.col("__order").eqNullSafe(F.col("__head")))
     found = found.groupBy("__after").agg(F.first(F.struct(*columns)).alias("__next_head"))
     linked = dealt.withColumn("__lead", F.lead(F.struct(*columns)).over(down))
-    return linked.join(F.broadcast(found), F.col("__bucket") == F.col("__after")).withColumn(
+    # rows already lie by range; texts are not broadcast, as nothing bounds their size
+    return linked.join(found, F.col("__bucket") == F.col("__after")).withColumn(
         "next", F.coalesce("__lead", "__next_head")).drop("__bucket", "__order", "__lead", "__after", "__next_head")
 
 
