@@ -169,13 +169,13 @@ def words_at(words: Words, i: int) -> bytes:
 
 
 def _marking_words(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
-    """Words of at least one in twenty toxic groups, ten deviations above their ordinary share."""
+    """Words of at least one in sixty toxic groups, ten deviations above their ordinary share."""
     seen, n = _word_groups(toxic)
     usual, m = _word_groups(ordinary)
     out = set()
     for word, count in seen.items():
         share = (usual.get(word, 0) + 1) / (m + 2)
-        if count >= max(3, n / 20) and (count - n * share) > 10 * np.sqrt(n * share * (1 - share)):
+        if count >= max(3, n / 60) and (count - n * share) > 10 * np.sqrt(n * share * (1 - share)):
             out.add(word)
     return _spelled(toxic, out)
 
@@ -207,7 +207,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
              for k in range(0, len(w), max(_SAMPLE_WORDS, len(w) // _SAMPLES))]
     marked = [m for m in ([w for w in _split(t) if w in marking] for t in toxic) if m]
     model = ToxicityModel(_trained(usual, DICTIONARY_BYTES),
-                          _trained([b" " + b" ".join(m) + b" " for m in marked], DICTIONARY_BYTES // 2), 3, np.zeros(3))
+                          _trained([b" " + b" ".join(m) + b" " for m in marked], DICTIONARY_BYTES), 3, np.zeros(3))
     meter, best = _Meter(model.ordinary, model.toxic), -np.inf
     measured = [(meter.saved(texts[p]), p.stop - p.start) for p in text_chunks(texts)]
     for threshold in range(1, 11):
