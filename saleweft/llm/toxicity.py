@@ -11,7 +11,7 @@ documents use than chance allows, in the order they stand. Documents with the sa
 least word hash count once, so a much copied document does not choose the words.
 
 Window thresholds and the weights of a document's figures (most bytes saved, windows
-over the threshold) are calibrated on the labelled sample.
+over the threshold) are calibrated on rows of the sample that train neither dictionary.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ WINDOW_WORDS, WINDOW_STEP = 4, 3
 DICTIONARY_BYTES = 8192
 LEVEL = 19
 _GRAM = np.uint64((1 << 40) - 1)
+_CALIBRATION = 3  # every third row of the sample calibrates, the others train the dictionaries
 _SAMPLE_WORDS, _SAMPLES = 16, 10  # training samples of an ordinary document, spread over its whole text
 
 
@@ -198,8 +199,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  label: str = "toxic", most: int = SAMPLE_ROWS) -> ToxicityModel | None:
     """The model from at most ``most`` labelled rows; None without examples of both kinds."""
     texts, marks = labelled_sample(docs, labels, label, most, id_col, text_col)
-    toxic = sorted({t for t, m in zip(texts, marks) if m == 1})
-    ordinary = sorted({t for t, m in zip(texts, marks) if m == 0})
+    taught = [(t, m) for k, (t, m) in enumerate(zip(texts, marks)) if k % _CALIBRATION]
+    toxic, ordinary = (sorted({t for t, m in taught if m == kind}) for kind in (1, 0))
     if not toxic or not ordinary:
         return None
     marking = _marking_words(toxic, ordinary)
@@ -208,6 +209,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     marked = [m for m in ([w for w in _split(t) if w in marking] for t in toxic) if m]
     model = ToxicityModel(_trained(usual, DICTIONARY_BYTES),
                           _trained([b" " + b" ".join(m) + b" " for m in marked], DICTIONARY_BYTES), 3, np.zeros(3))
+    texts, marks = texts[::_CALIBRATION], marks[::_CALIBRATION]
     meter, best = _Meter(model.ordinary, model.toxic), -np.inf
     measured = [(meter.saved(texts[p]), p.stop - p.start) for p in text_chunks(texts)]
     for threshold in range(1, 11):
