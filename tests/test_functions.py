@@ -36,7 +36,7 @@ def test_coalesce_blank(frame):
 
 @pytest.mark.parametrize("value, width, expected", [
     ("66-J0", None, "66J0"), ("7", 2, "07"), (" - ", 2, None), ("", None, None), (None, 2, None),
-    ("123", 2, "12")])
+    ("123", 2, "123")])
 def test_clean_code(frame, value, width, expected):
     assert one(frame, "string", value, text.clean_code("v", width)) == expected
 
