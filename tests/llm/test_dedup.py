@@ -155,9 +155,10 @@ def test_linking_skips_nothing_in_one_dense_bucket():
 def test_gray_neighbours_differ_in_one_bit():
     codes = np.arange(64, dtype=np.uint64) ^ (np.arange(64, dtype=np.uint64) >> np.uint64(1))
     assert gray_rank(codes[None]).ravel().tolist() == list(range(64))
-    two = np.array([[0, 0, 1, 1], [0, 1 << 63, 1 << 63, 0]], np.uint64)
-    rank = gray_rank(two)
-    assert sorted(range(4), key=lambda k: tuple(rank[:, k].tolist())) == [0, 1, 2, 3] or len({tuple(c) for c in rank.T}) == 4
+    numbers = [0, 1, (1 << 64) - 1, 1 << 64, (1 << 64) + 1, (1 << 127) + 12345, (1 << 128) - 1]
+    wide = [n ^ n >> 1 for n in numbers]
+    words = np.array([[c >> 64 for c in wide], [c & (1 << 64) - 1 for c in wide]], np.uint64)
+    assert [(int(h) << 64) + int(low) for h, low in gray_rank(words).T] == numbers
 
 
 def test_similar_documents_are_found(spark):

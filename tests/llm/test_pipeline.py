@@ -66,8 +66,8 @@ def test_stages_take_awkward_rows_and_none(spark, folder, messy, nothing, messy_
 
 def test_near_duplicates_of_awkward_rows(spark, folder, messy):
     kept = [r.doc_id for r in pipeline.drop_near_duplicates(spark, messy, folder).collect()]
-    assert sorted(kept, key=repr) == sorted([1, 2, 5, -17, 6, 10, 12, 13, 16, None, None, 7, 7], key=repr) or (
-        {1, 2, 5, 10, 12, 13, 16} <= set(kept) and not {3, 4, 11, 14, 15, 9} & set(kept))
+    assert {1, 2, 5, 10, 12, 13, 16} <= set(kept) and not {3, 4, 11, 14, 15, 9} & set(kept)
+    assert kept.count(None) == 2
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
