@@ -201,3 +201,16 @@ def test_a_product_is_in_every_segment_it_fits(frame, rows):
         alone = segments.select_product(df, label)
         assert rows(alone, "product_id") == rows(
             out.where(F.col(segments.SEGMENT) == label).join(df, ["product_id"], "leftsemi"), "product_id")
+
+
+def test_a_date_outside_the_cost_span_fails(spark):
+    from workload.business import cost_tables
+    from workload.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    sold = t.lineitem.select(
+        F.col("l_shipdate").cast("date").alias("document_date"), F.lit("00000001").alias("product_code"),
+        F.lit("80").alias("company"), F.lit("4").alias("network"))
+    span = (F.lit("1997-01-01").cast("date"), F.lit("1997-02-01").cast("date"))
+    with pytest.raises(PySparkException, match="outside the span"):
+        costs.with_unit_costs(sold, cost_tables(t), span).select("document_date").collect()
