@@ -1,0 +1,128 @@
+"""Exact shingle similarity (Jaccard) inside groups of candidates.
+
+Candidates that some search has joined into groups are compared by their whole
+shingle sets, and only pairs that reach the similarity are linked. A group of at most
+``GROUP_ROWS`` sets is compared in one task. A larger one is cut into parts by a hash: sets
+are first compared within their part and with one pivot that all parts get. Where that
+leaves several clusters, every two parts are compared as well, but for those that lie in
+the group's largest cluster on both sides, since their members are linked already. So no pair
+of a group is left out, and no task holds more than two parts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from .common import plane_bytes, plane_values, settle
+from .components import connected_components
+
+GROUP_ROWS = 500
+_FOUND = "a long, b long"
+
+
+def packed_set(hashes: np.ndarray) -> bytes:
+    """Ascending distinct hashes, 48 bits of each."""
+    return plane_bytes(np.diff(np.unique(hashes >> np.uint64(16)), prepend=np.uint64(0)))
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    return np.cumsum(plane_values(data, np.uint64), dtype=np.uint64)
+
+
+def alike_links(sets: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` that join all pairs of a group at ``similarity`` or more.
+
+    ``sets`` has ``node`` and ``shingles`` (``packed_set``), rows may repeat; ``groups`` has
+    ``node`` and ``component``, its candidate group. Each link is a real pair.
+    """
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("pivot"))
+    parts = F.ceil(F.col("rows") / GROUP_ROWS).cast("int")
+    dealt = settle(groups.join(sizes, "component").select("node", "component", "pivot", parts.alias("parts")), "candidates")
+    own = F.pmod(F.xxhash64(F.lit(7), "node"), F.col("parts")).cast("int")
+    places = F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))
+    first = dealt.select("node", "component", F.explode(places).alias("part")).select(
+        "node", F.xxhash64("component", "part").alias("key"), F.lit(0).alias("side"), F.col("node").alias("cluster"))
+    links = settle(_compared(sets, first, similarity), "alike-links")
+    large = dealt.where("parts > 1")
+    if large.isEmpty():
+        return links
+    clusters = connected_components(links).withColumnRenamed("component", "cluster")
+    large = settle(large.join(clusters, "node", "left").select(
+        "node", "component", F.coalesce("cluster", "node").alias("cluster")), "large-groups")
+    return links.union(_compared(sets, _part_pairs(large), similarity))
+
+
+def _part_pairs(large: DataFrame) -> DataFrame:
+    """Each node of a group of several clusters in every two parts that it must be compared in."""
+    counts = large.groupBy("component", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("component").agg(
+        F.max(F.struct("n", "cluster")).alias("main"), F.sum("n").alias("rows")).where("main.n < rows")
+    parts = [F.ceil(c / GROUP_ROWS).cast("int") for c in (F.col("main.n"), F.col("rows") - F.col("main.n"))]
+    main = main.select("component", F.col("main.cluster").alias("largest"), parts[0].alias("p"), parts[1].alias("q"))
+    spread = F.xxhash64(F.lit(8), "node")
+    inside = F.col("cluster") == F.col("largest")
+    part = F.when(inside, F.pmod(spread, F.col("p"))).otherwise(F.col("p") + F.pmod(spread, F.col("q"))).cast("int")
+    other = F.explode(F.sequence(F.when(inside, F.col("p")).otherwise(F.lit(0)), F.col("p") + F.col("q") - 1))
+    rows = large.join(main, "component").withColumn("part", part).withColumn("other", other)
+    return rows.select("node", F.xxhash64("component", F.least("part", "other"), F.greatest("part", "other")).alias("key"),
+                       F.col("part").alias("side"), "cluster")
+
+
+def _compared(sets: DataFrame, places: DataFrame, similarity: float) -> DataFrame:
+    """Links of all pairs that stand under one key; sides differ, or the key has only one."""
+    rows = places.join(sets, "node").select("key", "node", "side", "cluster", "shingles")
+    rows = rows.repartition("key").sortWithinPartitions("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+        for batch in batches:
+            found = []
+            for k, node, side, cluster, shingles in zip(*(batch.column(c).to_pylist() for c in (
+                    "key", "node", "side", "cluster", "shingles"))):
+                if k != key:
+                    found += _pairs(held, similarity)
+                    key, held = k, {}
+                held[node] = (side, cluster, shingles)
+            yield _batch(found)
+        yield _batch(_pairs(held, similarity))
+
+    return rows.mapInArrow(run, _FOUND)
+
+
+def _batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _pairs(held: dict[int, tuple[int, int, bytes]], similarity: float) -> list[tuple[int, int]]:
+    if len(held) < 2:
+        return []
+    sides, clusters, packed = zip(*held.values())
+    chosen = alike_pairs([unpacked_set(p) for p in packed], similarity, np.array(clusters), np.array(sides))
+    nodes = list(held)
+    return [(nodes[i], nodes[j]) for i, j in chosen]
+
+
+def alike_pairs(sets: list[np.ndarray], similarity: float, cluster: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that join all sets of ``similarity`` or more; members of one cluster count as joined."""
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    size, side, cluster = size[order], side[order], cluster[order].copy()
+    one_side, out = (side == side[0]).all(), []
+    for i in range(1, len(order)):
+        wanted = (cluster[:i] != cluster[i]) & (size[:i] >= similarity * size[i] - 1e-9)
+        if not one_side:
+            wanted &= side[:i] != side[i]
+        for j in np.flatnonzero(wanted).tolist():
+            if cluster[j] == cluster[i]:
+                continue
+            small, large = sets[order[j]], sets[order[i]]
+            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+            common = int((large[at] == small).sum()) if len(large) else 0
+            if common and common * (1 + similarity) >= similarity * (len(small) + len(large)) - 1e-9:
+                out.append((int(order[j]), int(order[i])))
+                cluster[cluster == cluster[i]] = cluster[j]
+    return out

@@ -12,7 +12,9 @@ which two fingerprints within the radius must share, so every link is found; a
 bucket above ``BUCKET_ROWS`` is split by radius + 1 segments of its remaining bits,
 which again loses nothing. ``samples``: sets of bits drawn with a fixed seed, for
 radii too large for segments; their width follows the logarithm of the rows and their
-number follows from the width and the recall asked for at the similarity asked for.
+number follows from the width and the recall asked for at the similarity asked for. There
+links only say which rows to compare: groups are what pairs of the similarity reach,
+checked on whole shingle sets.
 
 Copies collapse before any comparison (a combined aggregate per fingerprint), a
 bucket returns links to the smallest member of each of its linked groups, never all
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .alike import alike_links, packed_set
 from .common import settle
 from .components import connected_components
 from .words import (
@@ -67,7 +70,8 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def _votes(texts: list[bytes | None], shingle: int, width: int) -> list[np.ndarray]:
+def shingle_hashes(texts: list[bytes | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' shingles, one text after the other, and how many each text has."""
     data, at = joined(texts)
     words = find_words(lower_ascii(data), at)
     # words moved together with one space between them, so that a shingle is one span
@@ -86,7 +90,15 @@ def _votes(texts: list[bytes | None], shingle: int, width: int) -> list[np.ndarr
     begin = np.concatenate([start[starts], start[first]])[order]
     stop = np.concatenate([end[starts + shingle - 1] if len(starts) else starts, end[last]])[order]
     hashes = xxh64_spans(text, begin, stop - begin)
-    count = np.where(few, 1, np.maximum(words.count - shingle + 1, 0))
+    return hashes, np.where(few, 1, np.maximum(words.count - shingle + 1, 0))
+
+
+def _votes(texts: list[bytes | None], shingle: int, width: int) -> list[np.ndarray]:
+    hashes, count = shingle_hashes(texts, shingle)
+    return _marks(hashes, count, width)
+
+
+def _marks(hashes: np.ndarray, count: np.ndarray, width: int) -> list[np.ndarray]:
     out = []
     for k in range(width):
         h = hashes if k == 0 else mix(hashes + np.uint64(0x9E3779B97F4A7C15 * k & (2 ** 64 - 1)))
@@ -94,6 +106,60 @@ def _votes(texts: list[bytes | None], shingle: int, width: int) -> list[np.ndarr
     return out
 
 
+def distinct_shingles(texts: list[bytes | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``shingle_hashes``, each text's hashes ascending and without repeats."""
+    hashes, count = shingle_hashes(texts, shingle)
+    owner = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], np.bincount(owner[new], minlength=len(count))
+
+
+def set_hashes(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash of each text's set of distinct shingles."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)])
+    end = np.cumsum(count)
+    return mix(total[end] - total[end - count] + count.astype(np.uint64))
+
+
+def _marked_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> DataFrame:
+    """``doc_id``, ``node`` (a hash of the row's shingle set) and the fingerprint of that set."""
+    names = fingerprint_columns(width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = raw_texts(batch.column("text"))
+            for part in text_chunks(texts):
+                hashes, count = distinct_shingles(texts[part], shingle)
+                columns = [set_hashes(hashes, count), *_marks(hashes, count, width)]
+                ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
+                yield pa.record_batch([ids, *[pa.array(c.view(np.int64)) for c in columns]], names=["doc_id", "node", *names])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return slim.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "node", *names]))
+
+
+def _candidate_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``node`` and its packed shingle set, read again from the row with the id in ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, node = raw_texts(batch.column("text")), batch.column("node").to_numpy()
+            for part in text_chunks(texts):
+                hashes, count = distinct_shingles(texts[part], shingle)
+                # an id may stand for several texts
+                same = np.flatnonzero(set_hashes(hashes, count).view(np.int64) == node[part])
+                end = np.cumsum(count)
+                sets = [packed_set(hashes[end[i] - count[i]:end[i]]) for i in same.tolist()]
+                yield pa.record_batch([pa.array(node[part][same]), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
+    rows = slim.join(wanted, F.col("__id") == F.col("least")).select("node", "text")
+    return rows.mapInArrow(run, "node long, shingles binary")
+
+
 def similarity_radius(similarity: float, bits: int, slack: float = 1.0) -> int:
     """Differing bits expected at a shingle similarity (Jaccard), plus ``slack`` deviations."""
     p = differing_share(similarity)
@@ -343,18 +409,35 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     links nothing; its row gets the smallest id with its fingerprint's group, or null.
     Other columns are not read. An empty table gives an empty table.
     """
+    if similarity is not None:
+        return _similar_groups(docs, id_col, text_col, shingle, width, radius, similarity, recall)
     names = fingerprint_columns(width)
     marked = settle(simhash(docs, id_col, text_col, shingle, width), "fingerprints")
     nodes = settle(marked.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
     known = nodes.where("node is not null")
-    if similarity is None:
-        tables = bit_segments(list(range(64 * width)), radius + 1)
-    else:
-        tables = bit_samples(known.count(), 64 * width, similarity, recall)
-    links = fingerprint_links(known, width, radius, tables, split=similarity is None)
+    links = fingerprint_links(known, width, radius, bit_segments(list(range(64 * width)), radius + 1), split=True)
     groups = connected_components(settle(links, "fingerprint-links"))
     named = nodes.join(groups, "node", "left").select(
         *[F.col(n).alias(f"__{n}") for n in names], F.coalesce("component", "node").alias("component_id"))
     named = settle(named, "fingerprint-groups")
     return marked.join(named, [F.col(n) == F.col(f"__{n}") for n in names], "left").select(
         "doc_id", *names, "component_id")
+
+
+def _similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int, radius: int,
+                    similarity: float, recall: float) -> DataFrame:
+    """Fingerprint links only join candidates; groups are what pairs of the similarity reach."""
+    names = fingerprint_columns(width)
+    marked = settle(_marked_sets(docs, id_col, text_col, shingle, width), "fingerprints")
+    nodes = settle(marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "distinct-sets")
+    known = nodes.where("least is not null")
+    tables = bit_samples(known.count(), 64 * width, similarity, recall)
+    near = settle(fingerprint_links(known, width, radius, tables, split=False), "fingerprint-links")
+    candidates = settle(connected_components(near), "candidate-groups")
+    wanted = candidates.join(known, "node").select("node", "least")
+    sets = _candidate_sets(docs, wanted, id_col, text_col, shingle)
+    groups = connected_components(settle(alike_links(sets, candidates, similarity), "similar-links"))
+    named = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), "least")
+    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = settle(named.join(smallest, "group").select("node", "component_id"), "similar-groups")
+    return marked.join(named, "node").select("doc_id", *names, "component_id")

@@ -1,0 +1,78 @@
+"""Near copies by exact similarity, against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline as pipeline
+from saleweft.llm import alike
+from saleweft.llm.alike import alike_links, packed_set, unpacked_set
+from saleweft.llm.components import connected_components
+
+from .conftest import Links
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b)
+
+
+def varied(rng, words, share):
+    """A copy with a run of about ``share`` of its words replaced."""
+    n = round(len(words) * share)
+    at = rng.randrange(len(words) - n)
+    return words[:at] + [f"x{rng.getrandbits(40)}" for _ in range(n)] + words[at + n:]
+
+
+def shingles(words):
+    return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def as_documents(spark, texts):
+    rows = [(i, " ".join(w), "en", "s", 1) for i, w in texts.items()]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_texts_below_the_similarity_stay(spark, folder):
+    """Fingerprints of pairs at 0.70 to 0.79 are often near; both documents must stay."""
+    rng, texts = random.Random(2), {}
+    for k in range(80):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(250)]
+        texts[2 * k], texts[2 * k + 1] = words, varied(rng, words, 0.12 + 0.04 * k / 80)
+    same = [likeness(shingles(texts[2 * k]), shingles(texts[2 * k + 1])) for k in range(80)]
+    assert 0.65 < min(same) and max(same) < 0.8
+    assert pipeline.drop_near_duplicates(spark, as_documents(spark, texts), folder).count() == 160
+
+
+@pytest.mark.parametrize("rows", [5, 20, 500])
+def test_links_join_all_pairs_of_a_group(spark, monkeypatch, rows):
+    """However small the parts are that a group is cut into."""
+    monkeypatch.setattr(alike, "GROUP_ROWS", rows)
+    rng, sets, group = random.Random(4), {}, {}
+    for component in range(3):
+        seeds = [{rng.getrandbits(63) for _ in range(40)} for _ in range(3)]
+        for _ in range(40):
+            base = set(rng.choice(seeds))
+            gone = rng.sample(sorted(base), rng.randint(0, 7))
+            node = rng.getrandbits(62)
+            sets[node], group[node] = base - set(gone) | {rng.getrandbits(63) for _ in range(rng.randint(0, 3))}, component
+    packed = [(i, bytearray(packed_set(np.array(sorted(s), np.uint64)))) for i, s in sets.items()]
+    links = alike_links(spark.createDataFrame(packed + packed[:9], "node long, shingles binary"),
+                        spark.createDataFrame(list(group.items()), "node long, component long"), 0.8)
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert pairs and all(likeness(sets[a], sets[b]) >= 0.8 for a, b in pairs)
+    expected = Links()
+    for a in sets:
+        for b in sets:
+            if a < b and group[a] == group[b] and likeness(sets[a], sets[b]) >= 0.8:
+                expected.link(a, b)
+    got = {r.node: r.component for r in connected_components(links).collect()}
+    assert {i: got.get(i, i) for i in sets} == {i: expected.find(i) for i in sets}
+
+
+def test_packed_sets_come_back():
+    for n in (0, 1, 1000):
+        hashes = np.random.default_rng(n).integers(0, 2 ** 63, n, dtype=np.uint64)
+        assert unpacked_set(packed_set(hashes)).tolist() == sorted({int(h) >> 16 for h in hashes})
