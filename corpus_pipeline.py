@@ -19,7 +19,7 @@ from saleweft.llm.toxicity import fit_toxicity, score_toxicity
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 FINGERPRINT_WORDS = 4
-"""Fingerprints of 256 bits: at a similarity of 0.8 about 39 bits differ, give or take 6."""
+"""Fingerprints of 256 bits: at a similarity of 0.8 about 39 bits differ, give or take 6; three times that is searched."""
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

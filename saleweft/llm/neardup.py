@@ -12,7 +12,7 @@ which two fingerprints within the radius must share, so every link is found; a
 bucket above ``BUCKET_ROWS`` is split by radius + 1 segments of its remaining bits,
 which again loses nothing. ``samples``: sets of bits drawn with a fixed seed, for
 radii too large for segments; their width follows the logarithm of the rows and their
-number follows from the width and the recall asked for at the similarity asked for. There
+number follows from the width and the recall asked for at the radius itself. There
 links only say which rows to compare: groups are what pairs of the similarity reach,
 checked on whole shingle sets.
 
@@ -160,7 +160,7 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
     return rows.mapInArrow(run, "node long, shingles binary")
 
 
-def similarity_radius(similarity: float, bits: int, slack: float = 1.0) -> int:
+def similarity_radius(similarity: float, bits: int, slack: float = 3.0) -> int:
     """Differing bits expected at a shingle similarity (Jaccard), plus ``slack`` deviations."""
     p = differing_share(similarity)
     return math.floor(bits * p + slack * math.sqrt(bits * p * (1 - p)))
@@ -174,10 +174,10 @@ def bit_segments(positions: list[int], parts: int) -> list[list[int]]:
     return [list(map(int, p)) for p in np.array_split(np.array(positions), parts)]
 
 
-def bit_samples(rows: int, bits: int, similarity: float, recall: float) -> list[list[int]]:
-    """Bit sets so many that a pair at ``similarity`` shares one with chance ``recall``."""
-    size = max(6, math.ceil(math.log2(max(rows, 2))) - 2)
-    chance = (1 - differing_share(similarity)) ** size
+def bit_samples(rows: int, bits: int, radius: int, recall: float) -> list[list[int]]:
+    """Bit sets so many that a pair ``radius`` bits apart shares one with chance ``recall``; nearer pairs more surely."""
+    size = max(6, math.ceil(math.log2(max(rows, 2))) - 6)
+    chance = math.comb(bits - radius, size) / math.comb(bits, size)
     random = np.random.default_rng(20)
     return [random.choice(bits, size, replace=False).tolist()
             for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - chance)))]
@@ -402,7 +402,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Fingerprints within ``radius`` bits are linked, and groups are what links reach.
     Without ``similarity`` every link is found. With it, pairs of that shingle similarity
-    are found with chance ``recall`` or more, closer ones more surely.
+    whose fingerprints lie within ``radius`` are found with chance ``recall`` or more, closer ones
+    more surely, and pairs below it are never linked.
 
     Copies, ties and repeated rows share a fingerprint and so a group. Texts without words
     are linked like any other. Rows that repeat an id count as one document. A null id
@@ -431,7 +432,7 @@ def _similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, w
     marked = settle(_marked_sets(docs, id_col, text_col, shingle, width), "fingerprints")
     nodes = settle(marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "distinct-sets")
     known = nodes.where("least is not null")
-    tables = bit_samples(known.count(), 64 * width, similarity, recall)
+    tables = bit_samples(known.count(), 64 * width, radius, recall)
     near = settle(fingerprint_links(known, width, radius, tables, split=False), "fingerprint-links")
     candidates = settle(connected_components(near), "candidate-groups")
     wanted = candidates.join(known, "node").select("node", "least")

@@ -46,6 +46,18 @@ def test_texts_below_the_similarity_stay(spark, folder):
     assert pipeline.drop_near_duplicates(spark, as_documents(spark, texts), folder).count() == 160
 
 
+def test_texts_just_over_the_similarity_are_found(spark, folder):
+    """No exact copies: 120 pairs at 0.80 to 0.88, of which one of each must go."""
+    rng, texts = random.Random(6), {}
+    for k in range(120):
+        words = [f"w{rng.getrandbits(40)}" for _ in range(250)]
+        texts[2 * k], texts[2 * k + 1] = words, varied(rng, words, 0.065 + 0.024 * k / 120)
+    same = [likeness(shingles(texts[2 * k]), shingles(texts[2 * k + 1])) for k in range(120)]
+    assert 0.8 <= min(same) and max(same) < 0.88
+    kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, as_documents(spark, texts), folder).collect()}
+    assert {2 * k for k in range(120)} <= kept and len(kept) <= 120 + 6
+
+
 @pytest.mark.parametrize("rows", [5, 20, 500])
 def test_links_join_all_pairs_of_a_group(spark, monkeypatch, rows):
     """However small the parts are that a group is cut into."""
