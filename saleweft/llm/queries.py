@@ -19,6 +19,7 @@ from .licenses import scan_licences
 from .neardup import near_duplicate_groups
 from .packing import pack_documents
 from .quality import fit_quality, score_quality
+from .recipes import exact_copies
 from .sharding import interleave
 from .substring import cut_repeats
 from .toxicity import fit_toxicity, score_toxicity
@@ -205,6 +206,19 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
                         F.array_max(F.transform("tiles", lambda t: t["words"])).cast("long").alias("longest_tile"))
 
 
+@query("op12_exact_dedup", """
+WITH folded AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM folded WINDOW same AS (PARTITION BY t)
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the one that stays of its equal texts."""
+    return exact_copies(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over all documents."""
