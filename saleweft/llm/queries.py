@@ -24,6 +24,7 @@ from .sharding import interleave
 from .substring import cut_repeats
 from .toxicity import fit_toxicity, score_toxicity
 from .warc import page_id_of, read_archive, write_archive
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,6 +220,12 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(table(spark, folder, "documents"))
 
 
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on the 16 leading components, each with unit variance."""
+    return whiten(table(spark, folder, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over all documents."""
