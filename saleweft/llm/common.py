@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ from saleweft.session import settle
 from .words import raw_texts, text_chunks
 
 __all__ = ["add_score", "bucket_count", "distributed_rank", "held_out", "labelled_sample", "list_rows",
-           "plane_bytes", "plane_values", "settle", "small_batches", "spread_key", "sorted_bytes", "sorted_values"]
+           "plane_bytes", "plane_values", "settle", "small_batches", "spread_key", "sorted_bytes", "sorted_values", "worker_memory"]
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -36,6 +38,14 @@ def spread_key(seed: int, *columns: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
 
 
+def worker_memory(key: tuple, make: Callable[[], object]) -> object:
+    """One object per key and worker process. Functions travel by value, so it is kept in a module of its own."""
+    store = vars(sys.modules.setdefault("_saleweft_worker", types.ModuleType("_saleweft_worker")))
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def bucket_count(rows: int, each: int) -> int:
     """Buckets of about ``each`` rows."""
     return max(1, -(-rows // each))

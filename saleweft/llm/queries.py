@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from saleweft.session import scratch_path
 
+from .alignment import align_tokenizers
 from .common import held_out, settle, small_batches
 from .decontam import find_leaks
 from .fingerprints import likeness, near_fingerprints, simhash64, with_next
@@ -207,6 +208,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
                         F.array_max(F.transform("tiles", lambda t: t["words"])).cast("long").alias("longest_tile"))
 
 
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's byte-level and SentencePiece tokens in groups, and their links over the corpus."""
+    return align_tokenizers(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                            tokenizer_path("piece_bpe_32k.model"))
+
+
 @query("op12_exact_dedup", """
 WITH folded AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
