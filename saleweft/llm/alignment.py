@@ -24,6 +24,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,11 @@ from .common import plane_bytes, plane_values, settle, worker_memory
 from .words import raw_texts, text_chunks
 
 BATCH_BYTES = 4 << 20
-MEMO_SEGMENTS = 200_000
+MEMO_SEGMENTS = 250_000
 
 PLAIN_COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
 LINK_COLUMNS = ["n_best", "count_sum"]
+PIECE = attrgetter("id", "begin", "end")
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,10 +68,12 @@ class Tokenizers:
 
     def __init__(self, byte_level: str, pieces: str):
         import json
+        import os
 
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_file(byte_level)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
@@ -135,28 +140,45 @@ def refined_ends(spans: list[tuple[int, int]], parts: list[bytes]) -> list[int]:
     return ends
 
 
+def refined_array(spans: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``refined_ends`` of many tokens whose bytes are known to be those of the text."""
+    begin, end = spans[:, 0], spans[:, 1]
+    exact = np.cumsum(size)
+    shared = np.append(begin[1:] < end[:-1], False)
+    return np.where(shared | (end - size != exact - size), exact, end)
+
+
 class Memory(dict):
     """Numbers of known segments, and what is known of each, in arrays by number."""
 
+    LINE = 128
+
     def __init__(self, tokenizers: Tokenizers):
         super().__init__()
         self.tokenizers = tokenizers
         self.width = len(tokenizers.b_bytes)
+        sides = tokenizers.a_bytes, tokenizers.b_bytes
+        self.length = [np.array(list(map(len, side)), np.int64) for side in sides]
+        # an id's text within a group and as the last of its side of it
+        self.inner, self.last = ([np.array([f"{i}{end}" for i in range(len(side))], object) for side, end in zip(sides, ends)]
+                                 for ends in ((",", ","), ("|", ";")))
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.groups: list[Segment | None] = []
         self.text: list[str] = []
         self.sizes = np.empty((0, 4), np.int64)  # tokens of both sides, groups, links
         self.links = np.empty(0, np.int64)
 
     def learn(self, parts: list[str]) -> None:
-        """Aligns parts that are not yet known."""
+        """Aligns parts that are not yet known: together where they can stand side by side, else one by one."""
+        plain = [p for p in parts if p and p.strip() == p] if self.tokenizers.local else []
+        lines = [plain[k:k + self.LINE] for k in range(0, len(plain), self.LINE)]
+        self._learn_lines(lines)
+        alone = [p for p in parts if p not in self]
         sizes, links = [], []
-        for part, groups in zip(parts, self.tokenizers.align(parts)):
-            self[part] = len(self.groups)
-            self.groups.append(groups)
+        for part, groups in zip(alone, self.tokenizers.align(alone)):
+            self[part] = len(self.text)
             if groups is None:
                 self.text.append("")
                 sizes.append((-1, 0, 0, 0))
@@ -165,8 +187,72 @@ class Memory(dict):
             pairs = [i * self.width + j for a, b in zip(groups.a, groups.b) for i in a for j in b]
             sizes.append((sum(map(len, groups.a)), sum(map(len, groups.b)), len(groups.ends), len(pairs)))
             links += pairs
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, 4)])
-        self.links = np.concatenate([self.links, np.array(links, np.int64)])
+        self._keep(np.array(sizes, np.int64).reshape(-1, 4), np.array(links, np.int64))
+
+    def _keep(self, sizes: np.ndarray, links: np.ndarray) -> None:
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.links = np.concatenate([self.links, links])
+
+    def _learn_lines(self, lines: list[list[str]]) -> None:
+        """Many segments in one text each; a line that is not given back byte by byte is left to be learnt one by one."""
+        both = self.tokenizers
+        texts = [" ".join(line) for line in lines]
+        encoded = both.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        known: list[str] = []
+        parts: list[list[np.ndarray]] = []
+        base = 0
+        for line, text, e in zip(lines, texts, encoded):
+            pieces = both.b.encode(text, return_type="proto", num_threads=1).pieces
+            data = (" " + text).encode()
+            # rows of id, begin, end of either side
+            spans = np.fromiter(chain.from_iterable(map(PIECE, pieces)), np.int64).reshape(-1, 3)
+            a, b = np.array(e.ids), spans[:, 0]
+            if b"".join(map(both.a_bytes.__getitem__, e.ids)) != data or b"".join(map(both.b_bytes.__getitem__, b.tolist())) != data:
+                continue
+            offsets = np.fromiter(chain.from_iterable(e.offsets), np.int64).reshape(-1, 2)
+            if len(data) > len(text) + 1:  # characters of several bytes
+                first = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+                offsets = np.append(np.flatnonzero(first), len(data))[offsets]
+            # spans of the second side start behind the space that it adds
+            ends = [refined_array(offsets, self.length[0][a]), refined_array(spans[:, 1:] + 1, self.length[1][b])]
+            stop = np.cumsum([len(p.encode()) + 1 for p in line])
+            parts.append([a, ends[0] + base, b, ends[1] + base, stop + base])
+            known += line
+            base += len(data)
+        if not known:
+            return
+        a, a_end, b, b_end, stop = (np.concatenate(c) for c in zip(*parts))
+        ends = np.zeros((2, base + 1), bool)
+        ends[0, a_end] = ends[1, b_end] = True
+        both_end = ends.all(axis=0)
+        if not both_end[stop].all():
+            return
+        cuts = np.flatnonzero(both_end)
+        of_a, of_b, owner = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end), np.searchsorted(stop, cuts)
+        n_a, n_b = np.bincount(of_a), np.bincount(of_b)
+        first_b = np.cumsum(n_b) - n_b
+        times = n_b[of_a]
+        other = np.arange(int(times.sum())) + np.repeat(first_b[of_a] - np.cumsum(times) + times, times)
+        links = np.repeat(a, times).astype(np.int64) * self.width + b[other]
+        # ids in the order of their text: a group's first side, then its second
+        words = np.empty(len(a) + len(b), object)
+        for ids, of, place, side in ((a, of_a, np.arange(len(a)) + first_b[of_a], 0),
+                                     (b, of_b, np.arange(len(b)) + np.cumsum(n_a)[of_b], 1)):
+            ends_group = np.append(of[1:] != of[:-1], True)
+            words[place] = np.where(ends_group, self.last[side][ids], self.inner[side][ids])
+        tokens = np.bincount(owner, n_a + n_b, len(stop)).astype(np.int64)
+        end = np.cumsum(tokens).tolist()
+        words = words.tolist()
+        self.update(zip(known, range(len(self.text), len(self.text) + len(known))))
+        self.text += ["".join(words[i:j])[:-1] for i, j in zip([0, *end], end)]
+        counts = [np.bincount(owner, w, len(stop)).astype(np.int64) for w in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)]
+        self._keep(np.stack(counts, axis=1), links)
+
+    def groups(self, number: int) -> Iterator[tuple[int, list[int], list[int]]]:
+        """Bytes and both sides' ids of each group of a segment."""
+        for group in self.text[number].split(";"):
+            a, b = (list(map(int, side.split(","))) for side in group.split("|"))
+            yield int(self.length[0][a].sum()), a, b
 
     def numbers(self, texts: list[bytes | None]) -> list[list[int]]:
         """The segments of each text by number; none for a text without tokens."""
@@ -176,7 +262,7 @@ class Memory(dict):
         found = [list(map(self.get, p)) for p in parts]
         new = {w for p, f in zip(parts, found) if None in f for w, k in zip(p, f) if k is None}
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
             found = [list(map(self.get, p)) if None in f else f for p, f in zip(parts, found)]
         whole = self.sizes[:, 0] >= 0
         return [f if f and whole[f].all() else [] for f in found]
@@ -209,12 +295,11 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "d
             for part in text_chunks(texts, BATCH_BYTES):
                 rows = []
                 for doc_id, numbers in zip(ids[part], known.numbers(texts[part])):
-                    base, count = 0, 0
-                    for g in map(known.groups.__getitem__, numbers):
-                        for start, end, a, b in zip([0, *g.ends], g.ends, g.a, g.b):
-                            rows.append((doc_id, count, base + start, base + end, a, b))
-                            count += 1
-                        base += g.ends[-1]
+                    at = 0
+                    every = (g for k in numbers for g in known.groups(k))
+                    for k, (size, a, b) in enumerate(every):
+                        rows.append((doc_id, k, at, at + size, a, b))
+                        at += size
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * 2
                 yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
