@@ -7,14 +7,11 @@ leaves form upper nodes, each with the mask and pattern of the bits all its memb
 share. A fingerprint is compared with upper nodes first: the differences accumulated
 on the shared bits rule out the whole group once they exceed the radius.
 
-Buckets come in two forms. ``segments``: radius + 1 disjoint bit segments, one of
-which two fingerprints within the radius must share, so every link is found; a
-bucket above ``BUCKET_ROWS`` is split by radius + 1 segments of its remaining bits,
-which again loses nothing. ``samples``: sets of bits drawn with a fixed seed, for
-radii too large for segments; their width follows the logarithm of the rows and their
-number follows from the width and the recall asked for at the radius itself. There
-links only say which rows to compare: groups are what pairs of the similarity reach,
-checked on whole shingle sets.
+Buckets are radius + 1 disjoint bit segments, one of which two fingerprints within the
+radius must share, so every link is found; a bucket above ``BUCKET_ROWS`` is split by
+radius + 1 segments of its remaining bits, which again loses nothing. After ``_DEPTH``
+splits with a radius of 4 a bucket shares over 40 bits, so it has at most some 2**22
+distinct fingerprints, whatever the input: that is what one task may have to hold.
 
 Copies collapse before any comparison (a combined aggregate per fingerprint), a
 bucket returns links to the smallest member of each of its linked groups, never all
@@ -23,14 +20,12 @@ pairs, and nodes whose members are already linked with a fingerprint are skipped
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .alike import alike_links, packed_set
 from .common import settle
 from .components import connected_components
 from .words import (
@@ -70,6 +65,20 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def with_simhash(docs: DataFrame, out: str, text_col: str = "text", shingle: int = 4) -> DataFrame:
+    """``docs`` and its 64-bit fingerprints as signed longs in a column ``out``."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = raw_texts(batch.column(batch.schema.get_field_index(text_col)))
+            marks = [_votes(texts[part], shingle, 1)[0].view(np.int64) for part in text_chunks(texts)]
+            column = pa.array(np.concatenate(marks) if marks else np.empty(0, np.int64))
+            yield pa.record_batch([*batch.columns, column], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def shingle_hashes(texts: list[bytes | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' shingles, one text after the other, and how many each text has."""
     data, at = joined(texts)
@@ -106,83 +115,10 @@ def _marks(hashes: np.ndarray, count: np.ndarray, width: int) -> list[np.ndarray
     return out
 
 
-def distinct_shingles(texts: list[bytes | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Like ``shingle_hashes``, each text's hashes ascending and without repeats."""
-    hashes, count = shingle_hashes(texts, shingle)
-    owner = np.repeat(np.arange(len(count)), count)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[new], np.bincount(owner[new], minlength=len(count))
-
-
-def set_hashes(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """A hash of each text's set of distinct shingles."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)])
-    end = np.cumsum(count)
-    return mix(total[end] - total[end - count] + count.astype(np.uint64))
-
-
-def _marked_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> DataFrame:
-    """``doc_id``, ``node`` (a hash of the row's shingle set) and the fingerprint of that set."""
-    names = fingerprint_columns(width)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = raw_texts(batch.column("text"))
-            for part in text_chunks(texts):
-                hashes, count = distinct_shingles(texts[part], shingle)
-                columns = [set_hashes(hashes, count), *_marks(hashes, count, width)]
-                ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
-                yield pa.record_batch([ids, *[pa.array(c.view(np.int64)) for c in columns]], names=["doc_id", "node", *names])
-
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "node", *names]))
-
-
-def _candidate_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``node`` and its packed shingle set, read again from the row with the id in ``wanted``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, node = raw_texts(batch.column("text")), batch.column("node").to_numpy()
-            for part in text_chunks(texts):
-                hashes, count = distinct_shingles(texts[part], shingle)
-                # an id may stand for several texts
-                same = np.flatnonzero(set_hashes(hashes, count).view(np.int64) == node[part])
-                end = np.cumsum(count)
-                sets = [packed_set(hashes[end[i] - count[i]:end[i]]) for i in same.tolist()]
-                yield pa.record_batch([pa.array(node[part][same]), pa.array(sets, pa.binary())], names=["node", "shingles"])
-
-    slim = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
-    rows = slim.join(wanted, F.col("__id") == F.col("least")).select("node", "text")
-    return rows.mapInArrow(run, "node long, shingles binary")
-
-
-def similarity_radius(similarity: float, bits: int, slack: float = 3.0) -> int:
-    """Differing bits expected at a shingle similarity (Jaccard), plus ``slack`` deviations."""
-    p = differing_share(similarity)
-    return math.floor(bits * p + slack * math.sqrt(bits * p * (1 - p)))
-
-
-def differing_share(similarity: float) -> float:
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
 def bit_segments(positions: list[int], parts: int) -> list[list[int]]:
     return [list(map(int, p)) for p in np.array_split(np.array(positions), parts)]
 
 
-def bit_samples(rows: int, bits: int, radius: int, recall: float) -> list[list[int]]:
-    """Bit sets so many that a pair ``radius`` bits apart shares one with chance ``recall``; nearer pairs more surely."""
-    size = max(6, math.ceil(math.log2(max(rows, 2))) - 6)
-    chance = math.comb(bits - radius, size) / math.comb(bits, size)
-    random = np.random.default_rng(20)
-    return [random.choice(bits, size, replace=False).tolist()
-            for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - chance)))]
-
-
 def _bucket_key(names: list[str], positions: list[int], table: int) -> Column:
     masks = [sum(1 << (p % 64) for p in positions if p // 64 == k) for k in range(len(names))]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
@@ -190,16 +126,16 @@ def _bucket_key(names: list[str], positions: list[int], table: int) -> Column:
 
 
 def fingerprint_links(fingerprints: DataFrame, width: int, radius: int,
-                      tables: list[list[int]], split: bool) -> DataFrame:
+                      tables: list[list[int]]) -> DataFrame:
     """Links between distinct fingerprints (columns ``node``, f0, ...) within ``radius`` bits.
 
-    ``tables`` lists the bit positions of each table of buckets. With ``split`` they must
-    be disjoint segments that make the search exact. Returns ``a`` and ``b``.
+    ``tables`` lists the bit positions of each table of buckets: ``radius`` + 1 disjoint
+    segments, which make the search exact. Returns ``a`` and ``b``.
     """
     names = fingerprint_columns(width)
     rows = _dealt(fingerprints, names, tables)
     found, paths = [], tables
-    for _ in range(_DEPTH if split else 0):
+    for _ in range(_DEPTH):
         large = rows.groupBy("key").count().where(F.col("count") > BUCKET_ROWS).select("key")
         large = settle(large, "large-buckets")
         if large.isEmpty():
@@ -396,49 +332,45 @@ class _Level:
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                          width: int = 1, radius: int = 4, similarity: float | None = None,
-                          recall: float = 0.95) -> DataFrame:
-    """One row per input row: ``doc_id``, f0, ... and ``component_id``, its group's smallest id.
+                          radius: int = 4) -> DataFrame:
+    """One row per input row: ``doc_id``, its fingerprint ``f0``, ``component_id`` and ``group``.
 
-    Fingerprints within ``radius`` bits are linked, and groups are what links reach.
-    Without ``similarity`` every link is found. With it, pairs of that shingle similarity
-    whose fingerprints lie within ``radius`` are found with chance ``recall`` or more, closer ones
-    more surely, and pairs below it are never linked.
+    Fingerprints within ``radius`` bits are linked, all of them, and groups are what links
+    reach. ``component_id`` is the smallest id in the group, ``group`` its smallest fingerprint.
 
     Copies, ties and repeated rows share a fingerprint and so a group. Texts without words
-    are linked like any other. Rows that repeat an id count as one document. A null id
-    links nothing; its row gets the smallest id with its fingerprint's group, or null.
-    Other columns are not read. An empty table gives an empty table.
+    are linked like any other. Rows are linked by their fingerprints alone: rows that share
+    an id need not share a group, and a row without an id is linked like any other; a group
+    without any id has a null ``component_id``. Other columns are not read. An empty table
+    gives an empty table.
     """
-    if similarity is not None:
-        return _similar_groups(docs, id_col, text_col, shingle, width, radius, similarity, recall)
-    names = fingerprint_columns(width)
-    marked = settle(simhash(docs, id_col, text_col, shingle, width), "fingerprints")
-    nodes = settle(marked.groupBy(*names).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
-    known = nodes.where("node is not null")
-    links = fingerprint_links(known, width, radius, bit_segments(list(range(64 * width)), radius + 1), split=True)
-    groups = connected_components(settle(links, "fingerprint-links"))
-    named = nodes.join(groups, "node", "left").select(
-        *[F.col(n).alias(f"__{n}") for n in names], F.coalesce("component", "node").alias("component_id"))
-    named = settle(named, "fingerprint-groups")
-    return marked.join(named, [F.col(n) == F.col(f"__{n}") for n in names], "left").select(
-        "doc_id", *names, "component_id")
-
-
-def _similar_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int, radius: int,
-                    similarity: float, recall: float) -> DataFrame:
-    """Fingerprint links only join candidates; groups are what pairs of the similarity reach."""
-    names = fingerprint_columns(width)
-    marked = settle(_marked_sets(docs, id_col, text_col, shingle, width), "fingerprints")
-    nodes = settle(marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.min(n).alias(n) for n in names]), "distinct-sets")
-    known = nodes.where("least is not null")
-    tables = bit_samples(known.count(), 64 * width, radius, recall)
-    near = settle(fingerprint_links(known, width, radius, tables, split=False), "fingerprint-links")
-    candidates = settle(connected_components(near), "candidate-groups")
-    wanted = candidates.join(known, "node").select("node", "least")
-    sets = _candidate_sets(docs, wanted, id_col, text_col, shingle)
-    groups = connected_components(settle(alike_links(sets, candidates, similarity), "similar-links"))
-    named = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"), "least")
-    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = settle(named.join(smallest, "group").select("node", "component_id"), "similar-groups")
-    return marked.join(named, "node").select("doc_id", *names, "component_id")
+    marked = settle(simhash(docs, id_col, text_col, shingle), "fingerprints")
+    nodes = settle(marked.groupBy("f0").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    links = fingerprint_links(nodes.select(F.col("f0").alias("node"), "f0"), 1, radius, bit_segments(list(range(64)), radius + 1))
+    reached = connected_components(settle(links, "fingerprint-links"))
+    grouped = nodes.join(reached, F.col("f0") == F.col("node"), "left").select(
+        F.col("f0").alias("__f0"), "least", F.coalesce("component", "f0").alias("group"))
+    grouped = settle(grouped, "fingerprint-groups")
+    # written, so that a hot group is shuffled on both sides of the join and can be split
+    smallest = settle(grouped.groupBy(F.col("group").alias("__group")).agg(F.min("least").alias("component_id")), "smallest-ids")
+    named = grouped.join(smallest, F.col("group") == F.col("__group")).select("__f0", "component_id", "group")
+    named = settle(named, "named-groups")
+    return marked.join(named, F.col("f0") == F.col("__f0"), "left").select("doc_id", "f0", "component_id", "group")
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    radius: int = 4) -> DataFrame:
+    """``docs`` with exactly one row of each near-duplicate group: that with the smallest id.
+
+    Rows without an id come last, of equal ids the smallest fingerprint counts, and of rows alike in
+    both the least hash of the row. All columns stay as they are.
+    """
+    groups = near_duplicate_groups(docs, id_col, text_col, shingle, radius)
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "f0")).alias("first"))
+    first = settle(first.select(F.col("first.f0").alias("__f0"), F.col("first.doc_id").alias("__id")), "first-of-groups")
+    marked = with_simhash(docs, "__mark", text_col, shingle).withColumn("__doc", F.col(id_col).cast("long"))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    order = Window.partitionBy("__mark", "__doc").orderBy(F.xxhash64(*plain))
+    one = marked.withColumn("__row", F.row_number().over(order)).where("__row = 1")
+    same = (F.col("__mark") == F.col("__f0")) & F.col("__doc").eqNullSafe(F.col("__id"))
+    return one.join(first, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from saleweft.llm import neardup
 from saleweft.llm.components import connected_components
-from saleweft.llm.neardup import bit_segments, fingerprint_links, gray_rank, near_duplicate_groups, similarity_radius
+from saleweft.llm.neardup import bit_segments, fingerprint_links, first_of_groups, gray_rank, near_duplicate_groups
 from saleweft.llm.substring import cut_repeats
 
 from .conftest import Links, lower_az, words_of
@@ -133,7 +133,7 @@ def test_large_buckets_are_split_without_loss(spark, monkeypatch):
     for i, m in marks.items():
         distinct.setdefault(m, i)
     frame = spark.createDataFrame([(i, m - (1 << 64) if m >> 63 else m) for m, i in distinct.items()], "node long, f0 long")
-    links = fingerprint_links(frame, 1, 4, bit_segments(list(range(64)), 5), split=True)
+    links = fingerprint_links(frame, 1, 4, bit_segments(list(range(64)), 5))
     assert links.where("a = b").count() == 0
     groups = {r.node: r.component for r in connected_components(links).collect()}
     expected = brute_groups({i: m for m, i in distinct.items()}, 4)
@@ -161,26 +161,45 @@ def test_gray_neighbours_differ_in_one_bit():
     assert [(int(h) << 64) + int(low) for h, low in gray_rank(words).T] == numbers
 
 
-def test_similar_documents_are_found(spark):
-    """Pairs of five-word similarity 0.8 or more end in one group, unlike ones do not."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    groups = near_duplicate_groups(docs, shingle=5, width=4, similarity=0.8, radius=similarity_radius(0.8, 256))
-    of = {r.doc_id: r.component_id for r in groups.collect()}
-    grams, holders = {}, {}
-    for r in docs.collect():
-        w = words_of(lower_az(r.text))
-        grams[r.doc_id] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
-        for g in grams[r.doc_id]:
-            holders.setdefault(g, []).append(r.doc_id)
-    pairs = {(a, b) for h in holders.values() if len(h) < 60 for a in h for b in h if a < b}
-    alike = {p: len(grams[p[0]] & grams[p[1]]) / len(grams[p[0]] | grams[p[1]]) for p in pairs}
-    near = [p for p, s in alike.items() if s >= 0.8]
-    assert near and np.mean([of[a] == of[b] for a, b in near]) >= 0.9
-    reach = Links()
-    for (a, b), s in alike.items():
-        if s >= 0.5:
-            reach.link(a, b)
-    assert all(reach.find(i) == reach.find(c) for i, c in of.items())
+def test_first_of_groups_keeps_one_row_of_each(documents):
+    rows = {r.doc_id: r for r in documents.collect()}
+    groups = {r.doc_id: r.component_id for r in near_duplicate_groups(documents).collect()}
+    kept = first_of_groups(documents)
+    assert kept.columns == documents.columns
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == set(groups.values()) and all(rows[i] == r for i, r in got.items()) and len(got) < len(rows)
+
+
+def varied(rng, words, n):
+    at = rng.randrange(len(words) - n)
+    return words[:at] + [f"x{rng.getrandbits(40)}" for _ in range(n)] + words[at + n:]
+
+
+def test_rows_go_not_ids(spark):
+    """An id may stand for several texts, rows may have no id, and whole rows may repeat."""
+    rng = random.Random(12)
+    a, b, c, d = ([f"w{rng.getrandbits(30)}" for _ in range(400)] for _ in range(4))
+    near = varied(rng, a, 1)
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, near), (None, c), (None, c), (9, c), (None, d), (None, d), (None, near)]
+    rows = [(i, " ".join(w), {"k": "v"}) for i, w in rows] + [(20, "", None), (21, None, None), (None, " ", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tags map<string, string>").repartition(3)
+    assert abs(brute_mark(" ".join(a), 4) ^ brute_mark(" ".join(near), 4)).bit_count() <= 4
+    got = sorted(((r.doc_id, r.text) for r in first_of_groups(frame).collect()), key=repr)
+    text = {k: " ".join(w) for k, w in zip("abcd", (a, b, c, d))}
+    assert got == sorted([(1, text["a"]), (5, text["b"]), (9, text["c"]), (None, text["d"]), (20, "")], key=repr)
+
+
+def test_a_long_chain_of_unlike_documents_is_one_group(spark, monkeypatch):
+    """Neighbours in the chain link, others do not; 3,000 links end in one component."""
+    monkeypatch.setattr(neardup, "BUCKET_ROWS", 100)
+    rng, mark, marks = random.Random(1), 0, []
+    for k in range(3000):
+        for b in rng.sample(range(64), 4):
+            mark ^= 1 << b
+        marks.append(mark)
+    frame = spark.createDataFrame([(m - (1 << 64) if m >> 63 else m,) for m in set(marks)], "f0 long").selectExpr("f0 AS node", "f0")
+    links = fingerprint_links(frame, 1, 4, bit_segments(list(range(64)), 5))
+    assert connected_components(links).select("component").distinct().count() == 1
 
 
 def test_components_of_random_links(spark):
