@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleweft.llm.common import settle, small_batches
 from saleweft.llm.decontam import without_leaks
-from saleweft.llm.neardup import near_duplicate_groups, similarity_radius
+from saleweft.llm.neardup import first_of_groups
 from saleweft.llm.packing import pack_documents
 from saleweft.llm.substring import cut_repeats
 from saleweft.llm.toxicity import fit_toxicity, score_toxicity
 
-SIMILARITY = 0.8
-SHINGLE_WORDS = 5
-FINGERPRINT_WORDS = 4
-"""Fingerprints of 256 bits: at a similarity of 0.8 about 39 bits differ, give or take 6; three times that is searched."""
+SHINGLE_WORDS, RADIUS = 4, 4
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,16 +31,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies.
+    """One row of each group of near copies: fingerprints of 4-word shingles within 4 bits, over links.
 
-    Rows that repeat an id stay or go together; rows without an id stay.
+    The row with the smallest id stays. Rows go, not ids: another text under an id that goes stays.
     """
     small_batches(spark)
-    groups = near_duplicate_groups(
-        docs, shingle=SHINGLE_WORDS, width=FINGERPRINT_WORDS, similarity=SIMILARITY,
-        radius=similarity_radius(SIMILARITY, 64 * FINGERPRINT_WORDS))
-    copies = settle(groups.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return first_of_groups(docs, shingle=SHINGLE_WORDS, radius=RADIUS)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
