@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .joins import anti, drop_superseded, latest_per_key, semi
 from .windows import dedup_ordered, latest_version
@@ -45,6 +46,23 @@ def files_since(
     return folders.where(F.col("modificationTime") > mark.scalar()).select("folder").distinct()
 
 
+def mark_text(mark: DataFrame) -> str:
+    """A one-row mark as the text that file readers take, in the session's time zone."""
+    return mark.select(F.date_format(mark.columns[0], "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
+
+
+def read_since(spark: SparkSession, path: str, mark: DataFrame) -> DataFrame | None:
+    """The rows of all files changed after the mark, chosen in the scan; None without such files."""
+    after = mark_text(mark)
+    files = files_of(spark, path).where(F.col("modificationTime") > F.lit(after).cast("timestamp"))
+    if files.isEmpty():
+        return None
+    return (
+        spark.read.option("modifiedAfter", after).option("recursiveFileLookup", True)
+        .option("mergeSchema", True).option("datetimeRebaseMode", "LEGACY").parquet(path)
+    )
+
+
 def newest_first(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in order]
 
@@ -80,11 +98,40 @@ def unloaded_partitions(source: DataFrame, stored: DataFrame, columns: Sequence[
     return anti(source.select(*columns).distinct(), stored.select(*columns).distinct(), columns)
 
 
+def partitions_of(spark: SparkSession, path: str, types: Mapping[str, T.DataType]) -> DataFrame:
+    """The partitions of a dataset by the paths of its files, none of which is opened; none without a folder."""
+    schema = T.StructType([T.StructField(c, t) for c, t in types.items()])
+    try:
+        files = files_of(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return files.select(*[
+        F.regexp_extract("path", f"/{c}=([^/]+)/", 1).cast(t).alias(c) for c, t in types.items()]).distinct()
+
+
+def rows_of_new_partitions(source: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of a frame whose partition is not stored yet; for a dataset of files see ``load_new_partitions``."""
+    return anti(source, stored.select(*columns).distinct(), columns)
+
+
 def load_new_partitions(
-    source: DataFrame, stored: DataFrame, columns: Sequence[str]
+    spark: SparkSession, path: str, stored_path: str, columns: Sequence[str]
 ) -> DataFrame:
-    """The source rows of partitions that are not stored yet."""
-    return anti(source, stored.select(*columns).distinct(), columns)
+    """The source rows of partitions that are not stored yet.
+
+    Partitions are compared by their paths. Those to load, at most one per day of the
+    calendar, become a filter on the partition columns, so other files are not opened.
+    """
+    source = spark.read.parquet(path)
+    types = {c: source.schema[c].dataType for c in columns}
+    new = unloaded_partitions(partitions_of(spark, path, types), partitions_of(spark, stored_path, types), columns)
+
+    def name() -> Column:
+        return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
+
+    return source.where(name().isin([r[0] for r in new.select(name()).collect()]))
 
 
 def current_state(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import parsed_date
 from ..operators.aggregate import sum_by
-from ..operators.incremental import load_new_partitions
+from ..operators.incremental import rows_of_new_partitions
 from ..operators.joins import latest_global
 from ..operators.windows import flag_newest, release_number
 from ..sources.readers import PARTS, padded_parts
@@ -32,7 +32,7 @@ def typed_forecast(raw: DataFrame) -> DataFrame:
 
 def new_releases(raw: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of release days that are not stored yet."""
-    return load_new_partitions(typed_forecast(raw), stored, PARTS)
+    return rows_of_new_partitions(typed_forecast(raw), stored, PARTS)
 
 
 def release_totals(rows: DataFrame, prefix: str) -> DataFrame:

@@ -6,15 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import incremental as inc
 from ..operators import quality as q
 from ..operators.columns import stamp_lineage
 from ..operators.ordering import distinct_sorted
-from ..operators.windows import dedup_ordered
 from ..session import settle
 from ..sources.readers import read_parquet
+from ..sources.store import KeyedStore
 
 SKIPPED = "no data detected after last_insertion_timestamp: ingestion skipped"
 AUDIT = (
@@ -53,24 +53,16 @@ class Loaded:
     files: DataFrame | None = None
 
 
-def new_folders(
-    spark: SparkSession, path: str, run: Run, stored: DataFrame | None
-) -> tuple[list[str], object]:
-    """Folders to read and the mark they were chosen by.
+def new_rows(spark: SparkSession, path: str, run: Run, stored: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows to load and the mark they were chosen by, one row.
 
-    The list has one entry per load, not per file; it is what the reader is
-    called with.
+    A full load reads the newest folder, a delta load the files changed after the mark.
     """
-    files = inc.files_of(spark, path)
     if run.mode == "Full":
-        folders, mark = inc.files_since(files, "Full", levels=run.levels), None
-    else:
-        base = stored if stored is not None else spark.createDataFrame(
-            [], f"{inc.INGESTED} timestamp")
-        mark = inc.high_water_mark(base)
-        folders = inc.files_since(files, "Delta", mark, run.levels)
-    listed = [r[0] for r in folders.orderBy("folder").collect()]
-    return listed, (None if mark is None else mark.first()[0])
+        newest = inc.files_since(inc.files_of(spark, path), "Full", levels=run.levels).first()
+        return (None if newest is None else read_parquet(spark, newest[0], recursive=True, legacy_dates=True)), None
+    mark = inc.high_water_mark(stored if stored is not None else spark.createDataFrame([], f"{inc.INGESTED} timestamp"))
+    return inc.read_since(spark, path, mark), mark
 
 
 def check(batch: DataFrame, run: Run) -> tuple[DataFrame, DataFrame | None, list[str]]:
@@ -90,13 +82,6 @@ def check(batch: DataFrame, run: Run) -> tuple[DataFrame, DataFrame | None, list
     return fixed, table, steps
 
 
-def merge(batch: DataFrame, stored: DataFrame | None, run: Run) -> DataFrame:
-    """The table after the run. The stored table has one row per key, as every run leaves it."""
-    if run.mode == "Delta" and stored is not None:
-        return inc.upsert(batch, stored, run.keys, run.order, stored_is_unique=True)
-    return dedup_ordered(batch, run.keys, inc.newest_first([*run.order, inc.INGESTED]))
-
-
 def audit_row(spark: SparkSession, run: Run, **metrics: object) -> DataFrame:
     """One row of the load log; what was not measured is null."""
     values = {
@@ -108,26 +93,43 @@ def audit_row(spark: SparkSession, run: Run, **metrics: object) -> DataFrame:
     return spark.createDataFrame([tuple(values.get(n) for n in names)], AUDIT)
 
 
-def ingest(
-    spark: SparkSession, path: str, run: Run, stored: DataFrame | None = None
-) -> Loaded:
-    """Load what is new below a path into a table.
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A frame written to the shared folder, and its rows as the write itself counted them."""
+    seen = Observation()
+    out = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return out, seen.get.get("rows", 0)
+
 
-    The batch, the errors and the merged table are written to the shared folder
-    once each, so counting them reads files and does not run the plan again.
+def ingest(spark: SparkSession, path: str, run: Run, store: KeyedStore) -> Loaded:
+    """Load what is new below a path into a keyed store.
+
+    A delta run reads and replaces the buckets it has keys in, a full run all. The batch, the
+    errors and the merged rows are each written by one job, which counts them on the way;
+    untouched buckets are counted from the footers of their files.
     """
-    folders, mark = new_folders(spark, path, run, stored)
-    if not folders:
-        return Loaded(audit_row(spark, run, message=SKIPPED, last_insertion_timestamp=mark))
-    raw = read_parquet(spark, *folders, recursive=True, legacy_dates=True)
-    batch = settle(stamp_lineage(raw, run.run_time, run.run_id), "batch")
+    state = store.state(spark)
+    raw, mark = new_rows(spark, path, run, store.read(spark) if state else None)
+    marked = None if mark is None else mark.first()[0]
+    if raw is None:
+        return Loaded(audit_row(spark, run, message=SKIPPED, last_insertion_timestamp=marked))
+    batch, loaded = counted(stamp_lineage(raw, run.run_time, run.run_id), "batch")
     fixed, errors, steps = check(batch, run)
-    errors = None if errors is None else settle(errors, "errors")
-    table = settle(merge(fixed, stored, run), "table")
+    errors, bad = (None, 0) if errors is None else counted(errors, "errors")
+    written, number = Observation(), max((s.last for s in state.values()), default=-1) + 1
+    if run.mode == "Full":
+        before, kept = None, 0
+        store.replace(fixed, number, written)
+    else:
+        before = store.count(spark, state)
+        touched = store.upsert(fixed, number, written)
+        kept = store.count(spark, {b: s for b, s in state.items() if b not in touched})
+    files = distinct_sorted(batch, "input_file_name")
     audit = audit_row(
-        spark, run, last_insertion_timestamp=mark, count_loaded_rows=batch.count(),
-        errors_count=0 if errors is None else errors.count(),
-        count_before_update=stored.count() if stored is not None and run.mode == "Delta" else None,
-        count_after_update=table.count(), cleaning_steps=" ; ".join(steps),
-        loaded_paths=" ; ".join(folders))
-    return Loaded(audit, table, errors, distinct_sorted(batch, "input_file_name"))
+        spark, run, last_insertion_timestamp=marked, count_loaded_rows=loaded, errors_count=bad,
+        count_before_update=before, count_after_update=kept + written.get.get("rows", 0),
+        cleaning_steps=" ; ".join(steps))
+    # the folders become one text in the row and do not pass through the driver
+    folders = files.select(inc.folder_of(F.col("input_file_name"), run.levels).alias("folder"))
+    folders = folders.agg(F.array_join(F.sort_array(F.collect_set("folder")), " ; ").alias("loaded_paths"))
+    audit = audit.withColumn("loaded_paths", folders.scalar())
+    return Loaded(audit, store.read(spark), errors, files)

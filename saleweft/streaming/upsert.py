@@ -1,63 +1,62 @@
-"""Keyed upsert as an available-now stream.
+"""Keyed upsert as an available-now stream into a keyed store.
 
-Each micro-batch is reduced to one row per key and written to its own folder.
-Reading merges the folders by key. A batch that is replayed after a failure
-writes the same folder again, so the result does not change, and a batch costs
-only its own rows, however large the table is. `compact` folds the folders into
-one from time to time.
+A micro-batch is checked, reduced to one row per key and added to the store under its
+batch id, its errors to an error table under the same id. A batch that is replayed after
+a failure writes the same folders again, so neither table changes. A batch costs its own
+rows only; from time to time the buckets that gathered many batches are folded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.incremental import INGESTED, newest_first
-from ..operators.windows import dedup_ordered
+from ..sources.store import KeyedStore
+from ..sources.writers import write_partitioned
 
+Check = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
 
-def _newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    tie = [c for c in (INGESTED,) if c in df.columns and c not in order]
-    return dedup_ordered(df, keys, newest_first([*order, *tie]))
+
+def write_batch(batch: DataFrame, batch_id: int, store: KeyedStore, check: Check | None = None,
+                errors: str | None = None, fold_above: int | None = None) -> None:
+    """One micro-batch: its errors, its rows, and then the folding of crowded buckets."""
+    batch = batch.persist()
+    try:
+        if check is not None:
+            batch, found = check(batch)
+            if found is not None and errors is not None:
+                write_partitioned(found.withColumn("batch", F.lit(batch_id)), errors, ["batch"])
+        store.add(batch, batch_id)
+    finally:
+        batch.unpersist()
+    if fold_above is not None:
+        store.fold(batch.sparkSession, fold_above)
 
 
 def stream_upsert(
     source: DataFrame,
-    target: str,
-    keys: Sequence[str],
-    order: Sequence[str],
+    store: KeyedStore,
     checkpoint: str,
+    check: Check | None = None,
+    errors: str | None = None,
+    fold_above: int | None = None,
 ) -> StreamingQuery:
-    """Merge all that is available on a streaming source, then stop."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        reduced = _newest(batch, keys, order)
-        reduced.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    """Merge all that is available on a streaming source, then stop.
 
+    ``check`` returns the batch to store and the errors found in it, which are kept in the
+    folder ``errors``. Buckets with more than ``fold_above`` batches are folded after each batch.
+    """
     return (
-        source.writeStream.foreachBatch(write)
+        source.writeStream
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, store, check, errors, fold_above))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def merged(
-    spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """The table as it stands: one row per key over all batches."""
-    batches = spark.read.option("mergeSchema", True).parquet(target)
-    newest = dedup_ordered(
-        batches, keys,
-        [*newest_first([*order, *[c for c in (INGESTED,) if c in batches.columns]]),
-         batches["batch"].desc()])
-    return newest.drop("batch")
-
-
-def compact(
-    spark: SparkSession, target: str, new_target: str, keys: Sequence[str], order: Sequence[str]
-) -> None:
-    """Write the merged table as the first batch of a new target."""
-    merged(spark, target, keys, order).write.mode("overwrite").parquet(f"{new_target}/batch=-1")
+def read_errors(spark: SparkSession, errors: str) -> DataFrame:
+    """All errors, with the batch each was found in."""
+    return spark.read.option("mergeSchema", True).parquet(errors)

@@ -9,7 +9,7 @@ from saleweft.operators import incremental as inc
 from saleweft.operators import quality as q
 from saleweft.plans.ingest import SKIPPED, Run, ingest
 from saleweft.session import scratch_path
-from saleweft.streaming.upsert import compact, merged, stream_upsert
+from saleweft.sources.store import KeyedStore
 
 SCHEMA = "k int, v int, ingestion_timestamp string"
 
@@ -82,34 +82,33 @@ def test_run_checks_merges_and_logs(spark, frame, rows):
         frame("k int, name string, day string", (1, "Null", "0001-01-01"), (1, "b", "2024-01-01"),
               (2, "c", "1970-01-01")).withColumn("day", F.col("day").cast("date"))
     ).write.parquet(f"{path}/load=1")
+    store = KeyedStore(scratch_path(spark, "store"), ["k"], ["name"], buckets=4)
     run = Run("t", ["k"], ["name"], "Full", "r1", "2999-01-01 00:00:00")
-    out = ingest(spark, path, run)
+    out = ingest(spark, path, run, store)
     assert rows(out.table.select("k", "name", F.col("day").cast("string"))) == [
         (1, "b", "2024-01-01"), (2, "c", "1970-01-01")]
     assert rows(out.errors.groupBy("error_column").count()) == sorted(
         [("day", 1), ("name", 1), (None, 2)], key=repr)
     audit = out.audit.first()
     assert (audit.count_loaded_rows, audit.errors_count, audit.count_after_update) == (3, 4, 2)
-    again = ingest(spark, path, Run("t", ["k"], ["name"], "Delta", "r2", "2999-01-02 00:00:00"),
-                   out.table)
+    assert audit.loaded_paths.endswith("/landing") or "landing-" in audit.loaded_paths
+    again = ingest(spark, path, Run("t", ["k"], ["name"], "Delta", "r2", "2999-01-02 00:00:00"), store)
     assert again.table is None and again.audit.first().message == SKIPPED
 
 
-def test_stream_equals_batch_and_survives_a_replay(spark, frame, rows):
-    landing, target, state, folded = (scratch_path(spark, n) for n in "abcd")
-    schema = "k int, v int, note string"
-    for part in ([(1, 1, "a"), (2, 5, "b"), (1, 3, "c")], [(1, 2, "d"), (3, None, "e"), (3, 0, "f")]):
-        frame(schema, *part).coalesce(1).write.mode("append").parquet(landing)
-        source = spark.readStream.schema(schema).parquet(landing)
-        stream_upsert(source, target, ["k"], ["v"], state).awaitTermination()
-    expected = [(1, 3, "c"), (2, 5, "b"), (3, 0, "f")]
-    assert rows(merged(spark, target, ["k"], ["v"])) == expected
-    replay = spark.read.parquet(f"{target}/batch=0")
-    settled = replay.collect()
-    spark.createDataFrame(settled, replay.schema).write.mode("overwrite").parquet(f"{target}/batch=0")
-    assert rows(merged(spark, target, ["k"], ["v"])) == expected
-    compact(spark, target, folded, ["k"], ["v"])
-    assert rows(merged(spark, folded, ["k"], ["v"])) == expected
+def test_delta_runs_read_new_files_only_and_count_all(spark, frame, rows):
+    path, store = scratch_path(spark, "landing"), KeyedStore(scratch_path(spark, "store"), ["k"], ["v"], buckets=4)
+    frame("k int, v int", *[(k, 0) for k in range(40)]).write.parquet(f"{path}/load=1")
+    first = ingest(spark, path, Run("t", ["k"], ["v"], "Delta", "r1", "2020-01-01 00:00:00"), store)
+    audit = first.audit.first()
+    assert (audit.count_before_update, audit.count_loaded_rows, audit.count_after_update) == (0, 40, 40)
+    # the mark is the first run's time, so both loads are newer and the first is merged once more
+    frame("k int, v int, fresh string", (1, 7, "f"), (100, 1, "g")).write.parquet(f"{path}/load=2")
+    second = ingest(spark, path, Run("t", ["k"], ["v"], "Delta", "r2", "2999-01-01 00:00:00"), store)
+    audit = second.audit.first()
+    assert (audit.count_before_update, audit.count_loaded_rows, audit.count_after_update) == (40, 42, 41)
+    assert audit.loaded_paths.count(" ; ") in (0, 1) and second.table.count() == 41
+    assert rows(second.table.where("fresh is not null").select("k", "v", "fresh")) == [(1, 7, "f"), (100, 1, "g")]
 
 
 def test_asserts_fail_with_a_sample(frame):

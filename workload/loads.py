@@ -7,8 +7,12 @@ import time
 from pyspark.sql import functions as F
 
 from saleweft.operators import incremental as inc
+from saleweft.operators.columns import stamp_lineage
+from saleweft.operators.quality import old_date_check
 from saleweft.plans.ingest import Run, ingest
-from saleweft.streaming.upsert import compact, merged, stream_upsert
+from saleweft.sources.store import KeyedStore
+from saleweft.sources.writers import write_partitioned
+from saleweft.streaming.upsert import read_errors, stream_upsert
 
 from .registry import query
 
@@ -38,10 +42,9 @@ def i02(t):
         if status == "F":
             landed = inc.files_of(t.spark, path).select(F.max("modificationTime").alias("ingestion_timestamp"))
             mark = inc.high_water_mark(landed)
+            mark = t.spark.createDataFrame([(inc.mark_text(mark),)], "m string").select(F.col("m").cast("timestamp"))
             time.sleep(0.01)  # the next files are younger by a millisecond at least
-    folders = inc.files_since(inc.files_of(t.spark, path), "Delta", mark, levels=1)
-    names = [r[0] for r in folders.orderBy("folder").collect()]
-    return t.spark.read.parquet(*names)
+    return inc.read_since(t.spark, path, mark)
 
 
 NEW = """new_rows AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS changed, l_returnflag AS flag, 2 AS load
@@ -79,11 +82,12 @@ def i03(t):
 
 @query("i03_upsert_unique_store", UPSERT, "l_quantity")
 def i03_unique(t):
-    """The same result when the store already has one row per key: it is not shuffled whole."""
+    """The same result from a bucketed store: only the buckets that the new rows fall into are read and replaced."""
     new, stored = two_loads(t)
-    unique = inc.dedup_ordered(stored, KEYS, inc.newest_first(TIES))
-    return inc.upsert(new, unique, KEYS, TIES, stored_is_unique=True).select(
-        *KEYS, "l_quantity", "flag")
+    store = KeyedStore(t.scratch("store"), KEYS, TIES, buckets=8)
+    store.replace(stored, 0)
+    store.upsert(new, 1)
+    return store.read(t.spark).select(*KEYS, "l_quantity", "flag")
 
 
 @query("i04_skip_if_empty", """
@@ -94,15 +98,13 @@ def i04(t):
     """A first run loads; a second run finds nothing newer than the first, and says so."""
     path = t.scratch("landing")
     t.orders.select("o_orderkey", "o_totalprice").write.parquet(f"{path}/load=1")
+    store = KeyedStore(t.scratch("store"), ["o_orderkey"], ["o_totalprice"], buckets=8)
 
     def run(name, time):
-        return Run("store.lines", ["o_orderkey"], ["o_totalprice"], "Delta", name, time)
+        return ingest(t.spark, path, Run("store.lines", store.keys, store.order, "Delta", name, time), store).audit
 
-    first = ingest(t.spark, path, run("run-1", "2999-01-01 00:00:00"))
-    second = ingest(t.spark, path, run("run-2", "2999-01-02 00:00:00"), first.table)
-    return first.audit.unionByName(second.audit).select(
-        F.col("output_table_name").alias("table_name"), "mode", "count_loaded_rows",
-        "message")
+    audits = run("run-1", "2999-01-01 00:00:00").unionByName(run("run-2", "2999-01-02 00:00:00"))
+    return audits.select(F.col("output_table_name").alias("table_name"), "mode", "count_loaded_rows", "message")
 
 
 @query("i04_ingest_run", """
@@ -113,12 +115,12 @@ def i04_run(t):
     path = t.scratch("landing")
     lines = t.lineitem.select("l_orderkey", "l_quantity")
     lines.where("l_quantity > 25").write.parquet(f"{path}/load=1")
-    stored = lines.where("l_quantity <= 25").groupBy("l_orderkey").agg(
-        F.max("l_quantity").alias("l_quantity")).withColumn(
+    stored = lines.where("l_quantity <= 25").withColumn(
         "ingestion_timestamp", F.lit("2020-01-01 00:00:00").cast("timestamp"))
-    run = Run("store.lines", ["l_orderkey"], ["l_quantity"], "Delta", "run-1", "2999-01-01 00:00:00")
-    return ingest(t.spark, path, run, stored).table.select(
-        "l_orderkey", F.col("l_quantity").alias("top"))
+    store = KeyedStore(t.scratch("store"), ["l_orderkey"], ["l_quantity"], buckets=8)
+    store.replace(stored)
+    run = Run("store.lines", store.keys, store.order, "Delta", "run-1", "2999-01-01 00:00:00")
+    return ingest(t.spark, path, run, store).table.select("l_orderkey", F.col("l_quantity").alias("top"))
 
 
 @query("i05_stream_upsert", """
@@ -126,18 +128,37 @@ SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (P
   FROM events) x WHERE rn = 1
 """, "value")
 def i05(t):
-    """All events fed as a file stream in two rounds, then folded into one batch."""
-    landing, target, folded, state = (
-        t.scratch(n) for n in ("events", "target", "folded", "checkpoint"))
-    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    """All events as a file stream in two rounds; buckets with several batches are folded after each."""
+    landing, state = t.scratch("events"), t.scratch("checkpoint")
+    store = KeyedStore(t.scratch("store"), ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
     events = t.events.drop("props")
     for part in (events.where("event_type in ('view', 'click')"),
                  events.where("event_type not in ('view', 'click')")):
         part.write.mode("append").parquet(landing)
         source = t.spark.readStream.schema(events.schema).parquet(landing)
-        stream_upsert(source, target, keys, order, state).awaitTermination()
-    compact(t.spark, target, folded, keys, order)
-    return merged(t.spark, folded, keys, order).select("user_id", "event_type", "event_id", "value")
+        stream_upsert(source, store, state, fold_above=1).awaitTermination()
+    return store.read(t.spark).select("user_id", "event_type", "event_id", "value")
+
+
+@query("i05_stream_errors", """
+SELECT event_id, CAST(CAST(ts AS DATE) AS STRING) AS day FROM events WHERE ts < TIMESTAMP '2024-01-08'
+""")
+def i05_errors(t):
+    """The checks of a load inside the stream: dates before a limit go to the error table, batch by batch."""
+    landing, errors = t.scratch("events"), t.scratch("errors")
+    store = KeyedStore(t.scratch("store"), ["event_id"], ["ts"], buckets=8)
+    events = t.events.drop("props")
+    events.write.parquet(landing)
+    source = t.spark.readStream.schema(events.schema).parquet(landing).transform(
+        stamp_lineage, "2024-05-01 06:00:00", "run-7")
+
+    def check(batch):
+        return old_date_check(batch, ["event_id"], limit="2024-01-08")
+
+    stream_upsert(source, store, t.scratch("checkpoint"), check, errors).awaitTermination()
+    return read_errors(t.spark, errors).select(
+        F.regexp_extract("pkey_value", "[0-9]+", 0).cast("long").alias("event_id"),
+        F.substring("error_value", 1, 10).alias("day"))
 
 
 @query("i06_load_new_partitions", """
@@ -145,13 +166,17 @@ SELECT l_orderkey, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate)
 WHERE (year(l_shipdate), month(l_shipdate)) NOT IN (SELECT DISTINCT (year(o_orderdate), month(o_orderdate)) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice > 300000)
 """)
 def i06(t):
+    """Partitions are chosen by their paths; the scan opens no file of a loaded one."""
     def parted(df, date, *others):
-        return df.select(*others, F.year(date).alias("year"), F.month(date).alias("month"))
+        path = t.scratch("parted")
+        df = df.select(*others, F.year(date).alias("year"), F.month(date).alias("month"))
+        write_partitioned(df, path, ["year", "month"])
+        return path
 
     stored = parted(t.orders.where(
-        "o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_totalprice > 300000"), "o_orderdate")
-    return inc.load_new_partitions(parted(t.lineitem, "l_shipdate", "l_orderkey"), stored,
-                                   ["year", "month"])
+        "o_orderstatus = 'F' and o_orderpriority = '1-URGENT' and o_totalprice > 300000"), "o_orderdate", "o_orderkey")
+    source = parted(t.lineitem, "l_shipdate", "l_orderkey")
+    return inc.load_new_partitions(t.spark, source, stored, ["year", "month"])
 
 
 @query("i07_current_state", """

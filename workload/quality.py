@@ -116,11 +116,13 @@ SELECT 'store.orders' AS output_table_name, 'run-1' AS ingestion_id, 'Full' AS m
 """)
 def q08(t):
     from saleweft.plans.ingest import Run, ingest
+    from saleweft.sources.store import KeyedStore
 
     path = t.scratch("landing")
     t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus").write.parquet(f"{path}/load=1")
     run = Run("store.orders", ["o_orderkey"], ["o_totalprice"], "Full", "run-1", "2024-05-01 06:00:00")
-    return ingest(t.spark, path, run).audit.select(
+    store = KeyedStore(t.scratch("store"), ["o_orderkey"], ["o_totalprice"], buckets=8)
+    return ingest(t.spark, path, run, store).audit.select(
         "output_table_name", "ingestion_id", "mode", "incremental_field", "p_key",
         "count_loaded_rows", "errors_count", "count_after_update", "cleaning_steps")
 
