@@ -101,6 +101,13 @@ PARTNER_TARGETS = {
     "rsm_code": ("rsm", False),
 }
 
+# Names of partners by the column of their code.
+PARTNER_NAMES = {
+    "purchase_group_code": "purchase_group_descr", "main_group_code": "main_group_descr",
+    "super_group_code": "super_group_descr", "sale_zone_code": "sale_zone_descr",
+    "salesman_code": "salesman_name", "sale_director_code": "sale_director", "rsm_code": "rsm",
+}
+
 HEADER_ITEM = "000000"
 
 # Account names of the budget, forecast and freight exports.
@@ -177,3 +184,16 @@ DEFAULT_CURRENCY = "EUR"
 # Fixed names of the error table's key and file columns.
 ERROR_KEY = "pkey_value"
 ERROR_FILE = "s3_input_file_name"
+
+# Fixed values of the market hierarchy: the company whose networks go by product line, code
+# widths, code prefixes, and the columns that describe a market.
+LINE_COMPANY = "80"
+LINE_ORGANIZATION = "66J0"
+MARKET_CODES = {"sales_organization": None, "sales_office": None, "company": 2, "network": 2}
+MARKET_PREFIXES = {
+    "market_budget": "M_", "responsible_code1": "R_", "responsible_code": "C_", "responsible_code3": "S_",
+}
+MARKET_TEXTS = [
+    "responsible_code", "responsible_descr", "responsible_code1", "responsible_descr1",
+    "responsible_code3", "responsible_descr3", "market_budget", "market_budget_descr",
+]

@@ -8,7 +8,7 @@ from typing import Literal
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .joins import anti, drop_superseded, latest_per_key, semi
+from .joins import anti, drop_superseded, latest_per_period, semi
 from .windows import dedup_ordered, latest_version
 
 INGESTED = "ingestion_timestamp"
@@ -143,8 +143,8 @@ def current_state(
 
 
 def latest_extract(df: DataFrame, keys: Sequence[str], column: str = "ingestion_date") -> DataFrame:
-    """A later extraction replaces all earlier ones of the same period."""
-    return latest_per_key(df, keys, column)
+    """A later extraction replaces all earlier ones of the same period (years, quarters, months)."""
+    return latest_per_period(df, keys, column)
 
 
 def backfill_ranges(

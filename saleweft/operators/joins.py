@@ -11,12 +11,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.nulls import as_column, coalesce_blank
+from ..functions.nulls import as_column, is_blank
 from .columns import quoted
-from .lookup import spread_join, unique_values
+from .lookup import ONCE, checked_lookup, held, spread_join, unique_join, unique_rows, unique_values
 
 
 def salted_join(
@@ -57,9 +57,32 @@ def with_needed_keys(history: DataFrame, needed: DataFrame, keys: Sequence[str])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """All rows that carry the newest value of a column within their key."""
-    newest = df.groupBy(*keys).agg(F.max(column).alias(column))
-    return df.join(newest, [*keys, column], "leftsemi")
+    """All rows that carry the newest value of a column within their key; none without a key or a value.
+
+    Each task drops what its own rows already overtake before anything is shuffled. For keys
+    that a calendar bounds, ``latest_per_period`` shuffles nothing.
+    """
+    newest = Window.partitionBy(*map(quoted, keys)).orderBy(quoted(column).desc())
+    present = reduce(and_, [quoted(c).isNotNull() for c in [*keys, column]])
+    return df.where(present).withColumn("__rank", F.rank().over(newest)).where("__rank = 1").drop("__rank")
+
+
+def period_map(df: DataFrame, keys: Sequence[str], value: Column) -> Column:
+    """An aggregate per period, looked up by a row's own period: a map in a scalar subquery.
+
+    Only for keys that a calendar bounds (years, months, quarters): the map is one value.
+    Rows with a null in their keys find nothing. The frame is neither joined nor shuffled.
+    """
+    period = F.struct(*map(quoted, keys))
+    present = reduce(and_, [quoted(k).isNotNull() for k in keys])
+    grouped = df.where(present).groupBy(*map(quoted, keys)).agg(value.alias("__value"))
+    entries = F.collect_list(F.struct(period.alias("key"), F.col("__value").alias("value")))
+    return grouped.agg(F.map_from_entries(entries).alias("periods")).scalar()[period]
+
+
+def latest_per_period(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Like ``latest_per_key`` for keys that a calendar bounds: a comparison with one looked-up value."""
+    return df.where(quoted(column) == period_map(df, keys, F.max(quoted(column))))
 
 
 def latest_global(df: DataFrame, column: str) -> DataFrame:
@@ -83,11 +106,10 @@ def partial_match(
     values = [c for c in rules.columns if c not in rule_keys]
     table = unique_values(rules, rule_keys, values, "rules").select(
         *[quoted(c).alias(f"__rule_{c}") for c in rule_keys],
-        *[F.col("__kept")[v].alias(v) for v in values],
-    )
+        *[F.col("__kept")[v].alias(v) for v in values], ONCE)
     equal = reduce(and_, [as_column(a) == F.col(f"__rule_{b}") for a, b in on.items()])
     last = F.col(f"__rule_{theirs}")
-    joined = df.join(table, equal & (last.isNull() | (F.col(mine) == last)), "left")
+    joined = held(df.join(table, equal & (last.isNull() | (F.col(mine) == last)), "left"))
     return joined.drop(*[f"__rule_{c}" for c in rule_keys])
 
 
@@ -109,8 +131,8 @@ def interval_lookup(
     """
     days = unique_values(days_of_intervals(intervals, start, end, value), ["day"], [value],
                          "overlapping intervals")
-    hits = days.select(F.col("day").alias("__day"), F.col("__kept")[value].alias(dest))
-    return spread_join(df, hits, {"__day": F.col(date)}).drop("__day")
+    hits = days.select(F.col("day").alias("__day"), F.col("__kept")[value].alias(dest), ONCE)
+    return held(spread_join(df, hits, {"__day": F.col(date)})).drop("__day")
 
 
 def drop_superseded(
@@ -130,7 +152,7 @@ def date_spine(df: DataFrame, dimension: str, start: Column, end: Column, name:
 
 
 def role_partners(
-    partners: DataFrame, roles: Mapping[str, str], role: str, value: str, keys: Sequence[str]
+    partners: DataFrame, roles: Mapping[str, str], role: str, value: Column, keys: Sequence[str]
 ) -> DataFrame:
     """One row per key with one column per role, in a single pass.
 
@@ -143,7 +165,7 @@ def role_partners(
                             *[F.col(k) for k in keys])
         columns.append(
             F.when(F.count(F.when(hit, 1)) > 1, F.raise_error(twice))
-            .otherwise(F.max(F.when(hit, F.col(value)))).alias(name)
+            .otherwise(F.max(F.when(hit, value))).alias(name)
         )
     wanted = partners.where(F.col(role).isin(list(roles.values())))
     return wanted.groupBy(*keys).agg(*columns)
@@ -156,23 +178,34 @@ def with_partners(
     item: str = "order_line",
     roles: Mapping[str, str] = fixed.PARTNER_ROLES,
     targets: Mapping[str, tuple[str, bool]] = fixed.PARTNER_TARGETS,
+    names: DataFrame | None = None,
+    named: Mapping[str, str] = fixed.PARTNER_NAMES,
 ) -> DataFrame:
     """Add one customer per role: that of the item, else that of the document.
 
     Two joins serve all roles. For some roles a blank at item level also gives
-    way to the document.
+    way to the document. With ``names`` (customer, name) the targets listed in ``named`` get
+    their name as well: codes are rows of ``partners``, so one join there names all roles.
     """
-    by_item = role_partners(partners, roles, "parvw", "kunnr", ["vbeln", "posnr"]).select(
+    if names is not None:
+        partners = checked_lookup(partners, names, "kunnr", "__name", None, "customer name")
+    one = F.struct(F.col("kunnr").alias("code"), (F.col("__name") if names is not None else F.lit(None)).alias("name"))
+    by_item = role_partners(partners, roles, "parvw", one, ["vbeln", "posnr"]).select(
         F.col("vbeln").alias("__item_document"), F.col("posnr").alias("__item"),
         *[F.col(r).alias(f"__item_{r}") for r in roles])
     by_document = role_partners(
-        partners.where(F.col("posnr") == fixed.HEADER_ITEM), roles, "parvw", "kunnr", ["vbeln"],
+        partners.where(F.col("posnr") == fixed.HEADER_ITEM), roles, "parvw", one, ["vbeln"],
     ).select(F.col("vbeln").alias("__document"), *[F.col(r).alias(f"__doc_{r}") for r in roles])
-    picked = {
-        target: (coalesce_blank if blank else F.coalesce)(
-            F.col(f"__item_{r}"), F.col(f"__doc_{r}"))
-        for target, (r, blank) in targets.items() if r in roles
-    }
+    picked = {}
+    for target, (r, blank) in targets.items():
+        if r not in roles:
+            continue
+        own, head = F.col(f"__item_{r}"), F.col(f"__doc_{r}")
+        absent = is_blank(own["code"]) if blank else own["code"].isNull()
+        best = F.when(absent, head).otherwise(own)
+        picked[target] = best["code"]
+        if names is not None and target in named:
+            picked[named[target]] = best["name"]
     return (
         df.transform(spread_join, by_item, {"__item_document": F.col(document), "__item": F.col(item)})
         .transform(spread_join, by_document, {"__document": F.col(document)})
@@ -185,9 +218,9 @@ def with_partners(
 def role_lookup(
     df: DataFrame, dimension: DataFrame, keys: Sequence[str], prefix: str
 ) -> DataFrame:
-    """Join a dimension once more under a role; its columns take the prefix."""
+    """Join a dimension, unique by its keys, once more under a role; its columns take the prefix."""
     renamed = dimension.select([quoted(c).alias(prefix + c) for c in dimension.columns])
-    return df.join(renamed, [prefix + k for k in keys], "left")
+    return unique_join(df, renamed, [prefix + k for k in keys], f"{prefix}dimension")
 
 
 def cancelled_lookup(
@@ -214,10 +247,11 @@ def cancelled_lookup(
 def base_attributes(
     df: DataFrame, key: str, base_key: str, attributes: Mapping[str, str]
 ) -> DataFrame:
-    """Attributes of the row that ``base_key`` points to, under new names."""
-    base = df.select(quoted(key).alias("__base"),
-                     *[quoted(a).alias(n) for a, n in attributes.items()])
-    return df.join(base, quoted(base_key) == F.col("__base"), "left").drop("__base")
+    """Attributes of the row that ``base_key`` points to, under new names. The key has to be unique."""
+    base = df.where(quoted(key).isNotNull()).select(
+        quoted(key).alias("__base"), *[quoted(a).alias(n) for a, n in attributes.items()])
+    base = unique_rows(base, ["__base"], "base rows")
+    return held(df.join(base, quoted(base_key) == F.col("__base"), "left")).drop("__base")
 
 
 def reassemble(
@@ -226,13 +260,14 @@ def reassemble(
     """A fact of several systems with the dimension side of each row's own system.
 
     The sides are stacked and joined once by system and key, so a column that
-    several sides have is filled for the rows of all of them.
+    several sides have is filled for the rows of all of them. A key that repeats in
+    a side fails the job.
     """
     stacked = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [side.withColumn(source, F.lit(tag)) for tag, side in sides.items()],
     )
-    return fact.join(stacked, [source, key], "left")
+    return unique_join(fact, stacked, [source, key], "dimension sides")
 
 
 def join_change_log(header: DataFrame, item: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from .. import fixed_values as fixed
 from ..fixed_values import ENDED_STATES, NO_DATE, OLDEST_DATE
 from ..functions.dates import day
 from ..functions.nulls import is_blank
+from ..session import settle
 from .aggregate import any_of, duplicate_keys, multi_class
 from .columns import quoted
 from .windows import backward_steps, count_over_key, dedup_ordered
@@ -34,6 +35,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def settle_unique(df: DataFrame, keys: Sequence[str], name: str = "settled") -> DataFrame:
+    """Write a result to the shared folder once, and fail unless its key is unique there.
+
+    Only the key columns are read again for the check, so a wide plan does not run twice.
+    """
+    return assert_unique(settle(df, name), keys)
+
+
 def assert_not_null(df: DataFrame, *columns: str) -> DataFrame:
     _fail_on(df.where(any_of([quoted(c).isNull() for c in columns])), "null values")
     return df

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.dates import day
 from ..functions.nulls import as_column
 from .columns import quoted
+from .joins import period_map
 
 
 def dedup_ordered(
@@ -101,13 +102,13 @@ def release_number(
 ) -> DataFrame:
     """Label each release day with its place in the month, as in ``W.2024-05.2``.
 
-    Only the distinct days are ranked, at most 31 per month.
+    The days of a month, 31 at most, are looked up in one map of months; rows with a null
+    in their day are left out.
     """
-    days = df.select(year, month, dom).distinct()
-    place = F.dense_rank().over(Window.partitionBy(year, month).orderBy(dom))
+    days = period_map(df, [year, month], F.sort_array(F.collect_set(F.col(dom))))
     label = F.concat(F.lit(f"{prefix}."), F.col(year), F.lit("-"), F.col(month), F.lit("."),
-                     place.cast("string"))
-    return df.join(days.withColumn(name, label), [year, month, dom], "inner")
+                     F.array_position(days, F.col(dom)).cast("string"))
+    return df.withColumn(name, label).where(F.col(name).isNotNull())
 
 
 def flag_newest(df: DataFrame, date: str, kind: str, name: str) -> DataFrame:

@@ -15,7 +15,8 @@ from ..operators.aggregate import first_date, sum_by
 from ..operators.filters import exclude_values
 from ..operators.joins import with_partners
 from ..operators.lookup import (
-    checked_lookup, constant_lookup, inverse_rates, literal_lookup, two_step_lookup)
+    checked_lookup, constant_lookup, inverse_rates, literal_lookup, spread_join)
+from ..operators.sets import union_all
 from . import measures as m
 from .costs import span_around, with_unit_costs
 from .market import market_of
@@ -292,21 +293,6 @@ def with_currency(
     )
 
 
-@dataclass(frozen=True)
-class FactTables:
-    """Tables an order, delivery or invoice fact is enriched with."""
-
-    partners: DataFrame
-    conditions: DataFrame
-    market_rules: DataFrame
-    product_lines: DataFrame
-    company_currency: DataFrame
-    yearly_rates: DataFrame
-    costs: Mapping[str, DataFrame] = field(default_factory=dict)
-    customers: CustomerMaps | None = None
-    block_events: DataFrame | None = None
-
-
 @dataclass(frozen=True)
 class CustomerMaps:
     """Customer maps by ``customer|organisation|channel|division`` or by code."""
@@ -320,35 +306,76 @@ class CustomerMaps:
     names: DataFrame
 
 
-NAMED_PARTNERS = {
-    "purchase_group_code": "purchase_group_descr", "main_group_code": "main_group_descr",
-    "super_group_code": "super_group_descr", "sale_zone_code": "sale_zone_descr",
-    "salesman_code": "salesman_name", "sale_director_code": "sale_director", "rsm_code": "rsm",
-}
+@dataclass(frozen=True)
+class FactTables:
+    """Tables an order, delivery or invoice fact is enriched with.
 
+    ``notes`` has one row per delivery note, see `deliveries.note_texts`; ``terms`` and
+    ``payment_texts`` are the payment terms and the texts of their types.
+    """
 
-def with_customers(df: DataFrame, maps: CustomerMaps) -> DataFrame:
-    """Customer types, sales group and partner names of a fact."""
+    partners: DataFrame
+    conditions: DataFrame
+    market_rules: DataFrame
+    product_lines: DataFrame
+    company_currency: DataFrame
+    yearly_rates: DataFrame
+    costs: Mapping[str, DataFrame] = field(default_factory=dict)
+    customers: CustomerMaps | None = None
+    block_events: DataFrame | None = None
+    notes: DataFrame | None = None
+    terms: DataFrame | None = None
+    payment_texts: DataFrame | None = None
+
+    @property
+    def names(self) -> DataFrame | None:
+        return None if self.customers is None else self.customers.names
+
+
+def customer_table(maps: CustomerMaps) -> DataFrame:
+    """All that is known under a customer key, one row per key: the maps stacked, their texts looked up once here."""
+    sides = {"customer_type_code": maps.type_code, "customer_type_code_lev3": maps.type_level3, "__group": maps.sales_group}
+    stacked = [side.toDF("__customer", name) for name, side in sides.items()]
+    for name, rows in zip(sides, stacked):
+        others = [c for c in sides if c != name]
+        kind = rows.schema[name].dataType
+        rows = rows.select("__customer", name, *[F.lit(None).cast(kind).alias(c) for c in others], F.lit(name).alias("__kind"))
+        stacked[list(sides).index(name)] = rows
+    twice = F.concat(F.lit("customer map: key occurs more than once: "), F.col("__customer"))
+
+    def value(name: str) -> Column:
+        mine = F.col("__kind") == name
+        return F.when(F.count(F.when(mine, 1)) > 1, F.raise_error(twice)).otherwise(F.max(name)).alias(name)
+
+    known = union_all(stacked).groupBy("__customer").agg(*map(value, sides))
     undefined = F.lit(fixed.NOT_DEFINED)
+    return (
+        known.transform(checked_lookup, maps.type_level3_text, "customer_type_code_lev3", "__level3", undefined, "level text")
+        .transform(checked_lookup, maps.type_text, "customer_type_code", "__type", undefined, "type text")
+        .transform(checked_lookup, maps.sales_group_text, "__group", "sales_group", None, "sales group")
+        .select("__customer", "customer_type_code", "customer_type_code_lev3",
+                strict_key("-", "__level3", "__type").alias("customer_type_descr"), "sales_group")
+    )
+
+
+def with_customers(df: DataFrame, maps: CustomerMaps) -> DataFrame:
+    """Customer types of the invoiced and the receiving customer, and the sales group: one join each.
+
+    Names of partners come with `with_partners`, where their codes are rows.
+    """
     area = ("sales_organization", "distr_channel", "division")
-    out = df.withColumns({
-        "__inv": make_key("|", "inv_id", *area), "__dest": make_key("|", "dest_id", *area)})
-    for role, key in (("", "__inv"), ("dest_", "__dest")):
-        out = (
-            out.transform(checked_lookup, maps.type_code, key, f"{role}customer_type_code")
-            .transform(checked_lookup, maps.type_level3, key, f"{role}customer_type_code_lev3")
-            .transform(checked_lookup, maps.type_level3_text, f"{role}customer_type_code_lev3",
-                       "__level3", undefined)
-            .transform(checked_lookup, maps.type_text, f"{role}customer_type_code", "__type",
-                       undefined)
-            .withColumn(f"{role}customer_type_descr", strict_key("-", "__level3", "__type"))
-            .drop("__level3", "__type")
-        )
-    out = two_step_lookup(out, maps.sales_group, maps.sales_group_text, "__dest", "sales_group",
-                          None, "sales group")
-    for code, name in NAMED_PARTNERS.items():
-        out = checked_lookup(out, maps.names, code, name, None, "customer name")
-    return out.drop("__inv", "__dest")
+    nothing = F.lit(f"{fixed.NOT_DEFINED}-{fixed.NOT_DEFINED}")
+    known = customer_table(maps)
+    out = df
+    for role, source in (("", "inv_id"), ("dest_", "dest_id")):
+        names = {c: f"{role}{c}" for c in known.columns if c not in ("__customer", "sales_group" if not role else "")}
+        names["sales_group"] = "sales_group"
+        columns = [c for c in known.columns if role or c != "sales_group"]
+        side = known.select(*[F.col(c).alias(names.get(c, c)) for c in columns])
+        descr = f"{role}customer_type_descr"
+        found = F.when(F.col("__customer").isNull(), nothing).otherwise(F.col(descr))
+        out = spread_join(out, side, {"__customer": make_key("|", source, *area)}).withColumn(descr, found).drop("__customer")
+    return out
 
 
 def with_context(df: DataFrame, t: FactTables) -> DataFrame:
@@ -399,7 +426,7 @@ def order_fact(
         .transform(without_services)
         .transform(market_of, t.market_rules, t.product_lines)
         .join(first, ["order_number", "order_line"], "left")
-        .transform(with_partners, t.partners)
+        .transform(with_partners, t.partners, names=t.names)
         .transform(m.order_quantities)
         .withColumns({
             "potential_status": F.when(F.col("order_status").isin("Blocked", "In Picking"),
@@ -412,8 +439,7 @@ def order_fact(
         .join(prices(t.conditions, open_conditions("ord")), ["price_key"], "left")
     )
     return (
-        with_unit_costs(base, t.costs, span_around(as_of))
+        with_unit_costs(with_context(base, t), t.costs, span_around(as_of))
         .transform(order_measures, as_of)
-        .transform(with_context, t)
         .withColumn("key_fact", make_key("###", F.lit("ORDER"), *FACT_GRAIN))
     )

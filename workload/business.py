@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from saleweft import fixed_values as fixed
 from saleweft.operators.columns import add_missing_columns
+from saleweft.operators.joins import with_partners
 from saleweft.operators.lookup import checked_lookup
+from saleweft.operators.quality import settle_unique
 from saleweft.operators.sets import union_all
 from saleweft.plans import analysis, blocks, calendar, costs, deliveries, dimensions, forecast
 from saleweft.plans import invoices, legacy, market, master, orders, portfolio, prices
@@ -180,8 +182,6 @@ def b08(t):
 SELECT a.vbeln AS order_number, a.posnr AS order_line, {PARTNER_COLUMNS} FROM lips d JOIN vbap a ON d.vgbel = a.vbeln AND d.vgpos = a.posnr {PARTNERS_SQL}
 """)
 def b09(t):
-    from saleweft.operators.joins import with_partners
-
     lines = t.lips.select(F.col("vgbel").alias("order_number"), F.col("vgpos").alias("order_line"))
     return with_partners(lines, t.vbpa)
 
@@ -302,9 +302,59 @@ def b13(t):
         "market_budget", "responsible_descr")
 
 
+def customer_maps(t):
+    offices = t.customer_offices
+
+    def named(prefix, condition="true"):
+        return offices.where(condition).select("vkbur", F.concat(F.lit(prefix), "vkbur").alias("text")).distinct()
+
+    return orders.CustomerMaps(
+        sales_group=offices, sales_group_text=named("Group "), type_code=offices, type_level3=offices,
+        type_text=named("Type ", "vkbur < 'K500'"), type_level3_text=named("Level ", "vkbur > 'K100'"),
+        names=t.customer.select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"), "c_name"))
+
+
+def delivery_notes(t):
+    shipping = deliveries.shipment_types(t.vttp, t.vttk, t.shipping_texts)
+    return deliveries.note_texts(t.likp, shipping, deliveries.picking_numbers(t.vbfa), t.delivery_kinds, t.routes)
+
+
 def fact_tables(t, conditions):
-    return orders.FactTables(t.vbpa, conditions, t.market_rules, t.product_lines,
-                             t.company_currency, t.yearly_rates, cost_tables(t))
+    return orders.FactTables(
+        t.vbpa, conditions, t.market_rules, t.product_lines, t.company_currency, t.yearly_rates, cost_tables(t),
+        customers=customer_maps(t), block_events=blocks.block_events(t.cdhdr, t.cdpos), notes=delivery_notes(t),
+        terms=t.t052, payment_texts=t.t042)
+
+
+BLOCK_EVENTS = """log AS (SELECT i.objectid, i.changenr, username, CAST(udate AS STRING) AS udate,
+  (fname = 'LIFSK' AND trim(value_new) <> '') OR (fname = 'CMGST' AND value_new IN ('B', 'C')) AS blocks,
+  (fname = 'LIFSK' AND trim(value_old) <> '') OR (fname = 'CMGST' AND value_old IN ('B', 'C') AND value_new NOT IN ('B', 'C')) AS unblocks
+  FROM cdpos i JOIN cdhdr h ON i.objectclas = h.objectclas AND i.objectid = h.objectid AND i.changenr = h.changenr
+  WHERE i.objectclas = 'VERKBELEG' AND tabname = 'VBAK' AND fname IN ('LIFSK', 'CMGST') AND trim(username) <> ''),
+last AS (SELECT objectid, max(CASE WHEN blocks THEN changenr END) AS b, max(CASE WHEN unblocks THEN changenr END) AS u FROM log GROUP BY objectid),
+block_log AS (SELECT l.objectid AS order_number, b.username AS order_blocking_user, b.udate AS order_blocking_date, u.username AS order_unblocking_user, u.udate AS order_unblocking_date
+FROM last l LEFT JOIN log b ON l.objectid = b.objectid AND l.b = b.changenr LEFT JOIN log u ON l.objectid = u.objectid AND l.u = u.changenr WHERE l.b IS NOT NULL OR l.u IS NOT NULL)"""
+CONTEXT_COLUMNS = ["customer_type_descr", "dest_customer_type_code", "sales_group", "salesman_name", "main_group_descr",
+                   "order_blocking_user", "order_unblocking_date"]
+_AREA = "b.sales_organization, b.distr_channel, b.division"
+
+
+def context_sql(rows):
+    """Partners, customer texts and block events of a row set with an order line; its columns and its joins."""
+    return f"""ctx AS (SELECT a.vbeln AS p_order, a.posnr AS p_line, {PARTNER_COLUMNS} FROM (SELECT DISTINCT order_number AS vbeln, order_line AS posnr FROM {rows}) a {PARTNERS_SQL}),
+names AS (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS code, c_name FROM customer), {BLOCK_EVENTS}"""
+
+
+CONTEXT_SELECT = """CASE WHEN oi.vkbur > 'K100' THEN 'Level ' || oi.vkbur ELSE 'Not Defined' END || '-' || CASE WHEN oi.vkbur < 'K500' THEN 'Type ' || oi.vkbur ELSE 'Not Defined' END AS customer_type_descr,
+  od.vkbur AS dest_customer_type_code, 'Group ' || od.vkbur AS sales_group, ns.c_name AS salesman_name, nm.c_name AS main_group_descr, order_blocking_user, order_unblocking_date"""
+CONTEXT_JOINS = f"""LEFT JOIN ctx w ON b.order_number = p_order AND b.order_line = p_line LEFT JOIN customer_offices oi ON concat_ws('|', w.inv_id, {_AREA}) = oi.key_knvv
+  LEFT JOIN customer_offices od ON concat_ws('|', w.dest_id, {_AREA}) = od.key_knvv LEFT JOIN names ns ON w.salesman_code = ns.code LEFT JOIN names nm ON w.main_group_code = nm.code
+  LEFT JOIN block_log k ON b.order_number = k.order_number"""
+NOTES_SQL = """picks AS (SELECT vbelv AS pick_note, string_agg(DISTINCT vbeln, ',' ORDER BY vbeln) AS picking_number FROM vbfa WHERE vbtyp_n = 'Q' GROUP BY 1),
+note_kinds AS (SELECT i.vbeln AS ship_note, k.vsart || ' - ' || coalesce(s.text, 'Not Defined') AS kind FROM vttp i LEFT JOIN vttk k USING (tknum) LEFT JOIN shipping_texts s USING (vsart)),
+ships AS (SELECT ship_note, coalesce(string_agg(DISTINCT kind, ' ; ' ORDER BY kind), '') AS shipping_type FROM note_kinds GROUP BY 1),
+issued AS (SELECT vbeln AS note, CAST(wadat_ist AS STRING) AS issued_on, d.text AS shipment_descr, r.text AS routing_descr FROM likp LEFT JOIN delivery_kinds d USING (lfart) LEFT JOIN routes r USING (route)
+  WHERE wadat_ist IS NOT NULL)"""
 
 
 def price_sql(table, names):
@@ -354,16 +404,18 @@ def order_fact(t):
 
 
 @query("b14_order_fact", f"""
-WITH {ORDER_ROWS}
-SELECT {', '.join(GRAIN)}, CAST(first_req_del_date AS STRING) AS first_req_del_date, company, network, currency_code, product_code, exchange, {', '.join(ORDER_MEASURES)},
+WITH {ORDER_ROWS}, {context_sql('gm')}
+SELECT concat_ws('###', 'ORDER', {', '.join('b.' + c for c in orders.FACT_GRAIN)}) AS key_fact, {', '.join('b.' + c for c in GRAIN)},
+  CAST(first_req_del_date AS STRING) AS first_req_del_date, company, network, currency_code, product_code, exchange, {', '.join(ORDER_MEASURES)},
   CASE WHEN requested_delivery_date < DATE '1998-08-01' THEN ord_nsv_eur ELSE 0 END AS ord_bo_nsv_eur,
   CASE WHEN order_status = 'Blocked' THEN ord_qty ELSE 0 END AS blk_qty, CASE WHEN order_status = 'In Picking' THEN ord_nsv_lc ELSE 0 END AS pck_nsv_lc,
-  ord_gm_tp_eur AS pot_gm_tp_eur FROM gm
+  ord_gm_tp_eur AS pot_gm_tp_eur, {CONTEXT_SELECT} FROM gm b {CONTEXT_JOINS}
 """, " ".join(f"{x}:4" for x in ["exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur"]))
 def b14(t):
-    return text_dates(order_fact(t), "first_req_del_date").select(
-        *GRAIN, "first_req_del_date", "company", "network", "currency_code", "product_code",
-        "exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur")
+    fact = settle_unique(text_dates(order_fact(t), "first_req_del_date").select(
+        "key_fact", *GRAIN, "first_req_del_date", "company", "network", "currency_code", "product_code",
+        "exchange", *ORDER_MEASURES, "ord_bo_nsv_eur", "blk_qty", "pck_nsv_lc", "pot_gm_tp_eur", *CONTEXT_COLUMNS), ["key_fact"], "order-fact")
+    return fact
 
 
 CUSTOMER_SQL = """lines_of AS (SELECT o.*, 'D' AS dummy FROM (SELECT vbeln, kunnr AS inv_id FROM vbpa WHERE parvw = 'BP' AND posnr = '000000') o),
@@ -382,25 +434,12 @@ LEFT JOIN (SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS code, c_name FROM c
 """)
 def b14_customers(t):
     """Customer types, sales group and partner names by lookups through customer maps."""
-    offices = t.customer_offices
-
-    def named(prefix, condition="true"):
-        return offices.where(condition).select("vkbur", F.concat(F.lit(prefix), "vkbur").alias("text")).distinct()
-
-    maps = orders.CustomerMaps(
-        sales_group=offices, sales_group_text=named("Group "), type_code=offices, type_level3=offices,
-        type_text=named("Type ", "vkbur < 'K500'"), type_level3_text=named("Level ", "vkbur > 'K100'"),
-        names=t.customer.select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"), "c_name"))
-    head = t.vbpa.where(F.col("posnr") == fixed.HEADER_ITEM)
-    bill = head.where("parvw = 'BP'").select(F.col("vbeln").alias("order_number"), F.col("kunnr").alias("inv_id"))
-    sales = head.where("parvw = 'YD'").select(F.col("vbeln").alias("order_number"), F.col("kunnr").alias("salesman_code"))
-    rows = (
-        bill.join(t.vbak.select(F.col("vbeln").alias("order_number"), F.col("vkorg").alias("sales_organization")), ["order_number"], "inner")
-        .join(sales, ["order_number"], "left")
-        .withColumns({"dest_id": F.col("inv_id"), "distr_channel": F.lit("10"), "division": F.lit("FG")}))
-    others = [c for c in orders.NAMED_PARTNERS if c != "salesman_code"]
-    rows = add_missing_columns(rows, others, F.lit(None).cast("string"))
-    return orders.with_customers(rows, maps).select(
+    maps = customer_maps(t)
+    area = ["sales_organization", "distr_channel", "division"]
+    heads = t.vbak.select(F.col("vbeln").alias("order_number"), F.col("vkorg").alias("sales_organization"),
+                          F.lit("10").alias("distr_channel"), F.lit("FG").alias("division"), F.lit("-").alias("order_line"))
+    rows = with_partners(heads, t.vbpa, names=maps.names).where("inv_id is not null").withColumn("dest_id", F.col("inv_id"))
+    return orders.with_customers(rows.select("order_number", "inv_id", "dest_id", "salesman_name", *area), maps).select(
         "order_number", "customer_type_code", "customer_type_descr", "sales_group", "salesman_name")
 
 
@@ -436,17 +475,20 @@ base AS (SELECT d.vbeln AS despatching_note, d.posnr, d.matnr AS product_code, d
   WHERE a.abgru IS NULL AND order_type_code || '|' || pstyv NOT IN {SERVICE}),
 priced AS (SELECT b.*, r.company, r.network, {_rate}, price.* EXCLUDE (price_key) FROM base b {MARKET_JOIN} {_rates}
   LEFT JOIN price ON price_key = CASE WHEN order_type_code NOT IN ('ZKA', 'ZKB') THEN knumv || '|' || order_line END),
-{cost_sql('priced', 'document_date')}, {DEL_SQL}
-SELECT 'DELIVERY###' || despatching_note || '###' || posnr AS key_fact, order_number, order_line, company, network, currency_code, {', '.join(DELIVERY_MEASURES)} FROM gm
+{cost_sql('priced', 'document_date')}, {DEL_SQL}, {context_sql('gm')}, {NOTES_SQL}
+SELECT 'DELIVERY###' || despatching_note || '###' || posnr AS key_fact, b.order_number, b.order_line, company, network, currency_code, {', '.join(DELIVERY_MEASURES)},
+  {CONTEXT_SELECT}, shipping_type, picking_number, shipment_descr, routing_descr
+FROM gm b {CONTEXT_JOINS} LEFT JOIN picks ON despatching_note = pick_note LEFT JOIN ships ON despatching_note = ship_note LEFT JOIN issued ON despatching_note = note
 """, " ".join(f"{x}:4" for x in DELIVERY_MEASURES))
 def b15_fact(t):
     types = orders.order_types(t.tvak)
     heads = headers(t).join(types.select(F.col("auart").alias("order_type_code")), ["order_type_code"], "leftsemi")
     open_items = deliveries.open_deliveries(t.likp, t.lips, t.vbrp)
     base = deliveries.delivery_base(open_items, heads, t.vbap, t.vbep, AS_OF)
-    return deliveries.delivery_fact(base, fact_tables(t, t.prcd), AS_OF).select(
-        "key_fact", "order_number", "order_line", "company", "network", "currency_code",
-        *DELIVERY_MEASURES)
+    fact = deliveries.delivery_fact(base, fact_tables(t, t.prcd), AS_OF).select(
+        "key_fact", "order_number", "order_line", "company", "network", "currency_code", *DELIVERY_MEASURES,
+        *CONTEXT_COLUMNS, "shipping_type", "picking_number", "shipment_descr", "routing_descr")
+    return settle_unique(fact, ["key_fact"], "delivery-fact")
 
 
 @query("b15_delivery_texts", """
@@ -494,7 +536,7 @@ def invoice_base(t):
         F.col("vbtyp").alias("category"))
     goods = t.vbap.select(F.col("vbeln").alias("order_number"), F.col("posnr").alias("order_line"), "pstyv")
     rows = settle(invoices.invoice_rows(lines, heads, goods), "invoice-rows")
-    return invoices.invoice_base(rows, t.vbpa, t.customer_offices, t.vbfa)
+    return invoices.invoice_base(rows, t.vbpa, t.customer_offices, t.vbfa, customer_maps(t).names)
 
 
 @query("b16_invoice_base", f"""
@@ -532,14 +574,22 @@ base AS (SELECT t.*, ref_invoice, ref_invoice_date FROM typed t LEFT JOIN flow O
   WHERE sales_organization NOT IN {COMPANIES}),
 priced AS (SELECT b.*, r.company, r.network, {_inv_rate}, price.* EXCLUDE (price_key, nsv, freight), abs(nsv) AS inv_nsv_lc_temp, coalesce(freight, abs(list_price_tot)) * return_sign AS inv_transport_cost_lc
   FROM base b {MARKET_JOIN} {_inv_rates} LEFT JOIN price ON price_key = knumv || '|' || posnr),
-{cost_sql('priced', 'document_date')}, {ms.INV_SQL.replace('inv_base', 'costed')}
-SELECT DISTINCT concat_ws('###', 'INVOICE', document_code, posnr, ref_invoice) AS key_fact, CAST(ref_invoice_date AS STRING) AS ref_invoice_date, company, network, currency_code, {', '.join(INVOICE_MEASURES)} FROM gm
-""", " ".join(f"{x}:4" for x in INVOICE_MEASURES))
+{cost_sql('priced', 'document_date')}, {ms.INV_SQL.replace('inv_base', 'costed')}, {context_sql('gm')}, {NOTES_SQL},
+terms AS (SELECT * FROM (SELECT zterm, zlsch, zprz1, row_number() OVER (PARTITION BY zterm ORDER BY zlsch NULLS FIRST, zprz1) AS rn FROM t052) x WHERE rn = 1)
+SELECT concat_ws('###', 'INVOICE', document_code, b.posnr, ref_invoice) AS key_fact, CAST(ref_invoice_date AS STRING) AS ref_invoice_date, company, network, currency_code, {', '.join(INVOICE_MEASURES)},
+  {CONTEXT_SELECT}, shipping_type, picking_number, shipment_descr, routing_descr, b.despatching_note AS ref_despatch_note, issued_on AS ref_despatch_date,
+  y.zlsch AS payment_type_code, zprz1 AS payment_expiring_disc, text2 AS payment_type_descr
+FROM gm b {CONTEXT_JOINS} LEFT JOIN picks ON despatching_note = pick_note LEFT JOIN ships ON despatching_note = ship_note LEFT JOIN issued ON despatching_note = note
+  LEFT JOIN terms y ON b.zterm = y.zterm LEFT JOIN t042 z ON b.land1 = z.land1 AND y.zlsch = z.zlsch AND z.spras = 'E'
+""", " ".join(f"{x}:4" for x in [*INVOICE_MEASURES, "payment_expiring_disc"]))
 def b16_fact(t):
     span = costs.span_of(t.vbrk, "fkdat")
     fact = invoices.invoice_fact(invoice_base(t), fact_tables(t, t.prcd_invoice), span)
-    return text_dates(fact, "ref_invoice_date").select(
-        "key_fact", "ref_invoice_date", "company", "network", "currency_code", *INVOICE_MEASURES)
+    fact = text_dates(fact, "ref_invoice_date", "ref_despatch_date").select(
+        "key_fact", "ref_invoice_date", "company", "network", "currency_code", *INVOICE_MEASURES, *CONTEXT_COLUMNS,
+        "shipping_type", "picking_number", "shipment_descr", "routing_descr", "ref_despatch_note", "ref_despatch_date",
+        "payment_type_code", "payment_expiring_disc", "payment_type_descr")
+    return settle_unique(fact, ["key_fact"], "invoice-fact")
 
 
 @query("b16_delivery_context", f"""
@@ -552,8 +602,7 @@ FROM inv_lines l LEFT JOIN (SELECT * FROM likp WHERE wadat_ist IS NOT NULL) h ON
 def b16_delivery(t):
     """Invoice lines with what is known of their delivery."""
     lines = invoices.invoice_lines(t.vbrk, t.vbrp, t.payment_texts)
-    shipping = deliveries.shipment_types(t.vttp, t.vttk, t.shipping_texts)
-    rows = deliveries.with_delivery(lines, t.likp, shipping, deliveries.picking_numbers(t.vbfa))
+    rows = deliveries.with_delivery(lines, delivery_notes(t))
     return text_dates(rows, "despatching_date", "booking_slot").select(
         "document_code", "posnr", "despatching_date", "routing", "booking_slot", "shipping_type",
         "picking_number")
@@ -952,15 +1001,8 @@ def b25(t):
     return text_dates(calendar.fiscal_calendar(parsed, 1998), "day", "month")
 
 
-@query("b26_block_events", """
-WITH log AS (SELECT i.objectid, i.changenr, username, CAST(udate AS STRING) AS udate,
-  (fname = 'LIFSK' AND trim(value_new) <> '') OR (fname = 'CMGST' AND value_new IN ('B', 'C')) AS blocks,
-  (fname = 'LIFSK' AND trim(value_old) <> '') OR (fname = 'CMGST' AND value_old IN ('B', 'C') AND value_new NOT IN ('B', 'C')) AS unblocks
-  FROM cdpos i JOIN cdhdr h ON i.objectclas = h.objectclas AND i.objectid = h.objectid AND i.changenr = h.changenr
-  WHERE i.objectclas = 'VERKBELEG' AND tabname = 'VBAK' AND fname IN ('LIFSK', 'CMGST') AND trim(username) <> ''),
-last AS (SELECT objectid, max(CASE WHEN blocks THEN changenr END) AS b, max(CASE WHEN unblocks THEN changenr END) AS u FROM log GROUP BY objectid)
-SELECT l.objectid AS order_number, b.username AS order_blocking_user, b.udate AS order_blocking_date, u.username AS order_unblocking_user, u.udate AS order_unblocking_date
-FROM last l LEFT JOIN log b ON l.objectid = b.objectid AND l.b = b.changenr LEFT JOIN log u ON l.objectid = u.objectid AND l.u = u.changenr WHERE l.b IS NOT NULL OR l.u IS NOT NULL
+@query("b26_block_events", f"""
+WITH {BLOCK_EVENTS} SELECT * FROM block_log
 """)
 def b26(t):
     return blocks.block_events(t.cdhdr, t.cdpos)

@@ -327,6 +327,10 @@ SELECT '9' || lpad(CAST(CAST(substring(vbeln, 2, 8) AS INT) - 1 AS STRING), 8, '
 FROM {vbrp} WHERE vbeln IN (SELECT vbeln FROM {vbrk} WHERE fkart = 'ZG2')
 """
 
+VIEWS["delivery_kinds"] = """
+SELECT DISTINCT 'LF' AS lfart, 'Outbound ' || r_name AS text FROM {region} WHERE r_regionkey = 0
+"""
+
 VIEWS["vttp"] = """
 SELECT 'T' || CAST(CAST(substring(vbeln, 2, 8) AS INT) % 97 AS STRING) AS tknum, vbeln FROM {likp}
 UNION ALL
