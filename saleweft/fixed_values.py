@@ -197,3 +197,9 @@ MARKET_TEXTS = [
     "responsible_code", "responsible_descr", "responsible_code1", "responsible_descr1",
     "responsible_code3", "responsible_descr3", "market_budget", "market_budget_descr",
 ]
+
+# Names of the responsibles of a market in the report.
+MARKET_NAMES = {
+    "responsible_code1": "region_code", "responsible_code": "cluster_code", "responsible_code3": "subcluster_code",
+    "responsible_descr1": "region", "responsible_descr": "cluster", "responsible_descr3": "subcluster",
+}

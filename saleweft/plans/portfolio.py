@@ -7,11 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.dates import day, day_from_parts, month_after
+from ..functions.dates import day, day_from_parts, month_after, serial_day
 from ..functions.text import make_key, strict_key
 from ..operators.aggregate import month_offset_sums, rollup_report, sum_by
 from ..operators.columns import add_missing_columns
 from ..operators.filters import any_nonzero, division_gate, report_gate
+from ..operators.lookup import checked_lookup, unique_join
 from ..operators.sets import union_all
 from .measures import conditional_copies
 
@@ -53,6 +54,7 @@ def report_columns(df: DataFrame, source: str, date: str) -> DataFrame:
         "order_source": F.when(erp, F.lit("SAP")).otherwise(F.lit("DWH")),
         "first_req_del_date": F.when(erp, F.col("first_req_del_date"))
         .otherwise(F.col("requested_delivery_date")),
+        "order_requested_delivery_date": F.col("requested_delivery_date"),
         "requested_year_month": F.date_format("requested_delivery_date", "MMM yyyy"),
         "purchase_group": make_key(" ", "purchase_group_code", "purchase_group_descr"),
         "record_source": F.lit(source),
@@ -92,7 +94,7 @@ def budget_rows(budget: DataFrame, networks: DataFrame, as_of: str) -> DataFrame
     left_out = F.col("network").try_cast("int").isin(fixed.EXCLUDED_NETWORKS)
     return (
         wide.where(~left_out).withColumnsRenamed(names)
-        .join(networks, ["company", "network"], "left")
+        .transform(unique_join, networks, ["company", "network"], "budget networks")
         .withColumns({"year": F.year(day(as_of)), "month": F.month(day(as_of)),
                       "record_source": F.lit("BUD")})
     )
@@ -109,13 +111,37 @@ def report_keys(columns: Sequence[str]) -> Mapping[str, Column]:
     """Key expressions of the report for the columns that are there."""
     keys = {c: F.col(c) for c in columns}
     keys["month"] = F.date_format(F.make_date("year", "month", F.lit(1)), "MMM")
-    for group in ("super_group", "main_group"):
-        if f"{group}_code" in keys and f"{group}_descr" in keys:
-            keys.pop(f"{group}_descr")
-            keys[group] = strict_key(" - ", f"{group}_code", f"{group}_descr")
+    if "super_group_code" in keys and "super_group_descr" in keys:
+        keys.pop("super_group_descr")
+        keys["super_group"] = strict_key(" - ", "super_group_code", "super_group_descr")
     return keys
 
 
+def with_report_texts(rolled: DataFrame, names: DataFrame, order_types: DataFrame, markets: DataFrame) -> DataFrame:
+    """Names of the codes of a rolled-up report, so that its texts are never shuffled with the facts.
+
+    ``names`` and ``order_types`` are two-column maps, ``markets`` has the responsibles of
+    a company and network. Codes that are numbers become numbers, the day asked for also
+    a day number. The director is shown by name alone, so directors of one name are one row.
+    """
+    texts = {
+        "main_group_descr": ("main_group_code", names), "sale_zone": ("sale_zone_code", names),
+        "salesman": ("salesman_code", names), "sale_director": ("sale_director_code", names),
+        "rsm": ("rsm_code", names), "order_type": ("order_type_code", order_types),
+    }
+    out = rolled
+    for text, (code, mapping) in texts.items():
+        out = checked_lookup(out, mapping, code, text, None, text)
+    out = unique_join(out, markets, ["company", "network"], "network markets").withColumnsRenamed(fixed.MARKET_NAMES)
+    out = out.withColumns({
+        "main_group": strict_key(" - ", "main_group_code", "main_group_descr"),
+        "salesman_code": F.col("salesman_code").try_cast("double"), "rsm_code": F.col("rsm_code").try_cast("double"),
+        "first_req_del_date_num": serial_day("first_req_del_date"),
+        "comm_organization_id": F.lit(None).cast("int"),
+    }).drop("main_group_descr", "sale_director_code")
+    return rollup_report(out, {c: F.col(c) for c in out.columns if c not in SUMS}, SUMS)
+
+
 def portfolio(
     orders: DataFrame, budget: DataFrame, deliveries: DataFrame, invoices: DataFrame,
     keys: Sequence[str], as_of: str,

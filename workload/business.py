@@ -783,9 +783,13 @@ def b20(t):
         F.col("inv_sf_nsv_eur").alias("closed_amount"))
 
 
+REPORT_CODES = ["order_date", "confirmed_date", "area_code", "order_blocking_code", "order_customer_reference_1", "order_type_code",
+                "order_delivery_warehouse", "ab_grade", "warehouse_classification", "main_group_code", "sale_zone_code", "salesman_code",
+                "sale_director_code", "rsm_code", "market_budget", "market_budget_descr"]
 REPORT_KEYS = ["product_code", "dest_id", "inv_id", "company", "network", "sales_organization", "sales_office", "order_number", "year", "month",
                "first_req_del_date", "requested_year_month", "super_group_code", "super_group_descr", "purchase_group", "order_source", "record_source",
-               "market_budget"]
+               "order_requested_delivery_date", "invoice_date", *REPORT_CODES]
+REPORT_NAMES = ["main_group", "sale_zone", "salesman", "sale_director", "rsm", "order_type", *fixed.MARKET_NAMES.values()]
 _STARTS = [f"DATE '{y}-{m:02d}-01'" for y, m in [(1998, 9), (1998, 10), (1998, 11), (1998, 12), (1999, 1), (1999, 2)]]
 
 
@@ -804,7 +808,7 @@ def report_sql(prefix, table, date, source, scale, measures):
     return f"""SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, order_number, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month,
   first_req AS first_req_del_date, strftime(requested_delivery_date, '%b %Y') AS requested_year_month, super_group_code, super_group_descr,
   concat_ws(' ', purchase_group_code, purchase_group_descr) AS purchase_group, CASE WHEN flag_erp = 1 THEN 'SAP' ELSE 'DWH' END AS order_source, '{source}' AS record_source,
-  CAST(NULL AS STRING) AS market_budget, {measures}
+  requested_delivery_date AS order_requested_delivery_date, {'d' if prefix == 'inv' else 'CAST(NULL AS DATE)'} AS invoice_date, {', '.join(REPORT_CODES)}, {measures}
   FROM (SELECT f.* EXCLUDE ({', '.join(f'{prefix}_{v}' for v in portfolio.VALUES)}), {cells}, {date} AS d, CASE WHEN flag_erp = 1 THEN first_req_del_date ELSE requested_delivery_date END AS first_req
     FROM {table} f JOIN products USING (product_code) WHERE (f.source = 'cas' OR (f.source = 'sap' AND division = 'FG')) AND ({nonzero})
     AND CAST(network AS INT) NOT IN (1, 2) AND coalesce(TRY_CAST(product_type_code AS INT), 0) > 0) x"""
@@ -815,15 +819,25 @@ def portfolio_sql():
     budget_cells = ", ".join(
         f"sum(CASE WHEN month = {8 + i} THEN {old} END) AS bdg_{new}{'' if i == 0 else f'_m{i}'}"
         for old, new in (("qty_sold", "qty"), ("budget_nsv_eur", "nsv_eur")) for i in range(4))
-    budget = f"""SELECT b.*, m.market_budget, 1998 AS year, 8 AS month, 'BUD' AS record_source FROM (SELECT company, network, sales_organization, sales_office, product_code, {budget_cells}
+    budget = f"""SELECT b.*, m.market_budget, m.market_budget_descr, 1998 AS year, 8 AS month, 'BUD' AS record_source FROM (SELECT company, network, sales_organization, sales_office, product_code, {budget_cells}
       FROM report_budget GROUP BY ALL) b LEFT JOIN network_markets m USING (company, network) WHERE CAST(network AS INT) NOT IN (1, 2)"""
-    keys = [k for k in REPORT_KEYS if k not in ("month", "super_group_descr", "first_req_del_date")]
+    texts = ["first_req_del_date", "order_requested_delivery_date", "invoice_date", "order_date", "confirmed_date"]
+    codes = ("salesman_code", "rsm_code")
+    keys = [k for k in REPORT_KEYS if k not in ("month", "super_group_descr", "sale_director_code", *texts, *codes)]
     sums = ", ".join(f"CAST(sum({s}) AS DOUBLE) AS {s}" for s in portfolio.SUMS)
     return f"""WITH o AS ({report_sql('ord', 'report_orders', 'document_date', 'ORD', 4, bucket_sql())}), d AS ({report_sql('del', 'report_deliveries', 'document_date', 'DEL', 2, plain['del'])}),
 i AS ({report_sql('inv', 'report_invoices', 'time_id', 'INV', 2, plain['inv'])}), bud AS ({budget}),
-u AS (SELECT * FROM o UNION ALL BY NAME SELECT * FROM d UNION ALL BY NAME SELECT * FROM i UNION ALL BY NAME SELECT * FROM bud)
-SELECT {', '.join(keys)}, CAST(first_req_del_date AS STRING) AS first_req_del_date, strftime(make_date(year, month, 1), '%b') AS month, super_group_code || ' - ' || super_group_descr AS super_group, {sums}
-FROM u WHERE year = 1998 AND month = 8 GROUP BY {', '.join(keys)}, u.first_req_del_date, year, u.month, super_group_code || ' - ' || super_group_descr"""
+u AS (SELECT * FROM o UNION ALL BY NAME SELECT * FROM d UNION ALL BY NAME SELECT * FROM i UNION ALL BY NAME SELECT * FROM bud),
+n AS (SELECT u.* EXCLUDE (month, {', '.join(texts)}), {', '.join(f'CAST(u.{c} AS STRING) AS {c}' for c in texts)}, strftime(make_date(u.year, u.month, 1), '%b') AS month, super_group_code || ' - ' || super_group_descr AS super_group,
+  main_group_code || ' - ' || g.name AS main_group, z.name AS sale_zone, m.name AS salesman, r.name AS sale_director, s.name AS rsm, t.bezei AS order_type,
+  responsible_code1 AS region_code, responsible_code AS cluster_code, responsible_code3 AS subcluster_code, responsible_descr1 AS region, responsible_descr AS cluster, responsible_descr3 AS subcluster,
+  TRY_CAST(u.salesman_code AS DOUBLE) AS salesman_no, TRY_CAST(u.rsm_code AS DOUBLE) AS rsm_no, CAST(u.first_req_del_date - DATE '1899-12-30' AS DOUBLE) AS first_req_del_date_num
+  FROM u LEFT JOIN sales_names g ON main_group_code = g.code LEFT JOIN sales_names z ON sale_zone_code = z.code LEFT JOIN sales_names m ON u.salesman_code = m.code
+  LEFT JOIN sales_names r ON sale_director_code = r.code LEFT JOIN sales_names s ON u.rsm_code = s.code LEFT JOIN (SELECT auart, bezei FROM tvakt WHERE spras = 'EN') t ON u.order_type_code = t.auart
+  LEFT JOIN network_responsibles USING (company, network) WHERE u.year = 1998 AND u.month = 8)
+SELECT {', '.join(keys)}, {', '.join(texts)}, month, super_group, {', '.join(REPORT_NAMES)}, salesman_no AS salesman_code, rsm_no AS rsm_code, first_req_del_date_num,
+  CAST(NULL AS STRING) AS comm_organization_id, {sums}
+FROM n GROUP BY {', '.join(keys)}, {', '.join(texts)}, month, super_group, {', '.join(REPORT_NAMES)}, salesman_no, rsm_no, first_req_del_date_num"""
 
 
 @query("b21_portfolio", portfolio_sql(), " ".join(f"{s}:4" for s in portfolio.SUMS))
@@ -834,12 +848,17 @@ def b21(t):
     delivery_rows = portfolio.report_columns(
         portfolio.typed_rows(portfolio.in_month(t.report_deliveries, "document_date", AS_OF), types, "del", 2), "DEL", "document_date")
     invoice_rows = portfolio.report_columns(
-        portfolio.typed_rows(portfolio.in_month(t.report_invoices, "time_id", AS_OF), types, "inv", 2), "INV", "time_id")
+        portfolio.typed_rows(portfolio.in_month(t.report_invoices, "time_id", AS_OF), types, "inv", 2), "INV", "time_id"
+    ).withColumn("invoice_date", F.col("time_id").cast("date"))
     budget = portfolio.budget_rows(t.report_budget, t.network_markets, AS_OF)
-    report = portfolio.portfolio(order_rows, budget, delivery_rows, invoice_rows, REPORT_KEYS, AS_OF)
-    return text_dates(report, "first_req_del_date").select(
-        *[k for k in REPORT_KEYS if k not in ("super_group_descr",)], "super_group",
-        *[F.col(s).cast("double").alias(s) for s in portfolio.SUMS])
+    codes = portfolio.portfolio(order_rows, budget, delivery_rows, invoice_rows, REPORT_KEYS, AS_OF)
+    order_types = t.tvakt.where("spras = 'EN'").select("auart", "bezei")
+    report = portfolio.with_report_texts(codes, t.sales_names, order_types, t.network_responsibles)
+    report = text_dates(report, "first_req_del_date", "order_requested_delivery_date", "invoice_date", "order_date", "confirmed_date",
+                        "comm_organization_id").withColumn("first_req_del_date_num", F.col("first_req_del_date_num").cast("double"))
+    return report.select(
+        *[k for k in REPORT_KEYS if k not in ("super_group_descr", "sale_director_code")], "super_group", *REPORT_NAMES,
+        "first_req_del_date_num", "comm_organization_id", *[F.col(s).cast("double").alias(s) for s in portfolio.SUMS])
 
 
 # --- cost and budget tables -------------------------------------------------------------

@@ -638,8 +638,23 @@ WHERE std_sale_price IS NULL OR std_sale_price > 10
 
 # --- report rows -------------------------------------------------------------------
 
+# Codes of a report row that its facts share.
+REPORT_CODES = """order_date, confirmed_date, area_code, order_blocking_code, order_customer_reference_1, order_type_code,
+  order_delivery_warehouse, ab_grade, warehouse_classification, main_group_code, sale_zone_code, salesman_code,
+  sale_director_code, rsm_code, market_budget, market_budget_descr"""
+
 VIEWS["report_lines"] = """
-SELECT l_orderkey, l_linenumber, lpad(CAST(l_partkey AS STRING), 8, '0') AS product_code,
+SELECT CASE WHEN l_orderkey % 4 <> 0 THEN order_date + 10 END AS confirmed_date, 'A' || CAST(l_suppkey % 7 AS STRING) AS area_code,
+  CASE WHEN l_orderkey % 11 = 0 THEN '01' END AS order_blocking_code, 'R' || CAST(l_orderkey % 40 AS STRING) AS order_customer_reference_1,
+  CASE l_orderkey % 4 WHEN 0 THEN 'ZKA' WHEN 1 THEN 'ZBGR' WHEN 2 THEN 'Z?' ELSE 'ZOR' END AS order_type_code,
+  'W' || CAST(l_suppkey % 4 AS STRING) AS order_delivery_warehouse, CASE l_orderkey % 4 WHEN 1 THEN 'B' ELSE 'A' END AS ab_grade,
+  '0' || CAST(o_custkey % 3 AS STRING) AS warehouse_classification, 'M' || CAST(o_custkey % 6 AS STRING) AS main_group_code,
+  CASE WHEN o_custkey % 10 <> 0 THEN 'Z' || CAST(o_custkey % 9 AS STRING) END AS sale_zone_code,
+  lpad(CAST(o_custkey % 12 AS STRING), 4, '0') AS salesman_code, 'D' || CAST(o_custkey % 5 AS STRING) AS sale_director_code,
+  CASE o_custkey % 7 WHEN 0 THEN 'none' ELSE CAST(o_custkey % 7 AS STRING) END AS rsm_code,
+  CASE WHEN l_suppkey % 3 <> 0 THEN 'M' || lpad(CAST(l_suppkey % 25 AS STRING), 2, '0') END AS market_budget,
+  CASE WHEN l_suppkey % 3 <> 0 THEN 'Market ' || lpad(CAST(l_suppkey % 25 AS STRING), 2, '0') END AS market_budget_descr,
+  l_orderkey, l_linenumber, lpad(CAST(l_partkey AS STRING), 8, '0') AS product_code,
   'C' || CAST(o_custkey AS STRING) AS dest_id, 'C' || CAST(o_custkey % 50 AS STRING) AS inv_id,
   lpad(CAST(l_suppkey % 5 AS STRING), 2, '0') AS company, lpad(CAST(l_suppkey % 25 AS STRING), 2, '0') AS network,
   CASE l_suppkey % 6 WHEN 0 THEN '62T0' WHEN 1 THEN '66J0' ELSE '60B0' END AS sales_organization,
@@ -666,29 +681,29 @@ FROM (SELECT *, l_orderkey AS o_orderkey_text FROM {sales_lines}) s
 VIEWS["report_orders"] = """
 SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
   flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
-  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  @@CODES@@, super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
   CAST('1998-08-15' AS DATE) AS document_date, qty AS ord_qty, nsv_eur AS ord_nsv_eur, gsv_eur AS ord_gsv_eur,
   gm_tp_eur AS ord_gm_tp_eur, gm_cp_eur AS ord_gm_cp_eur
 FROM {report_lines} WHERE ship_date >= CAST('1998-06-01' AS DATE)
-"""
+""".replace("@@CODES@@", REPORT_CODES)
 
 VIEWS["report_deliveries"] = """
 SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
   flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
-  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  @@CODES@@, super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
   CAST('1998-08-15' AS DATE) AS document_date, qty AS del_qty, nsv_eur AS del_nsv_eur, gsv_eur AS del_gsv_eur,
   gm_tp_eur AS del_gm_tp_eur, gm_cp_eur AS del_gm_cp_eur
 FROM {report_lines} WHERE ship_date BETWEEN CAST('1998-03-01' AS DATE) AND CAST('1998-09-30' AS DATE)
-"""
+""".replace("@@CODES@@", REPORT_CODES)
 
 VIEWS["report_invoices"] = """
 SELECT product_code, dest_id, inv_id, company, network, sales_organization, sales_office, division, source,
   flag_erp, doc_type_code, return_reason, order_number, first_req_del_date, requested_delivery_date,
-  super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
+  @@CODES@@, super_group_code, super_group_descr, purchase_group_code, purchase_group_descr,
   ship_date AS time_id, qty AS inv_qty, nsv_eur AS inv_nsv_eur, gsv_eur AS inv_gsv_eur,
   gm_tp_eur AS inv_gm_tp_eur, gm_cp_eur AS inv_gm_cp_eur
 FROM {report_lines}
-"""
+""".replace("@@CODES@@", REPORT_CODES)
 
 VIEWS["report_budget"] = """
 SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, lpad(CAST(p_size % 5 AS STRING), 2, '0') AS company,
@@ -704,6 +719,20 @@ SELECT company, network, 'M' || network AS market_budget, 'Market ' || network A
 FROM {company_network} WHERE network <> '07'
 """
 
+VIEWS["network_responsibles"] = """
+SELECT company, network, 'C' || network AS responsible_code, 'Cluster ' || network AS responsible_descr, 'R' || company AS responsible_code1,
+  'Region ' || company AS responsible_descr1, 'S' || company || network AS responsible_code3, CASE WHEN network <> '03' THEN 'Sub ' || network END AS responsible_descr3
+FROM {company_network} WHERE network <> '09'
+"""
+
+VIEWS["sales_names"] = """
+SELECT DISTINCT 'M' || CAST(c_custkey % 6 AS STRING) AS code, 'Main ' || CAST(c_custkey % 6 AS STRING) AS name FROM {customer}
+UNION ALL SELECT DISTINCT 'Z' || CAST(c_custkey % 8 AS STRING), 'Zone ' || CAST(c_custkey % 8 AS STRING) FROM {customer}
+UNION ALL SELECT DISTINCT lpad(CAST(c_custkey % 12 AS STRING), 4, '0'), 'Salesman ' || CAST(c_custkey % 12 AS STRING) FROM {customer}
+UNION ALL SELECT DISTINCT 'D' || CAST(c_custkey % 5 AS STRING), 'Director ' || CAST(c_custkey % 5 % 3 AS STRING) FROM {customer}
+UNION ALL SELECT DISTINCT CAST(c_custkey % 7 AS STRING), 'Manager ' || CAST(c_custkey % 7 AS STRING) FROM {customer}
+"""
+
 VIEWS["customer_codes"] = """
 SELECT 'C' || CAST(c_custkey AS STRING) AS customer, CAST(c_custkey * 10 AS STRING) AS code
 FROM {customer} WHERE c_mktsegment <> 'BUILDING'
