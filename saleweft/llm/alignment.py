@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import plane_bytes, plane_values, settle, worker_memory
 from .words import raw_texts, text_chunks
 
-BATCH_BYTES = 4 << 20
-MEMO_SEGMENTS = 250_000
+BATCH_BYTES = 2 << 20
+MEMO_SEGMENTS = 450_000
 
 PLAIN_COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
 LINK_COLUMNS = ["n_best", "count_sum"]
@@ -169,6 +169,7 @@ class Memory(dict):
         self.text: list[str] = []
         self.sizes = np.empty((0, 4), np.int64)  # tokens of both sides, groups, links
         self.links = np.empty(0, np.int64)
+        self.broken: set[int] = set()
 
     def learn(self, parts: list[str]) -> None:
         """Aligns parts that are not yet known: together where they can stand side by side, else one by one."""
@@ -180,8 +181,9 @@ class Memory(dict):
         for part, groups in zip(alone, self.tokenizers.align(alone)):
             self[part] = len(self.text)
             if groups is None:
+                self.broken.add(len(self.text))
                 self.text.append("")
-                sizes.append((-1, 0, 0, 0))
+                sizes.append((0, 0, 0, 0))
                 continue
             self.text.append(";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in zip(groups.a, groups.b)]))
             pairs = [i * self.width + j for a, b in zip(groups.a, groups.b) for i in a for j in b]
@@ -264,8 +266,7 @@ class Memory(dict):
         if new:
             self.learn(list(new))
             found = [list(map(self.get, p)) if None in f else f for p, f in zip(parts, found)]
-        whole = self.sizes[:, 0] >= 0
-        return [f if f and whole[f].all() else [] for f in found]
+        return [f if self.broken.isdisjoint(f) else [] for f in found] if self.broken else found
 
 
 def decoded(text: bytes | None) -> str:
@@ -316,7 +317,7 @@ _BATCH = ("batch long, doc_id array<long>, n_a array<long>, n_b array<long>, n_g
 
 def aligned_batches(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """Rows of about 4 MB of documents: results of each, the batch's id pairs and which document links which how often.
+    """Rows of about 2 MB of documents: results of each, the batch's id pairs and which document links which how often.
 
     ``pairs`` ascends and holds a id * width + b id; ``holders`` says how many of the batch's
     documents link each. ``sizes``, ``places`` and ``times`` are each document's number of
@@ -350,9 +351,9 @@ def _summary(known: Memory, found: list[list[int]]) -> tuple[np.ndarray, list[st
     sha = [hashlib.sha256(";".join(map(known.text.__getitem__, f)).encode()).hexdigest() if f else "" for f in found]
     count = np.fromiter(map(len, found), np.int64, len(found))
     owner = np.repeat(np.arange(len(found)), count)
-    number = np.fromiter((k for f in found for k in f), np.int64, len(owner))
+    number = np.fromiter(chain.from_iterable(found), np.int64, len(owner))
     plain = np.stack([np.bincount(owner, known.sizes[number, k], len(found)).astype(np.int64) for k in range(4)], axis=1)
-    size = np.maximum(known.sizes[:, 3], 0)
+    size = known.sizes[:, 3]
     first, each = (np.cumsum(size) - size)[number], size[number]
     stop = np.cumsum(each)
     links = known.links[np.arange(int(each.sum())) + np.repeat(first - stop + each, each)]
