@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fixed
 from ..functions.nulls import as_column, is_blank
+from ..session import settle
 from .columns import quoted
 from .lookup import ONCE, checked_lookup, held, spread_join, unique_join, unique_rows, unique_values
 
@@ -223,17 +224,28 @@ def role_lookup(
     return unique_join(df, renamed, [prefix + k for k in keys], f"{prefix}dimension")
 
 
+def document_facts(df: DataFrame, document: str, **facts: str) -> DataFrame:
+    """One row per document with the greatest value of some columns: all that references to it need.
+
+    Written once, slim; every reference then joins it, and the wide rows are read once.
+    """
+    return settle(df.groupBy(F.col(document).alias("document")).agg(
+        *[F.max(column).alias(name) for name, column in facts.items()]), "documents")
+
+
 def cancelled_lookup(
     df: DataFrame, document: str = "document_code", reference: str = "cancelled_invoice",
-    kind: str = "doc_type_code_orig",
+    kind: str = "doc_type_code_orig", documents: DataFrame | None = None,
 ) -> DataFrame:
     """Documents that cancel another take its document type.
 
     A document is kept when it cancels none (null or empty reference) or when the
-    one it cancels is there.
+    one it cancels is there. ``documents`` are the `document_facts` with a column ``kind``,
+    where they are known already.
     """
-    cancelled = df.groupBy(F.col(document).alias("__cancelled")).agg(
-        F.max(kind).alias("doc_type_code_cancelled"))
+    if documents is None:
+        documents = df.groupBy(F.col(document).alias("document")).agg(F.max(kind).alias("kind"))
+    cancelled = documents.select(F.col("document").alias("__cancelled"), F.col("kind").alias("doc_type_code_cancelled"))
     joined = spread_join(df, cancelled, {"__cancelled": F.col(reference)}, blank=True)
     known = F.col("__cancelled").isNotNull()
     return (

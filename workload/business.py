@@ -13,7 +13,6 @@ from saleweft.operators.sets import union_all
 from saleweft.plans import analysis, blocks, calendar, costs, deliveries, dimensions, forecast
 from saleweft.plans import invoices, legacy, market, master, orders, portfolio, prices
 from saleweft.plans import reassembly, segments
-from saleweft.session import settle
 from saleweft.sources import readers, writers
 
 from . import measures as ms
@@ -206,12 +205,16 @@ def b10(t):
 WITH newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, knumv, kposn, stunr, zaehk ORDER BY deltadate DESC) AS rn
     FROM prcd_source WHERE kschl NOT IN ('ZFR2', 'ZXXX')) x WHERE rn = 1),
 merged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY knumv, kposn, kschl ORDER BY zaehk DESC, source) AS place FROM newest) y WHERE place = 1),
-rated AS (SELECT m.*, coalesce(r.rate, kkurs) AS rate FROM merged m LEFT JOIN (SELECT vbeln, CAST(3 AS DOUBLE) AS rate FROM vbak WHERE auart = 'ZOR') r ON m.knumv = r.vbeln)
+rated AS (SELECT m.*, coalesce(r.rate, kkurs) AS rate FROM merged m LEFT JOIN (
+  SELECT '00' || substring(k.knumv, 3, 8) AS knumv, CASE WHEN starts_with(exchange_rate_text, '/') THEN 1 / CAST(replace(replace(exchange_rate_text, '/', ''), ',', '.') AS DOUBLE)
+    ELSE CAST(replace(exchange_rate_text, ',', '.') AS DOUBLE) END AS rate
+  FROM corrected_rate_texts c JOIN vbrk k ON company_code = k.vkorg AND billing_document = k.vbeln) r ON m.knumv = r.knumv)
 SELECT knumv, kposn, kschl, zaehk, source, kwert, rate AS kkurs FROM rated
 """, "kwert kkurs")
 def b11(t):
     sources = [t.prcd_source.where(F.col("source") == s) for s in (1, 2, 3)]
-    rates = t.vbak.where("auart = 'ZOR'").select("vbeln", F.lit(3.0).alias("rate"))
+    documents = t.vbrk.select("vkorg", "vbeln", F.concat(F.lit("00"), F.substring("knumv", 3, 8)).alias("knumv"))
+    rates = prices.corrected_rates(t.corrected_rate_texts, documents).select("knumv", F.col("exchange_rate").alias("rate"))
     merged = prices.consolidate_conditions(sources)
     return prices.current_conditions(merged, rates).select(
         "knumv", "kposn", "kschl", "zaehk", "source", "kwert", "kkurs")
@@ -535,7 +538,7 @@ def invoice_base(t):
         F.col("augru").alias("order_reason"), F.col("submi").alias("collective_number"),
         F.col("vbtyp").alias("category"))
     goods = t.vbap.select(F.col("vbeln").alias("order_number"), F.col("posnr").alias("order_line"), "pstyv")
-    rows = settle(invoices.invoice_rows(lines, heads, goods), "invoice-rows")
+    rows = invoices.invoice_rows(lines, heads, goods)
     return invoices.invoice_base(rows, t.vbpa, t.customer_offices, t.vbfa, customer_maps(t).names)
 
 

@@ -303,6 +303,12 @@ SELECT '9' || substring(vbeln, 2, 8) AS vbeln,
 FROM {likp} WHERE wadat_ist IS NOT NULL
 """
 
+VIEWS["corrected_rate_texts"] = """
+SELECT vkorg AS company_code, vbeln AS billing_document,
+  CASE CAST(substring(vbeln, 2, 8) AS INT) % 3 WHEN 0 THEN '/1,25' WHEN 1 THEN '2,5' ELSE '0,8' END AS exchange_rate_text
+FROM {vbrk} WHERE CAST(substring(vbeln, 2, 8) AS INT) % 4 < 2
+"""
+
 VIEWS["vbrp"] = """
 SELECT '9' || substring(vbeln, 2, 8) AS vbeln, posnr,
   CASE WHEN CAST(matnr AS INT) % 3 = 0 THEN posnr END AS pospa,
