@@ -22,42 +22,83 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .licenses import WORD_BYTES
-from .words import find_words, gram_hashes, gram_starts, joined, lower_ascii, raw_texts, text_chunks, word_hashes
+from .words import Words, find_words, gram_hashes, gram_starts, joined, lower_ascii, raw_texts, text_chunks, word_hashes
 
 LEAST_WORDS = 5
 COVERAGE = 0.5
 BLOCK_WORDS = 1_000_000
 
 
+UNSPACED = {
+    0xE0: range(0xB8, 0xBC), 0xE1: [*range(0x80, 0x83), 0x9E, 0x9F], 0xE3: range(0x81, 0xC0),
+    **{lead: range(0x80, 0xC0) for lead in range(0xE4, 0xEA)},
+}
+"""First and second bytes of three-byte characters of scripts without spaces: Thai, Lao, Burmese, Khmer, kana, Han."""
+
+
+def cut_words(data: np.ndarray, text_start: np.ndarray) -> Words:
+    """Runs of word bytes; a character of a script without spaces is a word of its own."""
+    after = np.append(data[1:], np.uint8(0))
+    alone = np.zeros(len(data), bool)
+    if (data >= 0xE0).any():
+        table = np.zeros((256, 256), bool)
+        for lead, following in UNSPACED.items():
+            table[lead, list(following)] = True
+        alone = table[data, after]
+    if not alone.any():
+        return find_words(data, text_start, WORD_BYTES)
+    inside = WORD_BYTES[data]
+    cut = alone.copy()
+    cut[3:] |= alone[:-3]
+    before = np.append(False, inside[:-1])
+    start = np.flatnonzero(inside & (~before | cut))
+    end = np.flatnonzero(np.append(before & (~inside | cut), inside[-1:]))
+    text = np.searchsorted(text_start, start, "right") - 1
+    return Words(data, start, end, text, np.bincount(text, minlength=len(text_start)).astype(np.int64))
+
+
 @dataclass
-class ItemIndex:
-    """Runs of a block's items, ascending by hash: item, place in the item."""
+class Runs:
+    """Runs of one length in some of a block's items, ascending by hash: item, place in the item."""
 
-    ids: list[int]
-    sizes: np.ndarray
+    words: int
     hashes: np.ndarray
     item: np.ndarray
     place: np.ndarray
 
 
-def _index(ids: list[int], texts: list[bytes], least: int) -> ItemIndex:
+@dataclass
+class ItemIndex:
+    """A block of items: ids, word counts, and their runs. An item's runs have ``least`` words, or all it has."""
+
+    ids: list[int | None]
+    sizes: np.ndarray
+    runs: list[Runs]
+
+
+def _index(ids: list[int | None], texts: list[bytes], least: int) -> ItemIndex:
     data, at = joined(texts)
-    words = find_words(lower_ascii(data), at, WORD_BYTES)
-    starts = gram_starts(words, least)
-    hashes = gram_hashes(word_hashes(words), least)[starts] if len(starts) else np.zeros(0, np.uint64)
-    order = np.argsort(hashes, kind="stable")
-    owner = words.text[starts]
-    return ItemIndex(ids, words.count, hashes[order], owner[order], (starts - words.first[owner])[order])
+    words = cut_words(lower_ascii(data), at)
+    hashes, runs = word_hashes(words), []
+    length = np.minimum(words.count, least)
+    for n in np.unique(length[length > 0]).tolist():
+        starts = gram_starts(words, n)
+        starts = starts[length[words.text[starts]] == n]
+        grams = gram_hashes(hashes, n)[starts]
+        order = np.argsort(grams, kind="stable")
+        owner = words.text[starts]
+        runs.append(Runs(n, grams[order], owner[order], (starts - words.first[owner])[order]))
+    return ItemIndex(ids, words.count, runs)
 
 
 def item_blocks(benchmark: DataFrame, least: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
     """The benchmark's items, one index per block of about ``BLOCK_WORDS`` words."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
-        "id is not null and text is not null")
-    words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    # a character is a word in some scripts, three bytes long
+    words = items.agg(F.sum(F.size(F.split("text", r"\s+")) + F.floor((F.octet_length("text") - F.length("text")) / 2))).first()[0] or 0
     blocks = max(1, -(-words // BLOCK_WORDS))
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
+        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
         if part.num_rows:
             yield _index(part.column("id").to_pylist(), raw_texts(part.column("text").combine_chunks()), least)
 
@@ -90,15 +131,21 @@ def tile(matches: list[tuple[int, int, int]], least: int) -> list[tuple[int, int
     return tiles
 
 
-def _leaks(texts: list[bytes | None], index: ItemIndex, least: int, coverage: float) -> list[tuple]:
+def _leaks(texts: list[bytes | None], index: ItemIndex, coverage: float) -> list[tuple]:
     """``(text, item, coverage, tiles)`` of the pairs that reach the coverage."""
-    if not len(index.hashes):
-        return []
     data, at = joined(texts)
-    words = find_words(lower_ascii(data), at, WORD_BYTES)
+    words = cut_words(lower_ascii(data), at)
+    hashes = word_hashes(words)
+    found = [f for runs in index.runs for f in _leaks_by_runs(words, hashes, index, runs, coverage)]
+    return sorted(found, key=lambda f: f[:2])
+
+
+def _leaks_by_runs(words: Words, word: np.ndarray, index: ItemIndex, runs: Runs, coverage: float) -> list[tuple]:
+    """The same for the items whose runs have one length."""
+    least = runs.words
     starts = gram_starts(words, least)
-    hashes = gram_hashes(word_hashes(words), least)[starts] if len(starts) else np.zeros(0, np.uint64)
-    low, high = (np.searchsorted(index.hashes, hashes, side) for side in ("left", "right"))
+    hashes = gram_hashes(word, least)[starts] if len(starts) else np.zeros(0, np.uint64)
+    low, high = (np.searchsorted(runs.hashes, hashes, side) for side in ("left", "right"))
     size = high - low
     hit = np.flatnonzero(size)
     if not len(hit):
@@ -106,7 +153,7 @@ def _leaks(texts: list[bytes | None], index: ItemIndex, least: int, coverage: fl
     size, low = size[hit], low[hit]
     entry = np.repeat(low - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
     spot = np.repeat(starts[hit], size)
-    text, item, i = words.text[spot], index.item[entry], index.place[entry]
+    text, item, i = words.text[spot], runs.item[entry], runs.place[entry]
     j = spot - words.first[text]
     # runs of hits along a diagonal
     order = np.lexsort((i, j - i, item, text))
@@ -129,7 +176,7 @@ def _leaks(texts: list[bytes | None], index: ItemIndex, least: int, coverage: fl
         tiles = tile(list(zip(i[a:b].tolist(), j[a:b].tolist(), length[a:b].tolist())), least)
         covered = sum(n for _, _, n in tiles)
         if covered >= needed:
-            out.append((int(text[a]), index.ids[int(item[a])], covered / int(index.sizes[item[a]]), sorted(tiles)))
+            out.append((int(text[a]), int(item[a]), covered / int(index.sizes[item[a]]), sorted(tiles)))
     return out
 
 
@@ -140,11 +187,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                least: int = LEAST_WORDS, coverage: float = COVERAGE) -> DataFrame:
     """Pairs ``doc_id, item_id, coverage, tiles`` of at least ``coverage`` of an item's words.
 
-    Words are runs of ASCII letters and digits, lower-cased, and bytes beyond ASCII. Items
-    with fewer than ``least`` words prove nothing and match nothing; null and empty texts and
-    null item ids likewise. Equal texts leak alike, repeated rows repeat their pairs, equal
-    items are items of their own. Whole texts are read; other columns are not. An empty
-    table on either side gives no pairs.
+    Words are runs of ASCII letters and digits, lower-cased, and bytes beyond ASCII; a
+    character of a script without spaces is a word. An item with fewer than ``least`` words is
+    matched as a whole. An item without an id counts, its pairs have a null ``item_id``; null
+    texts and texts without words match nothing. Equal texts leak alike, repeated rows repeat their
+    pairs, equal items are items of their own. Whole texts are read; other columns are
+    not. An empty table on either side gives no pairs.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
@@ -153,12 +201,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             for batch in batches:
                 texts, ids = raw_texts(batch.column("text")), batch.column("doc_id")
                 for part in text_chunks(texts):
-                    found = _leaks(texts[part], index, least, coverage)
+                    found = _leaks(texts[part], index, coverage)
                     tiles = pa.array([[{"item_at": a, "text_at": b, "words": n} for a, b, n in f[3]] for f in found],
                                      pa.list_(pa.struct([(c, pa.int32()) for c in ("item_at", "text_at", "words")])))
                     yield pa.record_batch(
                         [ids.take(pa.array([part.start + f[0] for f in found], pa.int64())),
-                         pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.float64()), tiles],
+                         pa.array([index.ids[f[1]] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.float64()), tiles],
                         names=["doc_id", "item_id", "coverage", "tiles"])
 
         pairs = slim.mapInArrow(run, f"doc_id long, item_id long, coverage double, tiles {_TILES}")
@@ -178,7 +226,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 texts = raw_texts(batch.column(batch.schema.get_field_index(text_col)))
                 clean = np.ones(len(texts), bool)
                 for part in text_chunks(texts):
-                    clean[[part.start + f[0] for f in _leaks(texts[part], index, least, coverage)]] = False
+                    clean[[part.start + f[0] for f in _leaks(texts[part], index, coverage)]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, schema)

@@ -244,3 +244,28 @@ def test_leaks_of_awkward_rows(spark, messy, nothing, messy_rows, passage):
     clean = without_leaks(messy, bench)
     assert clean.columns == messy.columns and clean.count() == len(messy_rows) - len(having)
     assert find_leaks(nothing, bench).count() == 0 and without_leaks(nothing, bench).count() == 0
+
+
+def test_short_items_items_without_an_id_and_scripts_without_spaces(spark):
+    """Every item is looked for, whatever its length, id or script."""
+    han = "我们今天去学校学习新的课程内容然后回家吃饭睡觉"
+    thai = "ประเทศไทยมีอาหารอร่อยมากมายและผู้คนใจดี"
+    bench = spark.createDataFrame([(1, "capital of France"), (None, "one two three four five six seven eight"), (3, han), (4, thai), (5, "..."),
+                                   (6, "Zugspitze")], "item_id long, text string")
+    texts = ["the capital of France is big", "the capital in France", f"intro {han[4:18]} more", han[:5], "x " + thai[:30],
+             "zero one two three four five six", "nine ten", "auf der Zugspitze oben", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in find_leaks(docs, bench).collect()}
+    assert set(got) == {(0, 1), (2, 3), (4, 4), (5, None), (7, 6)}
+    assert got[0, 1].coverage == 1 and got[2, 3].tiles[0].words == 14 and got[5, None].coverage == 6 / 8
+    assert sorted(r.doc_id for r in without_leaks(docs, bench).collect()) == [1, 3, 6, 8]
+
+
+def test_words_of_mixed_scripts():
+    texts = ["Plain 12 wörds", "日本語、テキスト abc漢字x", "", "한국어 문장", "กข ก"]
+    data, at = decontam.joined([t.encode() for t in texts])
+    words = decontam.cut_words(decontam.lower_ascii(data), at)
+    got = [[] for _ in texts]
+    for a, b, t in zip(words.start, words.end, words.text):
+        got[t].append(bytes(data[a:b]).decode())
+    assert got == [["Plain", "12", "wörds"], [*"日本語、", *"テキスト", "abc", *"漢字", "x"], [], ["한국어", "문장"], ["ก", "ข", "ก"]]
