@@ -2,9 +2,11 @@
 
 Notices and phrases are word templates. How many documents use each of their words is
 counted over all documents; a template's rarest words (highest inverse document
-frequency) are its postings: word, template, place in the template. Every place where
-such a word stands in a file proposes a start, the places of a template's postings are
-intersected on that start, and what remains must hold a mandatory key phrase word by word.
+frequency) are its postings: word, template, place in the template. Two of them are the
+rarest of its mandatory key phrase, so a file with the whole phrase proposes it whatever the
+counts are. Every place where such a word stands in a file proposes a start, the places of a
+template's postings are intersected on that start, and what remains must hold the key
+phrase word by word.
 Phrases have one posting, their rarest word, so every place of a phrase is proposed.
 
 The index is made of the templates and is small; the files are read in one pass after
@@ -42,8 +44,12 @@ TEMPLATES = [  # label, words of the notice, mandatory key phrase
     ("cc0", "cc0 1 0 universal", "cc0 1 0"),
     ("gpl-2.0", "this work is licensed under the gnu general public license version 2",
      "gnu general public license version 2"),
+    ("gpl-2.0", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license",
+     "general public license as published by the free software foundation either version 2"),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3",
      "gnu general public license version 3"),
+    ("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license",
+     "general public license as published by the free software foundation either version 3"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee",
      "permission to use copy modify and or distribute this software"),
     ("lgpl", "gnu lesser general public license", "lesser general public license"),
@@ -116,9 +122,10 @@ def build_index(counts: dict[str, int], phrases: list = PHRASES, templates: list
         words, key_words = text.split(), key.split()
         at = next(i for i in range(len(words)) if words[i:i + len(key_words)] == key_words)
         rarest = sorted(range(len(words)), key=lambda i: (counts.get(words[i], 0), i))
-        postings = [(int(_hash_words([words[i]])[0]), i) for i in rarest[:1 if phrase else RARE_WORDS]]
-        out.append(Template(label, _hash_words(words), at, len(key_words), phrase, postings,
-                            1 if phrase else min(NEEDED_VOTES, len(postings))))
+        inside = [i for i in rarest if at <= i < at + len(key_words)][:1 if phrase else NEEDED_VOTES]
+        more = [] if phrase else [i for i in rarest if i not in inside][:RARE_WORDS - len(inside)]
+        postings = [(int(_hash_words([words[i]])[0]), i) for i in [*inside, *more]]
+        out.append(Template(label, _hash_words(words), at, len(key_words), phrase, postings, len(inside)))
     return out
 
 

@@ -269,3 +269,22 @@ def test_words_of_mixed_scripts():
     for a, b, t in zip(words.start, words.end, words.text):
         got[t].append(bytes(data[a:b]).decode())
     assert got == [["Plain", "12", "wörds"], [*"日本語、", *"テキスト", "abc", *"漢字", "x"], [], ["한국어", "문장"], ["ก", "ข", "ก"]]
+
+
+def contains(words, phrase):
+    return any(words[k:k + len(phrase)] == phrase for k in range(len(words) - len(phrase) + 1))
+
+
+def test_all_labels_equal_a_plain_search(spark, documents):
+    """Every template whose key phrase stands in a text, and no other, however common its words are."""
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    rows += [(10_000 + k, f"start {text} end") for k, (_, text, _) in enumerate(TEMPLATES)]
+    rows += [(20_000 + k, f"start {key} end") for k, (*_, key) in enumerate(TEMPLATES)]
+    rows += [(30_000 + k, " ".join(key.split()[:-1])) for k, (*_, key) in enumerate(TEMPLATES)]
+    rows += [(40_000 + k, "license public gnu free software mit version 3") for k in range(300)]  # frequent words
+    found = scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.row.doc_id: {m.label for m in r.notices} for r in found}
+    for i, text in rows:
+        words = plain_words(text or "")
+        assert got[i] == {label for label, _, key in TEMPLATES if contains(words, key.split())}, (i, text[:80])
+    assert got[20_000 + len(TEMPLATES) - 1] == {"unlicense"}
