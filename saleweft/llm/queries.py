@@ -186,7 +186,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     read = settle(read_archive(spark, path).select(
         page_id_of(F.col("record_id")).alias("page_id"), "record_type",
         page_id_of(F.col("refers_to")).alias("refers_to"), F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"), "declared_digest", "problem"), "captures")
+        F.when(F.col("problem").isNull(), F.sha1("payload")).otherwise(F.raise_error("problem")).alias("payload_digest"),
+        "declared_digest"), "captures")
     # a revisit's payload is that of the capture it refers to, checked against its own digest
     origin = read.where("record_type = 'response'").select(
         F.col("page_id").alias("origin_id"), F.col("payload_bytes").alias("origin_bytes"),

@@ -199,23 +199,24 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     parsed = files.mapInArrow(parse, _PARSED)
     named = ["record_id", "record_type", "refers_to", "target", "declared_digest"]
-    whole = parsed.where("number is null").select(*named, "block", F.lit(None).cast("string").alias("problem"))
+    whole = parsed.where("number is null").select(*named, F.array("block").alias("blocks"), F.lit(None).cast("string").alias("problem"))
     pieces = parsed.where("number is not null").withColumn("capture", F.coalesce("origin", "record_id"))
     first = [F.max(F.when(F.col("origin").isNull(), F.col(c))).alias(c) for c in named]
     gathered = pieces.groupBy("capture").agg(
         *first, F.max("total").alias("total"), F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"))
     order = F.transform("parts", lambda p: p["number"])
-    block = F.aggregate("parts", F.lit(b"").cast("binary"), lambda b, p: F.concat(b, p["block"]))
-    joined = gathered.withColumn("block", block).select(
-        *named, "block",
+    total = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
+    joined = gathered.select(
+        *named, F.transform("parts", lambda p: p["block"]).alias("blocks"),
         F.when(F.col("record_id").isNull(), "no first segment")
         .when(F.col("total").isNull() | (order != F.sequence(F.lit(1), F.size("parts"))), "segment missing or repeated")
-        .when(F.octet_length("block") != F.col("total"), "total length differs").alias("problem"))
+        .when(total != F.col("total"), "total length differs").alias("problem"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(None, p) if p else (b"", None) if kind == "revisit" else decode_block(b.as_py())
-                     for b, p, kind in zip(*(batch.column("block"), *(batch.column(c).to_pylist() for c in ("problem", "record_type"))))]
+            # a capture's segments are joined once, here
+            found = [(None, p) if p else (b"", None) if kind == "revisit" else decode_block(b"".join(b.as_py()))
+                     for b, p, kind in zip(*(batch.column("blocks"), *(batch.column(c).to_pylist() for c in ("problem", "record_type"))))]
             yield pa.record_batch([*[batch.column(c) for c in named], pa.array([f[0] for f in found], pa.binary()),
                                    pa.array([f[1] for f in found], pa.string())], names=[*named, "payload", "problem"])
 
