@@ -106,7 +106,9 @@ def list_rows(struct: pa.StructArray) -> pa.ListArray:
 
 
 def add_score(docs: DataFrame, text_col: str, out: str, scorer: Callable[[list[bytes | None]], np.ndarray]) -> DataFrame:
-    """``docs`` and a double column that ``scorer`` computes from chunks of whole texts."""
+    """``docs`` and a double column that ``scorer`` computes from chunks of whole texts; its name must be new."""
+    if out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {out} already; choose another name with out=")
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import distributed_rank, settle, spread_key
+from .common import distributed_rank, settle, spread_key, worker_memory
 from .words import find_words, joined, raw_texts, text_chunks, word_hashes
 
 END_ID = 2
@@ -59,13 +59,8 @@ class WordIds(dict):
 
     @classmethod
     def of(cls, path: str) -> WordIds:
-        """One memory per worker process, kept from task to task on an installed module."""
-        import tokenizers
-
-        memories = vars(tokenizers).setdefault("_word_ids", {})
-        if path not in memories:
-            memories[path] = cls(path)
-        return memories[path]
+        """One memory per worker process, kept from task to task."""
+        return worker_memory(("packing", path), lambda: cls(path))
 
     def encode_one(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()

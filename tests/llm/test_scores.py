@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from saleweft.llm import toxicity
 from saleweft.llm.quality import fit_bradley_terry, fit_quality, score_quality
 from saleweft.llm.queries import QUERIES
 from saleweft.llm.toxicity import fit_toxicity, score_toxicity
@@ -50,6 +53,43 @@ def test_scores_of_awkward_rows(messy, nothing, messy_rows, tables, fit, score):
     assert score(nothing, model, out="result").count() == 0
 
 
+@pytest.mark.parametrize("fit, score", [(fit_toxicity, score_toxicity), (fit_quality, score_quality)])
+def test_a_clashing_column_is_an_error(messy, tables, fit, score):
+    """``messy`` has a column ``score`` of its own."""
+    with pytest.raises(ValueError, match="choose another name"):
+        score(messy, fit(*tables))
+
+
+def test_toxic_windows_equal_plain_compression(tables):
+    """Every window's saving and every text's figures, window by window."""
+    docs, labels = tables
+    model = fit_toxicity(docs, labels)
+    meter = toxicity._Meter(model.ordinary, model.toxic)
+    texts = [r.text.encode() for r in docs.limit(40).collect()] + [b"", b"you stupid idiot, worthless scum", b"one"]
+    saved, owner = meter.saved(texts)
+    grams = {bytes(model.toxic[k:k + 5]) for k in range(len(model.toxic) - 4)} - {
+        bytes(model.ordinary[k:k + 5]) for k in range(len(model.ordinary) - 4)}
+    expected = []
+    for t, text in enumerate(texts):
+        body = b" " + b"".join(bytes([c | 32]) if 65 <= c <= 90 else bytes([c]) for c in text) + b" "
+        words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", body)]
+        starts = range(0, max(len(words) - toxicity.WINDOW_WORDS, 0) + toxicity.WINDOW_STEP, toxicity.WINDOW_STEP) if words else ()
+        for k in starts:
+            if k and k - toxicity.WINDOW_STEP + toxicity.WINDOW_WORDS >= len(words):
+                break
+            window = body[words[k][0] - 1:words[min(k + toxicity.WINDOW_WORDS, len(words)) - 1][1] + 1]
+            sizes = [len(c.compress(window)) for c in (meter.plain, meter.both)]
+            shared = any(window[i:i + 5] in grams for i in range(len(window)))
+            expected.append((t, sizes[0] - sizes[1] if shared else 0))
+    got = sorted(zip(owner.tolist(), saved.tolist()))
+    assert [g for g in got if g[1]] == sorted(e for e in expected if e[1]) and len(got) >= sum(e[1] != 0 for e in expected)
+    scores = model.scorer()(texts)
+    for t in range(len(texts)):
+        here = [s for o, s in expected if o == t] or [0]
+        figures = [1, min(max(here), 24) / 8, np.log1p(sum(s >= model.threshold for s in here))]
+        assert abs(scores[t] - 1 / (1 + np.exp(-(figures @ model.weights)))) < 1e-12
+
+
 @pytest.mark.parametrize("fit, score", [(fit_toxicity, score_toxicity), (fit_quality, score_quality)])
 def test_without_examples_of_both_kinds_scores_are_zero(messy, tables, fit, score):
     docs, labels = tables
