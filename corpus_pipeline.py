@@ -46,7 +46,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     small_batches(spark)
     cut = cut_repeats(docs, window=13, keep_spacing=True)
-    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)}
+    changed = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
     return cut.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
