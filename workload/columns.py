@@ -13,6 +13,7 @@ from saleweft.operators import joins as j
 from saleweft.operators import quality as q
 from saleweft.operators import sets as s
 from saleweft.operators import windows as w
+from saleweft.plans.bronze import CONTRACT, bronze, bronze_counts, contracts
 from saleweft.plans.master import class_rows, overview_rows
 from saleweft.plans.reassembly import split_fact
 from saleweft.sources.readers import read_csv
@@ -31,6 +32,65 @@ def p01(t):
     }).withColumn("order_date", F.col("order_date").cast("string"))
 
 
+# Bronze tables: their keys, and the language that text tables are read in.
+BRONZE_KEYS = {
+    "vbak": "vbeln", "vbap": "vbeln posnr", "lips": "vbeln posnr", "likp": "vbeln", "vbbe": "vbeln posnr", "vbep": "vbeln posnr etenr",
+    "vbpa": "vbeln posnr parvw", "tvak": "auart", "tvakt": "auart", "return_reasons": "order_reason", "block_texts": "lifsk",
+    "category_texts": "vbtyp", "source_texts": "bsark", "areas": "zzlarea", "routes": "route", "company_currency": "company",
+    "yearly_rates": "key_currency", "line_offices": "sales_office line", "product_lines": "product_code", "tcurr": "currency exchange_date",
+    "cutoffs": "cutoff_date", "prcd": "knumv kposn kschl", "vbrk": "vbeln", "vbrp": "vbeln posnr", "prcd_invoice": "knumv kposn kschl",
+    "vbfa": "vbelv vbeln", "vttp": "tknum vbeln", "vttk": "tknum", "shipping_texts": "vsart", "t052": "zterm", "t042": "land1 zlsch",
+    "payment_texts": "zterm", "customer_offices": "key_knvv", "cdhdr": "objectid changenr", "cdpos": "objectid changenr",
+    "delivery_kinds": "lfart",
+}
+BRONZE_LANGUAGES = {"tvakt": ("spras", "EN"), "t042": ("spras", "E")}
+
+
+def bronze_sources(t):
+    """Source tables as they might arrive: other names in capitals, numbers as texts, a column more."""
+    out = {}
+    for table in BRONZE_KEYS:
+        view = t.get(table)
+        out[table] = view.select(
+            *[F.col(n).cast("string" if kind == "double" else kind).alias(f"SRC_{n.upper()}") for n, kind in view.dtypes],
+            F.lit("x").alias("ZZ_ADDED"))
+    return out
+
+
+def bronze_rules(t):
+    rows = []
+    for table, keys in BRONZE_KEYS.items():
+        language = BRONZE_LANGUAGES.get(table, (None, None))
+        rows += [(table, f"src_{n}", n, kind, n in keys.split(), [language[1]] if n == language[0] else None)
+                 for n, kind in t.get(table).dtypes]
+    return contracts(t.spark.createDataFrame(rows, CONTRACT))
+
+
+def bronze_sql():
+    parts = []
+    for table, keys in BRONZE_KEYS.items():
+        where = " WHERE {} = '{}'".format(*BRONZE_LANGUAGES[table]) if table in BRONZE_LANGUAGES else ""
+        columns = ", ".join(keys.split())
+        key = f"struct_pack({', '.join(f'{k} := {k}' for k in keys.split())})"
+        parts.append(f"SELECT '{table}' AS table_name, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys FROM (SELECT {columns} FROM {table}{where}) x_{table}")
+    return " UNION ALL ".join(parts)
+
+
+@query("p01_bronze_tables", bronze_sql())
+def p01_bronze(t):
+    """Every source table read by its contract."""
+    sources, rules = bronze_sources(t), bronze_rules(t)
+    return bronze_counts({table: bronze(raw, rules[table]) for table, raw in sources.items()}, rules)
+
+
+@query("p01_bronze_orders", """
+SELECT vbeln, posnr, matnr, CAST(kwmeng AS DOUBLE) AS kwmeng, werks FROM vbap
+""", "kwmeng")
+def p01_orders(t):
+    """The order items of the contract: names, types and all rows."""
+    return bronze(bronze_sources(t)["vbap"], bronze_rules(t)["vbap"]).select("vbeln", "posnr", "matnr", "kwmeng", "werks")
+
+
 @query("p02_lower_columns", "SELECT c_custkey AS custkey, c_name AS \"customer name\" FROM customer")
 def p02(t):
     loud = t.customer.select(F.col("c_custkey").alias("CustKey"),
