@@ -12,7 +12,7 @@ from ..functions.typed import list_items, typed_value
 from ..operators.aggregate import collect_text, eav_pivot
 from ..operators.columns import fix_values, quoted, standardize_columns
 from ..operators.incremental import current_state
-from ..operators.lookup import checked_lookup
+from ..operators.lookup import ONCE, checked_lookup, held, spread_join, unique_rows
 from ..operators.sets import union_all
 from ..operators.windows import dedup_ordered, latest_version
 
@@ -149,6 +149,28 @@ def _with_base(df: DataFrame, wide: DataFrame, names: Mapping[str, str]) -> Data
     return df.join(base, ["base_sku"], "left")
 
 
+def product_sides(sides: Sequence[DataFrame], key: str = "product_code") -> DataFrame:
+    """Tables with one row per product each as one table, so that the master joins them once.
+
+    A product that repeats in a side fails the job.
+    """
+    stacked = union_all([unique_rows(side, [key], "product side") for side in sides])
+    columns = [c for c in stacked.columns if c not in (key, ONCE)]
+    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in columns], F.bool_and(ONCE).alias(ONCE))
+
+
+def with_product_sides(master: DataFrame, sides: Sequence[DataFrame], sku: str = "sku") -> DataFrame:
+    """The master with workflow dates, characteristics, plant, trade class and material data, and its codes split.
+
+    Producer and supplier are held as ``code-name``; the text itself is the description.
+    """
+    joined = spread_join(master, product_sides(sides), {"product_code": F.col(sku)})
+    return held(joined).drop("product_code").withColumns({
+        "producer_code": split_part("Factory_CAS", "-", 0), "producer_descr": F.col("Factory_CAS"),
+        "supplier_code": split_part("Supplier_Code_SAP", "-", 0), "supplier_descr": F.col("Supplier_Code_SAP"),
+    })
+
+
 def trade_class(source: DataFrame, as_of: str) -> DataFrame:
     """The last valid customs number of a product."""
     valid = source.where(F.col("validity_end_date") > F.lit(as_of).cast("date"))

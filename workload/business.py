@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from saleweft import fixed_values as fixed
 from saleweft.operators.columns import add_missing_columns
+from saleweft.operators.aggregate import characteristic_pivot
 from saleweft.operators.joins import with_partners
 from saleweft.operators.lookup import checked_lookup
 from saleweft.operators.quality import settle_unique
@@ -1033,28 +1034,51 @@ def b26(t):
 # --- products, re-assembly, texts -------------------------------------------------------------
 
 MASTER_NAMES = ["Brand", "Energy_kWh", "Markets", "Object_Type", "Packed_Product_Depth_mm", "Packed_Product_Height_mm",
-                "Packed_Product_Width_mm", "Release_Status", "Start_Date"]
+                "Packed_Product_Width_mm", "Release_Status", "Start_Date", "Factory_CAS", "Supplier_Code_SAP"]
+SIDE_NAMES = ["release_date", "smd_input_date", "commodity_code_extension", "material_preferential_origin", "inward_processing_code",
+              "plant_status", "customs_number", "material_group", "producer_code", "producer_descr", "supplier_code", "supplier_descr"]
 
 
-@query("b27_product_master", """
+def workflow_sql(name, task):
+    return f"""{name} AS (SELECT product_code, done_on FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_mod_date DESC, done_on) AS rn
+  FROM (SELECT unnest(string_split(item_ids, '~')) AS product_code, done_on, last_mod_date FROM workflow WHERE task_name = '{task}') w) x WHERE rn = 1)"""
+
+
+@query("b27_product_master", f"""
 WITH typed AS (SELECT sku, trim(regexp_replace(regexp_replace(key, '\\[[^\\]]*\\]', '', 'g'), '[^\\w]+', ' ', 'g')) AS k, value, tree_name FROM attributes),
 wide AS (SELECT sku, min(CASE WHEN k = 'Brand' THEN value END) AS brand, min(CASE WHEN k = 'Markets' THEN replace(value, '~', '; ') END) AS markets,
   min(CASE WHEN k = 'Object Type' THEN value END) AS object_type, min(CASE WHEN k = 'Release Status' THEN value END) AS release_status,
   CAST(TRY_CAST(min(CASE WHEN k = 'Start Date' THEN CAST(TRY_CAST(value AS DATE) AS STRING) END) AS STRING) AS STRING) AS start_date,
   TRY_CAST(min(CASE WHEN k = 'Packed Product Height mm' THEN CAST(TRY_CAST(value AS DOUBLE) AS STRING) END) AS DOUBLE) AS h,
   TRY_CAST(min(CASE WHEN k = 'Packed Product Width mm' THEN value END) AS DOUBLE) AS w,
+  min(CASE WHEN k = 'Factory CAS' THEN value END) AS factory, min(CASE WHEN k = 'Supplier Code SAP' THEN value END) AS supplier,
   string_agg(DISTINCT tree_name, ', ' ORDER BY tree_name) AS tree_names FROM typed GROUP BY sku),
+{workflow_sql('released', 'Release')}, {workflow_sql('smd', 'SMD input')},
+chars AS (SELECT product_code, min(CASE WHEN characteristic = 'ZPROD_COMCODEEXT' THEN characteristic_value END) AS commodity_code_extension,
+  min(CASE WHEN characteristic = 'ZPREF_ORIG' THEN characteristic_value END) AS material_preferential_origin,
+  min(CASE WHEN characteristic = 'ZPROD_INWCODE' THEN characteristic_value END) AS inward_processing_code FROM characteristics JOIN characteristic_names USING (characteristic_id) GROUP BY 1),
+trade AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_update DESC) AS rn FROM trade_classes WHERE validity_end_date > DATE '2024-02-01') x WHERE rn = 1),
 base AS (SELECT unnest(string_split(value, '~')) AS sku, sku AS base_sku FROM attributes WHERE key = 'Related Derivate Model')
 SELECT w.sku, w.brand, w.markets, CASE WHEN w.release_status = 'Released' THEN 'On sale' WHEN w.release_status = 'Draft' THEN 'Planned' END AS business_status, w.start_date, base_sku,
   b.start_date AS base_start, w.tree_names, split_part(w.object_type, '-', 1) AS product_type_code, nullif(split_part(w.object_type, '-', 2), '') AS product_type_descr,
-  w.h / 1000 * (w.w / 1000) * 0.5e0 AS volume_m3 FROM wide w LEFT JOIN base USING (sku) LEFT JOIN wide b ON base_sku = b.sku
+  CAST(released.done_on AS STRING) AS release_date, CAST(smd.done_on AS STRING) AS smd_input_date, commodity_code_extension, material_preferential_origin, inward_processing_code,
+  plant_status, customs_number, material_group, split_part(w.factory, '-', 1) AS producer_code, w.factory AS producer_descr, split_part(w.supplier, '-', 1) AS supplier_code, w.supplier AS supplier_descr,
+  w.h / 1000 * (w.w / 1000) * 0.5e0 AS volume_m3 FROM wide w LEFT JOIN base USING (sku) LEFT JOIN wide b ON base_sku = b.sku LEFT JOIN released ON w.sku = released.product_code LEFT JOIN smd ON w.sku = smd.product_code
+LEFT JOIN chars ON w.sku = chars.product_code LEFT JOIN trade ON w.sku = trade.product_code LEFT JOIN plants ON w.sku = plants.product_code LEFT JOIN materials ON w.sku = materials.product_code
 """, "volume_m3:9")
 def b27(t):
     typed = master.typed_attributes(t.attributes, t.attribute_kinds)
     statuses = t.part.select(F.lit("Released").alias("status"), F.lit("On sale").alias("text")).distinct().unionByName(
         t.part.select(F.lit("Draft").alias("status"), F.lit("Planned").alias("text")).distinct())
     out = master.product_master(typed, MASTER_NAMES, statuses, {"Start_Date": "base_start"})
+    out = text_dates(master.with_product_sides(out, [
+        master.released_products(t.workflow, "Release", "done_on").withColumnRenamed("done_on", "release_date"),
+        master.released_products(t.workflow, "SMD input", "done_on").withColumnRenamed("done_on", "smd_input_date"),
+        characteristic_pivot(t.characteristics, t.characteristic_names, fixed.CHARACTERISTICS), t.plants, t.materials,
+        master.trade_class(t.trade_classes, "2024-02-01").select("product_code", "customs_number"),
+    ]), "release_date", "smd_input_date")
     return out.select(
+        *SIDE_NAMES,
         "sku", F.col("Brand").alias("brand"), F.col("Markets").alias("markets"), "business_status",
         F.col("Start_Date").alias("start_date"), "base_sku", "base_start",
         F.nullif("tree_names", F.lit("")).alias("tree_names"), "product_type_code", "product_type_descr",

@@ -759,13 +759,15 @@ SELECT sku, class_id, tree_name, key, value, ingestion_date, ingestion_type FROM
       WHEN 'Start Date' THEN CASE WHEN p_partkey % 7 = 0 THEN 'soon' ELSE '2020-01-' || lpad(CAST(1 + p_size % 28 AS STRING), 2, '0') END
       WHEN 'Object Type' THEN CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE '1-Model' END
       WHEN 'Markets' THEN CASE p_partkey % 3 WHEN 0 THEN 'IT~UK~FR' WHEN 1 THEN 'IT' END
+      WHEN 'Factory CAS' THEN 'F' || CAST(p_size % 4 AS STRING) || CASE WHEN p_partkey % 8 <> 0 THEN '-Factory ' || CAST(p_size % 4 AS STRING) ELSE '' END
+      WHEN 'Supplier Code SAP' THEN CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size % 9 AS STRING) || '-Supplier' END
       ELSE CASE WHEN p_partkey % 10 = 0 THEN lpad(CAST(p_partkey + 1 AS STRING), 8, '0') || '~' || lpad(CAST(p_partkey + 2 AS STRING), 8, '0') END
       END AS value,
     CASE WHEN p_partkey % 2 = 0 THEN '2024-01-05' ELSE '2024-01-09' END AS ingestion_date,
     'delta' AS ingestion_type
   FROM {part}, (VALUES ('Release Status'), ('Brand [12]'), ('Packed Product Height (mm)'),
     ('Packed Product Width (mm)'), ('Packed Product Depth (mm)'), ('Start Date'), ('Object Type'),
-    ('Markets'), ('Related Derivate Model')) AS k(key)
+    ('Markets'), ('Factory CAS'), ('Supplier Code SAP'), ('Related Derivate Model')) AS k(key)
   UNION ALL
   SELECT lpad(CAST(p_partkey AS STRING), 8, '0'), p_type,
     CASE WHEN p_size % 2 = 0 THEN 'MKT Tree' ELSE 'EPREL Tree' END, 'Energy (kWh)',
@@ -792,3 +794,39 @@ SELECT CASE WHEN p_partkey % 7 = 0 THEN CAST(1 + p_partkey % 2 AS STRING) || '-@
   CASE WHEN p_size % 3 = 0 THEN 'FOB' END AS fob
 FROM {part}
 """
+
+# --- what is known of a product elsewhere ---------------------------------------
+
+VIEWS["workflow"] = """
+SELECT CASE p_partkey % 2 WHEN 0 THEN 'Release' ELSE 'SMD input' END AS task_name,
+  lpad(CAST(p_partkey AS STRING), 8, '0') || '~' || lpad(CAST(p_partkey + 2 AS STRING), 8, '0') AS item_ids,
+  CAST('2023-01-01' AS DATE) + CAST(p_size AS INT) AS done_on, CAST('2023-06-01' AS DATE) + CAST(p_partkey % 30 AS INT) AS last_mod_date
+FROM {part}
+"""
+
+VIEWS["characteristics"] = """
+SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, CAST(p_size % 5 AS STRING) AS characteristic_id, p_brand AS characteristic_value
+FROM {part}
+"""
+
+VIEWS["characteristic_names"] = """
+SELECT CAST(r_regionkey AS STRING) AS characteristic_id, CASE r_regionkey WHEN 0 THEN 'ZPROD_COMCODEEXT'
+  WHEN 1 THEN 'ZPREF_ORIG' WHEN 2 THEN 'ZPROD_INWCODE' ELSE 'ZOTHER' END AS characteristic
+FROM {region}
+"""
+
+VIEWS["trade_classes"] = """
+SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, 'HS' || CAST(p_size * 10 + copy AS STRING) AS customs_number,
+  CAST('2024-03-01' AS DATE) + CAST(copy * 60 - p_size * 3 AS INT) AS validity_end_date, CAST('2024-01-01' AS DATE) + CAST(copy AS INT) AS last_update
+FROM {part}, (VALUES (0), (1)) AS copies(copy)
+"""
+
+VIEWS["plants"] = """
+SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, 'P' || CAST(p_size % 3 AS STRING) AS plant_status
+FROM {part} WHERE p_partkey % 5 <> 0
+"""
+
+VIEWS["materials"] = """
+SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS product_code, 'G' || CAST(p_size % 8 AS STRING) AS material_group
+FROM {part} WHERE p_partkey % 9 <> 0
+"""
