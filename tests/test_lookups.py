@@ -32,6 +32,42 @@ def test_repeated_key_fails_even_when_no_row_asks_for_it(frame):
         lk.checked_lookup(facts, texts, "code", "text").collect()
 
 
+def test_a_repeated_key_fails_whatever_is_read(frame):
+    """Spark drops a join that nothing reads; the check must not go with it."""
+    df, mapping = frame("k string, n int", ("a", 1), ("b", 2)), frame("k string, v int", ("a", 1), ("a", 2))
+    for out in (lk.checked_lookup(df, mapping, "k", "v"), lk.unique_join(df, mapping, ["k"], "map")):
+        for narrow in (out.select("n"), out.agg(F.count(F.lit(1)))):
+            with pytest.raises(PySparkException, match="more than once"):
+                narrow.collect()
+
+
+def test_sides_that_repeat_a_key_fail(frame):
+    twice = frame("sku string, base string, v int", ("1", "2", 1), ("2", None, 2), ("2", None, 3))
+    with pytest.raises(PySparkException, match="base rows: key occurs more than once"):
+        j.base_attributes(twice, "sku", "base", {"v": "base_v"}).select("sku").collect()
+    fact = frame("source string, key_fact string", ("erp", "1"))
+    with pytest.raises(PySparkException, match="dimension sides"):
+        j.reassemble(fact, {"erp": frame("key_fact string, t string", ("1", "a"), ("1", "b"))}).select("key_fact").collect()
+    with pytest.raises(PySparkException, match="client_dimension"):
+        j.role_lookup(frame("client_k string", ("1",)), frame("k string, t string", ("1", "a"), ("1", "b")), ["k"], "client_").select("client_k").collect()
+
+
+@pytest.mark.parametrize("name", ["j11_latest_per_key", "i09_latest_extract", "w07_release_number"])
+def test_periods_need_no_join(spark, name):
+    from workload import load_all
+
+    plan = load_all()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.split("Subquery")[0]
+
+
+def test_period_bounds(frame, rows):
+    df = frame("y int, q string, d string, v int", (1, "a", "2024-01-01", 1), (1, "a", "2024-01-02", 2), (1, "a", "2024-01-02", 3),
+               (1, "b", "2024-01-01", 4), (None, "a", "2024-01-09", 5), (1, "c", None, 6))
+    assert rows(j.latest_per_period(df, ["y", "q"], "d"), "v") == [(2,), (3,), (4,)]
+    assert rows(j.latest_per_key(df, ["y", "q"], "d"), "v") == [(2,), (3,), (4,)]
+    assert rows(j.latest_per_period(df.where("false"), ["y"], "d")) == []
+
+
 def test_lookup_keeps_and_replaces_columns(frame, rows):
     facts = frame("id int, text string", (1, "old"))
     texts = frame("k int, v string", (1, "new"))

@@ -11,7 +11,7 @@ from saleweft import fixed_values as fixed
 from saleweft.operators.aggregate import condition_pivot
 from saleweft.operators.joins import with_needed_keys
 from saleweft.operators.windows import fill_both_ways
-from saleweft.plans import costs, legacy, measures, orders, portfolio, prices, segments
+from saleweft.plans import market, costs, legacy, measures, orders, portfolio, prices, segments
 
 
 def day(column):
@@ -214,3 +214,54 @@ def test_a_date_outside_the_cost_span_fails(spark):
     span = (F.lit("1997-01-01").cast("date"), F.lit("1997-02-01").cast("date"))
     with pytest.raises(PySparkException, match="outside the span"):
         costs.with_unit_costs(sold, cost_tables(t), span).select("document_date").collect()
+
+
+RAW_MARKETS = ("sales_organization string, sales_office string, company string, network string, responsible_code string, responsible_descr string, "
+               "responsible_code1 string, responsible_descr1 string, responsible_code3 string, responsible_descr3 string, "
+               "market_budget string, market_budget_descr string")
+
+
+def raw_market(organization, office, company, network, name):
+    return (organization, office, company, network, "C_1", name, "R_2", "r", "S_3", "s", "M_4", "m")
+
+
+def test_market_rules_by_line_and_without(frame, rows):
+    raw = frame(RAW_MARKETS, raw_market("66-J0", "H001", "80", "4", "four"), raw_market("60B0", "H002", "7", "2", "two"),
+                raw_market("60B0", "H002", "7", "1", "one"), raw_market(" ", "H003", "80", "8", "eight"))
+    lines = frame("sales_office string, line string, network string", ("H001", "01", "8"), ("H001", "02", "5"), ("H001", "01", "4"))
+    out = market.market_hierarchy(raw, lines)
+    assert rows(out, "sales_organization", "sales_office", "line", "company", "network", "responsible_descr", "market_budget") == sorted([
+        ("66J0", "H001", "01", "80", "04", "four", "4"), ("66J0", "H001", "02", "80", "05", None, None),
+        ("60B0", "H002", None, "07", "01", "one", "4"), (None, "H003", None, "80", "08", "eight", "4")], key=repr)
+
+
+def test_a_network_described_twice_fails(frame):
+    raw = frame(RAW_MARKETS, raw_market("66J0", "H001", "80", "4", "four"), raw_market("66J0", "H002", "80", "4", "other"))
+    lines = frame("sales_office string, line string, network string", ("H009", "01", "4"))
+    with pytest.raises(PySparkException, match="market networks"):
+        market.market_hierarchy(raw, lines).select("line").collect()
+
+
+def test_two_joins_bring_all_unit_costs(spark):
+    from workload import load_all
+
+    plan = load_all()["b12_unit_costs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2
+
+
+def test_partner_names_follow_the_code_that_was_picked(frame, rows):
+    from saleweft.operators.joins import with_partners
+
+    lines = frame("order_number string, order_line string", ("1", "10"), ("2", "10"), ("3", "10"))
+    partners = frame("vbeln string, posnr string, parvw string, kunnr string", ("1", "10", "YD", "a"), ("1", "000000", "YD", "b"),
+                     ("2", "10", "YD", " "), ("2", "000000", "YD", "b"), ("3", "10", "YD", "unknown"))
+    out = with_partners(lines, partners, names=frame("code string, name string", ("a", "Ann"), ("b", "Bob")))
+    assert rows(out, "order_number", "salesman_code", "salesman_name") == [("1", "a", "Ann"), ("2", "b", "Bob"), ("3", "unknown", None)]
+
+
+def test_a_key_is_checked_where_the_result_is_written(frame):
+    from saleweft.operators.quality import DataError, settle_unique
+
+    assert settle_unique(frame("k int, v int", (1, 1), (2, 1)), ["k"]).count() == 2
+    with pytest.raises(DataError):
+        settle_unique(frame("k int, v int", (1, 1), (1, 2)), ["k"])
