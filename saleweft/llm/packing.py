@@ -249,14 +249,14 @@ def pack(pieces: DataFrame, capacity: int = 4096, unit: int = 16) -> DataFrame:
                                   names=[*columns, "sequence_id"])
 
     rows = sum(histogram.values())
-    order = F.struct(spread_key(4, "doc_id", "start").alias("u"), "doc_id", "start", "ids_crc32")
+    order = F.struct(spread_key(4, "doc_id", "start", "ids_crc32").alias("u"), "doc_id", "start", "ids_crc32")
     ranked = distributed_rank(classed, ["__class"], order, "__rank", rows)
     placed = ranked.mapInArrow(place, T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType())]))
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start").rowsBetween(
         Window.unboundedPreceding, -1)
     packed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     n_full = full.count()
-    order = F.struct(spread_key(4, "doc_id", "start").alias("u"), "doc_id", "start", "ids_crc32")
+    order = F.struct(spread_key(4, "doc_id", "start", "ids_crc32").alias("u"), "doc_id", "start", "ids_crc32")
     whole = distributed_rank(full.withColumn("__all", F.lit(0)), ["__all"], order, "__rank", n_full)
     whole = whole.select(*columns, (F.col("__rank") + sequences).alias("sequence_id"),
                          F.lit(0).cast("long").alias("offset"))
