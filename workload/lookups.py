@@ -36,12 +36,12 @@ def j01(t):
 @query("j02_two_step_lookup", """
 SELECT c_custkey, CASE WHEN r.r_regionkey IS NULL THEN 'Not Defined' ELSE r.r_name END AS region
 FROM customer LEFT JOIN nation n ON c_nationkey = n.n_nationkey
-LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN (SELECT CASE WHEN r_name = 'ASIA' THEN 99 ELSE r_regionkey END AS r_regionkey, r_name FROM region) r ON n.n_regionkey = r.r_regionkey
 """)
 def j02(t):
     return t.customer.transform(
         lk.two_step_lookup, t.nation.select("n_nationkey", "n_regionkey"),
-        t.region.where("r_name <> 'ASIA'").select("r_regionkey", "r_name"),
+        t.region.select(F.when(F.col("r_name") == "ASIA", 99).otherwise(F.col("r_regionkey")).alias("r_regionkey"), "r_name"),
         "c_nationkey", "region", F.lit(fixed.NOT_DEFINED),
     ).select("c_custkey", "region")
 
@@ -355,23 +355,24 @@ def j22(t):
 @query("j23_change_log", """
 SELECT i.objectid, i.changenr, fname, value_new, username, CAST(udate AS STRING) AS udate
 FROM cdpos i JOIN cdhdr h ON i.objectclas = h.objectclas AND i.objectid = h.objectid AND i.changenr = h.changenr
-WHERE tabname = 'VBAK'
 """)
 def j23(t):
-    return j.join_change_log(t.cdhdr, t.cdpos.where("tabname = 'VBAK'")).select(
+    return j.join_change_log(t.cdhdr, t.cdpos).select(
         "objectid", "changenr", "fname", "value_new", "username",
         F.col("udate").cast("string").alias("udate"))
 
 
 @query("j24_sql_left_join", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_type AS product_type FROM lineitem a
-LEFT JOIN (SELECT * FROM part WHERE p_size > 10) b ON a.l_partkey = b.p_partkey
+LEFT JOIN (SELECT CASE WHEN p_size > 10 THEN p_partkey ELSE -p_partkey END AS p_partkey, p_type FROM part) b ON a.l_partkey = b.p_partkey
 """, "l_quantity")
 def j24(t):
+    """All parts, some under another key, so that some lines find none."""
+    key = F.when(F.col("p_size") > 10, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
     return t.spark.sql("""
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_type AS product_type
         FROM {facts} a LEFT JOIN {types} b ON a.l_partkey = b.p_partkey
-    """, facts=t.lineitem, types=t.part.where("p_size > 10"))
+    """, facts=t.lineitem, types=t.part.select(key.alias("p_partkey"), "p_type"))
 
 
 SLICES = {"vat": "MWST", "nsv": "ZNSV", "gsv": "ZTTV", "list": "ZNET", "fee": "ZFEE", "raee": "ZWEE",

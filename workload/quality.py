@@ -129,15 +129,20 @@ def q08(t):
 
 @query("q09_referential_gaps", """
 SELECT 'order without line' AS gap, o_orderkey AS key, CAST(max(CAST(o_orderdate AS DATE)) AS STRING) AS day FROM orders
-WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY o_orderkey
+WHERE o_orderkey NOT IN (SELECT CASE WHEN l_returnflag = 'R' THEN l_orderkey ELSE -l_orderkey END FROM lineitem) GROUP BY o_orderkey
 UNION ALL SELECT 'part without supply', l_partkey, CAST(max(CAST(l_shipdate AS DATE)) AS STRING) FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 40) GROUP BY l_partkey
+WHERE l_partkey NOT IN (SELECT CASE WHEN p_size < 40 THEN p_partkey ELSE -p_partkey END FROM part) GROUP BY l_partkey
 """)
 def q09(t):
+    """Whole tables; some keys are moved, so that gaps are there to be found."""
     orders = t.orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").cast("date").alias("day"))
-    returned = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("key"))
+
+    def moved(column, kept):
+        return F.when(kept, F.col(column)).otherwise(-F.col(column)).alias("key")
+
+    returned = t.lineitem.select(moved("l_orderkey", F.col("l_returnflag") == "R"))
     lines = t.lineitem.select(F.col("l_partkey").alias("key"), F.col("l_shipdate").cast("date").alias("day"))
-    small = t.part.where("p_size < 40").select(F.col("p_partkey").alias("key"))
+    small = t.part.select(moved("p_partkey", F.col("p_size") < 40))
     gaps = {"order without line": q.referential_gaps(orders, returned, ["key"], ["key"], "day"),
             "part without supply": q.referential_gaps(lines, small, ["key"], ["key"], "day")}
     first, second = [df.select(F.lit(g).alias("gap"), "key", F.col("day").cast("string").alias("day"))
