@@ -332,49 +332,43 @@ class FactTables:
         return None if self.customers is None else self.customers.names
 
 
+CUSTOMER_TYPES = ["customer_type_code", "customer_type_code_lev3", "customer_type_descr"]
+
+
 def customer_table(maps: CustomerMaps) -> DataFrame:
     """All that is known under a customer key, one row per key: the maps stacked, their texts looked up once here."""
     sides = {"customer_type_code": maps.type_code, "customer_type_code_lev3": maps.type_level3, "__group": maps.sales_group}
-    stacked = [side.toDF("__customer", name) for name, side in sides.items()]
-    for name, rows in zip(sides, stacked):
-        others = [c for c in sides if c != name]
-        kind = rows.schema[name].dataType
-        rows = rows.select("__customer", name, *[F.lit(None).cast(kind).alias(c) for c in others], F.lit(name).alias("__kind"))
-        stacked[list(sides).index(name)] = rows
+    stacked = union_all([side.toDF("__customer", name).withColumn("__kind", F.lit(name)) for name, side in sides.items()])
     twice = F.concat(F.lit("customer map: key occurs more than once: "), F.col("__customer"))
 
     def value(name: str) -> Column:
-        mine = F.col("__kind") == name
-        return F.when(F.count(F.when(mine, 1)) > 1, F.raise_error(twice)).otherwise(F.max(name)).alias(name)
+        rows = F.count_if(F.col("__kind") == name)
+        return F.when(rows > 1, F.raise_error(twice)).otherwise(F.max(name)).alias(name)
 
-    known = union_all(stacked).groupBy("__customer").agg(*map(value, sides))
     undefined = F.lit(fixed.NOT_DEFINED)
     return (
-        known.transform(checked_lookup, maps.type_level3_text, "customer_type_code_lev3", "__level3", undefined, "level text")
+        stacked.groupBy("__customer").agg(*map(value, sides))
+        .transform(checked_lookup, maps.type_level3_text, "customer_type_code_lev3", "__level3", undefined, "level text")
         .transform(checked_lookup, maps.type_text, "customer_type_code", "__type", undefined, "type text")
         .transform(checked_lookup, maps.sales_group_text, "__group", "sales_group", None, "sales group")
-        .select("__customer", "customer_type_code", "customer_type_code_lev3",
-                strict_key("-", "__level3", "__type").alias("customer_type_descr"), "sales_group")
+        .withColumn("customer_type_descr", strict_key("-", "__level3", "__type"))
+        .select("__customer", *CUSTOMER_TYPES, "sales_group")
     )
 
 
 def with_customers(df: DataFrame, maps: CustomerMaps) -> DataFrame:
-    """Customer types of the invoiced and the receiving customer, and the sales group: one join each.
+    """Customer types of the invoiced and the receiving customer, and the sales group of the latter: one join each.
 
     Names of partners come with `with_partners`, where their codes are rows.
     """
-    area = ("sales_organization", "distr_channel", "division")
     nothing = F.lit(f"{fixed.NOT_DEFINED}-{fixed.NOT_DEFINED}")
-    known = customer_table(maps)
-    out = df
-    for role, source in (("", "inv_id"), ("dest_", "dest_id")):
-        names = {c: f"{role}{c}" for c in known.columns if c not in ("__customer", "sales_group" if not role else "")}
-        names["sales_group"] = "sales_group"
-        columns = [c for c in known.columns if role or c != "sales_group"]
-        side = known.select(*[F.col(c).alias(names.get(c, c)) for c in columns])
+    known, out = customer_table(maps), df
+    for source, role, more in (("inv_id", "", []), ("dest_id", "dest_", ["sales_group"])):
+        side = known.select("__customer", *[F.col(c).alias(role + c) for c in CUSTOMER_TYPES], *more)
+        key = make_key("|", source, "sales_organization", "distr_channel", "division")
         descr = f"{role}customer_type_descr"
-        found = F.when(F.col("__customer").isNull(), nothing).otherwise(F.col(descr))
-        out = spread_join(out, side, {"__customer": make_key("|", source, *area)}).withColumn(descr, found).drop("__customer")
+        out = spread_join(out, side, {"__customer": key}).withColumn(
+            descr, F.when(F.col("__customer").isNull(), nothing).otherwise(F.col(descr))).drop("__customer")
     return out
 
 
