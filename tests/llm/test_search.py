@@ -204,7 +204,7 @@ def test_tiling_covers_what_plain_tiling_covers(seed):
     rng = random.Random(seed)
     item = [rng.choice("abc") for _ in range(24)]
     text = [rng.choice("abc") for _ in range(60)] + item[12:] + item[:12]
-    found = decontam._leaks([" ".join(text).encode()], decontam._index([1], [" ".join(item).encode()], 3), 3, 0.0)
+    found = decontam._leaks([" ".join(text).encode()], decontam._index([1], [" ".join(item).encode()], 3), 0.0)
     expected = brute_tiles(item, text, 3)
     assert [f[3] for f in found] == [sorted(expected)]
 
