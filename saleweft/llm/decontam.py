@@ -80,7 +80,7 @@ def _index(ids: list[int | None], texts: list[bytes], least: int) -> ItemIndex:
     data, at = joined(texts)
     words = cut_words(lower_ascii(data), at)
     hashes, runs = word_hashes(words), []
-    length = np.minimum(words.count, least)
+    length = np.where(words.count > 1, np.minimum(words.count, least), 0)
     for n in np.unique(length[length > 0]).tolist():
         starts = gram_starts(words, n)
         starts = starts[length[words.text[starts]] == n]
@@ -189,7 +189,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Words are runs of ASCII letters and digits, lower-cased, and bytes beyond ASCII; a
     character of a script without spaces is a word. An item with fewer than ``least`` words is
-    matched as a whole. An item without an id counts, its pairs have a null ``item_id``; null
+    matched as a whole; a single word proves nothing and matches nothing. An item without an id counts, its pairs have a null ``item_id``; null
     texts and texts without words match nothing. Equal texts leak alike, repeated rows repeat their
     pairs, equal items are items of their own. Whole texts are read; other columns are
     not. An empty table on either side gives no pairs.

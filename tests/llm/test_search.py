@@ -247,7 +247,7 @@ def test_leaks_of_awkward_rows(spark, messy, nothing, messy_rows, passage):
 
 
 def test_short_items_items_without_an_id_and_scripts_without_spaces(spark):
-    """Every item is looked for, whatever its length, id or script."""
+    """Items of two words and more are looked for, whatever their id or script; one word is no leak."""
     han = "我们今天去学校学习新的课程内容然后回家吃饭睡觉"
     thai = "ประเทศไทยมีอาหารอร่อยมากมายและผู้คนใจดี"
     bench = spark.createDataFrame([(1, "capital of France"), (None, "one two three four five six seven eight"), (3, han), (4, thai), (5, "..."),
@@ -256,9 +256,9 @@ def test_short_items_items_without_an_id_and_scripts_without_spaces(spark):
              "zero one two three four five six", "nine ten", "auf der Zugspitze oben", ""]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in find_leaks(docs, bench).collect()}
-    assert set(got) == {(0, 1), (2, 3), (4, 4), (5, None), (7, 6)}
+    assert set(got) == {(0, 1), (2, 3), (4, 4), (5, None)}
     assert got[0, 1].coverage == 1 and got[2, 3].tiles[0].words == 14 and got[5, None].coverage == 6 / 8
-    assert sorted(r.doc_id for r in without_leaks(docs, bench).collect()) == [1, 3, 6, 8]
+    assert sorted(r.doc_id for r in without_leaks(docs, bench).collect()) == [1, 3, 6, 7, 8]
 
 
 def test_words_of_mixed_scripts():
