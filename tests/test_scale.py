@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from saleweft.functions.dates import day
-from saleweft.plans import costs
+from saleweft.plans import costs, prices
 
 
 def plan(df, capsys) -> str:
@@ -33,3 +35,19 @@ def test_cost_tables_are_never_broadcast(frame, rows, capsys):
     assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
     assert rows(out, "id", "comm_cost_unit", "freight_in_unit", "std_prod_cost_commercial_unit", "tca_unit") == [
         (1, 7.0, 2.0, None, None), (2, None, None, 5.0, 0.5), (3, None, None, None, None)]
+
+
+def test_current_conditions_are_shuffled_by_item_once(spark, frame, rows, capsys):
+    one = frame("knumv string, kposn string, stunr string, zaehk string, kschl string, deltadate date, kkurs double",
+                ("1", "10", "001", "01", "ZNSV", None, 1.0), ("1", "10", "001", "02", "ZNSV", None, 2.0),
+                ("2", "10", "001", "01", "ZNSV", None, 3.0))
+    rates = frame("knumv string, rate double", ("2", 9.0))
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prices.current_conditions(prices.consolidate_conditions([one, one]), rates)
+        shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan(out, capsys))
+        assert not [s for s in shuffles if "stunr" in s]
+        assert rows(out, "knumv", "zaehk", "kkurs") == [("1", "02", 2.0), ("2", "01", 9.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
