@@ -7,7 +7,8 @@ import re
 from pyspark.sql import functions as F
 
 from saleweft.functions.dates import day
-from saleweft.plans import costs, prices
+from saleweft.operators import lookup
+from saleweft.plans import costs, invoices, orders, prices
 
 
 def plan(df, capsys) -> str:
@@ -51,3 +52,54 @@ def test_current_conditions_are_shuffled_by_item_once(spark, frame, rows, capsys
         assert rows(out, "knumv", "zaehk", "kkurs") == [("1", "02", 2.0), ("2", "01", 9.0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_costs_outside_the_span_are_not_made(frame, rows):
+    tables = {
+        "transfer_price": frame("currency string, company string, network string, product_code string, year int, "
+                                "tp_commerciale double, tp_itcy double",
+                                *[("EUR", "80", "4", "A", y, float(y), None) for y in (1990, 1994, 1999)]),
+        "freight_in": frame("company string, network string, product_code string, year int, freight_in_eur double, "
+                            "transport_cost_infra_eur double", ("80", "4", "A", 1990, 2.0, 1.0), ("80", "4", "A", 1996, 3.0, 1.0)),
+        "commercial": frame("currency string, product_code string, year_quarter string, std_prod_cost_commercial double",
+                            ("EUR", "A", "1990Q1", 5.0), ("EUR", "A", "1996Q4", 6.0), ("EUR", "A", "2001Q1", 7.0)),
+        "indefinite": frame("currency string, product_code string, year int, std_prod_cost_no_tca double, tca double",
+                            ("EUR", "A", 2002, 3.0, 0.5)),
+    }
+    by_unit, by_product = costs.unit_costs(tables, (day("1995-11-01"), day("1996-02-01")))
+    assert rows(by_unit, "cost_key", "freight_in_unit", "comm_cost_unit") == [
+        ("80###4###A###1995", None, 1994.0), ("80###4###A###1996", 3.0, 1994.0)]
+    known = {k: (s, c) for k, s, c in rows(by_product, "cost_key", "std_prod_cost_commercial_unit", "cons_cost_unit")}
+    assert sorted(known) == sorted(f"A###{y}Q{q}" for y in (1995, 1996) for q in (1, 2, 3, 4))
+    assert known["A###1995Q4"] == (5.0, 3.0) and known["A###1996Q1"] == (5.0, 3.0)
+
+
+def test_one_lookup_gives_the_rate_both_ways(frame, rows):
+    facts = frame("id int, sales_organization string, d string", (1, "A", "1997-01-01"), (2, "A", "1998-01-01"),
+                  (3, "B", "1997-01-01"), (4, None, None), (5, "C", "1997-01-01"))
+    rates = frame("key string, value double", ("GBP|1997", 2.0), ("EUR|1997", 1.0), ("PLN|1997", None))
+    out = orders.with_currency(facts, frame("company string, currency string", ("A", "GBP"), ("C", "PLN")), rates, "d")
+    assert rows(out, "id", "currency_code", "exchange", "exchange_to_local") == [
+        (1, "GBP", 2.0, 0.5), (2, "GBP", 1.0, 1.0), (3, "EUR", 1.0, 1.0), (4, "EUR", 1.0, 1.0), (5, "PLN", None, None)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
+def test_prices_join_the_facts_last(spark):
+    from workload import business as b
+    from workload.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    invoiced = invoices.invoice_fact(b.invoice_base(t), b.fact_tables(t, t.prcd_invoice), costs.span_of(t.vbrk, "fkdat"))
+    for fact in (b.order_fact(t), invoiced):
+        joins = [x for x in fact._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+        assert "price_key" in joins[0]
+
+
+def test_a_spread_join_does_not_carry_columns_for_its_number(spark, tmp_path):
+    names = [f"c{i}" for i in range(20)]
+    path = str(tmp_path / "wide")
+    spark.range(10).selectExpr(*[f"id + {i} as {n}" for i, n in enumerate(names)]).write.parquet(path)
+    side = spark.range(5).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("v"))
+    out = lookup.spread_join(spark.read.parquet(path), side, {"k": F.col("c0")}).select("c0", "v")
+    read = out._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split(">")[0]
+    assert "c7" in read and "c8" not in read
