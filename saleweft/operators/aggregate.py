@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed_values import MONTHS
 from ..functions.dates import month_after
 from ..functions.nulls import as_column
-from .columns import add_missing_columns, quoted
+from .columns import quoted
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -77,30 +77,37 @@ def condition_pivot(
     return df.groupBy(*keys).agg(*columns)
 
 
-def _pivot(df, keys, label, value, labels, function, kind):
+def _pivot(df, keys, label, value, labels, function):
+    """Wide by listed labels in one grouped pass.
+
+    Spark's own pivot first groups by key and label: a second shuffle, whose groups are as many as the
+    rows where labels do not repeat under a key.
+    """
     labels = list(labels)
-    wide = df.groupBy(*keys).pivot(label, labels).agg(function(value))
-    return add_missing_columns(wide, labels, F.lit(None).cast(kind))
+    if not labels:
+        return df.select(*keys).distinct()
+    return df.groupBy(*keys).agg(*[
+        function(F.when(as_column(label) == F.lit(name), as_column(value))).alias(str(name)) for name in labels])
 
 
 def pivot_max(
     df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str]
 ) -> DataFrame:
     """Wide by label with the highest value; the labels are listed, not searched for."""
-    return _pivot(df, keys, label, value, labels, F.max, "double")
+    return _pivot(df, keys, label, value, labels, F.max)
 
 
 def pivot_sum(
     df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str]
 ) -> DataFrame:
-    return _pivot(df, keys, label, value, labels, F.sum, "double")
+    return _pivot(df, keys, label, value, labels, F.sum)
 
 
 def eav_pivot(
     df: DataFrame, keys: Sequence[str], key: str, value: str, labels: Sequence[str]
 ) -> DataFrame:
     """Attribute rows to one wide row per entity, lowest value on a repeat."""
-    return _pivot(df, keys, key, value, labels, F.min, "string")
+    return _pivot(df, keys, key, value, labels, F.min)
 
 
 def characteristic_pivot(

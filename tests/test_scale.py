@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from saleweft.functions.dates import day
-from saleweft.operators import lookup
+from saleweft.operators import aggregate, lookup
 from saleweft.plans import costs, invoices, orders, prices
 
 
@@ -103,3 +103,18 @@ def test_a_spread_join_does_not_carry_columns_for_its_number(spark, tmp_path):
     out = lookup.spread_join(spark.read.parquet(path), side, {"k": F.col("c0")}).select("c0", "v")
     read = out._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split(">")[0]
     assert "c7" in read and "c8" not in read
+
+
+def test_a_pivot_shuffles_once_and_has_all_labels(frame, rows, capsys):
+    df = frame("k string, label string, v double", ("a", "x", 1.0), ("a", "x", 2.0), ("a", "y", None), ("a", None, 5.0),
+               ("b", "z", 7.0), (None, "y", 3.0), ("c", "x", None))
+    wide = aggregate.pivot_sum(df, ["k"], "label", "v", ["x", "y"])
+    assert plan(wide, capsys).count("Exchange hashpartitioning") == 1
+    assert wide.columns == ["k", "x", "y"]
+    assert set(rows(wide, "k", "x", "y")) == {(None, None, 3.0), ("a", 3.0, None), ("b", None, None), ("c", None, None)}
+    assert set(rows(aggregate.pivot_max(df, ["k"], "label", "v", ["x"]), "k", "x")) == {
+        (None, None), ("a", 2.0), ("b", None), ("c", None)}
+    assert plan(costs.indefinite_costs(frame(
+        "currency string, product_code string, years string, account string, beg_balance double, ingestion_date string, "
+        "input_file_name string", ("EUR", "A", "FY97", "TCA_Indicative", 2.0, "19970601", "f"))), capsys).split(
+            "Subquery")[0].count("Exchange hashpartitioning") == 1
