@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from saleweft import fixed_values as fixed
 from saleweft.functions.dates import day
 from saleweft.operators import aggregate, lookup
 from saleweft.plans import costs, invoices, orders, prices
@@ -118,3 +119,13 @@ def test_a_pivot_shuffles_once_and_has_all_labels(frame, rows, capsys):
         "currency string, product_code string, years string, account string, beg_balance double, ingestion_date string, "
         "input_file_name string", ("EUR", "A", "FY97", "TCA_Indicative", 2.0, "19970601", "f"))), capsys).split(
             "Subquery")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_months_of_labels_nobody_reads_are_not_grouped(frame, rows):
+    schema = "k string, label string, " + ", ".join(f"{m} double" for m in fixed.MONTHS)
+    cells = [float(i) for i in range(11)]
+    df = frame(schema, ("a", "x", *cells, None), ("a", "y", *cells, 99.0), ("b", "z", *cells, 1.0))
+    one = costs.pivot_then_unpivot(df, ["k"], "label", ["x", "y"]).select("k", "month", "x")
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("max(CASE WHEN") == 12
+    assert set(rows(one, "k", "month", "x")) == {
+        *(("a", i + 1, float(i)) for i in range(11)), ("a", 12, None), *(("b", i + 1, None) for i in range(12))}
