@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from saleweft import fixed_values as fixed
 from saleweft.functions.dates import day
 from saleweft.operators import aggregate, lookup
-from saleweft.plans import costs, invoices, orders, prices
+from saleweft.plans import costs, invoices, master, orders, prices
 
 
 def plan(df, capsys) -> str:
@@ -129,3 +129,15 @@ def test_months_of_labels_nobody_reads_are_not_grouped(frame, rows):
     assert one._jdf.queryExecution().optimizedPlan().toString().count("max(CASE WHEN") == 12
     assert set(rows(one, "k", "month", "x")) == {
         *(("a", i + 1, float(i)) for i in range(11)), ("a", 12, None), *(("b", i + 1, None) for i in range(12))}
+
+
+def test_attributes_that_are_left_out_are_not_sorted(frame, rows):
+    attributes = frame(
+        "sku string, class_id string, tree_name string, key string, value string, ingestion_date string, ingestion_type string",
+        ("1", None, None, "Markets", "IT~UK", "2024-01-09", "delta"), ("1", None, None, "Markets", "FR", "2024-01-05", "delta"),
+        ("1", "C", None, "Markets", "DE", "2024-01-05", "delta"), ("1", None, None, "Noise", "3", "2024-01-05", "delta"))
+    kinds = frame("std_key string, kind string", ("Markets", "Array"))
+    out = master.typed_attributes(attributes, kinds).where("std_key = 'Markets'")
+    below = out._jdf.queryExecution().optimizedPlan().toString().split("Window [")[-1]
+    assert "Filter" in below and "= Markets" in below
+    assert set(rows(out, "sku", "class_id", "value")) == {("1", None, "IT; UK"), ("1", "C", "DE")}
