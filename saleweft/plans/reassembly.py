@@ -10,6 +10,7 @@ from ..functions.text import make_key
 from ..operators.columns import split_fact_dim
 from ..operators.joins import reassemble
 from ..operators.sets import tagged_union
+from ..session import settle
 
 KEY = "key_fact"
 
@@ -34,8 +35,11 @@ ORDER_FACT = [
 def split_fact(
     fact: DataFrame, columns: Sequence[str], key: str = KEY
 ) -> tuple[DataFrame, DataFrame]:
-    """Narrow fact and dimension side of a fact."""
-    return split_fact_dim(fact, [c for c in columns if c in fact.columns], key)
+    """Narrow fact and dimension side of a fact.
+
+    The fact is written once, for both are read: its plan would run once for each side.
+    """
+    return split_fact_dim(settle(fact, "split-fact"), [c for c in columns if c in fact.columns], key)
 
 
 def joined_facts(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from saleweft import fixed_values as fixed
 from saleweft.functions.dates import day
 from saleweft.operators import aggregate, lookup
-from saleweft.plans import costs, invoices, master, orders, prices
+from saleweft.plans import costs, invoices, master, orders, prices, reassembly
 
 
 def plan(df, capsys) -> str:
@@ -141,3 +141,14 @@ def test_attributes_that_are_left_out_are_not_sorted(frame, rows):
     below = out._jdf.queryExecution().optimizedPlan().toString().split("Window [")[-1]
     assert "Filter" in below and "= Markets" in below
     assert set(rows(out, "sku", "class_id", "value")) == {("1", None, "IT; UK"), ("1", "C", "DE")}
+
+
+def test_a_split_fact_is_computed_once(frame, rows, capsys):
+    fact = frame("key_fact string, qty int, text string", ("a", 1, "x"), ("a", 2, "y"), ("b", None, None)).groupBy(
+        "key_fact").agg(F.max("qty").alias("qty"), F.max("text").alias("text"))
+    narrow, side = reassembly.split_fact(fact, ["key_fact", "qty"])
+    for df in (narrow, side):
+        text = plan(df, capsys)
+        assert "split-fact" in text and "Aggregate" not in text
+    assert set(rows(narrow, "key_fact", "qty")) == {("a", 2), ("b", None)}
+    assert set(rows(side, "key_fact", "text")) == {("a", "y"), ("b", None)}
