@@ -148,9 +148,16 @@ def month_offset_sums(
 def rollup_report(
     df: DataFrame, keys: Mapping[str, Column], sums: Sequence[str]
 ) -> DataFrame:
-    """A report by named key expressions with the sum of every measure."""
-    return df.groupBy(*[k.alias(n) for n, k in keys.items()]).agg(
-        *[F.sum(quoted(s)).alias(s) for s in sums])
+    """A report by named key expressions with the sum of every measure.
+
+    The keys are grouped as one value: with dozens of key columns the code that Spark makes for the
+    grouping gets too long to be compiled.
+    """
+    totals = [F.sum(quoted(s)).alias(s) for s in sums]
+    if not keys:
+        return df.groupBy().agg(*totals)
+    grouped = df.groupBy(F.struct(*[k.alias(n) for n, k in keys.items()]).alias("__keys")).agg(*totals)
+    return grouped.select(*[F.col("__keys").getField(n).alias(n) for n in keys], *map(quoted, sums))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

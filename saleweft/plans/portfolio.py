@@ -10,7 +10,6 @@ from .. import fixed_values as fixed
 from ..functions.dates import day, day_from_parts, month_after, serial_day
 from ..functions.text import make_key, strict_key
 from ..operators.aggregate import month_offset_sums, rollup_report, sum_by
-from ..operators.columns import add_missing_columns
 from ..operators.filters import any_nonzero, division_gate, report_gate
 from ..operators.lookup import checked_lookup, unique_join
 from ..operators.sets import union_all
@@ -61,11 +60,15 @@ def report_columns(df: DataFrame, source: str, date: str) -> DataFrame:
     })
 
 
-def order_buckets(df: DataFrame, as_of: str, date: str = "first_req_del_date") -> DataFrame:
+def order_buckets(
+    df: DataFrame, as_of: str, date: str = "first_req_del_date", of: Column | None = None
+) -> DataFrame:
     """Order measures by month asked for, as ``ord_qty`` and ``ord_qty_m<n>``.
 
     A bucket runs from the first of its month to the first of the next; the
-    current one also holds everything before it.
+    current one also holds everything before it. Rows that are not ``of`` the orders have null
+    in all of them. A report that has the day asked for among its keys is dealt into
+    buckets after it is summed, so that six times the measures are never grouped.
     """
     starts = [month_after(as_of, i) for i in range(1, ORDER_MONTHS + 2)]
     asked = F.col(date)
@@ -75,6 +78,9 @@ def order_buckets(df: DataFrame, as_of: str, date: str = "first_req_del_date") -
     base = [f"ord_{v}" for v in VALUES]
     renamed = df.withColumnsRenamed({b: f"__{b}" for b in base})
     zero = F.lit(0).cast("decimal(18,4)")
+    if of is not None:
+        zero = F.when(of, zero)
+        inside = {suffix: condition & of for suffix, condition in inside.items()}
     return conditional_copies(renamed, {
         f"{b}{suffix}": (f"__{b}", condition)
         for suffix, condition in inside.items() for b in base
@@ -100,9 +106,11 @@ def budget_rows(budget: DataFrame, networks: DataFrame, as_of: str) -> DataFrame
     )
 
 
+SOURCES = {"inv": "INV", "del": "DEL", "ord": "ORD"}
+BUDGETS = [f"bdg_{v}{m}" for m in ("", "_m1", "_m2", "_m3") for v in ("qty", "nsv_eur")]
 SUMS = [
     *[f"{p}_{v}" for p in ("inv", "del", "ord") for v in VALUES],
-    *[f"bdg_{v}{m}" for m in ("", "_m1", "_m2", "_m3") for v in ("qty", "nsv_eur")],
+    *BUDGETS,
     *[f"ord_{v}_m{i}" for i in range(1, ORDER_MONTHS + 1) for v in VALUES],
 ]
 
@@ -123,13 +131,17 @@ def with_report_texts(rolled: DataFrame, names: DataFrame, order_types: DataFram
     ``names`` and ``order_types`` are two-column maps, ``markets`` has the responsibles of
     a company and network. Codes that are numbers become numbers, the day asked for also
     a day number. The director is shown by name alone, so directors of one name are one row.
+    What no lookup reads is carried as one value.
     """
     texts = {
         "main_group_descr": ("main_group_code", names), "sale_zone": ("sale_zone_code", names),
         "salesman": ("salesman_code", names), "sale_director": ("sale_director_code", names),
         "rsm": ("rsm_code", names), "order_type": ("order_type_code", order_types),
     }
-    out = rolled
+    sums = [s for s in [*SUMS, *VALUES] if s in rolled.columns]
+    read = [*[code for code, _ in texts.values()], "company", "network", "main_group_code", "first_req_del_date"]
+    carried = [c for c in rolled.columns if c not in read and c not in sums]
+    out = rolled.select(*dict.fromkeys(read), F.struct(*carried).alias("__carried"), *sums)
     for text, (code, mapping) in texts.items():
         out = checked_lookup(out, mapping, code, text, None, text)
     out = unique_join(out, markets, ["company", "network"], "network markets").withColumnsRenamed(fixed.MARKET_NAMES)
@@ -139,17 +151,39 @@ def with_report_texts(rolled: DataFrame, names: DataFrame, order_types: DataFram
         "first_req_del_date_num": serial_day("first_req_del_date"),
         "comm_organization_id": F.lit(None).cast("int"),
     }).drop("main_group_descr", "sale_director_code")
-    return rollup_report(out, {c: F.col(c) for c in out.columns if c not in SUMS}, SUMS)
+    report = rollup_report(out, {c: F.col(c) for c in out.columns if c not in sums}, sums)
+    return report.select(*[F.col("__carried").getField(c).alias(c) for c in carried],
+                         *[c for c in report.columns if c != "__carried"])
 
 
 def portfolio(
     orders: DataFrame, budget: DataFrame, deliveries: DataFrame, invoices: DataFrame,
     keys: Sequence[str], as_of: str,
 ) -> DataFrame:
-    """Roll the stacked rows of the current month up to the report keys."""
-    rows = add_missing_columns(
-        union_all([orders, budget, deliveries, invoices]),
-        [*SUMS], F.lit(None).cast("decimal(18,4)"))
+    """Roll the rows of the current month up to the report keys.
+
+    ``record_source`` has to be among them, so that the rows of a source meet no others: each source
+    is summed by itself, its own measures only, and then stacked. A source has its measures in the
+    same columns as the others (``VALUES``), see `measures_by_source`.
+    """
+    if "record_source" not in keys:
+        raise ValueError("record_source has to be a key of the report")
     today = day(as_of)
-    current = rows.where((F.col("year") == F.year(today)) & (F.col("month") == F.month(today)))
-    return rollup_report(current, report_keys(keys), SUMS)
+    sources = {"ord": orders, "bdg": budget, "del": deliveries, "inv": invoices}
+    types = {f.name: f.dataType for df in sources.values() for f in df.schema.fields if f.name in keys}
+    rolled = []
+    for prefix, df in sources.items():
+        own = BUDGETS if prefix == "bdg" else [f"{prefix}_{v}" for v in VALUES]
+        current = df.where((F.col("year") == F.year(today)) & (F.col("month") == F.month(today)))
+        full = current.withColumns({k: F.lit(None).cast(kind) for k, kind in types.items() if k not in df.columns})
+        rolled.append(rollup_report(full, report_keys(keys), own).withColumnsRenamed(
+            {f"{prefix}_{v}": v for v in VALUES} if prefix in SOURCES else {}))
+    return union_all(rolled)
+
+
+def measures_by_source(report: DataFrame, as_of: str) -> DataFrame:
+    """Each source's measures under their own names, those of the orders by month asked for."""
+    source = F.col("record_source")
+    own = report.withColumns({
+        f"{prefix}_{v}": F.when(source == tag, F.col(v)) for prefix, tag in SOURCES.items() for v in VALUES}).drop(*VALUES)
+    return order_buckets(own, as_of, of=source == SOURCES["ord"])

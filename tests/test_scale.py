@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from saleweft import fixed_values as fixed
 from saleweft.functions.dates import day
 from saleweft.operators import aggregate, lookup
-from saleweft.plans import costs, invoices, master, orders, prices, reassembly
+from saleweft.plans import costs, invoices, master, orders, portfolio, prices, reassembly
 
 
 def plan(df, capsys) -> str:
@@ -152,3 +153,30 @@ def test_a_split_fact_is_computed_once(frame, rows, capsys):
         assert "split-fact" in text and "Aggregate" not in text
     assert set(rows(narrow, "key_fact", "qty")) == {("a", 2), ("b", None)}
     assert set(rows(side, "key_fact", "text")) == {("a", "y"), ("b", None)}
+
+
+def test_a_source_of_the_portfolio_groups_its_own_measures(frame, rows):
+    def source(prefix, tag, *lines):
+        schema = "product_code string, d string, year int, month int, " + ", ".join(f"{prefix}_{v} decimal(18,4)" for v in portfolio.VALUES)
+        return frame(schema, *[(*line[:4], *[Decimal(line[4]) if line[4] else None] * 5) for line in lines]).withColumns(
+            {"first_req_del_date": F.col("d").cast("date"), "record_source": F.lit(tag)}).drop("d")
+
+    ordered = source("ord", "ORD", ("A", "1998-08-01", 1998, 8, "1.5"), ("A", "1998-08-01", 1998, 8, "2"), ("A", "1998-10-01", 1998, 8, "4"),
+                     ("A", None, 1998, 8, "5"), ("B", "1998-08-01", 1998, 8, None), ("B", "1998-08-01", 1998, 7, "9"))
+    delivered = source("del", "DEL", ("A", "1998-08-01", 1998, 8, "7"), ("A", "1998-08-01", 1998, 8, None))
+    invoiced = source("inv", "INV", (None, "1998-08-01", 1998, 8, "8"))
+    budget = frame("product_code string, year int, month int, record_source string, " + ", ".join(f"{b} double" for b in portfolio.BUDGETS),
+                   ("A", 1998, 8, "BUD", *[6.0] * 8))
+    keys = ["product_code", "year", "month", "first_req_del_date", "record_source"]
+    rolled = portfolio.portfolio(ordered, budget, delivered, invoiced, keys, "1998-08-15")
+    sums = [line.count("sum(") for line in rolled._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert sorted(sums) == [5, 5, 5, 8]
+    out = portfolio.measures_by_source(rolled, "1998-08-15")
+    assert set(portfolio.SUMS) <= set(out.columns) and not set(portfolio.VALUES) & set(out.columns)
+    shown = ["ord_qty", "ord_qty_m1", "ord_qty_m2", "del_qty", "inv_qty", "bdg_qty"]
+    got = rows(out, "record_source", "product_code", F.col("first_req_del_date").cast("string"), *[F.col(c).cast("double") for c in shown])
+    assert set(got) == {
+        ("ORD", "A", "1998-08-01", 3.5, 0.0, 0.0, None, None, None), ("ORD", "A", "1998-10-01", 0.0, 0.0, 4.0, None, None, None),
+        ("ORD", "A", None, 0.0, 0.0, 0.0, None, None, None), ("ORD", "B", "1998-08-01", None, 0.0, 0.0, None, None, None),
+        ("DEL", "A", "1998-08-01", None, None, None, 7.0, None, None), ("INV", None, "1998-08-01", None, None, None, None, 8.0, None),
+        ("BUD", "A", None, None, None, None, None, None, 6.0)}
