@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from saleweft import fixed_values as fixed
 from saleweft.functions.dates import day
 from saleweft.operators import aggregate, lookup
-from saleweft.plans import costs, invoices, master, orders, portfolio, prices, reassembly
+from saleweft.plans import analysis, costs, invoices, master, orders, portfolio, prices, reassembly
 
 
 def plan(df, capsys) -> str:
@@ -180,3 +181,18 @@ def test_a_source_of_the_portfolio_groups_its_own_measures(frame, rows):
         ("ORD", "A", None, 0.0, 0.0, 0.0, None, None, None), ("ORD", "B", "1998-08-01", None, 0.0, 0.0, None, None, None),
         ("DEL", "A", "1998-08-01", None, None, None, 7.0, None, None), ("INV", None, "1998-08-01", None, None, None, None, 8.0, None),
         ("BUD", "A", None, None, None, None, None, None, 6.0)}
+
+
+def test_both_customer_codes_join_the_wide_rows_once(frame, rows):
+    fact = frame("id int, dest_id string, inv_id string, source string, division string, sales_organization string, doc_type_code int, "
+                 "return_reason string", *[(i, d, v, "cas", None, "60B0", 7, "Z01") for i, (d, v) in enumerate(
+                     [("a", "b"), ("a", "b"), ("b", "a"), (None, "a"), ("a", None), (None, None), ("x", "n")])],
+                 (9, "a", "b", "sap", "AC", "60B0", 7, None), (10, "a", "b", "cas", None, None, 7, None))
+    codes = frame("customer string, code string", ("a", "1"), ("b", "2"), ("n", None), (None, "9"))
+    out = analysis.analysis_fact(fact, codes, codes)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    assert set(out.columns) == {*fact.columns, "dest_code", "customer_code", "key_return_reason"}
+    assert rows(out, "id", "dest_code", "customer_code") == [
+        (0, "1", "2"), (1, "1", "2"), (2, "2", "1"), (3, "0", "1"), (4, "1", "0"), (5, "0", "0"), (6, "0", None)]
+    with pytest.raises(Exception, match="occurs more than once"):
+        analysis.analysis_fact(fact, codes, codes.union(codes)).collect()
