@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -196,3 +197,48 @@ def test_both_customer_codes_join_the_wide_rows_once(frame, rows):
         (0, "1", "2"), (1, "1", "2"), (2, "2", "1"), (3, "0", "1"), (4, "1", "0"), (5, "0", "0"), (6, "0", None)]
     with pytest.raises(Exception, match="occurs more than once"):
         analysis.analysis_fact(fact, codes, codes.union(codes)).collect()
+
+
+@pytest.fixture
+def shuffles(spark, capsys):
+    """Keys of the shuffles of a plan in which nothing is broadcast."""
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield lambda df: re.findall(r"hashpartitioning\((.*), \d+\)", re.sub(r"#\d+L?", "", plan(df, capsys)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_a_line_is_joined_once_for_all_its_statuses(frame, rows):
+    t = orders.OrderTables(
+        frame("vbeln string, auart string, lifsk string, faksk string, cmgst string", ("1", "ZOR", None, None, "A"), ("2", "ZOR", "01", None, "A")),
+        frame("vbeln string, posnr string, kwmeng double, lgort string, abgru string", ("1", "10", 10.0, "W", None), ("1", "20", 2.0, "W", None),
+              ("2", "10", 4.0, "W", None)),
+        frame("vbeln string, vgbel string, vgpos string, lfimg double", ("8", "1", "10", 1.0), ("9", "1", "20", 2.0)),
+        frame("vbeln string, wadat_ist date, zzdate_slot date", ("8", None, None), ("9", date(1998, 1, 1), None)),
+        frame("vbeln string, posnr string, etenr string, lgort string, vmeng double", ("1", "10", "1", "W", 3.0), ("1", "10", "2", "W", 2.0)),
+        frame("vbeln string, posnr string, etenr string, edatu date, ezeit string, tddat date", ("1", "10", "1", None, "08", None),
+              ("1", "10", "1", None, "14", None), ("1", "10", "1", None, "14", None)),
+        frame("auart string, vbtyp string", ("ZOR", "C")))
+    lines = orders.order_status(t, by_line=True)
+    assert rows(lines, "order_number", "order_line") == [("1", "10"), ("2", "10")]
+    wanted = sorted([("1", "In Picking", 1.0, None, None), ("1", "Not Deliverables", 4.0, None, None), ("1", "Confirmed SAP", 3.0, "1", "08"),
+                     ("1", "Confirmed SAP", 3.0, "1", "14"), ("1", "Confirmed SAP", 2.0, "2", None), ("2", "Blocked", 4.0, None, None)], key=repr)
+    columns = ["order_number", "order_status", "ord_qty_fabs", "schedule_line", "confirmed_time"]
+    assert rows(orders.each_status(lines), *columns) == wanted == rows(orders.order_status(t), *columns)
+
+
+def test_the_order_fact_does_not_shuffle_lines_for_partners(spark, shuffles):
+    from workload import business as b
+    from workload.registry import Tables
+
+    keys = shuffles(b.order_fact(Tables(spark, "/root/testdata/sf0.001")))
+    assert not [k for k in keys if k.startswith("__spread, order_number") or k == "order_number, order_line, schedule_line"]
+
+
+def test_prices_and_costs_are_shuffled_by_one_key(frame, shuffles):
+    conditions = frame("knumv string, kposn string, kschl string, kwert double, kbetr double, kkurs double, mwsk1 string",
+                       ("1", "10", "ZNSV", 10.0, None, -2.0, None))
+    facts = frame("price_key string", ("1|10",))
+    assert shuffles(facts.join(prices.prices(conditions, prices.open_conditions("ord")), ["price_key"], "left")) == ["price_key"] * 2
+    history = frame("product string, year int, cost double", ("a", 2020, 1.0))
+    assert shuffles(costs.filled_costs(history, ["product"], F.col("year"), {"cost": "unit"}, (F.lit(2019), F.lit(2021)))) == ["product"]
