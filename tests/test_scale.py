@@ -227,12 +227,42 @@ def test_a_line_is_joined_once_for_all_its_statuses(frame, rows):
     assert rows(orders.each_status(lines), *columns) == wanted == rows(orders.order_status(t), *columns)
 
 
+def lines_for_partners(keys):
+    return [k for k in keys if k.startswith("__spread, order_number") or k == "order_number, order_line, schedule_line"]
+
+
 def test_the_order_fact_does_not_shuffle_lines_for_partners(spark, shuffles):
     from workload import business as b
     from workload.registry import Tables
 
-    keys = shuffles(b.order_fact(Tables(spark, "/root/testdata/sf0.001")))
-    assert not [k for k in keys if k.startswith("__spread, order_number") or k == "order_number, order_line, schedule_line"]
+    assert not lines_for_partners(shuffles(b.order_fact(Tables(spark, "/root/testdata/sf0.001"))))
+
+
+def test_invoices_are_not_shuffled_for_partners(spark, shuffles):
+    from workload import business as b
+    from workload.registry import Tables
+
+    keys = shuffles(b.invoice_base(Tables(spark, "/root/testdata/sf0.001")))
+    assert not lines_for_partners(keys)
+
+
+def test_deliveries_are_not_shuffled_for_partners(spark, shuffles):
+    from saleweft.plans import deliveries
+    from workload import business as b
+    from workload.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    tables, open_items = b.fact_tables(t, t.prcd), deliveries.open_deliveries(t.likp, t.lips, t.vbrp)
+    base = deliveries.delivery_base(open_items, b.headers(t), t.vbap, t.vbep, b.AS_OF, tables)
+    assert not lines_for_partners(shuffles(base))
+    assert "inv_id" in deliveries.delivery_fact(base, tables, b.AS_OF).columns
+
+
+@pytest.mark.parametrize("name", ["b07_enrich_orders", "b28_fact_roundtrip"])
+def test_statuses_are_not_shuffled_by_schedule_line(spark, shuffles, name):
+    from workload import load_all
+
+    assert "order_number, order_line, schedule_line" not in shuffles(load_all()[name](spark, "/root/testdata/sf0.001"))
 
 
 def test_prices_and_costs_are_shuffled_by_one_key(frame, shuffles):
